@@ -121,3 +121,229 @@ def q_frequency(spark, sf_dir):
 SELECT customer_id, CAST(SUM(total) AS DOUBLE) AS monetary FROM visits GROUP BY 1""")
 def q_monetary(spark, sf_dir):
     return rfm.monetary(visits(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Cleaning and pseudonymisation on test tables
+# ---------------------------------------------------------------------------
+from ..functions import hashing as H  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+from ..operators import clean  # noqa: E402
+
+# Python's str.isspace() set as an RE2 character-class body (DuckDB side).
+RE2_PY_WHITESPACE = ("\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
+                     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}")
+
+
+def _sql_strip(expr: str) -> str:
+    return f"regexp_replace({expr}, '^[{RE2_PY_WHITESPACE}]+|[{RE2_PY_WHITESPACE}]+$', '', 'g')"
+
+
+@register("pseudonymise", """
+SELECT c_custkey,
+       CASE WHEN length(c_name) > 0 THEN substr(sha1(c_name), 1, 16) END AS license_plate,
+       CASE WHEN length(c_mktsegment) > 0 THEN substr(sha1(c_mktsegment), 1, 20) END AS vin,
+       sha256(c_name) AS customer_id
+FROM customer""")
+def q_pseudonymise(spark, sf_dir):
+    c = T.read_table(spark, sf_dir, "customer")
+    return c.select("c_custkey", H.plate_hash("c_name").alias("license_plate"),
+                    H.vin_hash("c_mktsegment").alias("vin"),
+                    H.customer_hash("c_name").alias("customer_id"))
+
+
+@register("keep_first", """
+SELECT o_custkey, min(o_orderkey) AS o_orderkey,
+       arg_min(CAST(o_orderdate AS DATE), o_orderkey) AS o_orderdate,
+       arg_min(o_totalprice, o_orderkey) AS o_totalprice
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey""")
+def q_keep_first(spark, sf_dir):
+    o = T.read_table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return clean.first_per_key(o, "o_custkey", "o_orderkey", ["o_orderdate", "o_totalprice"])
+
+
+@register("split_name", """
+SELECT doc_id,
+       CASE WHEN strpos(text, '. ') > 0 THEN substr(text, 1, strpos(text, '. ') - 1) ELSE text END
+         AS customer_number,
+       CASE WHEN strpos(text, '. ') > 0 THEN substr(text, strpos(text, '. ') + 2) END
+         AS customer_description
+FROM documents""")
+def q_split_name(spark, sf_dir):
+    d = T.read_table(spark, sf_dir, "documents")
+    number, desc = TX.split_name("text", ". ")
+    return d.select("doc_id", number.alias("customer_number"), desc.alias("customer_description"))
+
+
+@register("normalise_key", f"""
+SELECT doc_id,
+       CASE WHEN source IS NOT NULL OR text IS NOT NULL THEN
+         {_sql_strip("replace(replace(replace(lower(coalesce(source, '') || ' ' || coalesce(text, '')), 'herr ', ''), 'frau ', ''), 'herrn ', '')")}
+       END AS address
+FROM documents""")
+def q_normalise_key(spark, sf_dir):
+    d = T.read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", TX.normalise_key(TX.address_key("source", "text")).alias("address"))
+
+
+LINE_SEP_FOR_TEST = ","
+
+
+def _sql_norm_line(expr: str) -> str:
+    return f"translate({_sql_strip(expr)}, '·;', '-/')"
+
+
+@register("line_normalise", f"""
+WITH l AS (
+  SELECT doc_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no,
+         unnest(string_split(text, chr(10))) AS raw
+  FROM documents)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+       array_to_string(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}'), ';') AS line_csv,
+       CAST(len(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}')) AS INTEGER) AS n_fields
+FROM l""")
+def q_line_normalise(spark, sf_dir):
+    d = T.read_table(spark, sf_dir, "documents")
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    fields = TX.split_fields(TX.normalise_line(F.col("raw")), LINE_SEP_FOR_TEST)
+    return lines.select("doc_id", "line_no", F.concat_ws(";", fields).alias("line_csv"),
+                        F.size(fields).alias("n_fields"))
+
+
+@register("ragged_rows", f"""
+WITH l AS (
+  SELECT doc_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no,
+         unnest(string_split(text, chr(10))) AS raw
+  FROM documents),
+f AS (SELECT doc_id, line_no, len(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}')) AS n FROM l),
+h AS (SELECT doc_id, n AS n_header FROM f WHERE line_no = 0)
+SELECT f.doc_id, CAST(max(h.n_header) AS INTEGER) AS n_columns, count(*) AS n_lines,
+       count(*) FILTER (WHERE line_no > 0 AND n = h.n_header) AS kept,
+       count(*) FILTER (WHERE line_no > 0 AND n <> h.n_header) AS removed
+FROM f JOIN h USING (doc_id) GROUP BY f.doc_id""")
+def q_ragged_rows(spark, sf_dir):
+    """Per document (= one export file): header width, kept and quarantined data lines.
+    Computed inside each row with array functions: no explode, no shuffle."""
+    d = T.read_table(spark, sf_dir, "documents")
+    lines = F.split("text", "\n", -1)
+    width = lambda l: F.size(TX.split_fields(TX.normalise_line(l), LINE_SEP_FOR_TEST))
+    n_header = width(F.get(lines, 0))
+    data = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1)))
+    data = F.when(F.size(lines) > 1, data).otherwise(F.array().cast("array<string>"))
+    kept = F.size(F.filter(data, lambda l: width(l) == n_header))
+    return d.select("doc_id", n_header.alias("n_columns"), F.size(lines).cast("long").alias("n_lines"),
+                    kept.cast("long").alias("kept"),
+                    (F.size(data) - kept).cast("long").alias("removed"))
+
+
+@register("parse_locale", """
+WITH r AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%-d.%-m.%Y') AS date_text,
+         translate(format('{:,.2f}', o_totalprice), ',.', '.,') AS total_text
+  FROM orders)
+SELECT o_orderkey, date_text, total_text, try_strptime(date_text, '%d.%m.%Y')::DATE AS date,
+       CAST(replace(replace(total_text, '.', ''), ',', '.') AS DOUBLE) AS total
+FROM r""")
+def q_parse_locale(spark, sf_dir):
+    o = T.read_table(spark, sf_dir, "orders")
+    r = o.select("o_orderkey", F.date_format("o_orderdate", "d.M.yyyy").alias("date_text"),
+                 TX.format_locale_number(F.col("o_totalprice")).alias("total_text"))
+    return r.select("o_orderkey", "date_text", "total_text",
+                    TX.parse_day_first_date("date_text").alias("date"),
+                    TX.parse_locale_number("total_text").alias("total"))
+
+
+def _derived_addresses(spark, sf_dir) -> DataFrame:
+    """Five address columns derived from customer + nation so that each repair case occurs."""
+    c = T.read_table(spark, sf_dir, "customer")
+    n = T.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    x = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    k = F.col("c_custkey")
+    postal = lambda v: F.concat(F.lpad(v.cast("string"), 5, "0"), F.lit(" "), F.col("n_name"))
+    return x.select(
+        "c_custkey",
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("address_company"),
+        F.col("c_name").alias("address_name"),
+        F.when(F.col("c_nationkey") % 4 == 0, postal(k))
+         .when(F.col("c_nationkey") % 4 == 1, F.col("n_name"))
+         .otherwise(F.concat(F.col("n_name"), F.lit("str. "), (k % 97 + 1).cast("string")))
+         .alias("address_street_house_number"),
+        F.when(F.col("c_nationkey") % 3 == 0,
+               F.concat(F.col("n_name"), F.lit("weg "), (k % 13 + 1).cast("string")))
+         .otherwise(postal(k % 99991)).alias("address_postal_code_city"),
+        F.when(F.col("c_nationkey") % 5 == 0, postal((k * 7) % 100000)).alias("address_other"))
+
+
+_SQL_DERIVED = """
+x AS (SELECT * FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+s0 AS (
+  SELECT c_custkey,
+    CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS co,
+    c_name AS na,
+    CASE WHEN c_nationkey % 4 = 0 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0') || ' ' || n_name
+         WHEN c_nationkey % 4 = 1 THEN n_name
+         ELSE n_name || 'str. ' || CAST(c_custkey % 97 + 1 AS VARCHAR) END AS st,
+    CASE WHEN c_nationkey % 3 = 0 THEN n_name || 'weg ' || CAST(c_custkey % 13 + 1 AS VARCHAR)
+         ELSE lpad(CAST(c_custkey % 99991 AS VARCHAR), 5, '0') || ' ' || n_name END AS ci,
+    CASE WHEN c_nationkey % 5 = 0 THEN lpad(CAST((c_custkey * 7) % 100000 AS VARCHAR), 5, '0') || ' ' || n_name
+    END AS ot
+  FROM x)"""
+_P = "'^[0-9]{5} '"
+_S = "'.*[0-9]{1,4}([\\s]{0,1})[a-zA-Z]?[\\s]?$'"
+
+
+@register("repair_address", "WITH " + _SQL_DERIVED + f""",
+s1 AS (
+  SELECT c_custkey,
+    CASE WHEN coalesce(regexp_matches(st, {_P}), false) THEN 'Firma' ELSE co END AS co,
+    CASE WHEN coalesce(regexp_matches(st, {_P}), false) THEN co ELSE na END AS na,
+    CASE WHEN coalesce(regexp_matches(st, {_P}), false) THEN na ELSE st END AS st,
+    CASE WHEN coalesce(regexp_matches(st, {_P}), false) THEN st ELSE ci END AS ci,
+    ot
+  FROM s0),
+s2 AS (
+  SELECT *,
+    coalesce(NOT regexp_matches(st, {_S}) AND st IS NOT NULL AND NOT regexp_matches(st, {_P}), false)
+      AND na IS NOT NULL AS b,
+    coalesce(regexp_matches(ci, {_S}) AND ci IS NOT NULL, false) AS c
+  FROM s1),
+s3 AS (
+  SELECT c_custkey,
+    CASE WHEN b THEN na ELSE co END AS co,
+    CASE WHEN b THEN st ELSE na END AS na,
+    CASE WHEN c THEN ci ELSE st END AS st,
+    CASE WHEN c THEN ot ELSE ci END AS ci,
+    CASE WHEN c THEN NULL ELSE ot END AS ot
+  FROM s2)
+SELECT c_custkey, co AS address_company, na AS address_name, st AS address_street_house_number,
+  CASE WHEN coalesce(regexp_matches(ot, {_P}), false) THEN ot ELSE ci END AS address_postal_code_city,
+  CASE WHEN coalesce(regexp_matches(ot, {_P}), false) THEN NULL ELSE ot END AS address_other
+FROM s3""")
+def q_repair_address(spark, sf_dir):
+    return clean.repair_shifted_address(_derived_addresses(spark, sf_dir))
+
+
+_SQL_WALK = """
+WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_number FROM orders),
+cleaned AS (SELECT o_orderkey, customer_number, sha256(customer_number) AS customer_id
+            FROM o WHERE customer_number <> '10')
+SELECT * FROM cleaned
+UNION ALL BY NAME
+SELECT o_orderkey, customer_number, '10' AS customer_id FROM {src} WHERE customer_number = '10'"""
+
+
+def _walk(spark, sf_dir, mode):
+    o = T.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer_number"))
+    cleaned = clean.exclude_walk_in(o).withColumn("customer_id", H.customer_hash("customer_number"))
+    return clean.walk_in_union(cleaned, o, mode=mode)
+
+
+@register("walk_in_union", _SQL_WALK.format(src="cleaned"))
+def q_walk_in_union(spark, sf_dir):
+    return _walk(spark, sf_dir, "drop")
+
+
+@register("walk_in_keep", _SQL_WALK.format(src="o"))
+def q_walk_in_keep(spark, sf_dir):
+    return _walk(spark, sf_dir, "keep")
