@@ -92,7 +92,8 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
     kb = keys.select(F.col("kid").alias("kb"), F.col("key").alias("key_b"))
     total = F.col("la") + F.col("lb")
     pairs = (cand.join(ka, "ka").join(kb, "kb")
-             .where(F.levenshtein("key_a", "key_b", _allowed_indel(total, cutoff)) >= 0))
+             .where(F.call_function("levenshtein", F.col("key_a"), F.col("key_b"),
+                                    _allowed_indel(total, cutoff)) >= 0))
     scored = (pairs.withColumn("lcs", lcs(F.col("key_a"), F.col("key_b")))
               .where(200 * F.col("lcs") >= cutoff * total))
     return scored.select(

@@ -347,3 +347,44 @@ def q_walk_in_union(spark, sf_dir):
 @register("walk_in_keep", _SQL_WALK.format(src="o"))
 def q_walk_in_keep(spark, sf_dir):
     return _walk(spark, sf_dir, "keep")
+
+
+# ---------------------------------------------------------------------------
+# Fuzzy identity resolution on whole URLs of pages (short free-text keys, like names)
+# ---------------------------------------------------------------------------
+from ..operators import resolve  # noqa: E402
+
+# LCS length of two strings as a DuckDB list DP (row r: max over i<=j of prev[i], prev[i-1]+eq).
+SQL_LCS = """list_reduce(
+  list_transform(string_split({a}, ''), lambda c: list_transform(string_split({b}, ''), lambda d: (c = d)::INT)),
+  lambda prev, eq: list_transform(range(1, len(eq) + 1), lambda j:
+     list_max(list_transform(range(1, j + 1), lambda i: greatest(prev[i], coalesce(prev[i - 1], 0) + eq[i]))))::INT[],
+  list_transform(string_split({b}, ''), lambda d: 0)::INT[])[-1]"""
+
+SQL_FUZZY_URL = """
+u AS (SELECT url AS k, min(page_id) AS ord FROM pages WHERE url IS NOT NULL GROUP BY url),
+p AS (
+  SELECT a.k AS key_a, b.k AS key_b, length(a.k) AS la, length(b.k) AS lb
+  FROM u a JOIN u b ON a.k < b.k
+  WHERE 90 * greatest(length(a.k), length(b.k)) <= 110 * least(length(a.k), length(b.k))
+    AND levenshtein(a.k, b.k) * 10 <= length(a.k) + length(b.k)),
+s AS (SELECT key_a, key_b, la, lb, """ + SQL_LCS.format(a="key_a", b="key_b") + """ AS lcs FROM p),
+m AS (SELECT key_a, key_b, CAST(lcs AS INTEGER) AS lcs, round(200.0 * lcs / (la + lb), 6) AS score
+      FROM s WHERE 200 * lcs >= 90 * (la + lb))"""
+
+
+@register("fuzzy_pairs", "WITH " + SQL_FUZZY_URL + "\nSELECT * FROM m")
+def q_fuzzy_pairs(spark, sf_dir):
+    return resolve.similar_key_pairs(T.read_table(spark, sf_dir, "pages"), "url")
+
+
+@register("fuzzy_components", "WITH RECURSIVE " + SQL_FUZZY_URL + """,
+e AS (SELECT key_a AS s, key_b AS d FROM m UNION SELECT key_b, key_a FROM m),
+reach(s, d) AS (SELECT k, k FROM u UNION SELECT r.s, e.d FROM reach r JOIN e ON r.d = e.s),
+comp AS (SELECT s AS k, min(d) AS c FROM reach GROUP BY s),
+rep AS (SELECT c, arg_min(u.k, u.ord) AS group_key FROM comp JOIN u USING (k) GROUP BY c)
+SELECT pages.page_id, pages.url, rep.group_key, sha256(rep.group_key) AS customer_id
+FROM pages LEFT JOIN comp ON pages.url = comp.k LEFT JOIN rep USING (c)""")
+def q_fuzzy_components(spark, sf_dir):
+    pages = T.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return resolve.resolve_components(pages, "page_id", "url", "page_id")
