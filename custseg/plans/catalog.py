@@ -388,3 +388,78 @@ FROM pages LEFT JOIN comp ON pages.url = comp.k LEFT JOIN rep USING (c)""")
 def q_fuzzy_components(spark, sf_dir):
     pages = T.read_table(spark, sf_dir, "pages").select("page_id", "url")
     return resolve.resolve_components(pages, "page_id", "url", "page_id")
+
+
+# ---------------------------------------------------------------------------
+# Preparation: quantile transform, IQR outliers, scaling (RFM of orders)
+# ---------------------------------------------------------------------------
+from ..functions import stats as ST  # noqa: E402
+from ..operators import prepare  # noqa: E402
+
+FEATS = ["recency", "frequency", "monetary"]
+# The oracle fixes 50 quantile levels (valid when the RFM table has >= 50 rows).
+LEVELS_50 = prepare.quantile_levels(50, 50)
+_LO, _HI = prepare.clip_bounds()
+
+
+def _sql_qnormal_p(x: str, g: str) -> str:
+    refs = ST.sql_list(LEVELS_50)
+    nrefs = ST.sql_list([-v for v in reversed(LEVELS_50)])
+    fwd = ST.interp_sql(x, g, refs, 50)
+    bwd = ST.interp_sql(f"(-{x})", f"list_reverse(list_transform({g}, lambda v: -v))", nrefs, 50)
+    return (f"(CASE WHEN {x} - 1e-7 < ({g})[1] THEN 0.0 WHEN {x} + 1e-7 > ({g})[50] THEN 1.0 "
+            f"ELSE 0.5 * ({fwd} - {bwd}) END)")
+
+
+def _sql_z(p: str) -> str:
+    return f"greatest(least({ST.ppf_sql(p)}, {_HI!r}), {_LO!r})"
+
+
+SQL_QNORMAL = SQL_RFM + """,
+grid AS (SELECT """ + ", ".join(
+    f"quantile_cont(CAST({f} AS DOUBLE), {ST.sql_list(LEVELS_50)}) AS g_{f}" for f in FEATS) + """ FROM rfm),
+qp AS (SELECT customer_id, recency, frequency, monetary, """ + ", ".join(
+    f"{_sql_qnormal_p(f'CAST({f} AS DOUBLE)', f'g_{f}')} AS p_{f}" for f in FEATS) + """ FROM rfm, grid),
+qz AS (SELECT customer_id, recency, frequency, monetary, """ + ", ".join(
+    f"{_sql_z(f'p_{f}')} AS z_{f}" for f in FEATS) + " FROM qp)"
+
+
+def rfm_quantile_normal(spark, sf_dir):
+    r = rfm_orders(spark, sf_dir)
+    model = prepare.fit_quantile_transform(r, FEATS)
+    return prepare.quantile_transform(r, FEATS, model, suffix="_z")
+
+
+@register("quantile_normal", "WITH " + SQL_QNORMAL + "\nSELECT customer_id, " + ", ".join(
+    f"round(z_{f}, 6) + 0.0 AS {f}" for f in FEATS) + " FROM qz")
+def q_quantile_normal(spark, sf_dir):
+    t = rfm_quantile_normal(spark, sf_dir)
+    return t.select("customer_id", *[(F.round(f + "_z", 6) + F.lit(0.0)).alias(f) for f in FEATS])
+
+
+@register("iqr_filter", "WITH " + SQL_QNORMAL + """,
+b AS (SELECT quantile_cont(z_monetary, 0.25) AS q1, quantile_cont(z_monetary, 0.75) AS q3 FROM qz)
+SELECT customer_id, recency, frequency, monetary FROM qz, b
+WHERE NOT (z_monetary < q1 - 1.5 * (q3 - q1) OR z_monetary > q3 + 1.5 * (q3 - q1))""")
+def q_iqr_filter(spark, sf_dir):
+    return prepare.remove_outliers(rfm_orders(spark, sf_dir), FEATS, mode="last")
+
+
+SQL_SCALED = SQL_RFM + """,
+sp AS (SELECT """ + ", ".join(
+    f"avg(CAST({f} AS DOUBLE)) AS m_{f}, CASE WHEN stddev_pop(CAST({f} AS DOUBLE)) = 0 THEN 1.0 "
+    f"ELSE stddev_pop(CAST({f} AS DOUBLE)) END AS s_{f}" for f in FEATS) + """ FROM rfm),
+scaled AS (SELECT customer_id, """ + ", ".join(
+    f"round((CAST({f} AS DOUBLE) - m_{f}) / s_{f}, 9) AS {f}" for f in FEATS) + " FROM rfm, sp)"
+
+
+def rfm_scaled(spark, sf_dir):
+    """RFM of orders scaled to mean 0 / population sd 1, rounded to 9 decimals."""
+    r = rfm_orders(spark, sf_dir)
+    s, _ = prepare.scale_data(r, FEATS)
+    return s.select("customer_id", *[F.round(f, 9).alias(f) for f in FEATS])
+
+
+@register("standard_scale", "WITH " + SQL_SCALED + "\nSELECT * FROM scaled")
+def q_standard_scale(spark, sf_dir):
+    return rfm_scaled(spark, sf_dir)
