@@ -463,3 +463,289 @@ def rfm_scaled(spark, sf_dir):
 @register("standard_scale", "WITH " + SQL_SCALED + "\nSELECT * FROM scaled")
 def q_standard_scale(spark, sf_dir):
     return rfm_scaled(spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# Clustering on scaled RFM of orders; fixed initial centres = the 4 smallest customer ids
+# ---------------------------------------------------------------------------
+from ..operators import classify as CL  # noqa: E402
+from ..operators import cluster as CU  # noqa: E402
+from ..operators import summaries as SU  # noqa: E402
+
+K_FIXED = 4
+
+
+def _sq_sql(a: str, b: str, cols: list[str]) -> str:
+    return " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in cols)
+
+
+SQL_ASSIGNED = SQL_SCALED + f""",
+cen AS (SELECT row_number() OVER (ORDER BY customer_id) - 1 AS cluster, recency, frequency, monetary
+        FROM scaled ORDER BY customer_id LIMIT {K_FIXED}),
+dd AS (SELECT s.customer_id, c.cluster, {_sq_sql('s', 'c', FEATS)} AS d2 FROM scaled s, cen c),
+assigned AS (SELECT customer_id, cluster FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY d2, cluster) AS rn FROM dd) WHERE rn = 1),
+lab AS (SELECT s.customer_id, s.recency, s.frequency, s.monetary, CAST(a.cluster AS INTEGER) AS cluster
+        FROM scaled s JOIN assigned a USING (customer_id))"""
+
+
+def labelled_fixed(spark, sf_dir):
+    """Scaled RFM with labels from the fixed initial centres (deterministic in both engines)."""
+    s = rfm_scaled(spark, sf_dir).persist()
+    centres = CU.first_rows_as_centres(s, FEATS, K_FIXED, "customer_id")
+    return CU.assign_clusters(s, FEATS, centres)
+
+
+@register("assign_clusters", "WITH " + SQL_ASSIGNED + "\nSELECT customer_id, cluster FROM lab")
+def q_assign_clusters(spark, sf_dir):
+    return labelled_fixed(spark, sf_dir).select("customer_id", "cluster")
+
+
+@register("lloyd_step", "WITH " + SQL_ASSIGNED + "\nSELECT cluster, " + ", ".join(
+    f"round(avg({f}), 6) AS {f}" for f in FEATS) + " FROM lab GROUP BY cluster")
+def q_lloyd_step(spark, sf_dir):
+    s = rfm_scaled(spark, sf_dir)
+    centres = CU.first_rows_as_centres(s, FEATS, K_FIXED, "customer_id")
+    c = CU.lloyd_step(s, FEATS, centres)
+    return c.select("cluster", *[F.round(f, 6).alias(f) for f in FEATS])
+
+
+@register("kmeans_fit")
+def q_kmeans_fit(spark, sf_dir):
+    _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS)
+    return lab.select("customer_id", "cluster")
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    return CU.kmeans_sweep(rfm_scaled(spark, sf_dir).persist(), FEATS)
+
+
+_dist_cc = " + ".join(f"(l.{f} - c.{f}) * (l.{f} - c.{f})" for f in FEATS)
+_dist_ab = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATS)
+
+
+@register("davies_bouldin", "WITH " + SQL_ASSIGNED + f""",
+cc AS (SELECT cluster, {", ".join(f"avg({f}) AS {f}" for f in FEATS)} FROM lab GROUP BY cluster),
+dbs AS (SELECT l.cluster, avg(sqrt({_dist_cc})) AS s FROM lab l JOIN cc c USING (cluster) GROUP BY l.cluster),
+dbp AS (SELECT cc.*, dbs.s FROM cc JOIN dbs USING (cluster)),
+pr AS (SELECT a.cluster AS i, CASE WHEN sqrt({_dist_ab}) = 0 THEN 0.0
+                                   ELSE (a.s + b.s) / sqrt({_dist_ab}) END AS r
+       FROM dbp a JOIN dbp b ON a.cluster <> b.cluster),
+mx AS (SELECT i, max(r) AS r FROM pr GROUP BY i)
+SELECT round(coalesce(avg(r), 0.0), 9) AS davies_bouldin FROM mx""")
+def q_davies_bouldin(spark, sf_dir):
+    return CU.davies_bouldin(labelled_fixed(spark, sf_dir), FEATS).select(
+        F.round("davies_bouldin", 9).alias("davies_bouldin"))
+
+
+@register("silhouette", "WITH " + SQL_ASSIGNED + f""",
+sz AS (SELECT cluster, count(*) AS n FROM lab GROUP BY cluster),
+pd AS (SELECT a.customer_id, a.cluster AS ka, b.cluster AS kb, sqrt({_dist_ab}) AS d
+       FROM lab a JOIN lab b ON a.customer_id <> b.customer_id),
+m AS (SELECT customer_id, ka, kb, sum(d) AS s FROM pd GROUP BY 1, 2, 3),
+mm AS (SELECT m.*, CASE WHEN ka = kb THEN s / nullif(sz.n - 1, 0) ELSE s / sz.n END AS md
+       FROM m JOIN sz ON m.kb = sz.cluster),
+sper AS (SELECT customer_id, ka, max(CASE WHEN ka = kb THEN md END) AS a,
+               min(CASE WHEN ka <> kb THEN md END) AS b FROM mm GROUP BY 1, 2),
+allp AS (SELECT lab.customer_id, lab.cluster AS ka, sper.a, sper.b FROM lab
+         LEFT JOIN sper ON lab.customer_id = sper.customer_id)
+SELECT round(avg(CASE WHEN sz.n <= 1 THEN 0.0 ELSE coalesce((b - a) / greatest(a, b), 0.0) END), 9)
+       AS silhouette
+FROM allp JOIN sz ON allp.ka = sz.cluster""")
+def q_silhouette(spark, sf_dir):
+    return CU.silhouette(labelled_fixed(spark, sf_dir), FEATS).select(
+        F.round("silhouette", 9).alias("silhouette"))
+
+
+_SQL_MED = SQL_ASSIGNED + """,
+med AS (SELECT cluster, median(recency) AS r, median(frequency) AS f, median(monetary) AS m
+        FROM lab GROUP BY cluster)"""
+
+
+@register("order_clusters", "WITH " + _SQL_MED + """,
+mp AS (SELECT cluster, row_number() OVER (ORDER BY m ASC, cluster) - 1 AS new_id FROM med)
+SELECT customer_id, CAST(new_id AS INTEGER) AS cluster FROM lab JOIN mp USING (cluster)""")
+def q_order_clusters(spark, sf_dir):
+    return CU.order_clusters(labelled_fixed(spark, sf_dir), mode="monetary").select("customer_id", "cluster")
+
+
+@register("order_clusters_score", "WITH " + _SQL_MED + """,
+sc AS (SELECT cluster, (row_number() OVER (ORDER BY r DESC, cluster) - 1)
+                     + (row_number() OVER (ORDER BY f ASC, cluster) - 1)
+                     + (row_number() OVER (ORDER BY m ASC, cluster) - 1) AS score FROM med),
+mp AS (SELECT cluster, row_number() OVER (ORDER BY score, cluster) - 1 AS new_id FROM sc)
+SELECT customer_id, CAST(new_id AS INTEGER) AS cluster FROM lab JOIN mp USING (cluster)""")
+def q_order_clusters_score(spark, sf_dir):
+    return CU.order_clusters(labelled_fixed(spark, sf_dir), mode="rfm_score").select("customer_id", "cluster")
+
+
+# ---------------------------------------------------------------------------
+# Classification: hash split, KNN (RFM with fixed labels; embeddings 64-d)
+# ---------------------------------------------------------------------------
+KNN_K_FIXED = 5
+
+
+def _sql_split(id_expr: str) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({id_expr} AS VARCHAR) || ':512'), 1, 8)) AS BIGINT)"
+
+
+@register("hash_split", f"""
+SELECT c_custkey, {_sql_split('c_custkey')} AS split_key,
+       {_sql_split('c_custkey')} % 1000 < 300 AS is_test,
+       CAST(({_sql_split('c_custkey')} // 1000) % 4 AS INTEGER) AS fold
+FROM customer""")
+def q_hash_split(spark, sf_dir):
+    c = T.read_table(spark, sf_dir, "customer").select("c_custkey")
+    return CL.hash_split(c, "c_custkey")
+
+
+SQL_SPLIT_LAB = SQL_ASSIGNED + f""",
+sl AS (SELECT lab.*, {_sql_split('customer_id')} AS sk FROM lab),
+tr AS (SELECT *, CAST((sk // 1000) % 4 AS INTEGER) AS fold FROM sl WHERE sk % 1000 >= 300),
+te AS (SELECT * FROM sl WHERE sk % 1000 < 300)"""
+
+
+def _sql_vote(top: str, keys: str) -> str:
+    """Distance-weighted vote over CTE ``top`` (cols keys..., nlab, d); returns winners."""
+    return f"""
+zz AS (SELECT {keys}, bool_or(d = 0) AS hz FROM {top} GROUP BY {keys}),
+vv AS (SELECT {", ".join("t." + k.strip() for k in keys.split(","))}, t.nlab,
+              sum(CASE WHEN zz.hz THEN (CASE WHEN t.d = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 / t.d END) AS w
+       FROM {top} t JOIN zz USING ({keys}) GROUP BY ALL),
+win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY w DESC, nlab) AS r FROM vv)
+        WHERE r = 1)"""
+
+
+def rfm_split(spark, sf_dir):
+    lab = CL.hash_split(labelled_fixed(spark, sf_dir), "customer_id")
+    return lab.where(~F.col("is_test")), lab.where(F.col("is_test"))
+
+
+@register("knn_predict", "WITH " + SQL_SPLIT_LAB + f""",
+nn AS (SELECT te.customer_id AS qid, tr.customer_id AS nid, tr.cluster AS nlab,
+              {_sq_sql('te', 'tr', FEATS)} AS d2,
+              row_number() OVER (PARTITION BY te.customer_id ORDER BY {_sq_sql('te', 'tr', FEATS)}, tr.customer_id) AS rn
+       FROM te, tr),
+top AS (SELECT qid, nlab, sqrt(d2) AS d FROM nn WHERE rn <= {KNN_K_FIXED}),""" + _sql_vote("top", "qid") + """
+SELECT te.customer_id, te.cluster, CAST(win.nlab AS INTEGER) AS prediction
+FROM te LEFT JOIN win ON te.customer_id = win.qid""")
+def q_knn_predict(spark, sf_dir):
+    train, test = rfm_split(spark, sf_dir)
+    p = CL.knn_predict(test, train, FEATS, KNN_K_FIXED, "customer_id", "customer_id", "cluster")
+    return p.select("customer_id", "cluster", "prediction")
+
+
+SQL_CV = SQL_SPLIT_LAB + f""",
+nn AS (SELECT a.customer_id AS qid, b.customer_id AS nid, b.cluster AS nlab, {_sq_sql('a', 'b', FEATS)} AS d2,
+              row_number() OVER (PARTITION BY a.customer_id ORDER BY {_sq_sql('a', 'b', FEATS)}, b.customer_id) AS rn
+       FROM tr a JOIN tr b ON a.fold <> b.fold),
+ks AS (SELECT unnest(range(1, 49, 2)) AS k),
+top AS (SELECT ks.k, nn.qid, nn.nlab, sqrt(nn.d2) AS d FROM nn JOIN ks ON nn.rn <= ks.k),""" + \
+    _sql_vote("top", "k, qid") + """,
+acc AS (SELECT win.k, tr.fold, avg(CASE WHEN win.nlab = tr.cluster THEN 1.0 ELSE 0.0 END) AS a
+        FROM win JOIN tr ON win.qid = tr.customer_id GROUP BY 1, 2),
+cv AS (SELECT CAST(k AS INTEGER) AS k, round(avg(a), 9) AS accuracy FROM acc GROUP BY k)"""
+
+
+def rfm_cv(spark, sf_dir):
+    train, _ = rfm_split(spark, sf_dir)
+    return CL.knn_cv_scores(train, FEATS, "customer_id", "cluster")
+
+
+@register("knn_cv", "WITH " + SQL_CV + "\nSELECT * FROM cv")
+def q_knn_cv(spark, sf_dir):
+    return rfm_cv(spark, sf_dir).select(F.col("k").cast("int").alias("k"),
+                                        F.round("accuracy", 9).alias("accuracy"))
+
+
+@register("best_k", "WITH " + SQL_CV + """
+SELECT k AS best_k, accuracy FROM cv ORDER BY accuracy DESC, k LIMIT 1""")
+def q_best_k(spark, sf_dir):
+    return CL.best_k(q_knn_cv(spark, sf_dir))
+
+
+EMB_DIM = 64
+_emb_d2 = " + ".join(f"(CAST(a.embedding[{i}] AS DOUBLE) - CAST(b.embedding[{i}] AS DOUBLE)) * "
+                     f"(CAST(a.embedding[{i}] AS DOUBLE) - CAST(b.embedding[{i}] AS DOUBLE))"
+                     for i in range(1, EMB_DIM + 1))
+SQL_EMB_PRED = f"""
+es AS (SELECT vec_id, embedding, label, {_sql_split('vec_id')} % 1000 < 300 AS is_test FROM embeddings),
+tr AS (SELECT * FROM es WHERE NOT is_test),
+te AS (SELECT * FROM es WHERE is_test),
+nn AS (SELECT a.vec_id AS qid, b.label AS nlab, {_emb_d2} AS d2,
+              row_number() OVER (PARTITION BY a.vec_id ORDER BY {_emb_d2}, b.vec_id) AS rn
+       FROM te a, tr b),
+top AS (SELECT qid, nlab, sqrt(d2) AS d FROM nn WHERE rn <= {KNN_K_FIXED}),""" + _sql_vote("top", "qid") + """,
+pred AS (SELECT te.vec_id, te.label, CAST(win.nlab AS INTEGER) AS prediction
+         FROM te LEFT JOIN win ON te.vec_id = win.qid)"""
+
+
+def embeddings_predictions(spark, sf_dir):
+    e = CL.hash_split(T.read_table(spark, sf_dir, "embeddings"), "vec_id")
+    train, test = e.where(~F.col("is_test")), e.where(F.col("is_test"))
+    return CL.knn_predict(test, train, "embedding", KNN_K_FIXED, "vec_id", "vec_id", "label")
+
+
+@register("knn_embeddings", "WITH " + SQL_EMB_PRED + "\nSELECT * FROM pred")
+def q_knn_embeddings(spark, sf_dir):
+    return embeddings_predictions(spark, sf_dir).select("vec_id", "label", "prediction")
+
+
+@register("confusion", "WITH " + SQL_EMB_PRED + """,
+cls AS (SELECT label AS c FROM pred UNION SELECT prediction FROM pred),
+grid AS (SELECT a.c AS label, b.c AS prediction FROM cls a, cls b WHERE a.c IS NOT NULL AND b.c IS NOT NULL),
+cnt AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2),
+fullg AS (SELECT g.label, g.prediction, coalesce(cnt.n, 0) AS n FROM grid g LEFT JOIN cnt USING (label, prediction)),
+rs AS (SELECT label, sum(n) AS rsum FROM fullg GROUP BY label)
+SELECT label, prediction, n, round(CASE WHEN rsum > 0 THEN n / rsum ELSE 0.0 END, 9) AS rate
+FROM fullg JOIN rs USING (label)""")
+def q_confusion(spark, sf_dir):
+    cm = CL.confusion_matrix(embeddings_predictions(spark, sf_dir), "label", "prediction")
+    return cm.select("label", "prediction", "n", F.round("rate", 9).alias("rate"))
+
+
+@register("class_report", "WITH " + SQL_EMB_PRED + """,
+cls AS (SELECT label AS c FROM pred UNION SELECT prediction FROM pred),
+st AS (SELECT c,
+         (SELECT count(*) FROM pred WHERE label = c AND prediction = c) AS tp,
+         (SELECT count(*) FROM pred WHERE label = c) AS support,
+         (SELECT count(*) FROM pred WHERE prediction = c) AS npred FROM cls),
+pr AS (SELECT c, CASE WHEN npred > 0 THEN tp / npred ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support FROM st),
+per AS (SELECT CAST(c AS VARCHAR) AS class, precision, recall,
+               CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+               support FROM pr),
+alls AS (
+  SELECT * FROM per
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1 * support) / sum(support), sum(support) FROM per
+  UNION ALL SELECT 'accuracy', avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END),
+                   avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END),
+                   avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), count(*) FROM pred)
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+       CAST(support AS BIGINT) AS support FROM alls""")
+def q_class_report(spark, sf_dir):
+    r = CL.classification_report(embeddings_predictions(spark, sf_dir), "label", "prediction")
+    return r.select("class", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+# ---------------------------------------------------------------------------
+# Distribution summaries of events.value
+# ---------------------------------------------------------------------------
+@register("box_stats", """
+WITH q AS (SELECT event_type, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3 FROM events WHERE value IS NOT NULL GROUP BY 1)
+SELECT q.event_type, q.n, round(q1, 9) AS q1, round(median, 9) AS median, round(q3, 9) AS q3,
+       round(q3 - q1, 9) AS iqr,
+       min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END) AS whisker_lo,
+       max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END) AS whisker_hi,
+       CAST(sum(CASE WHEN value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END) AS BIGINT)
+         AS n_outliers
+FROM events e JOIN q USING (event_type) WHERE value IS NOT NULL
+GROUP BY q.event_type, q.n, q1, median, q3""")
+def q_box_stats(spark, sf_dir):
+    b = SU.box_stats(T.read_table(spark, sf_dir, "events"), "value", by="event_type")
+    return b.select("event_type", "n", *[F.round(c, 9).alias(c) for c in ("q1", "median", "q3", "iqr")],
+                    "whisker_lo", "whisker_hi", "n_outliers")
