@@ -749,3 +749,40 @@ def q_box_stats(spark, sf_dir):
     b = SU.box_stats(T.read_table(spark, sf_dir, "events"), "value", by="event_type")
     return b.select("event_type", "n", *[F.round(c, 9).alias(c) for c in ("q1", "median", "q3", "iqr")],
                     "whisker_lo", "whisker_hi", "n_outliers")
+
+
+@register("histogram", """
+WITH st AS (SELECT count(*) AS n, min(value) AS lo, max(value) AS hi, quantile_cont(value, 0.25) AS q1,
+                   quantile_cont(value, 0.75) AS q3 FROM events WHERE value IS NOT NULL),
+bw AS (SELECT *, (hi - lo) / (log2(n) + 1.0) AS sturges, 2.0 * (q3 - q1) * pow(n, -1.0 / 3.0) AS fd FROM st),
+nb AS (SELECT *, CAST(ceil((hi - lo) / (CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END)) AS INTEGER)
+              AS bins FROM bw),
+ed AS (SELECT bins, lo, hi, list_transform(range(bins + 1),
+         lambda i: CASE WHEN i = bins THEN hi ELSE i * ((hi - lo) / bins) + lo END) AS e FROM nb),
+ix AS (SELECT least(CAST(floor((value - lo) * (bins / (hi - lo))) AS INTEGER), bins - 1) AS i0, value, e, bins
+       FROM events, ed WHERE value IS NOT NULL),
+bi AS (SELECT CASE WHEN value < e[i0 + 1] THEN i0 - 1
+                   WHEN value >= e[i0 + 2] AND i0 <> bins - 1 THEN i0 + 1 ELSE i0 END AS bin FROM ix),
+cnt AS (SELECT bin, count(*) AS c FROM bi GROUP BY bin),
+allb AS (SELECT unnest(range(bins)) AS bin, e FROM ed)
+SELECT CAST(allb.bin AS INTEGER) AS bin, e[allb.bin + 1] AS lower, e[allb.bin + 2] AS upper,
+       CAST(coalesce(c, 0) AS BIGINT) AS count
+FROM allb LEFT JOIN cnt USING (bin)""")
+def q_histogram(spark, sf_dir):
+    return SU.histogram(T.read_table(spark, sf_dir, "events"), "value")
+
+
+@register("density", """
+WITH st AS (SELECT count(*) AS n, min(value) AS lo, max(value) AS hi, stddev_samp(value) AS sd
+            FROM events WHERE value IS NOT NULL),
+p AS (SELECT *, sd * pow(n, -0.2) AS h FROM st),
+g AS (SELECT unnest(range(200)) AS i, n, lo, hi, h FROM p),
+gx AS (SELECT i, CASE WHEN i = 199 THEN hi ELSE i * ((hi - lo) / 199) + lo END AS x, h, n FROM g)
+SELECT CAST(i AS INTEGER) AS i, round(x, 9) AS x,
+       round(sum(exp(-0.5 * ((x - value) / h) * ((x - value) / h))) * (1.0 / (n * h * sqrt(2 * pi()))), 9)
+         AS density
+FROM gx, events WHERE value IS NOT NULL GROUP BY i, x, h, n""")
+def q_density(spark, sf_dir):
+    d = SU.density(T.read_table(spark, sf_dir, "events"), "value")
+    return d.select(F.col("i").cast("int").alias("i"), F.round("x", 9).alias("x"),
+                    F.round("density", 9).alias("density"))
