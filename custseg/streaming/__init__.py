@@ -1,0 +1 @@
+from .scoring import score_stream  # noqa: F401
