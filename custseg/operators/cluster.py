@@ -78,21 +78,25 @@ def total_variance_sse(df: DataFrame, features: list[str]) -> float:
     return float(row["n"] * sum(row[f] or 0.0 for f in features))
 
 
-def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, seed: int = C.KMEANS_SEED) -> DataFrame:
-    """(k, sse) for each k: k = 1 by aggregate, k > 1 by MLlib fits over one persisted
-    vector table."""
-    vec = _vectors(df, features).select("_features").persist()
-    rows = []
-    try:
-        for k in ks:
-            if k == 1:
-                rows.append((1, total_variance_sse(df, features)))
-                continue
-            m = KMeans(k=k, seed=seed, maxIter=C.KMEANS_MAX_ITER, tol=C.KMEANS_TOL,
-                       featuresCol="_features").fit(vec)
-            rows.append((k, float(m.summary.trainingCost)))
-    finally:
-        vec.unpersist()
+def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, seed: int = C.KMEANS_SEED,
+                 parallelism: int = 4) -> DataFrame:
+    """(k, sse) for each k: k = 1 by aggregate, k > 1 by MLlib fits over one vector table
+    checkpointed once. The fits are independent Spark jobs submitted from a few driver
+    threads, so the scheduler interleaves their many small iteration stages."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..session import cut_lineage
+    vec = cut_lineage(_vectors(df, features).select("_features"))
+
+    def fit(k):
+        if k == 1:
+            return 1, total_variance_sse(df, features)
+        m = KMeans(k=k, seed=seed, maxIter=C.KMEANS_MAX_ITER, tol=C.KMEANS_TOL,
+                   featuresCol="_features").fit(vec)
+        return k, float(m.summary.trainingCost)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = sorted(pool.map(fit, list(ks)))
     return df.sparkSession.createDataFrame(rows, "k int, sse double")
 
 
@@ -131,8 +135,9 @@ def silhouette(labelled: DataFrame, features: list[str], label_col: str = "clust
     Work is quadratic in the number of points, as the metric itself is.
     """
     spark = labelled.sparkSession
-    pts = labelled.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_k"),
-                          *[F.col(f).cast("double").alias(f) for f in features]).persist()
+    from ..session import cut_lineage
+    pts = cut_lineage(labelled.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_k"),
+                                      *[F.col(f).cast("double").alias(f) for f in features]))
     n = pts.count()
     n_blocks = max(1, math.ceil(n / block_rows))
     blocked = pts.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(n_blocks)))
@@ -153,8 +158,8 @@ def silhouette(labelled: DataFrame, features: list[str], label_col: str = "clust
         sums = sums.unionByName(p)
     total = sums.groupBy("_id", "_k", "_c").agg(F.sum("_s").alias("_s"))
     size_map = F.create_map(*[x for k in k_ids for x in (F.lit(k), F.lit(counts[k]))])
-    mean_d = F.col("_s") / F.when(F.col("_c") == F.col("_k"), size_map[F.col("_c")] - 1) \
-        .otherwise(size_map[F.col("_c")])
+    mean_d = F.try_divide(F.col("_s"), F.when(F.col("_c") == F.col("_k"), size_map[F.col("_c")] - 1)
+                          .otherwise(size_map[F.col("_c")]))
     per = total.withColumn("_m", mean_d).groupBy("_id", "_k").agg(
         F.max(F.when(F.col("_c") == F.col("_k"), F.col("_m"))).alias("a"),
         F.min(F.when(F.col("_c") != F.col("_k"), F.col("_m"))).alias("b"))
@@ -167,19 +172,22 @@ def silhouette(labelled: DataFrame, features: list[str], label_col: str = "clust
 def _cluster_sums_fn(bc, features, k_ids):
     def fn(batches):
         labels, mat = bc.value
+        masks = [labels == k for k in k_ids]
+        step = max(1, 20_000_000 // max(1, len(mat)))     # bound the distance block in memory
         for pdf in batches:
-            x = pdf[features].to_numpy()
-            acc = np.zeros((len(x), len(mat)))
-            for j in range(len(features)):
-                diff = x[:, j:j + 1] - mat[:, j][None, :]
-                acc += diff * diff
-            d = np.sqrt(acc)
-            out = []
-            for k in k_ids:
-                s = d[:, labels == k].sum(axis=1)
-                out.append(pd.DataFrame({"_id": pdf["_id"].to_numpy(), "_k": pdf["_k"].to_numpy(),
-                                         "_c": np.int32(k), "_s": s}))
-            yield pd.concat(out, ignore_index=True)
+            x_all = pdf[features].to_numpy()
+            ids, ks = pdf["_id"].to_numpy(), pdf["_k"].to_numpy()
+            for lo in range(0, len(x_all), step):
+                x = x_all[lo:lo + step]
+                acc = np.zeros((len(x), len(mat)))
+                for j in range(len(features)):
+                    diff = x[:, j:j + 1] - mat[:, j][None, :]
+                    acc += diff * diff
+                d = np.sqrt(acc)
+                out = [pd.DataFrame({"_id": ids[lo:lo + step], "_k": ks[lo:lo + step],
+                                     "_c": np.int32(k), "_s": d[:, m].sum(axis=1)})
+                       for k, m in zip(k_ids, masks)]
+                yield pd.concat(out, ignore_index=True)
     return fn
 
 

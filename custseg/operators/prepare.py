@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.stats import ppf_stages
+from ..session import cut_lineage
 
 
 def quantile_levels(n_quantiles: int, n_rows: int) -> list[float]:
@@ -43,9 +44,20 @@ class QuantileModel:
 
 def fit_quantile_transform(df: DataFrame, features: list[str], n_quantiles: int = C.N_QUANTILES,
                            accuracy: int | None = None) -> QuantileModel:
-    n = df.count()
-    levels = quantile_levels(n_quantiles, n)
-    qs = _quantiles(df, features, levels, accuracy)
+    """Quantiles at min(n_quantiles, n) evenly spaced levels, one aggregate job (a second,
+    tiny one only when there are fewer rows than levels)."""
+    levels = quantile_levels(n_quantiles, n_quantiles)
+    if accuracy:
+        aggs = [F.percentile_approx(f, levels, accuracy).alias(f) for f in features]
+    else:
+        aggs = [F.percentile(F.col(f), levels).alias(f) for f in features]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *aggs).first()
+    n = row["_n"]
+    if n < n_quantiles:
+        levels = quantile_levels(n_quantiles, n)
+        qs = _quantiles(df, features, levels, accuracy)
+    else:
+        qs = {f: [float(v) for v in row[f]] for f in features}
     return QuantileModel(levels, {f: list(np.maximum.accumulate(v)) for f, v in qs.items()})
 
 
@@ -132,7 +144,8 @@ def outlier_condition(bounds: dict[str, tuple[float, float]], cols: list[str], m
     behaviour); ``any``: an outlier in any column."""
     def out(c):
         lo, hi = bounds[c]
-        return (F.col(c + suffix) < lo) | (F.col(c + suffix) > hi)
+        v = F.col(c + suffix).cast("double")
+        return (v < F.lit(lo)) | (v > F.lit(hi))
     if mode == "last":
         return out(cols[-1])
     if mode == "any":
@@ -145,15 +158,32 @@ def outlier_condition(bounds: dict[str, tuple[float, float]], cols: list[str], m
 
 def remove_outliers(df: DataFrame, features: list[str] = C.RFM_FEATURES, mode: str = "last",
                     n_quantiles: int = C.N_QUANTILES, factor: float = C.IQR_FACTOR,
-                    accuracy: int | None = None) -> DataFrame:
+                    accuracy: int | None = None, materialize: bool = True) -> DataFrame:
     """Quantile-transform the features, flag IQR outliers there, drop those rows; the
-    original feature values are kept."""
+    original feature values are kept.
+
+    The transform is monotone (non-decreasing), so "score below the lower IQR bound" holds
+    exactly for the data values below the smallest value whose score reaches the bound.
+    Those two thresholds per feature come from one more aggregate; the final filter then
+    compares raw values only (cheap, and a plain predicate for the optimizer).
+    """
+    if materialize:
+        df = cut_lineage(df)          # several passes follow: read the features once
     model = fit_quantile_transform(df, features, n_quantiles, accuracy)
     t = quantile_transform(df, features, model, suffix="__q")
-    bounds = iqr_bounds(t, [f + "__q" for f in features], factor, accuracy)
-    bounds = {f: bounds[f + "__q"] for f in features}
-    cond = outlier_condition(bounds, features, mode, suffix="__q")
-    return t.where(~F.coalesce(cond, F.lit(False))).drop(*[f + "__q" for f in features])
+    zb = iqr_bounds(t, [f + "__q" for f in features], factor, accuracy)
+    aggs = []
+    for f in features:
+        lo, hi = zb[f + "__q"]
+        z, x = F.col(f + "__q"), F.col(f).cast("double")
+        aggs += [F.min(F.when(z >= lo, x)).alias(f + "__a"), F.max(F.when(z <= hi, x)).alias(f + "__b")]
+    row = t.agg(*aggs).first()
+    bounds = {}
+    for f in features:
+        a, b = row[f + "__a"], row[f + "__b"]
+        bounds[f] = (float("inf") if a is None else a, float("-inf") if b is None else b)
+    cond = outlier_condition(bounds, features, mode)
+    return df.where(~F.coalesce(cond, F.lit(False)))
 
 
 @dataclass

@@ -55,7 +55,8 @@ def distinct_keys(df: DataFrame, key_col: str) -> DataFrame:
 
 
 def prefix_tokens(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
-    """(kid, len, bg, occ) for the prefix tokens of every key of length >= 2."""
+    """(kid, len, bg, occ, rk) for the prefix tokens of every key of length >= 2; ``rk`` is
+    the token's 1-based position in the key's globally ordered token list."""
     grams = (keys.where(F.col("len") >= 2)
              .select("kid", "len", F.explode(F.sequence(F.lit(1), F.col("len") - 1)).alias("pos"), "key")
              .select("kid", "len", F.substring("key", F.col("pos"), 2).alias("bg")))
@@ -66,17 +67,26 @@ def prefix_tokens(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFra
     w = Window.partitionBy("kid").orderBy("freq", "bg", "occ")
     return (ranked.withColumn("rk", F.row_number().over(w))
             .where(F.col("rk") <= _prefix_length(F.col("len"), cutoff))
-            .select("kid", "len", "bg", "occ"))
+            .select("kid", "len", "bg", "occ", "rk"))
 
 
 def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
-    """Pairs (ka < kb) sharing a prefix token and passing the length filter."""
+    """Pairs (ka < kb) sharing a prefix token and passing the length and position filters.
+
+    Position filter (PPJoin, Xiao et al. 2008): tokens are in one global order, so shared
+    tokens appear in the same relative order in both keys. At the first shared token, at
+    positions ra and rb, the overlap is at most min(La - ra, Lb - rb) (tokens left from
+    there on); later shared tokens give smaller bounds. A row whose bound is below the
+    pair's required overlap is dropped; a matching pair always keeps its first shared token.
+    """
     p = prefix_tokens(keys, cutoff)
-    a = p.select(F.col("kid").alias("ka"), F.col("len").alias("la"), "bg", "occ")
-    b = p.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), "bg", "occ")
+    a = p.select(F.col("kid").alias("ka"), F.col("len").alias("la"), F.col("rk").alias("ra"), "bg", "occ")
+    b = p.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), F.col("rk").alias("rb"), "bg", "occ")
     lo, hi = F.least("la", "lb"), F.greatest("la", "lb")
+    need = hi - 1 - 2 * _allowed_indel(F.col("la") + F.col("lb"), cutoff)
+    bound = F.least(F.col("la") - F.col("ra"), F.col("lb") - F.col("rb"))
     return (a.join(b, ["bg", "occ"])
-            .where((F.col("ka") < F.col("kb")) & (cutoff * hi <= (200 - cutoff) * lo))
+            .where((F.col("ka") < F.col("kb")) & (cutoff * hi <= (200 - cutoff) * lo) & (bound >= need))
             .select("ka", "la", "kb", "lb").distinct())
 
 
