@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.classify import _topk_chunk, _vote
 from ..operators.prepare import standard_scale
@@ -29,7 +30,7 @@ def score_stream(stream: DataFrame, model: KnnModel, id_col: str, out_col: str =
     bc = spark.sparkContext.broadcast(payload)
     feats, k = list(model.features), model.k
     scaled = standard_scale(stream, feats, model.scaler)
-    schema = scaled.schema.add(out_col, "int")
+    schema = T.StructType(list(scaled.schema.fields) + [T.StructField(out_col, T.IntegerType())])
 
     def fn(batches):
         t_id, t_lab, t_fold, t_x = bc.value
