@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as C
+from ..session import spread_for_cpu
 
 
 # ---------------------------------------------------------------------------
@@ -131,7 +132,7 @@ def nearest_neighbours(queries: DataFrame, train: DataFrame, features, k: int,
         if biggest > 2 * block_rows:
             raise RuntimeError("training block larger than twice block_rows; lower block_rows")
     qcols = [query_id, *feat_cols] + ([exclude_same_fold] if exclude_same_fold else [])
-    q = queries.select(*qcols)
+    q = spread_for_cpu(queries.select(*qcols))
     id_type = q.schema[query_id].dataType.simpleString()
     tid_type = t.schema["_tid"].dataType.simpleString()
     schema = f"_qid {id_type}, _nid {tid_type}, _nlab int, _nd double"

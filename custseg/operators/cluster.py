@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import spread_for_cpu
 
 
 def sq_distance(features: list[str], centre: list[float]):
@@ -150,7 +151,7 @@ def silhouette(labelled: DataFrame, features: list[str], label_col: str = "clust
     for b in range(n_blocks):
         blk = blocked.where(F.col("_b") == b).select("_k", *features).toPandas()
         bc = spark.sparkContext.broadcast((blk["_k"].to_numpy(), blk[features].to_numpy()))
-        parts.append(pts.mapInPandas(_cluster_sums_fn(bc, features, k_ids),
+        parts.append(spread_for_cpu(pts).mapInPandas(_cluster_sums_fn(bc, features, k_ids),
                                      "_id " + pts.schema["_id"].dataType.simpleString()
                                      + ", _k int, _c int, _s double"))
     sums = parts[0]

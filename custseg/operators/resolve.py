@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.hashing import customer_hash
 from ..functions.similarity import lcs
-from ..session import cut_lineage
+from ..session import cut_lineage, spread_for_cpu
 
 
 def _allowed_indel(total_len, cutoff: int):
@@ -101,7 +101,7 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
     ka = keys.select(F.col("kid").alias("ka"), F.col("key").alias("key_a"))
     kb = keys.select(F.col("kid").alias("kb"), F.col("key").alias("key_b"))
     total = F.col("la") + F.col("lb")
-    pairs = (cand.join(ka, "ka").join(kb, "kb")
+    pairs = (spread_for_cpu(cand).join(ka, "ka").join(kb, "kb")
              .where(F.call_function("levenshtein", F.col("key_a"), F.col("key_b"),
                                     _allowed_indel(total, cutoff)) >= 0))
     scored = (pairs.withColumn("lcs", lcs(F.col("key_a"), F.col("key_b")))
@@ -174,3 +174,134 @@ def resolve_components(entries: DataFrame, id_col: str, key_col: str, order_col:
            .agg(F.min_by(F.col(key_col), F.col(order_col)).alias("group_key")))
     return (labelled.join(rep, "_comp", "left")
             .select(id_col, key_col, "group_key", customer_hash("group_key").alias(out_col)))
+
+
+# ---------------------------------------------------------------------------
+# Order-dependent grouping ("later groups overwrite earlier ones")
+# ---------------------------------------------------------------------------
+#
+# Entries are ordered by an ordinal; entry u < v is linked to v when their keys are equal
+# or similar. The source pipeline walks the links in ordinal order, lets each group absorb
+# the groups it reaches, and finally stamps every group's members with the group's key,
+# later groups overwriting earlier ones. Its result has a closed form:
+#
+#   owner(v) = the smallest ordinal with an increasing path of links to v (v itself if none)
+#   label(v) = v if no smaller entry links to v, else the max of owner(u) over those u
+#
+# owner is non-increasing along the entries of one key, which gives two reductions:
+#   * owner(v) only needs the in-links from the key's first entry m(K) and, per similar
+#     key K', from pred_K'(v) = the last entry of K' before v (a sparse graph, linear in
+#     entries x similar keys, no pairs inside a key group);
+#   * label(v) = max over K' in {K} + similar(K) with m(K') < v of owner(m(K')).
+
+def _dense_rank(nodes: DataFrame, order_col: str) -> DataFrame:
+    """Adds ``r``: 0..n-1 in ``order_col`` order (``order_col`` unique).
+
+    A range-partitioned sort is checkpointed so its physical partitions are fixed; within a
+    partition ``monotonically_increasing_id`` follows the sorted order, and a per-partition
+    row count (one row per partition) gives each partition its offset. All JVM-side.
+    """
+    spark = nodes.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    srt = cut_lineage(nodes.repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col)
+                      .withColumn("_mid", F.monotonically_increasing_id()))
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = sorted((r["p"], r["n"]) for r in srt.groupBy(part.alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, acc = [], 0
+    for p, n in counts:
+        offsets += [F.lit(p), F.lit(acc)]
+        acc += n
+    off = F.create_map(*offsets) if offsets else F.create_map(F.lit(0), F.lit(0))
+    local = F.col("_mid") - F.shiftleft(part, 33)
+    return srt.withColumn("r", (off[part] + local).cast("long")).drop("_mid")
+
+
+def _asof_pred(elements: DataFrame, queries: DataFrame, bucket: int) -> DataFrame:
+    """For query rows (K, qr) the largest element rank er of key K with er < qr -> (K, qr, pred).
+
+    Ranks are cut into buckets of ``bucket`` consecutive ranks: within a bucket a window over
+    (K, bucket) finds earlier elements (partitions hold at most ``bucket`` elements), and
+    a second window over per-(K, bucket) summaries carries the last element of earlier
+    buckets, so a key holding a large share of all entries is spread over many windows.
+    """
+    e = elements.select("K", F.col("er").alias("t"), F.floor(F.col("er") / bucket).alias("b"),
+                        F.lit(1).alias("is_e"))
+    q = queries.select("K", F.col("qr").alias("t"), F.floor(F.col("qr") / bucket).alias("b"),
+                       F.lit(0).alias("is_e"))
+    w_in = Window.partitionBy("K", "b").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    within = (e.unionByName(q)
+              .withColumn("_prev", F.max(F.when(F.col("is_e") == 1, F.col("t"))).over(w_in))
+              .where(F.col("is_e") == 0)
+              .select("K", F.col("t").alias("qr"), "b", F.col("_prev").alias("within")))
+    summ = e.groupBy("K", "b").agg(F.max("t").alias("last"), F.lit(0).alias("is_q"))
+    qb = q.select("K", "b").distinct().select("K", "b", F.lit(None).cast("long").alias("last"),
+                                              F.lit(1).alias("is_q"))
+    w_b = Window.partitionBy("K").orderBy("b", F.col("is_q").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = (summ.unionByName(qb).withColumn("_carry", F.max("last").over(w_b))
+              .where(F.col("is_q") == 1).select("K", "b", F.col("_carry").alias("before")))
+    return (within.join(before, ["K", "b"], "left")
+            .select("K", "qr", F.greatest("within", "before").alias("pred")))
+
+
+def _min_ancestor(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """For a DAG whose edges go from smaller to larger ids: o(v) = smallest id with a path
+    to v (v itself if none). Min-propagation along edges plus pointer jumping
+    (o(v) <- o(o(v)), valid because o(v) reaches v), so chains converge in log rounds."""
+    o = cut_lineage(nodes.select(F.col("r").alias("node"), F.col("r").alias("o")))
+    for _ in range(max_rounds):
+        via_edges = (edges.join(o.select(F.col("node").alias("src"), F.col("o").alias("so")), "src")
+                     .groupBy(F.col("dst").alias("node")).agg(F.min("so").alias("o")))
+        jump = (o.join(o.select(F.col("node").alias("o"), F.col("o").alias("oo")), "o")
+                .select("node", F.col("oo").alias("o")))
+        new = cut_lineage(o.unionByName(via_edges).unionByName(jump)
+                          .groupBy("node").agg(F.min("o").alias("o")))
+        changed = (new.join(o.select("node", F.col("o").alias("old")), "node")
+                   .where(F.col("o") < F.col("old")).limit(1).count() > 0)
+        o = new
+        if not changed:
+            break
+    return o
+
+
+def resolve_ordered(entries: DataFrame, id_col: str, key_col: str, order_col: str,
+                    cutoff: int = C.SIMILARITY_CUTOFF, out_col: str = "customer_id",
+                    bucket: int = 4096, pairs: DataFrame | None = None) -> DataFrame:
+    """Order-dependent grouping (the source pipeline's own result, which is not transitive:
+    a later group can take members from an earlier one). -> (id, key, group_key, out_col).
+
+    ``order_col`` must be unique per entry. Null keys are never linked (null id).
+    """
+    nodes = _dense_rank(entries.where(F.col(key_col).isNotNull())
+                        .select(F.col(id_col).alias("_id"), F.col(key_col).alias("K"),
+                                F.col(order_col).alias("_ord")), "_ord")
+    nodes = cut_lineage(nodes)
+    if pairs is None:
+        pairs = similar_key_pairs(entries, key_col, cutoff)
+    pairs = cut_lineage(pairs.select("key_a", "key_b"))     # used twice below: compute once
+    adj = (pairs.select(F.col("key_a").alias("K"), F.col("key_b").alias("NK"))
+           .unionByName(pairs.select(F.col("key_b").alias("K"), F.col("key_a").alias("NK"))))
+    firsts = nodes.groupBy("K").agg(F.min("r").alias("mk"))
+    q = nodes.select("K", "r").join(adj, "K").select(F.col("NK").alias("K"), F.col("r").alias("qr"))
+    preds = _asof_pred(nodes.select("K", F.col("r").alias("er")), q, bucket).where(F.col("pred").isNotNull())
+    star = (nodes.join(firsts, "K").where(F.col("r") != F.col("mk"))
+            .select(F.col("mk").alias("src"), F.col("r").alias("dst")))
+    edges = cut_lineage(star.unionByName(preds.select(F.col("pred").alias("src"), F.col("qr").alias("dst")))
+                        .distinct())
+    owner = _min_ancestor(nodes, edges)
+    om = firsts.join(owner.select(F.col("node").alias("mk"), F.col("o").alias("om")), "mk")
+    own_key = (nodes.join(om, "K").where(F.col("mk") < F.col("r"))
+               .select("r", F.col("om").alias("cand")))
+    nb_key = (nodes.select("K", "r").join(adj, "K")
+              .join(om.select(F.col("K").alias("NK"), "mk", "om"), "NK")
+              .where(F.col("mk") < F.col("r")).select("r", F.col("om").alias("cand")))
+    label = own_key.unionByName(nb_key).groupBy("r").agg(F.max("cand").alias("lab"))
+    keyed = nodes.select(F.col("r").alias("lab"), F.col("K").alias("group_key"))
+    out = (nodes.join(label, "r", "left")
+           .withColumn("lab", F.coalesce("lab", "r"))
+           .join(keyed, "lab")
+           .select(F.col("_id").alias(id_col), F.col("K").alias(key_col), "group_key"))
+    nulls = (entries.where(F.col(key_col).isNull())
+             .select(id_col, key_col, F.lit(None).cast("string").alias("group_key")))
+    return out.unionByName(nulls).withColumn(out_col, customer_hash("group_key"))

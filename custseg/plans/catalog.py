@@ -786,3 +786,19 @@ def q_density(spark, sf_dir):
     d = SU.density(T.read_table(spark, sf_dir, "events"), "value")
     return d.select(F.col("i").cast("int").alias("i"), F.round("x", 9).alias("x"),
                     F.round("density", 9).alias("density"))
+
+
+@register("fuzzy_ordered", "WITH RECURSIVE " + SQL_FUZZY_URL + """,
+nd AS (SELECT page_id AS v, url FROM pages WHERE url IS NOT NULL),
+ln AS (SELECT a.v AS s, b.v AS d FROM nd a JOIN nd b ON a.v < b.v
+       WHERE a.url = b.url OR EXISTS (SELECT 1 FROM m WHERE m.key_a = least(a.url, b.url)
+                                                        AND m.key_b = greatest(a.url, b.url))),
+reach(s, d) AS (SELECT v, v FROM nd UNION SELECT r.s, ln.d FROM reach r JOIN ln ON r.d = ln.s),
+own AS (SELECT d AS v, min(s) AS o FROM reach GROUP BY d),
+lab AS (SELECT nd.v, coalesce(max(own.o), nd.v) AS l
+        FROM nd LEFT JOIN ln ON ln.d = nd.v LEFT JOIN own ON own.v = ln.s GROUP BY nd.v)
+SELECT pages.page_id, pages.url, g.url AS group_key, sha256(g.url) AS customer_id
+FROM pages LEFT JOIN lab ON pages.page_id = lab.v LEFT JOIN nd g ON g.v = lab.l""")
+def q_fuzzy_ordered(spark, sf_dir):
+    pages = T.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return resolve.resolve_ordered(pages, "page_id", "url", "page_id")

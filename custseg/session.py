@@ -87,3 +87,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+def spread_for_cpu(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Round-robin repartition before a CPU-heavy stage (UDF, numpy kernels).
+
+    AQE coalesces shuffles that are small in bytes into few partitions; for rows that are
+    cheap to move but expensive to process (string alignment, distance blocks) that would
+    leave most cores idle. An explicit partition count is not coalesced by AQE.
+    """
+    sc = df.sparkSession.sparkContext
+    return df.repartition(max(1, sc.defaultParallelism * per_core))

@@ -85,3 +85,49 @@ def test_components_equal_union_find(spark):
         first_of_root.setdefault(find(k), k)
     for i, k in rows:
         assert out[i] == first_of_root[find(k)]
+
+
+def _walk_labels(keys, matches):
+    """Behaviour of the source's grouping, simulated directly: links i<j in row-major order,
+    each group absorbs the not-yet-absorbed groups it reaches while its member list grows,
+    then groups stamp their members in key order (later groups overwrite)."""
+    n = len(keys)
+    links = [(i, j) for i in range(n) for j in range(i + 1, n)
+             if keys[i] == keys[j] or (min(keys[i], keys[j]), max(keys[i], keys[j])) in matches]
+    groups = {}
+    for i, j in links:
+        groups.setdefault(i, []).append(j)
+    for g in list(groups):
+        if g not in groups:
+            continue
+        members = groups[g]
+        pos = 0
+        while pos < len(members):
+            v = members[pos]
+            if v in groups and v != g:
+                members.extend(groups.pop(v))
+            pos += 1
+    label = list(range(n))
+    for g, members in groups.items():
+        for v in [g] + members:
+            label[v] = g
+    return label
+
+
+def test_ordered_mode_equals_walk(spark):
+    rnd = random.Random(21)
+    for trial in range(3):
+        pool = _keys(30 + trial, 60)
+        keys = [rnd.choice(pool) for _ in range(90)]        # many duplicates, interleaved
+        matches = _brute(keys)
+        expect = _walk_labels(keys, matches)
+        df = spark.createDataFrame([(i, k, i * 3 + 1) for i, k in enumerate(keys)],
+                                   "id long, key string, ord long")
+        out = resolve.resolve_ordered(df, "id", "key", "ord", bucket=4)
+        got = {r.id: r.group_key for r in out.collect()}
+        assert all(got[i] == keys[expect[i]] for i in range(len(keys))), trial
+
+
+def test_ordered_fork():
+    # 0-2 and 1-2 linked, 0 and 1 not: {0}, {1, 2}
+    assert _walk_labels(["aaaaaaaaaa", "bbbbbbbbbb", "x"], set()) == [0, 1, 2]
