@@ -119,7 +119,8 @@ def rfm_features(base: DataFrame) -> DataFrame:
         F.max("date").alias("last_visit"),
         F.count("date").alias("frequency"),
         F.sum("total").alias("monetary"))
-    anchor = base.agg(F.max("date")).scalar()
+    # anchor from the per-customer aggregate: the subquery can reuse its exchange
+    anchor = per.agg(F.max("last_visit")).scalar()
     return (per.where(F.col("frequency") != 1)
             .select("customer_id",
                     F.datediff(anchor, F.col("last_visit")).alias("recency"),
