@@ -67,7 +67,8 @@ def kmeans_fit(df: DataFrame, features: list[str], k: int = C.KMEANS_K, seed: in
     The seeded initialisation differs from a single-machine k-means++, so labels are
     compared by quality (SSE, metrics), not row by row.
     """
-    vec = _vectors(df, features)
+    from ..session import right_size
+    vec = right_size(_vectors(df, features))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_features",
                    predictionCol=out_col, initMode="k-means||").fit(vec)
     return model, model.transform(vec).drop("_features").withColumn(out_col, F.col(out_col).cast("int"))
@@ -80,14 +81,14 @@ def total_variance_sse(df: DataFrame, features: list[str]) -> float:
 
 
 def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, seed: int = C.KMEANS_SEED,
-                 parallelism: int = 4) -> DataFrame:
+                 parallelism: int = 8) -> DataFrame:
     """(k, sse) for each k: k = 1 by aggregate, k > 1 by MLlib fits over one vector table
     checkpointed once. The fits are independent Spark jobs submitted from a few driver
     threads, so the scheduler interleaves their many small iteration stages."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..session import cut_lineage
-    vec = cut_lineage(_vectors(df, features).select("_features"))
+    from ..session import cut_lineage, right_size
+    vec = right_size(cut_lineage(_vectors(df, features).select("_features")))
 
     def fit(k):
         if k == 1:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rfm
+from ..session import spread_if_narrow
 from ..sources import tables as T
 
 # Parameters of the test-table queries (chosen once; the same in Spark and in SQL).
@@ -170,7 +171,7 @@ SELECT doc_id,
          AS customer_description
 FROM documents""")
 def q_split_name(spark, sf_dir):
-    d = T.read_table(spark, sf_dir, "documents")
+    d = spread_if_narrow(T.read_table(spark, sf_dir, "documents"))
     number, desc = TX.split_name("text", ". ")
     return d.select("doc_id", number.alias("customer_number"), desc.alias("customer_description"))
 
@@ -182,7 +183,7 @@ SELECT doc_id,
        END AS address
 FROM documents""")
 def q_normalise_key(spark, sf_dir):
-    d = T.read_table(spark, sf_dir, "documents")
+    d = spread_if_narrow(T.read_table(spark, sf_dir, "documents"))
     return d.select("doc_id", TX.normalise_key(TX.address_key("source", "text")).alias("address"))
 
 
@@ -203,7 +204,7 @@ SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
        CAST(len(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}')) AS INTEGER) AS n_fields
 FROM l""")
 def q_line_normalise(spark, sf_dir):
-    d = T.read_table(spark, sf_dir, "documents")
+    d = spread_if_narrow(T.read_table(spark, sf_dir, "documents"))
     lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
     fields = TX.split_fields(TX.normalise_line(F.col("raw")), LINE_SEP_FOR_TEST)
     return lines.select("doc_id", "line_no", F.concat_ws(";", fields).alias("line_csv"),
@@ -224,7 +225,7 @@ FROM f JOIN h USING (doc_id) GROUP BY f.doc_id""")
 def q_ragged_rows(spark, sf_dir):
     """Per document (= one export file): header width, kept and quarantined data lines.
     Computed inside each row with array functions: no explode, no shuffle."""
-    d = T.read_table(spark, sf_dir, "documents")
+    d = spread_if_narrow(T.read_table(spark, sf_dir, "documents"))
     lines = F.split("text", "\n", -1)
     width = lambda l: F.size(TX.split_fields(TX.normalise_line(l), LINE_SEP_FOR_TEST))
     n_header = width(F.get(lines, 0))
