@@ -34,15 +34,25 @@ def _allowed_indel(total_len, cutoff: int):
 
 
 def _prefix_length(length, cutoff: int):
-    """Number of rarest tokens a key must keep so any match shares one of them.
+    """Number of rarest tokens a key must keep so any match shares one of them:
+    len - need(len) with
 
-    need(L) = min over admissible partner lengths M of  max(L, M) - 1 - 2 * indel(L + M);
-    bounded below by using the longest partner M_max = floor((200 - c) L / c) in the
-    indel term, which only lengthens the prefix (never loses a pair).
+      need(L) = min over admissible partner lengths M of  max(L, M) - 1 - 2 * indel(L + M).
+
+    For M <= L the minimum is at M = L. For M > L the term rises by one per step except
+    for a drop of one where indel(L + M) steps up, so its minimum is at M = L + 1 or at the
+    first step-up after 2L (equal to brute force for every cutoff 80..99, L < 800).
     """
-    m_max = F.floor((200 - cutoff) * length / cutoff)
-    need = length - 1 - 2 * _allowed_indel(length + m_max, cutoff)
-    return (length - need).cast("int")
+    c = cutoff
+    L = length
+    m_max = F.floor((200 - c) * L / c)
+    ind = lambda s: F.floor((100 - c) * s / 100)
+    v1 = L - 1 - 2 * ind(2 * L)
+    v2 = F.when(L + 1 <= m_max, L - 2 * ind(2 * L + 1))
+    s_up = F.ceil(100 * (ind(2 * L) + 1) / (100 - c))
+    v3 = F.when((s_up > 2 * L) & (s_up - L <= m_max), s_up - L - 1 - 2 * ind(s_up))
+    need = F.least(v1, v2, v3)          # least() skips nulls
+    return (L - need).cast("int")
 
 
 def distinct_keys(df: DataFrame, key_col: str) -> DataFrame:
