@@ -195,8 +195,28 @@ class ScalerModel:
         return [(f, self.mean[f], self.scale[f]) for f in self.mean]
 
 
-def fit_standard_scaler(df: DataFrame, features: list[str]) -> ScalerModel:
-    """Mean and population standard deviation (ddof 0); zero deviation -> scale 1."""
+def fit_standard_scaler(df: DataFrame, features: list[str], exact_sums: bool = False) -> ScalerModel:
+    """Mean and population standard deviation (ddof 0); zero deviation -> scale 1.
+
+    ``exact_sums``: for values with at most 4 decimals (money, counts), take n, sum(x) and
+    sum(x^2) as exact decimals and derive mean = S1/n and var = (S2 - S1^2/n)/n in double,
+    so the result does not depend on the summation order (reproducible across engines).
+    """
+    if exact_sums:
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for f in features:
+            xd = F.col(f).cast("decimal(20,4)")
+            aggs += [F.sum(xd).alias(f + "_s1"), F.sum(xd * xd).alias(f + "_s2")]
+        row = df.agg(*aggs).first()
+        n = row["_n"]
+        mean, scale = {}, {}
+        for f in features:
+            s1, s2 = float(row[f + "_s1"]), float(row[f + "_s2"])
+            mean[f] = s1 / n
+            var = (s2 - s1 * s1 / n) / n
+            sd = var ** 0.5 if var > 0 else 0.0
+            scale[f] = sd if sd > 0 else 1.0
+        return ScalerModel(mean, scale)
     aggs = []
     for f in features:
         aggs += [F.avg(F.col(f).cast("double")).alias(f + "_m"), F.stddev_pop(F.col(f).cast("double")).alias(f + "_s")]
@@ -213,6 +233,7 @@ def standard_scale(df: DataFrame, features: list[str], model: ScalerModel) -> Da
     return out
 
 
-def scale_data(df: DataFrame, features: list[str] = C.RFM_FEATURES) -> tuple[DataFrame, ScalerModel]:
-    model = fit_standard_scaler(df, features)
+def scale_data(df: DataFrame, features: list[str] = C.RFM_FEATURES,
+               exact_sums: bool = False) -> tuple[DataFrame, ScalerModel]:
+    model = fit_standard_scaler(df, features, exact_sums)
     return standard_scale(df, features, model), model

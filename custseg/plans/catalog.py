@@ -447,9 +447,14 @@ def q_iqr_filter(spark, sf_dir):
 
 
 SQL_SCALED = SQL_RFM + """,
+sx AS (SELECT count(*) AS n, """ + ", ".join(
+    f"CAST(sum(CAST({f} AS DECIMAL(20,4))) AS DOUBLE) AS s1_{f}, "
+    f"CAST(sum(CAST({f} AS DECIMAL(20,4)) * CAST({f} AS DECIMAL(20,4))) AS DOUBLE) AS s2_{f}"
+    for f in FEATS) + """ FROM rfm),
+sv AS (SELECT n, """ + ", ".join(
+    f"s1_{f} / n AS m_{f}, (s2_{f} - s1_{f} * s1_{f} / n) / n AS v_{f}" for f in FEATS) + """ FROM sx),
 sp AS (SELECT """ + ", ".join(
-    f"avg(CAST({f} AS DOUBLE)) AS m_{f}, CASE WHEN stddev_pop(CAST({f} AS DOUBLE)) = 0 THEN 1.0 "
-    f"ELSE stddev_pop(CAST({f} AS DOUBLE)) END AS s_{f}" for f in FEATS) + """ FROM rfm),
+    f"m_{f}, CASE WHEN v_{f} > 0 THEN sqrt(v_{f}) ELSE 1.0 END AS s_{f}" for f in FEATS) + """ FROM sv),
 scaled AS (SELECT customer_id, """ + ", ".join(
     f"round((CAST({f} AS DOUBLE) - m_{f}) / s_{f}, 9) AS {f}" for f in FEATS) + " FROM rfm, sp)"
 
@@ -457,7 +462,7 @@ scaled AS (SELECT customer_id, """ + ", ".join(
 def rfm_scaled(spark, sf_dir):
     """RFM of orders scaled to mean 0 / population sd 1, rounded to 9 decimals."""
     r = rfm_orders(spark, sf_dir)
-    s, _ = prepare.scale_data(r, FEATS)
+    s, _ = prepare.scale_data(r, FEATS, exact_sums=True)
     return s.select("customer_id", *[F.round(f, 9).alias(f) for f in FEATS])
 
 

@@ -36,7 +36,7 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
           id_col: str = "customer_id", with_silhouette: bool = True) -> TrainResult:
     feats = list(features)
     kept = prepare.remove_outliers(rfm, feats, mode=outlier_mode).persist()
-    scaled, scaler = prepare.scale_data(kept, feats)
+    scaled, scaler = prepare.scale_data(kept, feats, exact_sums=True)
     scaled = scaled.persist()
     sse = CU.kmeans_sweep(scaled, feats, sweep) if sweep else None
     kmodel, clustered = CU.kmeans_fit(scaled, feats, k=k)

@@ -83,3 +83,14 @@ def test_standard_scale(spark):
     pdf = scaled.toPandas()
     assert abs(pdf.a.mean()) < 1e-12 and abs(pdf.a.std(ddof=0) - 1) < 1e-12
     assert model.scale["b"] == 1.0 and (pdf.b == 0).all()
+
+
+def test_exact_sum_scaler_matches_population_std(spark):
+    rnd = random.Random(13)
+    rows = [(i, float(rnd.randint(0, 900)), round(rnd.uniform(10, 90000), 2)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, a double, m double")
+    m = prepare.fit_standard_scaler(df, ["a", "m"], exact_sums=True)
+    for j, f in enumerate(["a", "m"]):
+        x = np.array([r[j + 1] for r in rows])
+        assert abs(m.mean[f] - x.mean()) < 1e-9 * max(1, abs(x.mean()))
+        assert abs(m.scale[f] - x.std(ddof=0)) < 1e-9 * x.std(ddof=0)
