@@ -112,9 +112,13 @@ def _topk_chunk(q, qf, t_id, t_lab, t_fold, t_x, kk):
 
 def nearest_neighbours(queries: DataFrame, train: DataFrame, features, k: int,
                        query_id: str, train_id: str, label_col: str,
-                       exclude_same_fold: str | None = None, block_rows: int = 500_000) -> DataFrame:
+                       exclude_same_fold: str | None = None, block_rows: int | None = None,
+                       block_bytes: int = 64 << 20) -> DataFrame:
     """(query id, neighbours array<struct<d, id, label>> sorted by (d, id), at most k).
 
+    Block size: ``block_rows`` if given, else as many training points as fit in
+    ``block_bytes`` of float64 features (so 64-d vectors get smaller blocks than 3-d ones).
+
     ``exclude_same_fold``: column present in both inputs; neighbours in the query's own fold
     are skipped (cross-validation).
     """
@@ -124,6 +128,10 @@ def nearest_neighbours(queries: DataFrame, train: DataFrame, features, k: int,
     tcols.append(F.col(exclude_same_fold).cast("int").alias("_tfold") if exclude_same_fold
                  else F.lit(0).alias("_tfold"))
     t = train.select(*tcols, *feat_cols)
+    if block_rows is None:
+        dim = len(feat_cols) if not isinstance(features, str) else \
+            len(t.select(features).first()[0] or [0])
+        block_rows = max(1000, block_bytes // (8 * max(1, dim) + 24))
     n = t.count()
     n_blocks = max(1, math.ceil(n / block_rows))
     blocked = t.withColumn("_b", F.pmod(F.xxhash64("_tid"), F.lit(n_blocks)))
@@ -176,7 +184,7 @@ def _votes_udf(ks: list[int]):
 
 def knn_predict(queries: DataFrame, train: DataFrame, features, k: int, query_id: str,
                 train_id: str, label_col: str, out_col: str = "prediction",
-                block_rows: int = 500_000) -> DataFrame:
+                block_rows: int | None = None) -> DataFrame:
     """Queries with their predicted class (distance-weighted vote of k nearest)."""
     nb = nearest_neighbours(queries, train, features, k, query_id, train_id, label_col,
                             block_rows=block_rows)
@@ -185,7 +193,7 @@ def knn_predict(queries: DataFrame, train: DataFrame, features, k: int, query_id
 
 
 def knn_cv_scores(train: DataFrame, features, id_col: str, label_col: str, fold_col: str = "fold",
-                  ks=C.KNN_K_RANGE, block_rows: int = 500_000) -> DataFrame:
+                  ks=C.KNN_K_RANGE, block_rows: int | None = None) -> DataFrame:
     """(k, accuracy): mean over folds of the fold accuracy, each fold's rows classified by
     the rows of the other folds. One top-max(k) search per row serves every k."""
     kmax = max(ks)

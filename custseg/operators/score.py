@@ -11,7 +11,7 @@ from .prepare import standard_scale
 
 
 def score(df: DataFrame, model: KnnModel, id_col: str, out_col: str = "segment",
-          block_rows: int = 500_000) -> DataFrame:
+          block_rows: int | None = None) -> DataFrame:
     """Scale the raw features with the stored mean/scale, then vote among the k nearest
     stored training points. Input rows keep their columns; ``out_col`` is added."""
     scaled = standard_scale(df.select(id_col, *model.features), model.features, model.scaler)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators import clean
-from ..operators.resolve import resolve_components
+from ..operators.resolve import resolve_components, resolve_ordered
 from ..sources import raw_text
 
 
@@ -27,12 +27,15 @@ class CleanResult:
 def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_SUFFIXES),
                   encoding: str = C.RAW_ENCODING, strip: str = "both", walk_in: str = "drop",
                   use_repaired_address: bool = False, hash_customer_number: bool = False,
-                  strict_numbers: bool = True, cutoff: int = C.SIMILARITY_CUTOFF) -> CleanResult:
+                  strict_numbers: bool = True, cutoff: int = C.SIMILARITY_CUTOFF,
+                  grouping: str = "components") -> CleanResult:
+    """``grouping``: ``components`` (transitive groups, the stated intent) or ``ordered``
+    (the source pipeline's order-dependent groups, where later groups take members)."""
     export = raw_text.read_raw_export(spark, data_dir, suffixes, encoding, strip)
     typed = raw_text.typed_invoices(export.rows, strict_numbers)
     df = clean.clean_amounts(clean.vehicle_privacy(clean.convert_types(typed)))
     df = clean.split_customer_name(df)
-    customers = customer_ids(df, use_repaired_address, cutoff)
+    customers = customer_ids(df, use_repaired_address, cutoff, grouping)
     kept = clean.exclude_walk_in(df)
     joined = kept.join(customers.select("customer_number", "customer_id"), "customer_number", "left")
     with_walk_in = clean.walk_in_union(joined, df, mode=walk_in)
@@ -44,11 +47,15 @@ def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_
 
 
 def customer_ids(df: DataFrame, use_repaired_address: bool = False,
-                 cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
+                 cutoff: int = C.SIMILARITY_CUTOFF, grouping: str = "components") -> DataFrame:
     """customer_number -> customer_id: the first row per number (file order), its match key,
     fuzzy grouping of keys, SHA-256 of the group's earliest key."""
     first = clean.first_per_key(clean.exclude_walk_in(df), "customer_number", "ordinal", C.ADDRESS_COLUMNS)
     if use_repaired_address:
         first = clean.repair_shifted_address(first)
     keyed = clean.match_key(first)
+    if grouping == "ordered":
+        return resolve_ordered(keyed, "customer_number", "address", "ordinal", cutoff)
+    if grouping != "components":
+        raise ValueError("grouping must be 'components' or 'ordered'")
     return resolve_components(keyed, "customer_number", "address", "ordinal", cutoff)

@@ -97,3 +97,10 @@ def test_walk_in_keep(spark, export_dir):
     res = clean_exports(spark, export_dir, walk_in="keep")
     ids = {r.invoice_num: r.customer_id for r in res.invoices.where("is_total").collect()}
     assert ids["R3"] == "10"
+
+
+def test_clean_plan_ordered_grouping(spark, export_dir):
+    res = clean_exports(spark, export_dir, grouping="ordered")
+    ids = {r.invoice_num: r.customer_id for r in res.invoices.where("is_total").collect()}
+    # 100 and 101 share a key; 102 is similar to both: one order-dependent group
+    assert ids["R1"] == ids["R2"] == ids["R5"]
