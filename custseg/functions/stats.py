@@ -80,28 +80,6 @@ def ppf_sql(p: str) -> str:
             f"WHEN {q} < 0 THEN -{tail} ELSE {tail} END)")
 
 
-def with_norm_ppf(df, p_col: str, out_col: str):
-    """Add ``out_col`` = norm_ppf(p_col) in stages (intermediate columns keep the expression
-    tree linear instead of repeating ``p`` in every branch)."""
-    p = F.col(p_col)
-    df = df.withColumn("_ppf_q", p - F.lit(0.5))
-    q = F.col("_ppf_q")
-    df = df.withColumn("_ppf_r1", F.lit(0.180625) - q * q)
-    df = df.withColumn("_ppf_r", F.sqrt(-F.log(F.when(q < 0, p).otherwise(F.lit(1.0) - p))))
-    r1, r = F.col("_ppf_r1"), F.col("_ppf_r")
-    central = q * _horner(AS241_A, r1) / _horner(AS241_B, r1)
-    near = _horner(AS241_C, r - F.lit(1.6)) / _horner(AS241_D, r - F.lit(1.6))
-    far = _horner(AS241_E, r - F.lit(5.0)) / _horner(AS241_F, r - F.lit(5.0))
-    tail = F.when(r <= 5.0, near).otherwise(far)
-    tail = F.when(q < 0, -tail).otherwise(tail)
-    z = (F.when(p.isNull(), F.lit(None).cast("double"))
-         .when(p <= 0, F.lit(float("-inf")))
-         .when(p >= 1, F.lit(float("inf")))
-         .when(F.abs(q) <= 0.425, central)
-         .otherwise(tail))
-    return df.withColumn(out_col, z).drop("_ppf_q", "_ppf_r1", "_ppf_r")
-
-
 def ppf_stages(df, keep: list[str], p_cols: list[str], out_cols: list[str]):
     """norm_ppf of several columns in two wide projections -> keep + out_cols."""
     s1 = []
@@ -127,26 +105,6 @@ def ppf_stages(df, keep: list[str], p_cols: list[str], out_cols: list[str]):
     return df.select(*keep, *s2)
 
 
-def with_interp(df, x_col: str, xp: list[float], fp: list[float], out_col: str):
-    """Add ``out_col`` = numpy.interp(x, xp, fp), the knot count computed once."""
-    m = len(xp)
-    x = F.col(x_col)
-    xs = F.array(*[F.lit(float(v)) for v in xp])
-    fs = F.array(*[F.lit(float(v)) for v in fp])
-    cname = "_ip_c_" + out_col
-    df = df.withColumn(cname, F.size(F.filter(xs, lambda v: v <= x)))
-    c = F.col(cname)
-    xj, fj = F.element_at(xs, F.greatest(c, F.lit(1))), F.element_at(fs, F.greatest(c, F.lit(1)))
-    xk = F.element_at(xs, F.least(c + 1, F.lit(m)))
-    fk = F.element_at(fs, F.least(c + 1, F.lit(m)))
-    val = (F.when(x.isNull(), F.lit(None).cast("double"))
-           .when(c == 0, F.lit(float(fp[0])))
-           .when(c >= m, F.lit(float(fp[-1])))
-           .when(xj == x, fj)
-           .otherwise((fk - fj) / (xk - xj) * (x - xj) + fj))
-    return df.withColumn(out_col, val).drop(cname)
-
-
 def interp(x: Column, xp: list[float], fp: list[float]) -> Column:
     """numpy.interp(x, xp, fp) for ascending ``xp`` (ties allowed) as a Column.
 

@@ -29,10 +29,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 
 
-def _as_col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def excluded_invoices(items: DataFrame, excluded_ids: Iterable, invoice_col: str = "invoice_num",
                       item_col: str = "item_id") -> DataFrame:
     """Distinct invoice numbers having at least one row whose item id is excluded."""

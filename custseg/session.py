@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -71,24 +69,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table next to the checkpoints (shared storage)."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/custseg-{name}-{os.getpid()}-{abs(hash((name, id(spark)))) % 10**9}"
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when its row count is proven to be at most ``max_rows``.
-
-    Returns the (possibly hinted) frame and whether it was broadcast. The count runs as a
-    job over ``df``; use this for derived tables whose size is not known up front.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 def spread_for_cpu(df: DataFrame, per_core: int = 2) -> DataFrame:
     """Round-robin repartition before a CPU-heavy stage (UDF, numpy kernels).
 
