@@ -231,3 +231,11 @@ def order_clusters(labelled: DataFrame, feature_sort: dict[str, bool] = C.CLUSTE
     mapping = ranked.select(label_col, new.cast("int").alias("_new"))
     return (labelled.join(F.broadcast(mapping), label_col)
             .drop(label_col).withColumnRenamed("_new", label_col))
+
+
+def model_centres(model, features: list[str]) -> DataFrame:
+    """Centres of a fitted K-Means model as rows (cluster, feature, value): k x features rows."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    rows = [(i, f, float(v)) for i, c in enumerate(model.clusterCenters()) for f, v in zip(features, c)]
+    return spark.createDataFrame(rows, "cluster int, feature string, value double")

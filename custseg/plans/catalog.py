@@ -808,3 +808,31 @@ FROM pages LEFT JOIN lab ON pages.page_id = lab.v LEFT JOIN nd g ON g.v = lab.l"
 def q_fuzzy_ordered(spark, sf_dir):
     pages = T.read_table(spark, sf_dir, "pages").select("page_id", "url")
     return resolve.resolve_ordered(pages, "page_id", "url", "page_id")
+
+
+# ---------------------------------------------------------------------------
+# Quartile tiers and segment names on RFM of orders
+# ---------------------------------------------------------------------------
+from ..operators import tiers as TI  # noqa: E402
+
+
+def _sql_tier(f: str, better_high: bool) -> str:
+    op = ">" if better_high else "<"
+    return " + ".join(f"CAST({f} {op} tb_{f}[{i}] AS INTEGER)" for i in (1, 2, 3))
+
+
+@register("rfm_segments", "WITH " + SQL_RFM + """,
+tb AS (SELECT """ + ", ".join(
+    f"quantile_cont(CAST({f} AS DOUBLE), [0.25, 0.5, 0.75]) AS tb_{f}" for f in FEATS) + """ FROM rfm),
+tt AS (SELECT customer_id, recency, frequency, monetary, """ + ", ".join(
+    f"{_sql_tier(f, TI.HIGHER_IS_BETTER[f])} AS {f}_tier" for f in FEATS) + """ FROM rfm, tb)
+SELECT customer_id, recency_tier, frequency_tier, monetary_tier,
+       recency_tier + frequency_tier + monetary_tier AS rfm_score,
+       CASE WHEN recency_tier + frequency_tier + monetary_tier > 8 THEN 'top'
+            WHEN recency_tier + frequency_tier + monetary_tier > 6 THEN 'high'
+            WHEN recency_tier + frequency_tier + monetary_tier > 3 THEN 'medium'
+            WHEN recency_tier + frequency_tier + monetary_tier > 0 THEN 'low' END AS segment
+FROM tt""")
+def q_rfm_segments(spark, sf_dir):
+    t = TI.rfm_tiers(rfm_orders(spark, sf_dir))
+    return t.select("customer_id", "recency_tier", "frequency_tier", "monetary_tier", "rfm_score", "segment")

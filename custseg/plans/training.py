@@ -28,6 +28,7 @@ class TrainResult:
     confusion: DataFrame
     report: DataFrame
     model: KnnModel
+    centres: DataFrame | None = None    # (cluster, feature, value) of the K-Means model
     metrics: dict = field(default_factory=dict)
 
 
@@ -56,7 +57,8 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     report = CL.classification_report(pred, "cluster", "prediction")
     model = KnnModel(scaler, train_rows.select(F.col(id_col).alias("id"), *feats, "cluster"), feats,
                      int(best["best_k"]), "id", "cluster")
-    return TrainResult(labelled, ordered, sse, scores, confusion, report, model, metrics)
+    centres = CU.model_centres(kmodel, feats)
+    return TrainResult(labelled, ordered, sse, scores, confusion, report, model, centres, metrics)
 
 
 def run_metrics(result: TrainResult, run_id: str) -> DataFrame:

@@ -18,6 +18,7 @@ def test_train_save_score_stream(spark):
     assert set(r.cluster for r in res.labelled.select("cluster").distinct().collect()) == {0, 1, 2, 3}
     assert 1 <= res.metrics["knn_best_k"] <= 47 and res.metrics["silhouette"] is not None
     assert res.report.where(F.col("class") == "accuracy").first().precision > 0.5
+    assert res.centres.count() == 4 * 3
     metrics = training.run_metrics(res, "run-1")
     assert metrics.where("kind = 'curve' AND name = 'sse'").count() == 3
 
