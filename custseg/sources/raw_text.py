@@ -70,7 +70,8 @@ def read_raw_lines(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE
     if not raw.inputFiles():
         raise EmptyInputError(f"no file matching {suffixes} in {data_dir}")
     with_ord = raw.select(
-        F.url_decode(F.col("_metadata.file_name")).alias("file"),
+        # the name is URI-encoded (%20 for a blank); decode %XX only, keeping a literal '+'
+        F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value"))
@@ -111,11 +112,13 @@ def read_raw_export(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FIL
 
 
 def ingest_counts(export: RawExport) -> dict:
-    """Row / column / removed-row counts in one pass."""
+    """Header width, data rows kept and removed (one aggregate over the data lines)."""
+    kept = export.rows.select(F.lit(1).alias("k"), F.lit(0).alias("r"))
+    removed = export.quarantine.select(F.lit(0).alias("k"), F.lit(1).alias("r"))
+    row = kept.unionByName(removed).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k"),
+                                        F.coalesce(F.sum("r"), F.lit(0)).alias("r")).first()
     n_cols = export.header.select("n_fields").first()[0]
-    kept = export.rows.count()
-    removed = export.quarantine.count()
-    return {"columns": n_cols, "rows": kept + removed + 1, "kept": kept, "removed": removed}
+    return {"columns": n_cols, "rows": row["k"] + row["r"] + 1, "kept": row["k"], "removed": row["r"]}
 
 
 def typed_invoices(rows: DataFrame, strict_numbers: bool = True) -> DataFrame:

@@ -104,3 +104,31 @@ def test_clean_plan_ordered_grouping(spark, export_dir):
     ids = {r.invoice_num: r.customer_id for r in res.invoices.where("is_total").collect()}
     # 100 and 101 share a key; 102 is similar to both: one order-dependent group
     assert ids["R1"] == ids["R2"] == ids["R5"]
+
+
+def test_file_names_decoded_and_ordered(spark, tmpdir_path):
+    header = "\t".join(f"c{i}" for i in range(21))
+    for name, val in [("b x+y.TXT", "2"), ("a ü.TXT", "1")]:
+        with open(os.path.join(tmpdir_path, name), "w", encoding="iso8859_15") as f:
+            f.write(header + "\n" + "\t".join([val] * 21) + "\n")
+    rows = raw_text.read_raw_export(spark, tmpdir_path).rows.orderBy("ordinal").collect()
+    assert [r.file for r in rows] == ["a ü.TXT", "b x+y.TXT"]
+    assert [r.fields[0] for r in rows] == ["1", "2"]
+
+
+def test_line_order_across_file_splits(spark, tmpdir_path):
+    """A file read in many partitions keeps its line order; only line 1 is a header."""
+    header = "\t".join(f"c{i}" for i in range(21))
+    lines = [header] + ["\t".join([str(i)] * 21) for i in range(3000)]
+    with open(os.path.join(tmpdir_path, "big.TXT"), "w", encoding="iso8859_15") as f:
+        f.write("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        ex = raw_text.read_raw_export(spark, tmpdir_path)
+        assert ex.rows.rdd.getNumPartitions() > 1
+        got = [int(r.fields[0]) for r in ex.rows.orderBy("ordinal").collect()]
+        assert got == list(range(3000))
+        assert raw_text.ingest_counts(ex) == {"columns": 21, "rows": 3001, "kept": 3000, "removed": 0}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
