@@ -104,8 +104,10 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
                       keys: DataFrame | None = None) -> DataFrame:
     """All pairs of distinct keys with ratio >= cutoff -> (key_a, key_b, lcs, score),
     key_a < key_b. Identical keys are not listed (their ratio is 100 by definition)."""
-    if cutoff < 80:
-        raise ValueError("prefix filtering here assumes cutoff >= 80")
+    if cutoff < 84:
+        # below 84 some short keys need no shared bigram to match, so the prefix filter
+        # would not be lossless for them (checked exhaustively for lengths 2..600)
+        raise ValueError("the lossless bigram prefix filter requires cutoff >= 84")
     keys = keys if keys is not None else distinct_keys(df, key_col)
     cand = candidate_pairs(keys, cutoff)
     ka = keys.select(F.col("kid").alias("ka"), F.col("key").alias("key_a"))
