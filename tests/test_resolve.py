@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from custseg.functions.similarity import indel_ratio, lcs_length
 from custseg.operators import resolve
 
@@ -131,3 +133,17 @@ def test_ordered_mode_equals_walk(spark):
 def test_ordered_fork():
     # 0-2 and 1-2 linked, 0 and 1 not: {0}, {1, 2}
     assert _walk_labels(["aaaaaaaaaa", "bbbbbbbbbb", "x"], set()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("cutoff", [85, 95])
+def test_fuzzy_pairs_other_cutoffs(spark, cutoff):
+    keys = _keys(17, 240)
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = {(r.key_a, r.key_b) for r in resolve.similar_key_pairs(df, "key", cutoff=cutoff).collect()}
+    assert got == _brute(keys, cutoff)
+
+
+def test_low_cutoff_rejected(spark):
+    df = spark.createDataFrame([("ab",)], "key string")
+    with pytest.raises(ValueError):
+        resolve.similar_key_pairs(df, "key", cutoff=80)
