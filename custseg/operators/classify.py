@@ -219,11 +219,19 @@ def best_k(scores: DataFrame) -> DataFrame:
 # Evaluation tables
 # ---------------------------------------------------------------------------
 
+def pair_counts(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+    """(label, prediction, count): the one pass over the predictions that every evaluation
+    table is derived from; checkpointed (at most k x k rows) so the scoring lineage runs once."""
+    from ..session import cut_lineage
+    return cut_lineage(pred.groupBy(F.col(label_col).alias("label"), F.col(pred_col).alias("prediction"))
+                       .agg(F.count(F.lit(1)).alias("count")))
+
+
 def confusion_matrix(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """(label, prediction, n, rate) over the complete label x label grid; rate = n / row sum
     (0 when the row is empty)."""
-    counts = pred.groupBy(F.col(label_col).alias("label"), F.col(pred_col).alias("prediction")).count()
-    classes = (pred.select(F.col(label_col).alias("c")).union(pred.select(F.col(pred_col).alias("c")))
+    counts = pair_counts(pred, label_col, pred_col)
+    classes = (counts.select(F.col("label").alias("c")).union(counts.select(F.col("prediction").alias("c")))
                .where(F.col("c").isNotNull()).distinct())
     ks = sorted(r[0] for r in classes.collect())          # k class labels (k-row summary)
     grid = classes.select(F.col("c").alias("label"),
@@ -237,12 +245,13 @@ def confusion_matrix(pred: DataFrame, label_col: str = "label", pred_col: str =
 
 def classification_report(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """(class, precision, recall, f1, support) per class, plus rows 'accuracy',
-    'macro avg', 'weighted avg'; 0 where a denominator is 0."""
-    p = pred.select(F.col(label_col).alias("y"), F.col(pred_col).alias("p"))
-    tp = p.where(F.col("y") == F.col("p")).groupBy(F.col("y").alias("c")).agg(F.count(F.lit(1)).alias("tp"))
-    sup = p.groupBy(F.col("y").alias("c")).agg(F.count(F.lit(1)).alias("support"))
-    npred = p.groupBy(F.col("p").alias("c")).agg(F.count(F.lit(1)).alias("npred"))
-    classes = p.select(F.col("y").alias("c")).union(p.select(F.col("p").alias("c"))).distinct()
+    'macro avg', 'weighted avg'; 0 where a denominator is 0. All from the k x k counts."""
+    cnt = pair_counts(pred, label_col, pred_col)
+    tp = cnt.where(F.col("label") == F.col("prediction")).groupBy(F.col("label").alias("c")) \
+        .agg(F.sum("count").alias("tp"))
+    sup = cnt.groupBy(F.col("label").alias("c")).agg(F.sum("count").alias("support"))
+    npred = cnt.groupBy(F.col("prediction").alias("c")).agg(F.sum("count").alias("npred"))
+    classes = cnt.select(F.col("label").alias("c")).union(cnt.select(F.col("prediction").alias("c"))).distinct()
     t = (classes.join(tp, "c", "left").join(sup, "c", "left").join(npred, "c", "left")
          .fillna(0, ["tp", "support", "npred"]))
     prec = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(0.0)
@@ -259,9 +268,8 @@ def classification_report(pred: DataFrame, label_col: str = "label", pred_col: s
                        (F.sum(F.col("precision") * F.col("support")) / n).alias("precision"),
                        (F.sum(F.col("recall") * F.col("support")) / n).alias("recall"),
                        (F.sum(F.col("f1") * F.col("support")) / n).alias("f1"), n.alias("support"))
-    acc = p.agg(F.lit("accuracy").alias("class"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("precision"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("recall"),
-                F.avg((F.col("y") == F.col("p")).cast("double")).alias("f1"),
-                F.count(F.lit(1)).alias("support"))
+    ok = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0))
+    acc_v = ok / F.sum("count")
+    acc = cnt.agg(F.lit("accuracy").alias("class"), acc_v.alias("precision"), acc_v.alias("recall"),
+                  acc_v.alias("f1"), F.sum("count").cast("long").alias("support"))
     return per.unionByName(macro).unionByName(weighted).unionByName(acc)
