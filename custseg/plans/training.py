@@ -16,6 +16,7 @@ from .. import constants as C
 from ..operators import classify as CL
 from ..operators import cluster as CU
 from ..operators import prepare
+from ..session import cut_lineage
 from ..sources.model_store import KnnModel
 
 
@@ -52,7 +53,8 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     scores = CL.knn_cv_scores(train_rows, feats, id_col, "cluster").persist()
     best = CL.best_k(scores).first()
     metrics["knn_best_k"] = int(best["best_k"])
-    pred = CL.knn_predict(test_rows, train_rows, feats, int(best["best_k"]), id_col, id_col, "cluster")
+    pred = cut_lineage(CL.knn_predict(test_rows, train_rows, feats, int(best["best_k"]), id_col, id_col,
+                                      "cluster"))          # scored once, read by both tables
     confusion = CL.confusion_matrix(pred, "cluster", "prediction")
     report = CL.classification_report(pred, "cluster", "prediction")
     model = KnnModel(scaler, train_rows.select(F.col(id_col).alias("id"), *feats, "cluster"), feats,
