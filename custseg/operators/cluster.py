@@ -81,25 +81,32 @@ def total_variance_sse(df: DataFrame, features: list[str]) -> float:
 
 
 def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, seed: int = C.KMEANS_SEED,
-                 parallelism: int = 8) -> DataFrame:
-    """(k, sse) for each k: k = 1 by aggregate, k > 1 by MLlib fits over one vector table
-    checkpointed once. The fits are independent Spark jobs submitted from a few driver
-    threads, so the scheduler interleaves their many small iteration stages."""
+                 parallelism: int = 8, with_silhouette: bool = True) -> DataFrame:
+    """(k, sse, silhouette) for each k: k = 1 by aggregate (silhouette undefined: null),
+    k > 1 by MLlib fits over one checkpointed vector table, plus the exact Euclidean
+    silhouette of each fit's labels. The fits are independent Spark jobs submitted from a
+    few driver threads, so the scheduler interleaves their many small iteration stages."""
     from concurrent.futures import ThreadPoolExecutor
 
     from ..session import cut_lineage, right_size
-    vec = right_size(cut_lineage(_vectors(df, features).select("_features")))
+    base = cut_lineage(df.select(*[F.col(f).cast("double").alias(f) for f in features])
+                       .withColumn("_sid", F.monotonically_increasing_id()))
+    vec = right_size(_vectors(base, features))
 
     def fit(k):
         if k == 1:
-            return 1, total_variance_sse(df, features)
+            return 1, total_variance_sse(base, features), None
         m = KMeans(k=k, seed=seed, maxIter=C.KMEANS_MAX_ITER, tol=C.KMEANS_TOL,
-                   featuresCol="_features").fit(vec)
-        return k, float(m.summary.trainingCost)
+                   featuresCol="_features", predictionCol="_k").fit(vec)
+        sil = None
+        if with_silhouette:
+            lab = m.transform(vec).select("_sid", F.col("_k").cast("int").alias("cluster"), *features)
+            sil = float(silhouette(lab, features, "cluster", id_col="_sid").first()[0])
+        return k, float(m.summary.trainingCost), sil
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = sorted(pool.map(fit, list(ks)))
-    return df.sparkSession.createDataFrame(rows, "k int, sse double")
+    return df.sparkSession.createDataFrame(rows, "k int, sse double, silhouette double")
 
 
 def davies_bouldin(labelled: DataFrame, features: list[str], label_col: str = "cluster") -> DataFrame:

@@ -70,9 +70,11 @@ def run_metrics(result: TrainResult, run_id: str) -> DataFrame:
     base = spark.createDataFrame(rows, "run_id string, kind string, name string, step int, value double")
     curves = []
     if result.sse is not None:
-        curves.append(result.sse.select(F.lit(run_id).alias("run_id"), F.lit("curve").alias("kind"),
-                                         F.lit("sse").alias("name"), F.col("k").cast("int").alias("step"),
-                                         F.col("sse").alias("value")))
+        for name in ("sse", "silhouette"):
+            curves.append(result.sse.where(F.col(name).isNotNull())
+                          .select(F.lit(run_id).alias("run_id"), F.lit("curve").alias("kind"),
+                                  F.lit(name).alias("name"), F.col("k").cast("int").alias("step"),
+                                  F.col(name).alias("value")))
     curves.append(result.knn_scores.select(F.lit(run_id).alias("run_id"), F.lit("curve").alias("kind"),
                                            F.lit("knn_accuracy").alias("name"),
                                            F.col("k").cast("int").alias("step"),

@@ -60,7 +60,10 @@ def test_kmeans_recovers_blobs(spark):
     for r in lab.collect():
         groups.setdefault(r.cluster, set()).add(r.id % 3)
     assert all(len(v) == 1 for v in groups.values()) and len(groups) == 3
-    sse = {r.k: r.sse for r in CU.kmeans_sweep(df, ["a", "b", "c"], ks=[1, 2, 3]).collect()}
+    sweep = CU.kmeans_sweep(df, ["a", "b", "c"], ks=[1, 2, 3]).collect()
+    sse = {r.k: r.sse for r in sweep}
+    sil = {r.k: r.silhouette for r in sweep}
+    assert sil[1] is None and 0.5 < sil[3] <= 1.0 and sil[3] > sil[2]
     x = np.array([r[1:] for r in _blobs()])
     assert abs(sse[1] - ((x - x.mean(0)) ** 2).sum()) < 1e-6 * sse[1]
     assert sse[1] > sse[2] > sse[3]
