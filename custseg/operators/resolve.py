@@ -128,8 +128,7 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
 # Grouping
 # ---------------------------------------------------------------------------
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         checkpoint_every: int = 1, max_rounds: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Connected components of an undirected graph -> (node, component) for every node
     that has an edge; component = smallest node id of the component.
 
@@ -141,7 +140,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
          .where(F.col("u") != F.col("v")))
     e = e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     e = cut_lineage(e)
-    for i in range(max_rounds):
+    while True:
         # large star: connect every larger neighbour of u to the minimum of u's neighbourhood
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -157,7 +156,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                  .unionByName(m2.select(F.col("u").alias("x"), "m"))
                  .where(F.col("x") != F.col("m"))
                  .select(F.least("x", "m").alias("u"), F.greatest("x", "m").alias("v")).distinct())
-        new = cut_lineage(small) if (i + 1) % checkpoint_every == 0 else small
+        new = cut_lineage(small)
         changed = (new.join(e, ["u", "v"], "left_anti").limit(1).count() > 0
                    or e.join(new, ["u", "v"], "left_anti").limit(1).count() > 0)
         e = new
@@ -257,12 +256,12 @@ def _asof_pred(elements: DataFrame, queries: DataFrame, bucket: int) -> DataFram
             .select("K", "qr", F.greatest("within", "before").alias("pred")))
 
 
-def _min_ancestor(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def _min_ancestor(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """For a DAG whose edges go from smaller to larger ids: o(v) = smallest id with a path
     to v (v itself if none). Min-propagation along edges plus pointer jumping
     (o(v) <- o(o(v)), valid because o(v) reaches v), so chains converge in log rounds."""
     o = cut_lineage(nodes.select(F.col("r").alias("node"), F.col("r").alias("o")))
-    for _ in range(max_rounds):
+    while True:
         via_edges = (edges.join(o.select(F.col("node").alias("src"), F.col("o").alias("so")), "src")
                      .groupBy(F.col("dst").alias("node")).agg(F.min("so").alias("o")))
         jump = (o.join(o.select(F.col("node").alias("o"), F.col("o").alias("oo")), "o")

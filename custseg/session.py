@@ -1,8 +1,8 @@
-"""Session helpers: a tuned SparkSession, the shared checkpoint folder, size-checked broadcast."""
+"""Session helpers: a tuned SparkSession, the shared checkpoint folder, partition sizing."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,32 +37,28 @@ def get_spark(master: str | None = None, app_name: str = "custseg",
     return spark
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring the context from the session.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only a local-mode session
-    without that setting (tests, laptops) gets a fresh temporary folder; on a cluster an
-    unset value is an error, because a machine-local folder does not survive executor loss.
+    The folder named by ``spark.checkpoint.dir`` is used as is. Where it is unset (tests,
+    laptops) a folder inside ``spark.sql.warehouse.dir`` is used: the warehouse is shared by
+    driver and executors wherever tables can be written at all, a local temp folder is not.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif is_local(spark):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="custseg-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) "
-                           "before running iterative operators on a cluster")
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into a fresh folder below the shared checkpoint folder and read
+    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable, survives executor loss)."""
     checkpoint_dir(df.sparkSession)

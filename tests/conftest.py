@@ -13,9 +13,8 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from custseg.session import get_spark
-    s = get_spark("local[4]", app_name="custseg-tests", shuffle_partitions=8)
-    if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="custseg-test-ckpt-"))
+    s = get_spark("local[4]", app_name="custseg-tests", shuffle_partitions=8,
+                  conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="custseg-test-ckpt-")})
     yield s
 
 
