@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact
+from custseg.llm import exact, mixing
 from custseg.sources.tables import read_table
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(read_table(spark, sf_dir, "documents")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,7 @@ FROM t
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
     }
 
