@@ -11,3 +11,11 @@ Layout:
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers inside the tasks, so that executors
+# need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
