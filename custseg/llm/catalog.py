@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact, mixing
+from custseg.llm import exact, mixing, packing
 from custseg.sources.tables import read_table
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing contract; a parameter of ``packing.pack``."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(read_table(spark, sf_dir, "documents")))
 
@@ -28,6 +38,7 @@ FROM t
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pack_mixture": op1_pack_mixture,
         "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
     }

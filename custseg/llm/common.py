@@ -35,14 +35,12 @@ def running_before(df: DataFrame, index: str, values: dict[str, str], by: tuple[
     block = F.floor(F.col(index) / width).alias("_block")
     sums = df.groupBy(*by, block).agg(*[F.sum(v).alias(f"_sum_{k}") for k, v in values.items()])
     over = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*by, "_block", *[F.coalesce(F.sum(f"_sum_{k}").over(over), F.lit(0)).alias(f"_off_{k}")
-                                           for k in values])
-    inner = Window.partitionBy(*by, "_block").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*by, "_block"]
+    offsets = sums.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
+                          *[F.coalesce(F.sum(f"_sum_{k}").over(over), F.lit(0)).alias(f"_off_{k}") for k in values])
+    inner = Window.partitionBy(*keys).orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     left = df.withColumn("_block", F.floor(F.col(index) / width))
-    cond = [left[k].eqNullSafe(offsets[k]) for k in keys]
-    joined = left.join(offsets, cond, "inner")
-    for k in keys:
-        joined = joined.drop(offsets[k])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    joined = left.join(offsets, same, "inner")
     return joined.select(*[c for c in left.columns if c != "_block"], *[
         (F.coalesce(F.sum(v).over(inner), F.lit(0)) + F.col(f"_off_{k}")).alias(k) for k, v in values.items()])

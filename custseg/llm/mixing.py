@@ -18,7 +18,7 @@ SHARD_BLOCKS = 8_192
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
                    most_repeats: int = 2) -> DataFrame:
-    """Per source of ``sizes`` (source, size): ``source_size, target``.
+    """Per source of ``sizes`` (source, size): ``source_size, rows, target`` (rows: those with words).
 
     Sources in code-point order (null last) take the ``weights`` in turn and divide ``share``
     times all words. A target above ``most_repeats`` times its source is cut there and the
@@ -26,7 +26,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     level: in ascending order of capacity per weight, a source is cut as long as the level left
     for it and all later ones reaches its capacity. One row per source passes the windows.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
+                                      F.sum(F.when(F.col("size") > 0, 1).otherwise(0)).alias("rows"))
     turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     w = F.element_at(F.array(*[F.lit(x) for x in weights]), turn + 1)
     per = per.withColumn("weight", w).withColumn("cap", F.col("source_size") * most_repeats)
@@ -40,7 +41,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
     final = F.max(F.when(~cut, F.col("level"))).over(whole)
     target = F.when(cut | final.isNull(), F.col("cap").cast("double")) \
         .otherwise(F.least(F.col("cap").cast("double"), F.col("weight") * final))
-    return per.select("source", "source_size", target.alias("target"))
+    return per.select("source", "source_size", "rows", target.alias("target"))
 
 
 def _ln_gamma(x: str) -> str:
@@ -147,10 +148,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     base = materialise(base, "mix_rows")
     number = Window.orderBy(F.col("source").asc_nulls_last())
     targets = source_targets(base.select("source", "size"), weights, share, most_repeats)
-    counts = base.groupBy("source").agg(F.sum(F.when(F.col("size") > 0, 1).otherwise(0)).alias("rows"))
-    sources = targets.join(counts, targets["source"].eqNullSafe(counts["source"])).drop(counts["source"])
-    sources = materialise(sources.withColumn("source_no", F.row_number().over(number)), "mix_sources")
-    rows = base.drop("row").join(sources, base["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    sources = materialise(targets.withColumn("source_no", F.row_number().over(number)), "mix_sources") \
+        .withColumnRenamed("source", "name")
+    rows = base.drop("row").join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("name")
 
     blocks = (rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(most_repeats - 1))))
               .withColumn("order", _unit(F.lit(seed), F.col("epoch"), F.col("hash"), F.col("uid")))
