@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact, mixing, packing
+from custseg.llm import exact, minhash, mixing, packing
 from custseg.sources.tables import read_table
 
 
@@ -36,11 +36,16 @@ FROM t
 """
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
         "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
+        "op5_minhash_near_dedup": op5_minhash_near_dedup,
     }
 
 
