@@ -52,14 +52,17 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "norm", "salt", *(["row"] if carry else []),
         F.row_number().over(order).alias("rank"),
         F.first("doc_id").over(order).alias("run_id"),
-        F.count(F.lit(1)).over(run).alias("run_size"))
-    heads = (ranked.filter((F.col("salt") > 0) & (F.col("rank") == 1))
+        F.count(F.lit(1)).over(run).alias("run_size"),
+        # salt is a key of the window; its maximum is not, so a filter on it stays above the
+        # sort and both readers of ``ranked`` share one exchange
+        F.max("salt").over(run).alias("run_salt"))
+    heads = (ranked.filter((F.col("run_salt") > 0) & (F.col("rank") == 1))
              .groupBy("norm")
              .agg(F.min(F.struct(F.col("run_id").isNull().alias("is_null"), "run_id", "salt")).alias("first"),
                   F.sum("run_size").alias("hot_size"))
              .select(F.sha2("norm", 256).alias("text_sha256"), F.lit(True).alias("hot"), "hot_size",
                      F.col("first.run_id").alias("hot_id"), F.col("first.salt").alias("hot_salt")))
-    signed = ranked.select("*", F.sha2("norm", 256).alias("text_sha256")).drop("norm")
+    signed = ranked.select("*", F.sha2("norm", 256).alias("text_sha256")).drop("norm", "run_salt")
     merged = signed.join(F.broadcast(heads), "text_sha256", "left")
     return merged.select(
         "doc_id",
