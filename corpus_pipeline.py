@@ -2,31 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact
+from custseg.llm import catalog, exact, minhash, mixing, packing, toxicity
 from custseg.session import materialise
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.keep_civil(docs, toxicity.fit(docs, labels))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact.drop_duplicates(docs).select(*docs.columns)
+    """Of equal texts the document with the smallest id."""
+    return exact.drop_duplicates(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, repeated or left out so that the sources meet their target weights."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 2048 tokens, with their token ids."""
+    return packing.pack(docs, catalog.tokenizer_path(), keep_ids=True)
 
 
-STAGES = [("exact dedup", drop_exact_copies)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
+#: The stages learn, hash and draw; SQL cannot express them. tests/llm/test_pipeline.py checks
+#: every stage against a brute-force version instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to the ``documents`` of ``sf_dir``; every result but the last is written
+    to the shared folder and read again. Null ids and texts, repeated rows and empty tables pass
+    as each operator states."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-def queries():
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": run}
 
 
-def oracle_sql():
+def oracle_sql() -> dict[str, str]:
     return {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}

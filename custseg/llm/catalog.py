@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact, minhash, mixing, packing
+from custseg.llm import exact, minhash, mixing, packing, toxicity
 from custseg.sources.tables import read_table
 
 
@@ -37,7 +37,12 @@ FROM t
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("uid")
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("uid", "text_hash")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.decide(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -46,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 

@@ -136,7 +136,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                     seed: int = 1) -> DataFrame:
-    """Classes of near duplicates: ``uid, doc_id, n_shingles, component_id, kept`` per input row.
+    """Classes of near duplicates: ``uid, doc_id, text_hash, n_shingles, component_id, kept`` per
+    input row.
 
     Two rows are linked if ``100 * intersection >= percent * union`` of their sets of distinct
     5-word shingles (ASCII lower case; fewer words make one shingle; no words, no links);
@@ -198,10 +199,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     class_of = reps.join(classes, F.col("uid") == F.col("node"), "left") \
         .select("content", F.coalesce("component", "uid").alias("class"))
-    member = rows.select("uid", "doc_id", "n_shingles", "content").join(class_of, "content", "left") \
+    member = rows.select("uid", "doc_id", "text_hash", "n_shingles", "content").join(class_of, "content", "left") \
         .withColumn("class", F.coalesce("class", -1 - F.col("uid")))
     first = member.groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("f")) \
         .select("class", F.col("f.doc_id").alias("component_id"), F.col("f.uid").alias("first_uid"))
     return member.join(first, "class").select(
-        "uid", "doc_id", "n_shingles", "component_id", (F.col("uid") == F.col("first_uid")).alias("kept"))
+        "uid", "doc_id", "text_hash", "n_shingles", "component_id", (F.col("uid") == F.col("first_uid")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
+                         ) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged. Rows equal in
+    identifier and text are one document here and stay or go together."""
+    marked = near_duplicates(docs, id_col, text_col, percent)
+    gone = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")) \
+        .agg(F.max("kept").alias("_kept")).filter("NOT _kept")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_hash"))
+    return docs.join(gone, same, "left_anti")
