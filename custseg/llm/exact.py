@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custseg.llm.common import one_space
+from custseg.session import materialise
 
 #: A text that holds more than 1/HOT_PARTS of all rows is dealt out over SALTS sub-groups.
 #: At most HOT_PARTS texts can be that frequent, which bounds everything broadcast here.
@@ -48,22 +49,21 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .repartitionByRange("lead", "hash", "salt"))
     run = Window.partitionBy("lead", "hash", "salt", "norm")
     order = run.orderBy(F.col("doc_id").asc_nulls_last())
-    ranked = dealt.select(
-        "doc_id", "norm", "salt", *(["row"] if carry else []),
-        F.row_number().over(order).alias("rank"),
+    rank = F.row_number().over(order)
+    # written once: the heads of salted runs are read back from it instead of sorting twice
+    ranked = materialise(dealt.select(
+        "doc_id", "salt", *(["row"] if carry else []), rank.alias("rank"),
         F.first("doc_id").over(order).alias("run_id"),
         F.count(F.lit(1)).over(run).alias("run_size"),
-        # salt is a key of the window; its maximum is not, so a filter on it stays above the
-        # sort and both readers of ``ranked`` share one exchange
-        F.max("salt").over(run).alias("run_salt"))
-    heads = (ranked.filter((F.col("run_salt") > 0) & (F.col("rank") == 1))
-             .groupBy("norm")
+        F.sha2("norm", 256).alias("text_sha256"),
+        F.when((F.col("salt") > 0) & (rank == 1), F.col("norm")).alias("head")), "exact_runs")
+    heads = (ranked.filter(F.col("head").isNotNull())
+             .groupBy("head")
              .agg(F.min(F.struct(F.col("run_id").isNull().alias("is_null"), "run_id", "salt")).alias("first"),
-                  F.sum("run_size").alias("hot_size"))
-             .select(F.sha2("norm", 256).alias("text_sha256"), F.lit(True).alias("hot"), "hot_size",
+                  F.sum("run_size").alias("hot_size"), F.first("text_sha256").alias("text_sha256"))
+             .select("text_sha256", F.lit(True).alias("hot"), "hot_size",
                      F.col("first.run_id").alias("hot_id"), F.col("first.salt").alias("hot_salt")))
-    signed = ranked.select("*", F.sha2("norm", 256).alias("text_sha256")).drop("norm", "run_salt")
-    merged = signed.join(F.broadcast(heads), "text_sha256", "left")
+    merged = ranked.join(F.broadcast(heads), "text_sha256", "left")
     return merged.select(
         "doc_id",
         F.when(F.col("hot"), F.col("hot_id")).otherwise(F.col("run_id")).alias("keep_id"),
