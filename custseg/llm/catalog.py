@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import exact, minhash, mixing, packing, suffix, toxicity
+from custseg.llm import ann, exact, minhash, mixing, packing, suffix, toxicity
 from custseg.sources.tables import read_table
 
 
@@ -49,12 +49,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
         "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op7_nearest_neighbours": op7_nearest_neighbours,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
     }

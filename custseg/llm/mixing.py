@@ -11,7 +11,7 @@ from custseg.llm.common import running_before, word_count
 from custseg.session import materialise
 
 #: Rows of one source that share a slice of its permutation (one window each).
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_096
 #: Blocks an output shard holds on average.
 SHARD_BLOCKS = 8_192
 
