@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import ann, exact, minhash, mixing, packing, suffix, toxicity
+from custseg.llm import ann, exact, minhash, mixing, packing, secret_scan, suffix, toxicity
 from custseg.sources.tables import read_table
 
 
@@ -53,6 +53,11 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_scan.digest(secret_scan.scan(docs, secret_scan.train(docs)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
@@ -60,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": op3_exact_dedup,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
         "op7_nearest_neighbours": op7_nearest_neighbours,
+        "op8_secret_scan": op8_secret_scan,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
     }
