@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,19 +19,60 @@ WINDOW = 2048
 #: A queue is served once its deficit reaches this many tokens, so no window is cut to crumbs.
 QUANTUM = 64
 #: Tokens per packing task on average.
-SHARD_TOKENS = 1 << 20
-#: Words an encoder remembers before it starts afresh.
-CACHE_WORDS = 400_000
-# White space for Python's str.split that is not white space for the tokenizer.
-ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
+SHARD_TOKENS = 1 << 24
+#: Words an encoder remembers before it starts afresh, and bytes of text it encodes at a time.
+CACHE_WORDS, SLICE_BYTES = 1_000_000, 8 << 20
+# Fixed value: the word pattern of the tokenizer file.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Words that need the tokenizer itself: control characters, characters beyond the Latin blocks (which
+#: may be composed, or change when lower-cased, in other ways) and what may be a special token.
+ODD = regex.compile(r"[^\x21-\x7e\xa1-\u012f\u0131-\u024f]|<\|")
+
+
+def fast_encoding(path: str):
+    """The merges of the tokenizer file as a tiktoken encoding, and its ids by rank.
+
+    The file marks the end of a word on its last character. Here the mark is a zero byte of its
+    own; joining it to the byte before has the first ranks of all merges, so that what follows are
+    exactly the file's merges in the file's order.
+    """
+    import json
+
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    # the byte-level alphabet: printable bytes stand for themselves, others follow from 256 on
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(printable)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
+    end = "</w>"
+    ranks = {bytes([b]): b for b in range(256)}
+    ids = dict.fromkeys(range(256), 0)
+    ended = {bytes([b, 0]): 256 + b for b in range(256)}
+    ranks.update(ended)
+    by_id = sorted(vocabulary.items(), key=lambda x: x[1])
+    for token, number in by_id:
+        marked = token.endswith(end) and token != end
+        text = token[:-len(end)] if marked else token
+        if not all(c in byte_of for c in text):
+            continue
+        raw = bytes(byte_of[c] for c in text) + (b"\0" if marked else b"")
+        rank = ranks.setdefault(raw, len(ranks))
+        ids[rank] = number
+    table = np.zeros(len(ranks), "<u2")
+    for rank, number in ids.items():
+        table[rank] = number
+    encoding = tiktoken.Encoding("words", pat_str=r"[^\x00 ]+\x00| ", mergeable_ranks=ranks, special_tokens={})
+    return encoding, table
 
 
 class WordEncoder:
-    """Token ids of a text as little-endian 16-bit bytes, with the ids of each word remembered.
+    """Token ids of texts, as little-endian 16-bit bytes, with the ids of each word remembered.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words in turn; texts with control characters that Python alone takes for white space are
-    encoded whole. Ids must fit in 16 bits (49,408 here), which is checked.
+    words in turn: each distinct word is encoded once. Words of Latin letters, digits and
+    punctuation go through the file's merges directly, all others through the tokenizer; both give
+    the tokenizer's ids. Ids must fit in 16 bits (49,408 here), which is checked.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -38,47 +80,94 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("token ids do not fit in 16 bits")
-        self.end = np.array([end_id], "<u2").tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u2").tobytes() for x in found]
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        if any(c in text for c in ODD_SPACES):
-            return self._encode([text])[0] + self.end
-        words = text.split()
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words)) + self.end
-        except KeyError:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            new = list(set(words).difference(known))
-            known.update(zip(new, self._encode(new), strict=True))
-            return b"".join(map(known.__getitem__, words)) + self.end
+        self.encoding, self.table = fast_encoding(path)
+        self.end = end_id
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(0, "<u2")
+        self.starts = np.empty(0, np.int64)
+        self.counts = np.empty(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        odd = [w for w in words if ODD.search(w)] if ODD.search(" ".join(words).replace(" ", "")) else []
+        plain = words
+        if odd:
+            skip = set(odd)
+            plain = [w for w in words if w not in skip]
+        found = [np.empty(0, "<u2")]
+        counts = [np.empty(0, np.int64)]
+        if plain:
+            text = PIECES.sub("\\g<0>\0", " ".join(plain).lower())
+            ranks = np.array(self.encoding.encode_ordinary(text), np.int64)
+            gaps = ranks == 32  # the space between two words is a token of its own
+            word = np.cumsum(gaps)
+            found.append(self.table[ranks[~gaps]])
+            counts.append(np.bincount(word[~gaps], minlength=len(plain)))
+        for w in odd:
+            ids = self.tokenizer.encode(w, add_special_tokens=False).ids
+            found.append(np.array(ids, "<u2"))
+            counts.append(np.array([len(ids)]))
+        counts = np.concatenate(counts)
+        for k, w in enumerate([*plain, *odd], len(self.known)):
+            self.known[w] = k
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, *found])
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an Arrow string array, each text's followed by the end id, and their numbers."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        each = np.diff(words.offsets.to_numpy())
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > CACHE_WORDS:
+            self._clear()
+        new = [w for w in distinct if w not in self.known]
+        if new:
+            self._learn(new)
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        at = place[coded.indices.to_numpy()] if len(distinct) else np.empty(0, np.int64)
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + counts, counts)]
+        upto = np.concatenate([[0], ends])[np.cumsum(each)]
+        return np.insert(flat, upto, self.end), np.diff(upto, prepend=0) + 1
 
 
 def tokenise(docs: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer_path: str,
              end_id: int) -> DataFrame:
     """``uid, doc_id, source, ids, n``: ids of each whole text plus ``end_id``, 16 bits each."""
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches):
         import os
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = WordEncoder(tokenizer_path, end_id)
         for batch in batches:
-            ids = [encoder(t) for t in batch.pop("text")]
-            batch["ids"] = ids
-            batch["n"] = [len(x) // 2 for x in ids]
-            yield batch
+            texts = batch.column("text")
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < len(texts):
+                base = size[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, "right")))
+                ids, counts = encoder.encode(texts.slice(at, to - at))
+                data = pa.py_buffer(ids.astype("<u2").tobytes())
+                offsets = pa.py_buffer((2 * np.concatenate([[0], np.cumsum(counts)])).astype(np.int32).tobytes())
+                packed = pa.Array.from_buffers(pa.binary(), to - at, [None, offsets, data])
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(at, to - at) for c in ("uid", "doc_id", "source")], packed,
+                     pa.array(counts, pa.int64())], names=["uid", "doc_id", "source", "ids", "n"])
+                at = to
 
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"),
                        F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(encode, f"uid long, doc_id {id_type}, source string, ids binary, n long")
+    return rows.mapInArrow(encode, f"uid long, doc_id {id_type}, source string, ids binary, n long")
 
 
 def round_robin(queues: list[list[int]], shares: np.ndarray, carried: np.ndarray,
@@ -152,13 +241,15 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     piece: ``doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset`` and, with
     ``keep_ids``, the piece's ``ids`` (16 bits each).
 
-    Every window is filled to the sources' target proportions (``targets``; default: each
-    source's share of all tokens, under which all queues run dry together) by deficit
-    round-robin. Texts are tokenised once into a shared table; rows are dealt by a hash of their
-    place in it to shards of about ``shard_tokens`` tokens, whatever their keys, so a hot source
-    is spread evenly. A shard starts from the deficits the shards before it leave: target minus
-    served tokens, two prefix sums over a table of (shard, source) totals, so no shard waits
-    for another. A task holds one shard; the longest document bounds what is beyond that.
+    Every window is filled to the sources' target proportions by deficit round-robin. Texts are
+    tokenised once into a shared table; rows are dealt by a hash of their place in it to shards
+    of about ``shard_tokens`` tokens, whatever their keys, so a hot source is spread evenly. By
+    default a shard's targets are what its queues hold, under which all queues run dry together
+    (shards differ from the whole table only by the luck of the draw); ``targets`` sets other
+    proportions. A shard starts from the deficits that the shards before it leave against the
+    global proportions, at most one window's share each, from two prefix sums over a table of
+    (shard, source) totals, so no shard waits for another. A task holds one shard; the longest
+    document bounds what is beyond that.
 
     A source that runs dry leaves its share of further windows to the others. Null or empty text
     is a document of the one id ``end_id``; a null source is a queue of its own; identifiers may
@@ -195,7 +286,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         n = rows["n"].tolist()
         ids = rows["ids"].tolist()
         queues = [[n[row] for row in m] for m in members]
-        pieces = round_robin(queues, begin["share"].to_numpy(), begin["deficit"].to_numpy(), window, quantum)
+        share = begin["share"].to_numpy() if targets else np.array([sum(q) for q in queues], float)
+        share = share / (share.sum() or 1.0)
+        carried = np.clip(begin["deficit"].to_numpy(), -window * share, window * share)
+        pieces = round_robin(queues, share, carried, window, quantum)
         at, start, length, sequence, offset, crc, kept = [], [], [], [], [], [], []
         for s, d, first, k, seq, off in lay_out(pieces, sum(n), window):
             row = members[s][d]
