@@ -14,9 +14,9 @@ from custseg.session import materialise
 
 #: Neighbours kept per node, members of a neighbourhood that are joined in a round, rows of the
 #: random blocks that give the first graph, and the share of new edges at which the descent ends.
-NEIGHBOURS, JOINED, BLOCK, SETTLED = 48, 44, 512, 0.03
+NEIGHBOURS, JOINED, BLOCK, SETTLED = 64, 60, 512, 0.04
 #: Search: nodes a query keeps, and nodes it expands per round.
-BEAM, EXPAND = 48, 8
+BEAM, EXPAND = 96, 24
 #: Entry points of queries that are no nodes themselves.
 ENTRIES = 32
 

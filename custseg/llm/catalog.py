@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import ann, exact, minhash, mixing, packing, secret_scan, suffix, toxicity
+from custseg.llm import ann, exact, html_text, minhash, mixing, packing, secret_scan, suffix, toxicity
 from custseg.sources.tables import read_table
 
 
@@ -58,11 +58,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs, secret_scan.train(docs)))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"), html_text.train())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
         "op2_mix_sources": op2_mix_sources,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_main_text": op4_main_text,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
         "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_secret_scan": op8_secret_scan,
