@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from custseg.llm import ann, exact, html_text, minhash, mixing, packing, secret_scan, suffix, toxicity
+from custseg.llm import ann, exact, html_text, minhash, mixing, packing, quality, secret_scan, suffix, toxicity
 from custseg.sources.tables import read_table
 
 
@@ -62,6 +62,11 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"), html_text.train())
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack_mixture": op1_pack_mixture,
@@ -69,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_main_text": op4_main_text,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op6_quality": op6_quality,
         "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_secret_scan": op8_secret_scan,
         "op9_suffix_dedup": op9_suffix_dedup,

@@ -213,7 +213,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged. Rows equal in
     identifier and text are one document here and stay or go together."""
     marked = near_duplicates(docs, id_col, text_col, percent)
-    gone = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")) \
-        .agg(F.max("kept").alias("_kept")).filter("NOT _kept")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_hash"))
+    gone = marked.groupBy(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")) \
+        .agg(F.max("kept").alias("__kept")).filter("NOT __kept")
+    same = docs[id_col].eqNullSafe(F.col("__gone_id")) & (F.xxhash64(docs[text_col]) == F.col("__gone_hash"))
     return docs.join(gone, same, "left_anti")

@@ -75,9 +75,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     """
     chosen = docs.select(F.col(id_col).alias("doc_id")).filter(F.col("doc_id").isNotNull()).distinct() \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    some = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "_chosen")), F.col(id_col) == F.col("_chosen"))
+    some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     rules = F.lit(f"{ASSIGN}|{ACCESS}|{HEX}")
-    found = base_spans(some, id_col, text_col)
+    found = base_spans(some)
     random = found.select(F.explode(F.flatten(F.array("assign", "access", "hex"))).alias("x")) \
         .select(F.col("x.string").alias("string"), F.lit("random").alias("label"))
     ordinary = found.select(F.explode(F.regexp_extract_all(F.regexp_replace("text", rules, F.lit(" ")),
