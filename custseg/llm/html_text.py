@@ -27,7 +27,7 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
 SCOPES = frozenset("table ul ol dl select html body".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-                 r"""|<(/?)([a-zA-Z][\w:-]*+)([^>]*)>|<[!?/][^>]*>""", re.S)
+                 r"""|<(/?)([a-zA-Z][\w:-]*+)([^>]*)>|<[!?/][^>]*>|<[!?/a-zA-Z][^>]*\Z""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -379,6 +379,9 @@ class PageGrammar:
         self.put(f"<{tag}>" if bare else self.named(EXTRA_NAMES[kind], tag))
         stock = EXTRA_WORDS[kind].split()
         lead = " ".join(rng.choice(stock) for _ in range(rng.randint(0, 4)))
+        if kind != "menu" and rng.random() < 0.35:
+            tag_h = rng.choice(["h1", "h2", "h3", "h4"]) if kind == "header" else rng.choice(["h2", "h3", "h4"])
+            self.put(f"<{tag_h}>{lead} {self.words(1, 5)}</{tag_h}>")
         if kind == "menu":
             self.links(rng.randint(2, 9), EXTRA_WORDS[kind])
         elif kind == "comments":

@@ -136,7 +136,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Null text has no words and, like an empty one, is never taken (target and size stay defined); a
     null source is a source of its own, last in order; null or repeated identifiers are fine, rows
-    count one by one, and identical rows are told apart by their place in a written table. An
+    count one by one; the draw depends on their content, not on their order or partitions (rows
+    equal in identifier, source and text are ordered by their place in a written table). An
     empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -153,7 +154,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = base.drop("row").join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("name")
 
     blocks = (rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(most_repeats - 1))))
-              .withColumn("order", _unit(F.lit(seed), F.col("epoch"), F.col("hash"), F.col("uid")))
+              .withColumn("order", _unit(F.lit(seed), F.col("epoch"), F.col("hash")))
               .withColumn("slice", F.col("epoch") * F.ceil(F.col("rows") / SLICE_ROWS)
                           + F.floor(F.col("order") * F.ceil(F.col("rows") / SLICE_ROWS))))
     real = blocks.filter("size > 0")
@@ -189,7 +190,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .join(met, ["source_no", "bin"])
              .filter("rank >= low AND rank < low + quota")
              .select("uid", "epoch", "taken", "shard",
-                     _unit(F.lit(seed), F.col("shard"), F.col("epoch"), F.col("hash"), F.col("uid")).alias("place")))
+                     _unit(F.lit(seed), F.col("shard"), F.col("epoch"), F.col("hash")).alias("place")))
     out = rows.select("uid", "doc_id", "source", "size", "source_size", "target") \
         .join(drawn, "uid", "left").withColumn("taken", F.coalesce("taken", F.lit(0).cast("long")))
     if carry:
