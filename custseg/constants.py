@@ -89,6 +89,9 @@ KNN_FOLDS = 4
 KNN_K_RANGE = list(range(1, 49, 2))
 KNN_WEIGHTS = "distance"
 
+# Labelled rows a nearest-neighbour model holds at most (own parameter; bounds its broadcast).
+KNN_MAX_POINTS = 200_000
+
 # Segment tiers (declared by the source project, not used by its pipeline).
 RFM_LOOKBACK_YEARS_FOR_TIERS = 3
 RFM_TIERS_PER_FEATURE = {"recency": 4, "frequency": 4, "monetary": 4}

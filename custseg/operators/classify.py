@@ -1,11 +1,9 @@
 """Nearest-neighbour classification: deterministic splits, exact KNN, cross-validation,
-evaluation tables, batch scoring.
+evaluation tables.
 
-KNN is exact brute force, distributed without materialising pairs: the training points
-are cut into blocks of at most ``block_rows`` rows (size checked by counting); each block
-is broadcast as a numpy matrix and every partition of query rows keeps its ``k`` nearest
-block points in ``mapInPandas``; the per-block candidates (at most ``k`` per query and
-block) are merged by an aggregate per query. Distance ties break by the training id.
+A model's labelled rows are bounded by one documented parameter, broadcast once as a matrix, and
+every row to classify is compared with all of them in an Arrow-batched column function, in place.
+Distance ties break by the training id.
 
 Vote (weights = "distance"): each neighbour votes 1/d for its class; if any of the k
 neighbours is at distance 0, only those vote (weight 1 each). The class with the largest
@@ -14,16 +12,15 @@ vote wins, ties to the smallest class.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as C
-from ..session import spread_for_cpu
 
 
 # ---------------------------------------------------------------------------
@@ -49,161 +46,126 @@ def hash_split(df: DataFrame, id_col: str, test_size: float = C.KNN_TEST_SIZE, s
 # Exact KNN
 # ---------------------------------------------------------------------------
 
-def _features_matrix(pdf: pd.DataFrame, features: list[str] | str) -> np.ndarray:
-    if isinstance(features, str):
-        return np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[features]]) if len(pdf) else \
-            np.zeros((0, 0))
-    return pdf[features].to_numpy(dtype=np.float64)
-
-
-def _sq_dist(q: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Squared distances, accumulated dimension by dimension (the order SQL uses)."""
-    acc = np.zeros((q.shape[0], t.shape[0]))
-    for j in range(q.shape[1]):
-        d = q[:, j:j + 1] - t[:, j][None, :]
-        acc += d * d
-    return acc
-
-
-def _block_topk_fn(bc, features, k, query_id, fold_col):
-    def fn(batches):
-        t_id, t_lab, t_fold, t_x = bc.value
-        for pdf in batches:
-            if len(pdf) == 0 or len(t_id) == 0:
-                continue
-            q_all = _features_matrix(pdf, features)
-            qf_all = pdf[fold_col].to_numpy() if fold_col is not None else None
-            kk = min(k, len(t_id))
-            step = max(1, 20_000_000 // max(1, len(t_id)))   # bound the distance block in memory
-            for lo in range(0, len(q_all), step):
-                out = _topk_chunk(q_all[lo:lo + step], None if qf_all is None else qf_all[lo:lo + step],
-                                  t_id, t_lab, t_fold, t_x, kk)
-                if out is None:
-                    continue
-                r, ids, labs, dists = out
-                yield pd.DataFrame({"_qid": pdf[query_id].to_numpy()[lo:lo + step][r],
-                                    "_nid": ids, "_nlab": labs, "_nd": dists})
-    return fn
-
-
-def _topk_chunk(q, qf, t_id, t_lab, t_fold, t_x, kk):
-    d2 = _sq_dist(q, t_x)
-    if qf is not None:
-        d2 = np.where(qf[:, None] == t_fold[None, :], np.inf, d2)
-    # order by (distance, training id): lexsort on the candidate set
-    rows, ids, labs, dists = [], [], [], []
-    for i in range(len(q)):
-        di = d2[i]
-        if kk < len(di):
-            cut = np.partition(di, kk - 1)[kk - 1]
-            cand = np.nonzero(di <= cut)[0]
-        else:
-            cand = np.arange(len(di))
-        order = np.lexsort((t_id[cand], di[cand]))[:kk]
-        sel = cand[order]
-        sel = sel[np.isfinite(di[sel])]
-        rows.append(np.full(len(sel), i))
-        ids.append(t_id[sel]); labs.append(t_lab[sel]); dists.append(np.sqrt(di[sel]))
-    if not rows:
-        return None
-    return (np.concatenate(rows), np.concatenate(ids), np.concatenate(labs),
-            np.concatenate(dists))
-
-
-def nearest_neighbours(queries: DataFrame, train: DataFrame, features, k: int,
-                       query_id: str, train_id: str, label_col: str,
-                       exclude_same_fold: str | None = None, block_rows: int | None = None,
-                       block_bytes: int = 64 << 20) -> DataFrame:
-    """(query id, neighbours array<struct<d, id, label>> sorted by (d, id), at most k).
-
-    Block size: ``block_rows`` if given, else as many training points as fit in
-    ``block_bytes`` of float64 features (so 64-d vectors get smaller blocks than 3-d ones).
-
-    ``exclude_same_fold``: column present in both inputs; neighbours in the query's own fold
-    are skipped (cross-validation).
-    """
-    spark = queries.sparkSession
-    feat_cols = [features] if isinstance(features, str) else list(features)
-    tcols = [F.col(train_id).alias("_tid"), F.col(label_col).cast("int").alias("_tlab")]
-    tcols.append(F.col(exclude_same_fold).cast("int").alias("_tfold") if exclude_same_fold
-                 else F.lit(0).alias("_tfold"))
-    t = train.select(*tcols, *feat_cols)
-    if block_rows is None:
-        dim = len(feat_cols) if not isinstance(features, str) else \
-            len(t.select(features).first()[0] or [0])
-        block_rows = max(1000, block_bytes // (8 * max(1, dim) + 24))
-    n = t.count()
-    n_blocks = max(1, math.ceil(n / block_rows))
-    blocked = t.withColumn("_b", F.pmod(F.xxhash64("_tid"), F.lit(n_blocks)))
-    if n_blocks > 1:
-        biggest = blocked.groupBy("_b").count().agg(F.max("count")).first()[0]
-        if biggest > 2 * block_rows:
-            raise RuntimeError("training block larger than twice block_rows; lower block_rows")
-    qcols = [query_id, *feat_cols] + ([exclude_same_fold] if exclude_same_fold else [])
-    q = spread_for_cpu(queries.select(*qcols))
-    id_type = q.schema[query_id].dataType.simpleString()
-    tid_type = t.schema["_tid"].dataType.simpleString()
-    schema = f"_qid {id_type}, _nid {tid_type}, _nlab int, _nd double"
-    parts = []
-    for b in range(n_blocks):
-        blk = blocked.where(F.col("_b") == b).toPandas()
-        payload = (blk["_tid"].to_numpy(), blk["_tlab"].to_numpy(), blk["_tfold"].to_numpy(),
-                   _features_matrix(blk, features))
-        bc = spark.sparkContext.broadcast(payload)
-        parts.append(q.mapInPandas(_block_topk_fn(bc, features, k, query_id, exclude_same_fold), schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    nb = F.struct(F.col("_nd").alias("d"), F.col("_nid").alias("id"), F.col("_nlab").alias("label"))
-    return (cand.groupBy("_qid").agg(F.slice(F.array_sort(F.collect_list(nb)), 1, k).alias("neighbours"))
-            .withColumnRenamed("_qid", query_id))
-
-
-def _vote(neigh: list, k: int) -> int | None:
-    top = neigh[:k]
-    if not top:
-        return None
-    zero = [n for n in top if n["d"] == 0.0]
-    votes: dict[int, float] = {}
-    if zero:
-        for n in zero:
-            votes[n["label"]] = votes.get(n["label"], 0.0) + 1.0
+@dataclass
+class Points:
+    """The labelled rows of a model, in order of their ids."""
+    ids: np.ndarray
+    labels: np.ndarray
+    folds: np.ndarray
+    x: np.ndarray
+    n_labelled: int
+
+
+def labelled_points(train: DataFrame, features: list[str] | str, train_id: str, label_col: str,
+                    fold_col: str | None = None, max_points: int = C.KNN_MAX_POINTS) -> Points:
+    """At most ``max_points`` labelled rows (smallest split key first, then id), with the number of
+    all labelled rows in ``n_labelled``. This is the one bound of the classifier: it limits the
+    points a task holds; what is classified is not bounded."""
+    cols = [features] if isinstance(features, str) else list(features)
+    rows = train.select(F.col(train_id).alias("_id"), F.col(label_col).cast("int").alias("_label"),
+                        (F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("_fold"), *cols) \
+        .dropna(subset=["_label", *cols])
+    n = rows.count()
+    if n > max_points:
+        rows = rows.orderBy(split_key("_id", C.KNN_SEED), "_id").limit(max_points)
+    pdf = rows.toPandas().sort_values("_id", kind="stable")
+    return Points(pdf["_id"].to_numpy(), pdf["_label"].to_numpy(np.int64), pdf["_fold"].to_numpy(np.int64),
+                  _matrix([pdf[c] for c in cols]), n)
+
+
+def _matrix(columns: list[pd.Series]) -> np.ndarray:
+    """Feature columns, or one column of vectors, as a float matrix."""
+    if len(columns) == 1 and len(columns[0]) and not np.isscalar(columns[0].iloc[0]):
+        return np.vstack([np.asarray(v, np.float64) for v in columns[0]])
+    return np.column_stack([c.to_numpy(np.float64) for c in columns])
+
+
+def _nearest(x: np.ndarray, points: Points, k: int, folds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and positions of the ``k`` nearest points of each row, by (distance, id); distances are
+    summed dimension by dimension, in the order SQL uses. Points of the row's own fold are infinitely far."""
+    d2 = np.zeros((len(x), len(points.x)))
+    for j in range(x.shape[1]):
+        d = x[:, j:j + 1] - points.x[:, j][None, :]
+        d2 += d * d
+    if folds is not None:
+        d2[folds[:, None] == points.folds[None, :]] = np.inf
+    if k < d2.shape[1]:
+        at = np.argpartition(d2, k - 1, axis=1)[:, :k]
+        cut = np.take_along_axis(d2, at, 1).max(1)
+        for i in np.flatnonzero((d2 <= cut[:, None]).sum(1) > k):   # ties at the k-th distance
+            near = np.flatnonzero(d2[i] <= cut[i])
+            at[i] = near[np.lexsort((near, d2[i][near]))[:k]]
     else:
-        for n in top:
-            votes[n["label"]] = votes.get(n["label"], 0.0) + 1.0 / n["d"]
-    best = max(votes.values())
-    return min(c for c, v in votes.items() if v == best)
-
-
-def _votes_udf(ks: list[int]):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def votes(neigh: pd.Series) -> pd.Series:
-        return pd.Series([[_vote(list(v), k) for k in ks] for v in neigh])
-    return votes
-
-
-def knn_predict(queries: DataFrame, train: DataFrame, features, k: int, query_id: str,
-                train_id: str, label_col: str, out_col: str = "prediction",
-                block_rows: int | None = None) -> DataFrame:
-    """Queries with their predicted class (distance-weighted vote of k nearest)."""
-    nb = nearest_neighbours(queries, train, features, k, query_id, train_id, label_col,
-                            block_rows=block_rows)
-    pred = nb.select(query_id, _votes_udf([k])(F.col("neighbours"))[0].alias(out_col))
-    return queries.join(pred, query_id, "left")
+        at = np.broadcast_to(np.arange(d2.shape[1]), d2.shape)
+    d2 = np.take_along_axis(d2, at, 1)
+    order = np.lexsort((at, d2), axis=1)
+    return np.sqrt(np.take_along_axis(d2, order, 1)), np.take_along_axis(at, order, 1)
+
+
+def _votes(x: np.ndarray, points: Points, ks: list[int], folds: np.ndarray | None) -> np.ndarray:
+    """The class each ``k`` of ``ks`` votes for, -1 without neighbours: one running sum of weights
+    per class over the sorted neighbours serves every k."""
+    dist, at = _nearest(x, points, min(max(ks), len(points.x)), folds)
+    found = np.isfinite(dist)
+    zero = dist[:, :1] == 0
+    weight = np.where(zero, dist == 0, np.where(found, 1.0 / np.where(dist > 0, dist, 1.0), 0.0))
+    classes = np.unique(points.labels)
+    total = np.cumsum(weight[:, :, None] * (points.labels[at][:, :, None] == classes), axis=1)
+    picks = [classes[total[:, min(k, total.shape[1]) - 1].argmax(1)] for k in ks]
+    return np.where(found[:, :1], np.column_stack(picks), -1)
+
+
+def votes(points: Points, features: list, ks: list[int], fold_col: str | None = None) -> Column:
+    """An array column: the class of each row by every k of ``ks`` (null without features or points).
+
+    A column of the row itself: no id, no join, so rows with equal or null ids are scored one by
+    one, in batches and streams alike.
+    """
+    spark = SparkSession.getActiveSession()
+    shared = spark.sparkContext.broadcast(points)
+
+    @F.pandas_udf("array<int>")
+    def vote(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known = shared.value
+        for columns in batches:
+            columns = [columns] if isinstance(columns, pd.Series) else list(columns)
+            fold = columns.pop().to_numpy(np.int64) if fold_col else None
+            whole = np.logical_and.reduce([c.notna().to_numpy() for c in columns])
+            out = pd.Series([None] * len(columns[0]), dtype=object)
+            rows = np.flatnonzero(whole)
+            step = max(1, 4_000_000 // max(1, len(known.x)))     # bounds the distance matrix
+            for lo in range(0, len(rows) if len(known.x) else 0, step):
+                part = rows[lo:lo + step]
+                got = _votes(_matrix([c.iloc[part] for c in columns]), known, ks,
+                             None if fold is None else fold[part])
+                for i, classes in zip(part, got.tolist()):
+                    out.iat[i] = [None if c < 0 else c for c in classes]
+            yield out
+
+    columns = [F.col(f) if isinstance(f, str) else f for f in features]
+    return vote(*columns, *([F.col(fold_col)] if fold_col else []))
+
+
+def knn_predict(queries: DataFrame, train: DataFrame, features, k: int, train_id: str, label_col: str,
+                out_col: str = "prediction", max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
+    """``queries`` with their class by a distance-weighted vote of the k nearest labelled rows."""
+    points = labelled_points(train, features, train_id, label_col, max_points=max_points)
+    cols = [features] if isinstance(features, str) else list(features)
+    return queries.withColumn(out_col, votes(points, cols, [k])[0])
 
 
 def knn_cv_scores(train: DataFrame, features, id_col: str, label_col: str, fold_col: str = "fold",
-                  ks=C.KNN_K_RANGE, block_rows: int | None = None) -> DataFrame:
+                  ks=C.KNN_K_RANGE, max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
     """(k, accuracy): mean over folds of the fold accuracy, each fold's rows classified by
     the rows of the other folds. One top-max(k) search per row serves every k."""
-    kmax = max(ks)
-    nb = nearest_neighbours(train, train, features, kmax, id_col, id_col, label_col,
-                            exclude_same_fold=fold_col, block_rows=block_rows)
-    lab = train.select(id_col, F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"))
-    preds = nb.select(id_col, _votes_udf(list(ks))(F.col("neighbours")).alias("_p")).join(lab, id_col)
+    points = labelled_points(train, features, id_col, label_col, fold_col, max_points)
+    cols = [features] if isinstance(features, str) else list(features)
+    preds = train.select(F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"),
+                         votes(points, cols, list(ks), fold_col).alias("_p")).where(F.col("_p").isNotNull())
     kk = F.array(*[F.lit(k) for k in ks])
-    per = preds.select("_f", "_y", F.posexplode(F.arrays_zip(kk.alias("k"), F.col("_p").alias("p"))))
-    per = per.select("_f", F.col("col.k").alias("k"), (F.col("col.p") == F.col("_y")).cast("int").alias("ok"))
+    per = preds.select("_f", "_y", F.explode(F.arrays_zip(kk.alias("k"), F.col("_p").alias("p"))).alias("col"))
+    per = per.select("_f", F.col("col.k").alias("k"),
+                     F.coalesce(F.col("col.p") == F.col("_y"), F.lit(False)).cast("int").alias("ok"))
     fold_acc = per.groupBy("k", "_f").agg(F.avg("ok").alias("acc"))
     return fold_acc.groupBy("k").agg(F.avg("acc").alias("accuracy"))
 

@@ -1,4 +1,4 @@
-"""Clustering: K-Means (MLlib), centre assignment, Lloyd step, quality metrics, ordering.
+"""Clustering: K-Means, centre assignment, quality metrics, ordering.
 
 Summaries with k rows (centres, per-cluster medians, per-cluster spreads) are small by
 construction; everything with one row per customer stays in Spark.
@@ -6,17 +6,16 @@ construction; everything with one row per customer stays in Spark.
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..session import spread_for_cpu
+from ..functions.quantiles import exact_quantiles
+from ..session import materialise
 
 
 def sq_distance(features: list[str], centre: list[float]):
@@ -56,57 +55,166 @@ def lloyd_step(df: DataFrame, features: list[str], centres: list[list[float]]) -
     return centres_of(assign_clusters(df, features, centres), features)
 
 
-def _vectors(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="_features").transform(df)
+def _row_blocks(batches, features: list[str]):
+    for batch in batches:
+        x = batch[features].to_numpy(np.float64)
+        for at in range(0, len(x), 65_536):
+            yield x[at:at + 65_536]
 
 
-def kmeans_fit(df: DataFrame, features: list[str], k: int = C.KMEANS_K, seed: int = C.KMEANS_SEED,
-               max_iter: int = C.KMEANS_MAX_ITER, tol: float = C.KMEANS_TOL, out_col: str = "cluster"):
-    """MLlib K-Means (k-means|| initialisation, Lloyd iterations) -> (model, labelled df).
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, summed feature by feature."""
+    out = np.zeros((len(x), len(centres)))
+    for j in range(x.shape[1]):
+        d = x[:, j:j + 1] - centres[:, j][None, :]
+        out += d * d
+    return out
 
-    The seeded initialisation differs from a single-machine k-means++, so labels are
-    compared by quality (SSE, metrics), not row by row.
-    """
-    from ..session import right_size
-    vec = right_size(_vectors(df, features))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_features",
-                   predictionCol=out_col, initMode="k-means||").fit(vec)
-    return model, model.transform(vec).drop("_features").withColumn(out_col, F.col(out_col).cast("int"))
-
-
-def total_variance_sse(df: DataFrame, features: list[str]) -> float:
-    """SSE of a single cluster = n * sum of population variances (one aggregate)."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.var_pop(f).alias(f) for f in features]).first()
-    return float(row["n"] * sum(row[f] or 0.0 for f in features))
-
-
-def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, seed: int = C.KMEANS_SEED,
-                 parallelism: int = 8, with_silhouette: bool = True) -> DataFrame:
-    """(k, sse, silhouette) for each k: k = 1 by aggregate (silhouette undefined: null),
-    k > 1 by MLlib fits over one checkpointed vector table, plus the exact Euclidean
-    silhouette of each fit's labels. The fits are independent Spark jobs submitted from a
-    few driver threads, so the scheduler interleaves their many small iteration stages."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from ..session import cut_lineage, right_size
-    base = cut_lineage(df.select(*[F.col(f).cast("double").alias(f) for f in features])
-                       .withColumn("_sid", F.monotonically_increasing_id()))
-    vec = right_size(_vectors(base, features))
-
-    def fit(k):
-        if k == 1:
-            return 1, total_variance_sse(base, features), None
-        m = KMeans(k=k, seed=seed, maxIter=C.KMEANS_MAX_ITER, tol=C.KMEANS_TOL,
-                   featuresCol="_features", predictionCol="_k").fit(vec)
-        sil = None
-        if with_silhouette:
-            lab = m.transform(vec).select("_sid", F.col("_k").cast("int").alias("cluster"), *features)
-            sil = float(silhouette(lab, features, "cluster", id_col="_sid").first()[0])
-        return k, float(m.summary.trainingCost), sil
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = sorted(pool.map(fit, list(ks)))
-    return df.sparkSession.createDataFrame(rows, "k int, sse double, silhouette double")
+
+def farthest_first_centres(df: DataFrame, features: list[str], k: int) -> list[list[float]]:
+    """k data rows as deterministic initial centres: the one nearest to the mean (rounded to 9
+    digits), then, again and again, the one farthest from all chosen so far; ties go to the smaller
+    feature values. One pass per centre; the first centres do not depend on ``k``."""
+    mean = df.agg(*[F.round(F.avg(f), 9).alias(f) for f in features]).first()
+    if mean[0] is None:
+        return []
+    chosen: list[list[float]] = []
+    schema = "d double, " + ", ".join(f"x{j} double" for j in range(len(features)))
+    while len(chosen) < k:
+        centres = np.array(chosen or [[float(v) for v in mean]])
+        sign = -1.0 if chosen else 1.0
+
+        def best(batches, centres=centres, sign=sign):
+            top = None
+            for x in _row_blocks(batches, features):
+                d = sign * _squared(x, centres).min(1)
+                at = np.lexsort((*x.T[::-1], d))[0]
+                row = (d[at], *x[at])
+                top = row if top is None else min(top, row)
+            if top is not None:
+                yield pd.DataFrame([top], columns=["d", *[f"x{j}" for j in range(len(features))]])
+
+        found = df.select(*features).mapInPandas(best, schema)
+        row = found.agg(F.min(F.struct(*found.columns)).alias("m")).first()["m"]
+        chosen.append([float(v) for v in list(row)[1:]])
+    return chosen
+
+
+def lloyd(df: DataFrame, features: list[str], starts: dict[int, list[list[float]]], max_iter: int, tol: float
+          ) -> tuple[dict[int, list[list[float]]], dict[int, float]]:
+    """Lloyd's iterations from each set of ``starts`` (by k), all sets in one job per round: every task
+    sums its rows per nearest centre, only those sums are shuffled. A set ends when its centres move
+    by no more than ``tol`` times the mean variance (squared); an empty cluster keeps its centre.
+    -> (centres, sum of squared errors) by k. Independent of partitioning but for float rounding."""
+    stats = df.agg(*[F.var_pop(f).alias(f) for f in features]).first()
+    limit = tol * float(np.mean([v or 0.0 for v in stats]))
+    centres = {k: np.array(c) for k, c in starts.items()}
+    open_ = set(centres)
+    names = [f"x{j}" for j in range(len(features))]
+
+    def round_(now: dict[int, np.ndarray]) -> list:
+        def sums(batches):
+            total = {k: np.zeros((len(c), len(features) + 2)) for k, c in now.items()}
+            for x in _row_blocks(batches, features):
+                for k, c in now.items():
+                    d = _squared(x, c)
+                    at = d.argmin(1)
+                    np.add.at(total[k], at, np.column_stack([x, np.ones(len(x)), d[np.arange(len(x)), at]]))
+            yield pd.concat([pd.DataFrame(t, columns=[*names, "n", "sse"]).assign(k=k, cluster=range(len(t)))
+                             for k, t in total.items()])
+
+        parts = df.select(*features).mapInPandas(
+            sums, ", ".join(f"{n} double" for n in names) + ", n double, sse double, k int, cluster int")
+        return parts.groupBy("k", "cluster").agg(*[F.sum(n).alias(n) for n in [*names, "n", "sse"]]).collect()
+
+    for _ in range(max_iter):
+        if not open_:
+            break
+        moved = {k: centres[k].copy() for k in open_}
+        for r in round_({k: centres[k] for k in open_}):
+            if r["n"] > 0:
+                moved[r["k"]][r["cluster"]] = [r[n] / r["n"] for n in names]
+        for k, c in moved.items():
+            shift = float(((c - centres[k]) ** 2).sum())
+            centres[k] = c
+            if shift <= limit:
+                open_.discard(k)
+    sse = dict.fromkeys(centres, 0.0)
+    for r in round_(centres) if centres else []:
+        sse[r["k"]] += r["sse"]
+    return {k: c.tolist() for k, c in centres.items()}, sse
+
+
+@dataclass
+class KMeansModel:
+    centres: list[list[float]]
+    sse: float
+
+
+def kmeans_fit(df: DataFrame, features: list[str], k: int = C.KMEANS_K, max_iter: int = C.KMEANS_MAX_ITER,
+               tol: float = C.KMEANS_TOL, out_col: str = "cluster") -> tuple[KMeansModel, DataFrame]:
+    """K-Means from farthest-first centres -> (model, labelled df). Deterministic; labels compare with
+    a seeded single-machine fit by quality, not row by row. An empty table gets null labels."""
+    start = farthest_first_centres(df, features, k)
+    if not start:
+        return KMeansModel([], 0.0), df.withColumn(out_col, F.lit(None).cast("int"))
+    centres, sse = lloyd(df, features, {k: start}, max_iter, tol)
+    return KMeansModel(centres[k], sse[k]), assign_clusters(df, features, centres[k], out_col)
+
+
+def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, max_iter: int = C.KMEANS_MAX_ITER,
+                 tol: float = C.KMEANS_TOL) -> DataFrame:
+    """(k, sse, silhouette_sq) for each k, all fits side by side over one written table."""
+    base = materialise(df.select(*[F.col(f).cast("double").alias(f) for f in features]), "kmeans_rows")
+    schema = "k int, sse double, silhouette_sq double"
+    start = farthest_first_centres(base, features, max(ks))
+    if not start:
+        return df.sparkSession.createDataFrame([], schema)
+    centres, sse = lloyd(base, features, {k: start[:k] for k in ks}, max_iter, tol)
+    quality = _silhouettes(base, features, centres)
+    return df.sparkSession.createDataFrame([(k, sse[k], quality.get(k)) for k in ks], schema)
+
+
+def _silhouettes(df: DataFrame, features: list[str], centres: dict[int, list[list[float]]]) -> dict[int, float]:
+    """Mean silhouette on squared distances of the nearest-centre labels of each set of centres."""
+    sets = {k: np.array(c) for k, c in centres.items() if len(c) > 1}
+    width = len(features)
+    names = [f"x{j}" for j in range(width)]
+
+    def sums(batches):
+        total = {k: np.zeros((len(c), width + 2)) for k, c in sets.items()}
+        for x in _row_blocks(batches, features):
+            for k, c in sets.items():
+                np.add.at(total[k], _squared(x, c).argmin(1), np.column_stack([x, np.ones(len(x)), (x * x).sum(1)]))
+        for k, t in total.items():
+            yield pd.DataFrame(t, columns=[*names, "n", "q"]).assign(k=k, cluster=range(len(t)))
+
+    known = df.select(*features).mapInPandas(
+        sums, ", ".join(f"{n} double" for n in names) + ", n double, q double, k int, cluster int") \
+        .groupBy("k", "cluster").agg(*[F.sum(n).alias(n) for n in [*names, "n", "q"]]).collect()
+    stats = {k: np.zeros((len(c), width + 2)) for k, c in sets.items()}
+    for r in known:
+        stats[r["k"]][r["cluster"]] = [*[r[n] for n in names], r["n"], r["q"]]
+
+    def score(batches):
+        total = dict.fromkeys(sets, 0.0)
+        for x in _row_blocks(batches, features):
+            for k, c in sets.items():
+                own = _squared(x, c).argmin(1)
+                n, q = stats[k][:, width], stats[k][:, width + 1]
+                far = (x * x).sum(1)[:, None] * n - 2 * (x @ stats[k][:, :width].T) + q
+                rows = np.arange(len(x))
+                a = far[rows, own] / np.maximum(n[own] - 1, 1)
+                other = np.where(n > 0, far / np.maximum(n, 1), np.inf)
+                other[rows, own] = np.inf
+                b = other.min(1)
+                top = np.maximum(a, b)
+                fine = (n[own] > 1) & np.isfinite(b) & (top > 0)
+                total[k] += float(np.where(fine, (b - a) / np.where(fine, top, 1.0), 0.0).sum())
+        yield pd.DataFrame({"k": list(total), "s": list(total.values())})
+
+    got = df.select(*features).mapInPandas(score, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+    return {r["k"]: float(r["s"] / max(1.0, stats[r["k"]][:, width].sum())) for r in got}
 
 
 def davies_bouldin(labelled: DataFrame, features: list[str], label_col: str = "cluster") -> DataFrame:
@@ -130,84 +238,32 @@ def davies_bouldin(labelled: DataFrame, features: list[str], label_col: str = "c
     return score.select(F.coalesce("davies_bouldin", F.lit(0.0)).alias("davies_bouldin"))
 
 
-def silhouette(labelled: DataFrame, features: list[str], label_col: str = "cluster",
-               id_col: str = "customer_id", block_rows: int = 200_000) -> DataFrame:
-    """Exact mean Euclidean silhouette -> one row (silhouette).
-
-    a(i) = mean distance to the other members of i's cluster, b(i) = smallest mean distance
-    to another cluster, s(i) = (b - a) / max(a, b), 0 for a singleton cluster.
+def silhouette_squared(labelled: DataFrame, features: list[str], label_col: str = "cluster") -> DataFrame:
+    """Mean silhouette on squared Euclidean distances -> one row (silhouette_sq).
 
-    The all-pairs distance sums are computed without materialising pairs: the points are cut
-    into blocks of at most ``block_rows`` (size checked by counting), each block is broadcast
-    as a numpy matrix, and every partition of points accumulates per-(point, cluster) distance
-    sums against it in ``mapInPandas``. The per-block sums are then added by an aggregate.
-    Work is quadratic in the number of points, as the metric itself is.
+    a(i) = mean squared distance to the other members of i's cluster, b(i) = smallest mean squared
+    distance to another cluster, s(i) = (b - a) / max(a, b), 0 for a singleton cluster. Linear: a
+    cluster's count, sums and sum of squares (k rows) give every row's means; null for one cluster.
     """
-    spark = labelled.sparkSession
-    from ..session import cut_lineage
-    pts = cut_lineage(labelled.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_k"),
-                                      *[F.col(f).cast("double").alias(f) for f in features]))
-    n = pts.count()
-    n_blocks = max(1, math.ceil(n / block_rows))
-    blocked = pts.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(n_blocks)))
-    sizes = {r["_b"]: r["count"] for r in blocked.groupBy("_b").count().collect()}
-    if sizes and max(sizes.values()) > 2 * block_rows:
-        raise RuntimeError("silhouette block larger than twice block_rows; lower block_rows")
-    k_ids = sorted(r[0] for r in pts.select("_k").distinct().collect())
-    counts = {r["_k"]: r["count"] for r in pts.groupBy("_k").count().collect()}
-    parts = []
-    for b in range(n_blocks):
-        blk = blocked.where(F.col("_b") == b).select("_k", *features).toPandas()
-        bc = spark.sparkContext.broadcast((blk["_k"].to_numpy(), blk[features].to_numpy()))
-        parts.append(spread_for_cpu(pts).mapInPandas(_cluster_sums_fn(bc, features, k_ids),
-                                     "_id " + pts.schema["_id"].dataType.simpleString()
-                                     + ", _k int, _c int, _s double"))
-    sums = parts[0]
-    for p in parts[1:]:
-        sums = sums.unionByName(p)
-    total = sums.groupBy("_id", "_k", "_c").agg(F.sum("_s").alias("_s"))
-    size_map = F.create_map(*[x for k in k_ids for x in (F.lit(k), F.lit(counts[k]))])
-    mean_d = F.try_divide(F.col("_s"), F.when(F.col("_c") == F.col("_k"), size_map[F.col("_c")] - 1)
-                          .otherwise(size_map[F.col("_c")]))
-    per = total.withColumn("_m", mean_d).groupBy("_id", "_k").agg(
-        F.max(F.when(F.col("_c") == F.col("_k"), F.col("_m"))).alias("a"),
-        F.min(F.when(F.col("_c") != F.col("_k"), F.col("_m"))).alias("b"))
-    s = F.when(size_map[F.col("_k")] <= 1, F.lit(0.0)) \
-        .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    out = per.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
-    return out
-
-
-def _cluster_sums_fn(bc, features, k_ids):
-    def fn(batches):
-        labels, mat = bc.value
-        masks = [labels == k for k in k_ids]
-        step = max(1, 20_000_000 // max(1, len(mat)))     # bound the distance block in memory
-        for pdf in batches:
-            x_all = pdf[features].to_numpy()
-            ids, ks = pdf["_id"].to_numpy(), pdf["_k"].to_numpy()
-            for lo in range(0, len(x_all), step):
-                x = x_all[lo:lo + step]
-                acc = np.zeros((len(x), len(mat)))
-                for j in range(len(features)):
-                    diff = x[:, j:j + 1] - mat[:, j][None, :]
-                    acc += diff * diff
-                d = np.sqrt(acc)
-                out = [pd.DataFrame({"_id": ids[lo:lo + step], "_k": ks[lo:lo + step],
-                                     "_c": np.int32(k), "_s": d[:, m].sum(axis=1)})
-                       for k, m in zip(k_ids, masks)]
-                yield pd.concat(out, ignore_index=True)
-    return fn
-
-
-def silhouette_squared(labelled: DataFrame, features: list[str], label_col: str = "cluster") -> float:
-    """MLlib's silhouette with *squared* Euclidean distance (O(n k)); a different metric,
-    offered for very large inputs, never as a substitute for :func:`silhouette`."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    vec = _vectors(labelled, features).withColumn(label_col, F.col(label_col).cast("double"))
-    ev = ClusteringEvaluator(featuresCol="_features", predictionCol=label_col,
-                             distanceMeasure="squaredEuclidean")
-    return float(ev.evaluate(vec))
+    norm = sum((F.col(f) * F.col(f) for f in features), F.lit(0.0))
+    known = labelled.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(norm).alias("q"), *[F.sum(f).alias(f"s_{f}") for f in features]).collect()
+    a, others = F.lit(None).cast("double"), []
+    single = F.lit(False)
+    for r in known:
+        own = F.col(label_col) == r[label_col]
+        far = norm * float(r["n"]) - 2.0 * sum((F.col(f) * float(r[f"s_{f}"]) for f in features), F.lit(0.0)) + float(r["q"])
+        if r["n"] > 1:
+            a = F.when(own, far / float(r["n"] - 1)).otherwise(a)
+        else:
+            single = single | own
+        others.append(F.when(~own, far / float(r["n"])))
+    if len(known) < 2:
+        return labelled.agg(F.lit(None).cast("double").alias("silhouette_sq"))
+    rows = labelled.where(F.col(label_col).isNotNull()).select(a.alias("a"), F.least(*others).alias("b"), single.alias("one"))
+    top = F.greatest("a", "b")
+    s = F.when(F.col("one") | (top <= 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / top)
+    return rows.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette_sq"))
 
 
 def order_clusters(labelled: DataFrame, feature_sort: dict[str, bool] = C.CLUSTER_FEATURE_SORT,
@@ -221,7 +277,8 @@ def order_clusters(labelled: DataFrame, feature_sort: dict[str, bool] = C.CLUSTE
     ranking runs on the median table only; rows get the new id by a broadcast join.
     """
     feats = list(feature_sort)
-    med = labelled.groupBy(label_col).agg(*[F.median(f).alias(f) for f in feats])
+    each = exact_quantiles(labelled, feats, [0.5], by=label_col)
+    med = each.groupBy(label_col).agg(*[F.max(F.when(F.col("feature") == f, F.col("q")[0])).alias(f) for f in feats])
     score = F.lit(0)
     for f in feats:
         o = F.col(f).asc() if feature_sort[f] else F.col(f).desc()
@@ -240,9 +297,7 @@ def order_clusters(labelled: DataFrame, feature_sort: dict[str, bool] = C.CLUSTE
             .drop(label_col).withColumnRenamed("_new", label_col))
 
 
-def model_centres(model, features: list[str]) -> DataFrame:
-    """Centres of a fitted K-Means model as rows (cluster, feature, value): k x features rows."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    rows = [(i, f, float(v)) for i, c in enumerate(model.clusterCenters()) for f, v in zip(features, c)]
+def model_centres(spark: SparkSession, model: KMeansModel, features: list[str]) -> DataFrame:
+    """Centres of a fitted model as rows (cluster, feature, value): k x features rows."""
+    rows = [(i, f, float(v)) for i, c in enumerate(model.centres) for f, v in zip(features, c)]
     return spark.createDataFrame(rows, "cluster int, feature string, value double")

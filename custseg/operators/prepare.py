@@ -1,12 +1,9 @@
 """Feature preparation: quantile transform to a normal, IQR outliers, standard scaling.
 
 Fitting computes a handful of numbers per feature (50 quantiles, two quartiles, a mean and
-a standard deviation) in one aggregate job each; only those k-row summaries reach the
-driver. Transforming is then literal Column arithmetic, fused into whole-stage codegen.
-
-Quantiles are exact (``percentile``, linear interpolation) by default. Pass ``accuracy`` to
-use ``percentile_approx`` instead, which keeps a bounded sketch per partition; the source
-library itself sub-samples to 10,000 rows above that size.
+a standard deviation); only those reach the driver. Transforming is then literal Column
+arithmetic, fused into whole-stage codegen. Quantiles are exact (linear interpolation) and
+ranked across partitions. Empty inputs give empty outputs.
 """
 
 from __future__ import annotations
@@ -14,12 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.stats import ppf_stages
-from ..session import cut_lineage
+from ..functions.quantiles import quantile_lists
+from ..session import materialise
 
 
 def quantile_levels(n_quantiles: int, n_rows: int) -> list[float]:
@@ -27,38 +25,19 @@ def quantile_levels(n_quantiles: int, n_rows: int) -> list[float]:
     return [float(v) for v in np.linspace(0.0, 1.0, m)] if m > 1 else [0.0]
 
 
-def _quantiles(df: DataFrame, cols: list[str], levels: list[float], accuracy: int | None) -> dict:
-    if accuracy:
-        aggs = [F.percentile_approx(c, levels, accuracy).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile(F.col(c), levels).alias(c) for c in cols]
-    row = df.agg(*aggs).first()
-    return {c: [float(v) for v in row[c]] for c in cols}
-
-
 @dataclass
 class QuantileModel:
     references: list[float]
     quantiles: dict[str, list[float]]
 
 
-def fit_quantile_transform(df: DataFrame, features: list[str], n_quantiles: int = C.N_QUANTILES,
-                           accuracy: int | None = None) -> QuantileModel:
-    """Quantiles at min(n_quantiles, n) evenly spaced levels, one aggregate job (a second,
-    tiny one only when there are fewer rows than levels)."""
-    levels = quantile_levels(n_quantiles, n_quantiles)
-    if accuracy:
-        aggs = [F.percentile_approx(f, levels, accuracy).alias(f) for f in features]
-    else:
-        aggs = [F.percentile(F.col(f), levels).alias(f) for f in features]
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *aggs).first()
-    n = row["_n"]
-    if n < n_quantiles:
-        levels = quantile_levels(n_quantiles, n)
-        qs = _quantiles(df, features, levels, accuracy)
-    else:
-        qs = {f: [float(v) for v in row[f]] for f in features}
-    return QuantileModel(levels, {f: list(np.maximum.accumulate(v)) for f, v in qs.items()})
+def fit_quantile_transform(df: DataFrame, features: list[str], n_quantiles: int = C.N_QUANTILES) -> QuantileModel:
+    """Quantiles at min(n_quantiles, n) evenly spaced levels; a feature without values maps to itself."""
+    n = df.count()
+    levels = quantile_levels(n_quantiles, n)
+    found = quantile_lists(df, features, levels)
+    return QuantileModel(levels, {f: list(np.maximum.accumulate(found[f][1])) if f in found else [0.0] * len(levels)
+                                  for f in features})
 
 
 def _interp_parts(x, xp: list[float], fp: list[float]):
@@ -127,14 +106,13 @@ def clip_bounds() -> tuple[float, float]:
     return nd.inv_cdf(C.BOUNDS_THRESHOLD - eps), nd.inv_cdf(1 - (C.BOUNDS_THRESHOLD - eps))
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], factor: float = C.IQR_FACTOR,
-               accuracy: int | None = None) -> dict[str, tuple[float, float]]:
-    qs = _quantiles(df, cols, [0.25, 0.75], accuracy)
+def iqr_bounds(df: DataFrame, cols: list[str], factor: float = C.IQR_FACTOR) -> dict[str, tuple[float, float]]:
+    qs = quantile_lists(df, cols, [0.25, 0.75])
     out = {}
     for c in cols:
-        q1, q3 = qs[c]
-        iqr = q3 - q1
-        out[c] = (q1 - factor * iqr, q3 + factor * iqr)
+        q1, q3 = qs[c][1] if c in qs else (float("-inf"), float("inf"))
+        spread = factor * (q3 - q1)
+        out[c] = (q1 - spread, q3 + spread)
     return out
 
 
@@ -157,8 +135,7 @@ def outlier_condition(bounds: dict[str, tuple[float, float]], cols: list[str], m
 
 
 def remove_outliers(df: DataFrame, features: list[str] = C.RFM_FEATURES, mode: str = "last",
-                    n_quantiles: int = C.N_QUANTILES, factor: float = C.IQR_FACTOR,
-                    accuracy: int | None = None, materialize: bool = True) -> DataFrame:
+                    n_quantiles: int = C.N_QUANTILES, factor: float = C.IQR_FACTOR) -> DataFrame:
     """Quantile-transform the features, flag IQR outliers there, drop those rows; the
     original feature values are kept.
 
@@ -167,11 +144,10 @@ def remove_outliers(df: DataFrame, features: list[str] = C.RFM_FEATURES, mode: s
     Those two thresholds per feature come from one more aggregate; the final filter then
     compares raw values only (cheap, and a plain predicate for the optimizer).
     """
-    if materialize:
-        df = cut_lineage(df)          # several passes follow: read the features once
-    model = fit_quantile_transform(df, features, n_quantiles, accuracy)
+    df = materialise(df, "outlier_rows")          # several passes follow: compute the features once
+    model = fit_quantile_transform(df, features, n_quantiles)
     t = quantile_transform(df, features, model, suffix="__q")
-    zb = iqr_bounds(t, [f + "__q" for f in features], factor, accuracy)
+    zb = iqr_bounds(t, [f + "__q" for f in features], factor)
     aggs = []
     for f in features:
         lo, hi = zb[f + "__q"]
@@ -195,45 +171,24 @@ class ScalerModel:
         return [(f, self.mean[f], self.scale[f]) for f in self.mean]
 
 
-def fit_standard_scaler(df: DataFrame, features: list[str], exact_sums: bool = False) -> ScalerModel:
-    """Mean and population standard deviation (ddof 0); zero deviation -> scale 1.
-
-    ``exact_sums``: for values with at most 4 decimals (money, counts), take n, sum(x) and
-    sum(x^2) as exact decimals and derive mean = S1/n and var = (S2 - S1^2/n)/n in double,
-    so the result does not depend on the summation order (reproducible across engines).
-    """
-    if exact_sums:
-        aggs = [F.count(F.lit(1)).alias("_n")]
-        for f in features:
-            xd = F.col(f).cast("decimal(20,4)")
-            aggs += [F.sum(xd).alias(f + "_s1"), F.sum(xd * xd).alias(f + "_s2")]
-        row = df.agg(*aggs).first()
-        n = row["_n"]
-        mean, scale = {}, {}
-        for f in features:
-            s1, s2 = float(row[f + "_s1"]), float(row[f + "_s2"])
-            mean[f] = s1 / n
-            var = (s2 - s1 * s1 / n) / n
-            sd = var ** 0.5 if var > 0 else 0.0
-            scale[f] = sd if sd > 0 else 1.0
-        return ScalerModel(mean, scale)
+def fit_standard_scaler(df: DataFrame, features: list[str]) -> ScalerModel:
+    """Mean and population standard deviation (ddof 0); zero deviation, or no values -> scale 1."""
     aggs = []
     for f in features:
         aggs += [F.avg(F.col(f).cast("double")).alias(f + "_m"), F.stddev_pop(F.col(f).cast("double")).alias(f + "_s")]
     row = df.agg(*aggs).first()
-    mean = {f: float(row[f + "_m"]) for f in features}
-    scale = {f: (float(row[f + "_s"]) if row[f + "_s"] else 1.0) for f in features}
-    return ScalerModel(mean, scale)
+    return ScalerModel({f: float(row[f + "_m"] or 0.0) for f in features},
+                       {f: (float(row[f + "_s"]) if row[f + "_s"] else 1.0) for f in features})
+
+
+def scaled(feature: str, model: ScalerModel) -> Column:
+    return (F.col(feature).cast("double") - F.lit(model.mean[feature])) / F.lit(model.scale[feature])
 
 
 def standard_scale(df: DataFrame, features: list[str], model: ScalerModel) -> DataFrame:
-    out = df
-    for f in features:
-        out = out.withColumn(f, (F.col(f).cast("double") - F.lit(model.mean[f])) / F.lit(model.scale[f]))
-    return out
+    return df.withColumns({f: scaled(f, model) for f in features})
 
 
-def scale_data(df: DataFrame, features: list[str] = C.RFM_FEATURES,
-               exact_sums: bool = False) -> tuple[DataFrame, ScalerModel]:
-    model = fit_standard_scaler(df, features, exact_sums)
+def scale_data(df: DataFrame, features: list[str] = C.RFM_FEATURES) -> tuple[DataFrame, ScalerModel]:
+    model = fit_standard_scaler(df, features)
     return standard_scale(df, features, model), model

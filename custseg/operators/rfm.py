@@ -14,8 +14,7 @@ Semantics (null handling stated once, applied everywhere):
 - frequency = number of visit days; customers with a single visit day are removed;
 - monetary = sum of visit totals.
 
-Money is summed as ``decimal(18,2)`` when ``exact_money`` is on (the default), so the
-result does not depend on the summation order, then returned as double.
+Totals are summed as doubles, unrounded.
 """
 
 from __future__ import annotations
@@ -23,10 +22,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import materialise
 
 
 def excluded_invoices(items: DataFrame, excluded_ids: Iterable, invoice_col: str = "invoice_num",
@@ -53,8 +53,7 @@ def exclude_invoices(rows: DataFrame, excluded_ids: Iterable = C.EXCLUDED_ITEM_I
 
 def rfm_base(rows: DataFrame, customer_col: str = "customer_id", date_col: str = "date",
              total_col: str = "total", is_total_col: str | None = "is_total",
-             date_from: _dt.date | str | None = None, date_to: _dt.date | str | None = None,
-             exact_money: bool = True) -> DataFrame:
+             date_from: _dt.date | str | None = None, date_to: _dt.date | str | None = None) -> DataFrame:
     """Visits: one row per (customer, day) with the day's total -> (customer_id, date, total)."""
     df = rows
     if is_total_col is not None:
@@ -66,10 +65,9 @@ def rfm_base(rows: DataFrame, customer_col: str = "customer_id", date_col: str =
         date_to = date_to or d_to
     df = df.where(day.between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")))
     df = df.where(F.col(customer_col).isNotNull())
-    money = F.col(total_col).cast("decimal(18,2)") if exact_money else F.col(total_col)
-    zero = F.lit(0).cast("decimal(18,2)") if exact_money else F.lit(0.0)
+    money = F.col(total_col).cast("double")
     return (df.groupBy(F.col(customer_col).alias("customer_id"), day.alias("date"))
-            .agg(F.coalesce(F.sum(money), zero).alias("total")))
+            .agg(F.coalesce(F.sum(money), F.lit(0.0)).alias("total")))
 
 
 def default_window(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
@@ -83,14 +81,10 @@ def default_window(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
     return start, today
 
 
-def _money_out(c: Column) -> Column:
-    return c.cast("double")
-
-
 def recency(base: DataFrame) -> DataFrame:
     """(customer_id, recency): days from the customer's last visit to the newest visit."""
-    last = base.groupBy("customer_id").agg(F.max("date").alias("last_visit"))
-    anchor = base.agg(F.max("date")).scalar()
+    last = materialise(base.groupBy("customer_id").agg(F.max("date").alias("last_visit")), "rfm_last")
+    anchor = last.agg(F.max("last_visit")).scalar()
     return last.select("customer_id", F.datediff(anchor, F.col("last_visit")).alias("recency"))
 
 
@@ -102,26 +96,27 @@ def frequency(base: DataFrame) -> DataFrame:
 
 def monetary(base: DataFrame) -> DataFrame:
     """(customer_id, monetary): sum of visit totals."""
-    return base.groupBy("customer_id").agg(_money_out(F.sum("total")).alias("monetary"))
+    return base.groupBy("customer_id").agg(F.sum("total").alias("monetary"))
 
 
 def rfm_features(base: DataFrame) -> DataFrame:
     """(customer_id, recency int, frequency bigint, monetary double), frequency > 1.
 
-    One aggregate per customer replaces three aggregates and their joins; the recency
-    anchor is a scalar subquery (one value, computed once), not a join.
+    One aggregate per customer replaces three aggregates and their joins. It is written once
+    to the shared folder, so the anchor (a scalar subquery) and everything that fits something
+    to the features read it back instead of scanning the invoices again.
     """
     per = base.groupBy("customer_id").agg(
         F.max("date").alias("last_visit"),
         F.count("date").alias("frequency"),
         F.sum("total").alias("monetary"))
-    # anchor from the per-customer aggregate: the subquery can reuse its exchange
+    per = materialise(per, "rfm_customers")
     anchor = per.agg(F.max("last_visit")).scalar()
     return (per.where(F.col("frequency") != 1)
             .select("customer_id",
                     F.datediff(anchor, F.col("last_visit")).alias("recency"),
                     "frequency",
-                    _money_out(F.col("monetary")).alias("monetary")))
+                    "monetary"))
 
 
 def rfm_from_invoices(rows: DataFrame, date_from=None, date_to=None,

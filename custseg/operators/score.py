@@ -1,4 +1,4 @@
-"""Batch scoring with a saved scaler + KNN model: raw R/F/M rows in, segment out."""
+"""Scoring with a saved scaler + KNN model: raw R/F/M rows in, segment out."""
 
 from __future__ import annotations
 
@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 
 from ..sources.model_store import KnnModel
 from . import classify as CL
-from .prepare import standard_scale
+from .prepare import scaled
 
 
-def score(df: DataFrame, model: KnnModel, id_col: str, out_col: str = "segment",
-          block_rows: int | None = None) -> DataFrame:
-    """Scale the raw features with the stored mean/scale, then vote among the k nearest
-    stored training points. Input rows keep their columns; ``out_col`` is added."""
-    scaled = standard_scale(df.select(id_col, *model.features), model.features, model.scaler)
-    pred = CL.knn_predict(scaled, model.points, model.features, model.k, id_col, model.id_col,
-                          model.label_col, out_col=out_col, block_rows=block_rows)
-    return df.join(pred.select(id_col, out_col), id_col, "left")
+def score(df: DataFrame, model: KnnModel, out_col: str = "segment") -> DataFrame:
+    """``df`` (a table or a stream) with ``out_col``: the raw features are scaled with the stored mean and
+    scale inside the expression and the nearest stored points vote. All columns of ``df`` stay as they
+    are; rows need no id. A row with a null feature gets a null segment."""
+    points = CL.labelled_points(model.points, model.features, model.id_col, model.label_col)
+    features = [scaled(f, model.scaler) for f in model.features]
+    return df.withColumn(out_col, CL.votes(points, features, [model.k])[0])

@@ -9,15 +9,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles, quantile_lists
+
 
 def _stats(df: DataFrame, col: str):
     x = F.col(col).cast("double")
-    return df.where(x.isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
-        F.percentile(x, [0.25, 0.75]).alias("q"), F.stddev_samp(x).alias("sd")).first()
+    return df.where(x.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+                                       F.stddev_samp(x).alias("sd")).first()
 
 
 def auto_bins(n: int, lo: float, hi: float, q1: float, q3: float) -> int:
@@ -44,7 +46,7 @@ def histogram(df: DataFrame, col: str, bins: int | None = None) -> DataFrame:
     st = _stats(df, col)
     n, lo, hi = st["n"], st["lo"], st["hi"]
     if bins is None:
-        bins = auto_bins(n, lo, hi, st["q"][0], st["q"][1]) if n else 1
+        bins = auto_bins(n, lo, hi, *quantile_lists(df, [col], [0.25, 0.75])[col][1]) if n else 1
     edges = bin_edges(lo if n else 0.0, hi if n else 1.0, bins)
     e = F.array(*[F.lit(v) for v in edges])
     x = F.col(col).cast("double")
@@ -67,22 +69,30 @@ def histogram(df: DataFrame, col: str, bins: int | None = None) -> DataFrame:
 
 def density(df: DataFrame, col: str, gridsize: int = 200, cut: float = 0.0) -> DataFrame:
     """Gaussian kernel density on a grid -> (i, x, density); Scott's bandwidth
-    h = sd * n^(-1/5) (sample sd). Exact: every row contributes to every grid point, as
-    a per-row explode of the grid indices followed by a 200-group aggregate."""
+    h = sd * n^(-1/5) (sample sd). Exact: every row contributes to every grid point, summed per
+    Arrow batch before anything is shuffled. Empty for a column without values or spread."""
     st = _stats(df, col)
-    n, lo, hi, sd = st["n"], st["lo"], st["hi"], st["sd"] or 0.0
-    h = sd * n ** (-0.2) if n else 0.0
-    g_lo, g_hi = lo - cut * h, hi + cut * h
-    step = (g_hi - g_lo) / (gridsize - 1)
+    n, lo, hi = st["n"], st["lo"], st["hi"]
+    h = (st["sd"] or 0.0) * n ** (-0.2) if n else 0.0
+    if not h > 0:
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
+    grid = np.linspace(lo - cut * h, hi + cut * h, gridsize)
+
+    def sums(batches):
+        total = np.zeros(gridsize)
+        for batch in batches:
+            x = batch["x"].to_numpy()
+            for at in range(0, len(x), 2048):
+                z = (grid[:, None] - x[None, at:at + 2048]) / h
+                total += np.exp(-0.5 * z * z).sum(1)
+        yield pd.DataFrame({"i": np.arange(gridsize), "s": total})
+
     x = F.col(col).cast("double")
-    gi = F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i")
-    pts = df.where(x.isNotNull()).select(gi, x.alias("_x"))
-    gx = F.when(F.col("i") == gridsize - 1, F.lit(g_hi)).otherwise(F.col("i") * F.lit(step) + F.lit(g_lo))
-    z = (gx - F.col("_x")) / F.lit(h)
-    contrib = F.exp(F.lit(-0.5) * z * z)
-    scale = 1.0 / (n * h * math.sqrt(2 * math.pi)) if h > 0 else 0.0
-    return (pts.groupBy("i").agg(F.sum(contrib).alias("_s"))
-            .select("i", gx.alias("x"), (F.col("_s") * F.lit(scale)).alias("density")))
+    parts = df.where(x.isNotNull()).select(x.alias("x")).mapInPandas(sums, "i int, s double")
+    points = F.array(*[F.lit(float(g)) for g in grid])
+    return parts.groupBy("i").agg(F.sum("s").alias("s")).select(
+        "i", F.element_at(points, F.col("i") + 1).alias("x"),
+        (F.col("s") * F.lit(1.0 / (n * h * math.sqrt(2 * math.pi)))).alias("density"))
 
 
 def box_stats(df: DataFrame, col: str, by: str | None = None, whis: float = 1.5) -> DataFrame:
@@ -91,14 +101,14 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whis: float = 1.5)
     x = F.col(col).cast("double")
     keys = [by] if by else ["_all"]
     base = df.where(x.isNotNull()).select(*([by] if by else [F.lit(0).alias("_all")]), x.alias("_x"))
-    q = base.groupBy(*keys).agg(F.percentile("_x", [0.25, 0.5, 0.75]).alias("_q"),
-                                F.count(F.lit(1)).alias("n"))
-    q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(base, ["_x"], [0.25, 0.5, 0.75], by=keys[0])
+    q = q.select(F.col(keys[0]).alias("_group"), "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                 F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_b = F.col("q1") - whis * F.col("iqr")
     hi_b = F.col("q3") + whis * F.col("iqr")
-    j = base.join(q, keys)   # one row per group; AQE broadcasts it when the group count is small
+    # one row per group; AQE broadcasts it when the group count is small
+    j = base.join(q, F.col(keys[0]).eqNullSafe(F.col("_group"))).drop("_group")
     w = j.groupBy(*keys, "n", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("_x") >= lo_b, F.col("_x"))).alias("whisker_lo"),
         F.max(F.when(F.col("_x") <= hi_b, F.col("_x"))).alias("whisker_hi"),

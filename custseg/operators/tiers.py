@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.quantiles import quantile_lists
 
 HIGHER_IS_BETTER = {"recency": False, "frequency": True, "monetary": True}
 
 
 def tier_bounds(df: DataFrame, features: list[str], n_tiers: int) -> dict[str, list[float]]:
     levels = [float(v) for v in np.linspace(0, 1, n_tiers + 1)[1:-1]]
-    row = df.agg(*[F.percentile(F.col(f).cast("double"), levels).alias(f) for f in features]).first()
-    return {f: [float(v) for v in row[f]] for f in features}
+    found = quantile_lists(df, features, levels)
+    return {f: found[f][1] if f in found else [0.0] * len(levels) for f in features}
 
 
 def rfm_tiers(df: DataFrame, tiers: dict[str, int] = C.RFM_TIERS_PER_FEATURE,

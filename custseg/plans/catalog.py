@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..operators import rfm
-from ..session import spread_if_narrow
+from ..session import materialise, spread_if_narrow
 from ..sources import tables as T
 
 # Parameters of the test-table queries (chosen once; the same in Spark and in SQL).
@@ -57,7 +58,8 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rfm_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.rfm_features(visits(spark, sf_dir))
+    """RFM of orders; sums are rounded to 6 decimals on both sides, as their order differs."""
+    return rfm.rfm_features(visits(spark, sf_dir)).withColumn("monetary", F.round("monetary", 6))
 
 
 _parts = ", ".join(str(p) for p in EXCLUDED_PARTS)
@@ -72,7 +74,7 @@ kept AS (
 SQL_VISITS = SQL_KEPT + f""",
 visits AS (
   SELECT customer_id, CAST(date AS DATE) AS date,
-         COALESCE(SUM(CAST(total AS DECIMAL(18,2))), 0) AS total
+         COALESCE(SUM(total), 0) AS total
   FROM kept
   WHERE CAST(date AS DATE) BETWEEN DATE '{WINDOW_FROM}' AND DATE '{WINDOW_TO}'
     AND customer_id IS NOT NULL
@@ -84,7 +86,7 @@ per AS (
 rfm AS (
   SELECT customer_id,
          CAST(date_diff('day', last_visit, (SELECT MAX(date) FROM visits)) AS INTEGER) AS recency,
-         frequency, CAST(monetary AS DOUBLE) AS monetary
+         frequency, round(monetary, 6) AS monetary
   FROM per WHERE frequency <> 1)"""
 
 
@@ -99,9 +101,9 @@ def q_exclude_invoices(spark, sf_dir):
 
 
 @register("same_day_totals",
-          "WITH " + SQL_VISITS + "\nSELECT customer_id, date, CAST(total AS DOUBLE) AS total FROM visits")
+          "WITH " + SQL_VISITS + "\nSELECT customer_id, date, round(total, 6) AS total FROM visits")
 def q_same_day_totals(spark, sf_dir):
-    return visits(spark, sf_dir).select("customer_id", "date", F.col("total").cast("double").alias("total"))
+    return visits(spark, sf_dir).select("customer_id", "date", F.round("total", 6).alias("total"))
 
 
 @register("recency", "WITH " + SQL_VISITS + """
@@ -119,9 +121,9 @@ def q_frequency(spark, sf_dir):
 
 
 @register("monetary", "WITH " + SQL_VISITS + """
-SELECT customer_id, CAST(SUM(total) AS DOUBLE) AS monetary FROM visits GROUP BY 1""")
+SELECT customer_id, round(SUM(total), 6) AS monetary FROM visits GROUP BY 1""")
 def q_monetary(spark, sf_dir):
-    return rfm.monetary(visits(spark, sf_dir))
+    return rfm.monetary(visits(spark, sf_dir)).withColumn("monetary", F.round("monetary", 6))
 
 
 # ---------------------------------------------------------------------------
@@ -447,23 +449,18 @@ def q_iqr_filter(spark, sf_dir):
 
 
 SQL_SCALED = SQL_RFM + """,
-sx AS (SELECT count(*) AS n, """ + ", ".join(
-    f"CAST(sum(CAST({f} AS DECIMAL(20,4))) AS DOUBLE) AS s1_{f}, "
-    f"CAST(sum(CAST({f} AS DECIMAL(20,4)) * CAST({f} AS DECIMAL(20,4))) AS DOUBLE) AS s2_{f}"
-    for f in FEATS) + """ FROM rfm),
-sv AS (SELECT n, """ + ", ".join(
-    f"s1_{f} / n AS m_{f}, (s2_{f} - s1_{f} * s1_{f} / n) / n AS v_{f}" for f in FEATS) + """ FROM sx),
 sp AS (SELECT """ + ", ".join(
-    f"m_{f}, CASE WHEN v_{f} > 0 THEN sqrt(v_{f}) ELSE 1.0 END AS s_{f}" for f in FEATS) + """ FROM sv),
+    f"avg(CAST({f} AS DOUBLE)) AS m_{f}, CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE 1.0 END AS s_{f}"
+    for f in FEATS) + """ FROM rfm),
 scaled AS (SELECT customer_id, """ + ", ".join(
-    f"round((CAST({f} AS DOUBLE) - m_{f}) / s_{f}, 9) AS {f}" for f in FEATS) + " FROM rfm, sp)"
+    f"round((CAST({f} AS DOUBLE) - m_{f}) / s_{f}, 7) AS {f}" for f in FEATS) + " FROM rfm, sp)"
 
 
 def rfm_scaled(spark, sf_dir):
-    """RFM of orders scaled to mean 0 / population sd 1, rounded to 9 decimals."""
+    """RFM of orders scaled to mean 0 / population sd 1, rounded to 7 decimals, written once."""
     r = rfm_orders(spark, sf_dir)
-    s, _ = prepare.scale_data(r, FEATS, exact_sums=True)
-    return s.select("customer_id", *[F.round(f, 9).alias(f) for f in FEATS])
+    s, _ = prepare.scale_data(r, FEATS)
+    return materialise(s.select("customer_id", *[F.round(f, 7).alias(f) for f in FEATS]), "rfm_scaled")
 
 
 @register("standard_scale", "WITH " + SQL_SCALED + "\nSELECT * FROM scaled")
@@ -497,7 +494,7 @@ lab AS (SELECT s.customer_id, s.recency, s.frequency, s.monetary, CAST(a.cluster
 
 def labelled_fixed(spark, sf_dir):
     """Scaled RFM with labels from the fixed initial centres (deterministic in both engines)."""
-    s = rfm_scaled(spark, sf_dir).persist()
+    s = rfm_scaled(spark, sf_dir)
     centres = CU.first_rows_as_centres(s, FEATS, K_FIXED, "customer_id")
     return CU.assign_clusters(s, FEATS, centres)
 
@@ -516,15 +513,69 @@ def q_lloyd_step(spark, sf_dir):
     return c.select("cluster", *[F.round(f, 6).alias(f) for f in FEATS])
 
 
-@register("kmeans_fit")
+KMEANS_ROUNDS = 25
+
+
+def _sql_kmeans() -> str:
+    """Lloyd's iteration for every k of the sweep at once, unrolled: farthest-first centres, then
+    KMEANS_ROUNDS rounds (rounds after convergence change nothing)."""
+    far = " + ".join(f"(s.{f} - c.{f}) * (s.{f} - c.{f})" for f in FEATS)
+    cols = ", ".join(FEATS)
+    order = ", ".join(FEATS)
+    kmax = max(C.KMEANS_SWEEP)
+    out = [f"mid AS MATERIALIZED (SELECT {', '.join(f'round(avg({f}), 9) AS {f}' for f in FEATS)} FROM scaled)",
+           f"f0 AS MATERIALIZED (SELECT 0 AS cluster, {', '.join(f's.{f}' for f in FEATS)} FROM scaled s, mid c "
+           f"ORDER BY {far}, {', '.join(f's.{f}' for f in FEATS)} LIMIT 1)"]
+    for j in range(1, kmax):
+        out.append(f"f{j} AS MATERIALIZED (SELECT * FROM f{j - 1} UNION ALL (SELECT {j} AS cluster, {cols} FROM ("
+                   f"SELECT {', '.join(f's.{f}' for f in FEATS)}, min({far}) AS d FROM scaled s, f{j - 1} c "
+                   f"GROUP BY ALL) ORDER BY d DESC, {order} LIMIT 1))")
+    out.append(f"ks AS (SELECT unnest(range(1, {kmax + 1})) AS k)")
+    out.append(f"c0 AS MATERIALIZED (SELECT ks.k, f.cluster, {', '.join(f'f.{f}' for f in FEATS)} "
+               f"FROM ks JOIN f{kmax - 1} f ON f.cluster < ks.k)")
+    near = (f"SELECT c.k, s.customer_id, {', '.join(f'any_value(s.{f}) AS {f}' for f in FEATS)}, "
+            f"arg_min(c.cluster, ({far}, c.cluster)) AS cluster, min({far}) AS d "
+            "FROM scaled s, {c} c GROUP BY c.k, s.customer_id")
+    for r in range(KMEANS_ROUNDS):
+        out.append(f"m{r} AS (SELECT k, cluster, {', '.join(f'avg({f}) AS {f}' for f in FEATS)} FROM ("
+                   + near.format(c=f"c{r}") + ") GROUP BY k, cluster)")
+        out.append(f"c{r + 1} AS MATERIALIZED (SELECT c.k, c.cluster, "
+                   f"{', '.join(f'coalesce(m.{f}, c.{f}) AS {f}' for f in FEATS)} "
+                   f"FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k AND c.cluster = m.cluster)")
+    out.append(f"km AS MATERIALIZED ({near.format(c=f'c{KMEANS_ROUNDS}')})")
+    return ", ".join(out)
+
+
+SQL_KMEANS = SQL_SCALED + ", " + _sql_kmeans()
+_sq_norm = " + ".join(f"{f} * {f}" for f in FEATS)
+_dot = " + ".join(f"a.{f} * g.s_{f}" for f in FEATS)
+SQL_SILHOUETTE = f"""
+kg AS (SELECT k, cluster, count(*) AS n, sum({_sq_norm}) AS q, {", ".join(f"sum({f}) AS s_{f}" for f in FEATS)}
+       FROM lk GROUP BY 1, 2),
+md AS (SELECT a.k, a.customer_id, a.cluster AS own, g.cluster AS c, g.n,
+              ({" + ".join(f"a.{f} * a.{f}" for f in FEATS)}) * g.n - 2 * ({_dot}) + g.q AS total
+       FROM lk a JOIN kg g ON a.k = g.k),
+ab AS (SELECT k, customer_id, max(CASE WHEN c = own THEN total / nullif(n - 1, 0) END) AS a,
+              min(CASE WHEN c <> own THEN total / n END) AS b, max(CASE WHEN c = own THEN n END) AS own_n
+       FROM md GROUP BY 1, 2),
+sil AS (SELECT k, avg(CASE WHEN own_n <= 1 OR greatest(a, b) <= 0 THEN 0.0 ELSE coalesce((b - a) / greatest(a, b), 0.0) END)
+          AS silhouette FROM ab WHERE b IS NOT NULL GROUP BY k)"""
+
+
+@register("kmeans_fit", "WITH " + SQL_KMEANS + f"""
+SELECT customer_id, CAST(cluster AS INTEGER) AS cluster FROM km WHERE k = {C.KMEANS_K}""")
 def q_kmeans_fit(spark, sf_dir):
-    _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS)
+    _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS, max_iter=KMEANS_ROUNDS, tol=0.0)
     return lab.select("customer_id", "cluster")
 
 
-@register("kmeans_sweep")
+@register("kmeans_sweep", "WITH " + SQL_KMEANS + ", lk AS (SELECT * FROM km), " + SQL_SILHOUETTE + """
+SELECT CAST(t.k AS INTEGER) AS k, round(sum(greatest(t.d, 0.0)), 4) AS sse,
+       round(any_value(sil.silhouette), 6) AS silhouette_sq
+FROM km t LEFT JOIN sil ON t.k = sil.k GROUP BY t.k""")
 def q_kmeans_sweep(spark, sf_dir):
-    return CU.kmeans_sweep(rfm_scaled(spark, sf_dir).persist(), FEATS)
+    s = CU.kmeans_sweep(rfm_scaled(spark, sf_dir), FEATS, max_iter=KMEANS_ROUNDS, tol=0.0)
+    return s.select("k", F.round("sse", 4).alias("sse"), F.round("silhouette_sq", 6).alias("silhouette_sq"))
 
 
 _dist_cc = " + ".join(f"(l.{f} - c.{f}) * (l.{f} - c.{f})" for f in FEATS)
@@ -545,23 +596,11 @@ def q_davies_bouldin(spark, sf_dir):
         F.round("davies_bouldin", 9).alias("davies_bouldin"))
 
 
-@register("silhouette", "WITH " + SQL_ASSIGNED + f""",
-sz AS (SELECT cluster, count(*) AS n FROM lab GROUP BY cluster),
-pd AS (SELECT a.customer_id, a.cluster AS ka, b.cluster AS kb, sqrt({_dist_ab}) AS d
-       FROM lab a JOIN lab b ON a.customer_id <> b.customer_id),
-m AS (SELECT customer_id, ka, kb, sum(d) AS s FROM pd GROUP BY 1, 2, 3),
-mm AS (SELECT m.*, CASE WHEN ka = kb THEN s / nullif(sz.n - 1, 0) ELSE s / sz.n END AS md
-       FROM m JOIN sz ON m.kb = sz.cluster),
-sper AS (SELECT customer_id, ka, max(CASE WHEN ka = kb THEN md END) AS a,
-               min(CASE WHEN ka <> kb THEN md END) AS b FROM mm GROUP BY 1, 2),
-allp AS (SELECT lab.customer_id, lab.cluster AS ka, sper.a, sper.b FROM lab
-         LEFT JOIN sper ON lab.customer_id = sper.customer_id)
-SELECT round(avg(CASE WHEN sz.n <= 1 THEN 0.0 ELSE coalesce((b - a) / greatest(a, b), 0.0) END), 9)
-       AS silhouette
-FROM allp JOIN sz ON allp.ka = sz.cluster""")
+@register("silhouette", "WITH " + SQL_ASSIGNED + ", lk AS (SELECT 0 AS k, * FROM lab), " + SQL_SILHOUETTE + """
+SELECT round(silhouette, 9) AS silhouette_sq FROM sil""")
 def q_silhouette(spark, sf_dir):
-    return CU.silhouette(labelled_fixed(spark, sf_dir), FEATS).select(
-        F.round("silhouette", 9).alias("silhouette"))
+    return CU.silhouette_squared(labelled_fixed(spark, sf_dir), FEATS).select(
+        F.round("silhouette_sq", 9).alias("silhouette_sq"))
 
 
 _SQL_MED = SQL_ASSIGNED + """,
@@ -638,7 +677,7 @@ SELECT te.customer_id, te.cluster, CAST(win.nlab AS INTEGER) AS prediction
 FROM te LEFT JOIN win ON te.customer_id = win.qid""")
 def q_knn_predict(spark, sf_dir):
     train, test = rfm_split(spark, sf_dir)
-    p = CL.knn_predict(test, train, FEATS, KNN_K_FIXED, "customer_id", "customer_id", "cluster")
+    p = CL.knn_predict(test, train, FEATS, KNN_K_FIXED, "customer_id", "cluster")
     return p.select("customer_id", "cluster", "prediction")
 
 
@@ -690,7 +729,7 @@ pred AS (SELECT te.vec_id, te.label, CAST(win.nlab AS INTEGER) AS prediction
 def embeddings_predictions(spark, sf_dir):
     e = CL.hash_split(T.read_table(spark, sf_dir, "embeddings"), "vec_id")
     train, test = e.where(~F.col("is_test")), e.where(F.col("is_test"))
-    return CL.knn_predict(test, train, "embedding", KNN_K_FIXED, "vec_id", "vec_id", "label")
+    return CL.knn_predict(test, train, "embedding", KNN_K_FIXED, "vec_id", "label")
 
 
 @register("knn_embeddings", "WITH " + SQL_EMB_PRED + "\nSELECT * FROM pred")

@@ -1,49 +1,6 @@
-"""Stateless scoring of a streaming DataFrame.
+"""Stateless scoring of a streaming DataFrame: the batch function, which adds a column in place and
+therefore needs neither state nor a join."""
 
-The training points of a saved model are bounded (they are the model), checked by count
-and broadcast once; each micro-batch is scaled with literal Column arithmetic and scored
-in ``mapInPandas`` against the broadcast matrix. No state store is needed.
-"""
+from ..operators.score import score as score_stream
 
-from __future__ import annotations
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators.classify import _topk_chunk, _vote
-from ..operators.prepare import standard_scale
-from ..sources.model_store import KnnModel
-
-
-def score_stream(stream: DataFrame, model: KnnModel, id_col: str, out_col: str = "segment",
-                 max_points: int = 2_000_000) -> DataFrame:
-    spark = stream.sparkSession
-    n = model.points.limit(max_points + 1).count()
-    if n > max_points:
-        raise ValueError(f"model has more than {max_points} points; score in batch mode instead")
-    pts = model.points.select(model.id_col, model.label_col, *model.features).toPandas()
-    payload = (pts[model.id_col].to_numpy(), pts[model.label_col].to_numpy().astype(np.int64),
-               np.zeros(len(pts), dtype=np.int64), pts[model.features].to_numpy(dtype=np.float64))
-    bc = spark.sparkContext.broadcast(payload)
-    feats, k = list(model.features), model.k
-    scaled = standard_scale(stream, feats, model.scaler)
-    schema = T.StructType(list(scaled.schema.fields) + [T.StructField(out_col, T.IntegerType())])
-
-    def fn(batches):
-        t_id, t_lab, t_fold, t_x = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            q = pdf[feats].to_numpy(dtype=np.float64)
-            out = _topk_chunk(q, None, t_id, t_lab, t_fold, t_x, min(k, len(t_id)))
-            preds = [None] * len(q)
-            if out is not None:
-                r, ids, labs, dists = out
-                for i in range(len(q)):
-                    m = r == i
-                    preds[i] = _vote([{"d": d, "label": int(lb)} for d, lb in zip(dists[m], labs[m])], k)
-            yield pdf.assign(**{out_col: pd.array(preds, dtype="Int32")})
-    return scaled.mapInPandas(fn, schema).withColumn(out_col, F.col(out_col).cast("int"))
+__all__ = ["score_stream"]

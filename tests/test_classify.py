@@ -34,7 +34,7 @@ def test_knn_predict_equals_brute_force(spark):
     tdf = spark.createDataFrame([(i, x[0], x[1], lab) for i, x, lab in train], "id long, a double, b double, y int")
     qdf = spark.createDataFrame([(i, x[0], x[1]) for i, x in test], "id long, a double, b double")
     got = {r.id: r.prediction for r in
-           CL.knn_predict(qdf, tdf, ["a", "b"], 7, "id", "id", "y", block_rows=40).collect()}
+           CL.knn_predict(qdf, tdf, ["a", "b"], 7, "id", "y").collect()}
     assert got == _np_knn(train, test, 7)
 
 
@@ -73,3 +73,15 @@ def test_confusion_and_report(spark):
     rep = {r["class"]: r for r in CL.classification_report(df).collect()}
     assert rep["1"].precision == 1 / 3 and rep["1"].recall == 1.0 and rep["2"].f1 == 0.0
     assert rep["accuracy"].precision == 3 / 5 and rep["macro avg"].support == 5
+
+
+def test_repeated_null_ids_and_bounded_points(spark):
+    tdf = spark.createDataFrame([(i, float(i), i // 5) for i in range(10)], "id long, x double, y int")
+    qdf = spark.createDataFrame([(7, 0.1), (7, 9.1), (None, 9.2), (8, None)], "id long, x double")
+    got = [(r.id, r.x, r.prediction) for r in CL.knn_predict(qdf, tdf, ["x"], 3, "id", "y").collect()]
+    assert got == [(7, 0.1, 0), (7, 9.1, 1), (None, 9.2, 1), (8, None, None)]
+    few = CL.labelled_points(tdf, ["x"], "id", "y", max_points=4)
+    again = CL.labelled_points(tdf.repartition(5), ["x"], "id", "y", max_points=4)
+    assert len(few.ids) == 4 and few.n_labelled == 10 and list(few.ids) == list(again.ids)
+    none = CL.knn_predict(qdf, tdf.limit(0), ["x"], 3, "id", "y")
+    assert [r.prediction for r in none.collect()] == [None] * 4

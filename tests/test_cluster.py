@@ -17,7 +17,7 @@ def _blobs(seed=1, n=90):
 
 
 def _np_silhouette(x, lab):
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
     s = []
     for i in range(len(x)):
         own = lab == lab[i]
@@ -62,7 +62,7 @@ def test_kmeans_recovers_blobs(spark):
     assert all(len(v) == 1 for v in groups.values()) and len(groups) == 3
     sweep = CU.kmeans_sweep(df, ["a", "b", "c"], ks=[1, 2, 3]).collect()
     sse = {r.k: r.sse for r in sweep}
-    sil = {r.k: r.silhouette for r in sweep}
+    sil = {r.k: r.silhouette_sq for r in sweep}
     assert sil[1] is None and 0.5 < sil[3] <= 1.0 and sil[3] > sil[2]
     x = np.array([r[1:] for r in _blobs()])
     assert abs(sse[1] - ((x - x.mean(0)) ** 2).sum()) < 1e-6 * sse[1]
@@ -76,7 +76,7 @@ def test_silhouette_and_davies_bouldin_exact(spark):
     df = spark.createDataFrame(rows, "customer_id long, a double, b double, c double, cluster int")
     x = np.array([r[1:4] for r in rows])
     lab = np.array([r[4] for r in rows])
-    got = CU.silhouette(df, ["a", "b", "c"], block_rows=40).first()[0]   # several blocks
+    got = CU.silhouette_squared(df, ["a", "b", "c"]).first()[0]
     assert abs(got - _np_silhouette(x, lab)) < 1e-9
     db = CU.davies_bouldin(df, ["a", "b", "c"]).first()[0]
     assert abs(db - _np_db(x, lab)) < 1e-9
@@ -93,3 +93,28 @@ def test_order_clusters_both_modes(spark):
     assert by_m == {1: 0, 2: 1, 0: 2}
     by_s = {r.customer_id // 10: r.cluster for r in CU.order_clusters(df, mode="rfm_score").collect()}
     assert by_s == {2: 0, 0: 1, 1: 2}
+
+
+def test_kmeans_does_not_depend_on_partitions(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.random(), rnd.random(), rnd.random()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    fits = [CU.kmeans_fit(df.repartition(p), ["a", "b", "c"], k=5) for p in (1, 4, 7)]
+    labels = [sorted((r.id, r.cluster) for r in lab.collect()) for _, lab in fits]
+    assert labels[0] == labels[1] == labels[2]
+    for model, _ in fits:
+        assert abs(model.sse - fits[0][0].sse) < 1e-9 and np.allclose(model.centres, fits[0][0].centres)
+    sweep = CU.kmeans_sweep(df, ["a", "b", "c"], ks=[1, 2, 5]).collect()
+    assert abs(sweep[2].sse - fits[0][0].sse) < 1e-9
+    lab = np.array([c for _, c in labels[0]])
+    x = np.array([r[1:] for r in rows])
+    assert abs(sweep[2].silhouette_sq - _np_silhouette(x, lab)) < 1e-9
+
+
+def test_empty_and_constant_rows(spark):
+    empty = spark.createDataFrame([], "id long, a double")
+    assert CU.kmeans_fit(empty, ["a"], k=2)[1].count() == 0
+    assert CU.kmeans_sweep(empty, ["a"], ks=[1, 2]).count() == 0
+    same = spark.createDataFrame([(i, 1.0) for i in range(5)], "id long, a double")
+    assert {r.cluster for r in CU.kmeans_fit(same, ["a"], k=2)[1].collect()} == {0}
+    assert CU.silhouette_squared(CU.kmeans_fit(same, ["a"], k=2)[1], ["a"]).first()[0] is None

@@ -89,8 +89,41 @@ def test_exact_sum_scaler_matches_population_std(spark):
     rnd = random.Random(13)
     rows = [(i, float(rnd.randint(0, 900)), round(rnd.uniform(10, 90000), 2)) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, a double, m double")
-    m = prepare.fit_standard_scaler(df, ["a", "m"], exact_sums=True)
+    m = prepare.fit_standard_scaler(df, ["a", "m"])
     for j, f in enumerate(["a", "m"]):
         x = np.array([r[j + 1] for r in rows])
         assert abs(m.mean[f] - x.mean()) < 1e-9 * max(1, abs(x.mean()))
         assert abs(m.scale[f] - x.std(ddof=0)) < 1e-9 * x.std(ddof=0)
+
+
+def test_exact_quantiles_against_numpy(spark):
+    import numpy as np
+    from custseg.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(3)
+    rows = [(str(i % 3), float(np.round(rng.normal(), 2)), None if i % 7 == 0 else float(i)) for i in range(500)]
+    rows += [("lone", 5.0, None), (None, 1.0, 2.0), (None, 3.0, None)]
+    df = spark.createDataFrame(rows, "g string, a double, b double").repartition(5)
+    levels = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.feature): (r.n, r.q) for r in exact_quantiles(df, ["a", "b"], levels, by="g").collect()}
+    for g in {r[0] for r in rows}:
+        for j, f in ((1, "a"), (2, "b")):
+            x = [r[j] for r in rows if r[0] == g and r[j] is not None]
+            assert ((g, f) in got) == bool(x)
+            if x:
+                assert got[g, f][0] == len(x) and np.allclose(got[g, f][1], np.quantile(x, levels), rtol=1e-12)
+
+
+def test_empty_and_constant_inputs(spark):
+    from custseg.operators import summaries, tiers
+    empty = spark.createDataFrame([], "recency double, frequency double, monetary double")
+    assert prepare.remove_outliers(empty).count() == 0
+    assert prepare.scale_data(empty)[0].count() == 0
+    assert tiers.rfm_tiers(empty).count() == 0
+    assert summaries.density(empty, "recency").count() == 0
+    assert summaries.box_stats(empty, "recency").count() == 0
+    assert summaries.histogram(empty, "recency").agg({"count": "sum"}).first()[0] == 0
+    same = spark.createDataFrame([(1.0, 2.0, 3.0)] * 4, empty.schema)
+    assert prepare.remove_outliers(same).count() == 4
+    assert summaries.density(same, "recency").count() == 0
+    assert summaries.box_stats(same, "recency").first().median == 1.0
+    assert [r["count"] for r in summaries.histogram(same, "recency").collect()] == [4]

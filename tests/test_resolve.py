@@ -147,3 +147,11 @@ def test_low_cutoff_rejected(spark):
     df = spark.createDataFrame([("ab",)], "key string")
     with pytest.raises(ValueError):
         resolve.similar_key_pairs(df, "key", cutoff=80)
+
+
+def test_a_long_shuffled_chain_is_one_component(spark):
+    order = list(range(300))
+    random.Random(3).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "src long, dst long")
+    got = resolve.connected_components(edges).collect()
+    assert len(got) == 300 and {r.component for r in got} == {0}

@@ -62,3 +62,11 @@ def test_flagship_plan_pushes_columns(spark):
     # only the needed orders columns are read
     assert "o_orderpriority" not in plan and "o_orderstatus" not in plan
     assert df.count() > 0
+
+
+def test_totals_below_a_cent_are_kept(spark):
+    rows = [(1, "c", f"2020-01-0{d}", 0.125, True) for d in (1, 2, 3)] + [(2, "d", "2020-01-01", 0.0625, True)]
+    df = spark.createDataFrame(rows, "invoice_num long, customer_id string, date string, total double, is_total boolean")
+    base = rfm.rfm_base(df, date_from="2020-01-01", date_to="2020-12-31")
+    assert {r.customer_id: r.monetary for r in rfm.monetary(base).collect()} == {"c": 0.375, "d": 0.0625}
+    assert rfm.rfm_features(base).first().monetary == 0.375
