@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.hashing import customer_hash
 from ..functions.similarity import lcs
-from ..session import cut_lineage, spread_for_cpu
+from ..session import cut_lineage
 
 
 def _allowed_indel(total_len, cutoff: int):
@@ -64,6 +64,21 @@ def distinct_keys(df: DataFrame, key_col: str) -> DataFrame:
     return cut_lineage(keys.repartition("kid"))
 
 
+#: Classes of characters whose counts bound the distance of two keys.
+CHARACTER_CLASSES = 16
+
+
+def with_character_counts(keys: DataFrame) -> DataFrame:
+    """Adds ``n0 .. n15``: how many characters of ``key`` fall in each class (printable ASCII by code
+    modulo 15, everything else in the last class)."""
+    classes = ["".join(chr(c) for c in range(32, 127) if c % (CHARACTER_CLASSES - 1) == k)
+               for k in range(CHARACTER_CLASSES - 1)]
+    counts = [(F.col("len") - F.length(F.translate("key", chars, ""))).alias(f"n{k}") for k, chars in enumerate(classes)]
+    out = keys.select("*", *counts)
+    known = sum((F.col(f"n{k}") for k in range(1, CHARACTER_CLASSES - 1)), F.col("n0"))
+    return out.withColumn(f"n{CHARACTER_CLASSES - 1}", F.col("len") - known)
+
+
 def prefix_tokens(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
     """(kid, len, bg, occ, rk) for the prefix tokens of every key of length >= 2; ``rk`` is
     the token's 1-based position in the key's globally ordered token list."""
@@ -88,15 +103,24 @@ def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataF
     positions ra and rb, the overlap is at most min(La - ra, Lb - rb) (tokens left from
     there on); later shared tokens give smaller bounds. A row whose bound is below the
     pair's required overlap is dropped; a matching pair always keeps its first shared token.
+
+    Count filter: every insertion or deletion changes one character count by one, so two keys
+    whose counts per class differ by more than the allowed indel distance in sum cannot match.
     """
-    p = prefix_tokens(keys, cutoff)
-    a = p.select(F.col("kid").alias("ka"), F.col("len").alias("la"), F.col("rk").alias("ra"), "bg", "occ")
-    b = p.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), F.col("rk").alias("rb"), "bg", "occ")
+    counts = [f"n{k}" for k in range(CHARACTER_CLASSES)]
+    p = prefix_tokens(keys, cutoff).join(with_character_counts(keys).select("kid", *counts), "kid")
+    p = cut_lineage(p)      # both sides of the join read it
+    a = p.select(F.col("kid").alias("ka"), F.col("len").alias("la"), F.col("rk").alias("ra"), "bg", "occ",
+                 *[F.col(c).alias(f"a_{c}") for c in counts])
+    b = p.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), F.col("rk").alias("rb"), "bg", "occ",
+                 *[F.col(c).alias(f"b_{c}") for c in counts])
+    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in counts[1:]), F.abs(F.col("a_n0") - F.col("b_n0")))
     lo, hi = F.least("la", "lb"), F.greatest("la", "lb")
     need = hi - 1 - 2 * _allowed_indel(F.col("la") + F.col("lb"), cutoff)
     bound = F.least(F.col("la") - F.col("ra"), F.col("lb") - F.col("rb"))
     return (a.join(b, ["bg", "occ"])
-            .where((F.col("ka") < F.col("kb")) & (cutoff * hi <= (200 - cutoff) * lo) & (bound >= need))
+            .where((F.col("ka") < F.col("kb")) & (cutoff * hi <= (200 - cutoff) * lo) & (bound >= need)
+                   & (apart <= _allowed_indel(F.col("la") + F.col("lb"), cutoff)))
             .select("ka", "la", "kb", "lb").distinct())
 
 
@@ -113,7 +137,7 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
     ka = keys.select(F.col("kid").alias("ka"), F.col("key").alias("key_a"))
     kb = keys.select(F.col("kid").alias("kb"), F.col("key").alias("key_b"))
     total = F.col("la") + F.col("lb")
-    pairs = (spread_for_cpu(cand).join(ka, "ka").join(kb, "kb")
+    pairs = (cand.join(ka, "ka").join(kb, "kb")
              .where(F.call_function("levenshtein", F.col("key_a"), F.col("key_b"),
                                     _allowed_indel(total, cutoff)) >= 0))
     scored = (pairs.withColumn("lcs", lcs(F.col("key_a"), F.col("key_b")))

@@ -1,4 +1,4 @@
-"""Session helpers: a tuned SparkSession, the shared checkpoint folder, partition sizing."""
+"""Session helpers: a tuned SparkSession, the shared checkpoint folder, written intermediate tables."""
 
 from __future__ import annotations
 
@@ -63,34 +63,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable, survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_for_cpu(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Round-robin repartition before a CPU-heavy stage (UDF, numpy kernels).
-
-    AQE coalesces shuffles that are small in bytes into few partitions; for rows that are
-    cheap to move but expensive to process (string alignment, distance blocks) that would
-    leave most cores idle. An explicit partition count is not coalesced by AQE.
-    """
-    sc = df.sparkSession.sparkContext
-    return df.repartition(max(1, sc.defaultParallelism * per_core))
-
-
-def spread_if_narrow(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Repartition only when ``df`` has fewer partitions than the cluster has cores (a few
-    large files); on a wide scan this is a no-op, so no shuffle is added at scale."""
-    sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() < sc.defaultParallelism:
-        return df.repartition(sc.defaultParallelism * per_core)
-    return df
-
-
-def right_size(df: DataFrame, rows_per_partition: int = 500_000, n_rows: int | None = None) -> DataFrame:
-    """Coalesce an iterative algorithm's input to about one partition per
-    ``rows_per_partition`` rows (at most two per core): each iteration is a job, and
-    fewer, fuller tasks per iteration cut the scheduling overhead."""
-    import math
-    sc = df.sparkSession.sparkContext
-    n = df.count() if n_rows is None else n_rows
-    target = max(1, min(2 * sc.defaultParallelism, math.ceil(n / rows_per_partition)))
-    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,9 +63,8 @@ def read_raw_lines(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE
     reader = spark.read.format("text").option("pathGlobFilter", _glob_for(list(suffixes or [])))
     try:
         raw = reader.load(data_dir)
-    except Exception as e:  # noqa: BLE001 - Spark raises on an empty listing
-        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Path does not exist" in str(e) \
-                or "PATH_NOT_FOUND" in str(e) or "empty" in str(e).lower():
+    except AnalysisException as e:
+        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise EmptyInputError(f"no file matching {suffixes} in {data_dir}") from e
         raise
     if not raw.inputFiles():
@@ -78,10 +78,12 @@ def read_raw_lines(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE
     lines = with_ord.select(
         "file", F.struct("file", "block", "row").alias("ordinal"),
         decode_line(F.col("value"), encoding).alias("line"))
-    # first line of each file = smallest ordinal per file (partial aggregation, one row per file)
-    heads = lines.groupBy("file").agg(F.min("ordinal").alias("_head"))
-    return (lines.join(heads, "file", "left")
-            .select("file", "ordinal", (F.col("ordinal") == F.col("_head")).alias("is_file_header"),
+    # first line of each file = smallest ordinal in its first block; one row per file, and the driver
+    # already holds the list of files, so the table is small enough to broadcast
+    heads = lines.where(F.col("ordinal.block") == 0).groupBy("file").agg(F.min("ordinal.row").alias("_head"))
+    return (lines.join(F.broadcast(heads), "file", "left")
+            .select("file", "ordinal",
+                    ((F.col("ordinal.block") == 0) & (F.col("ordinal.row") == F.col("_head"))).alias("is_file_header"),
                     "line"))
 
 
