@@ -3,39 +3,39 @@
 from __future__ import annotations
 
 import hashlib
-import itertools
-import re
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from custseg.operators.resolve import connected_components
 from custseg.session import materialise
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 #: Shingle length, permutations and values per band. 80 permutations give 160 values in 40 bands
 #: of 4: two sets of similarity 0.75 share none of their bands with probability
 #: (1 - 0.75^4)^40 < 3e-7 (min and max of a permutation fall into different bands).
 SHINGLE, PERMUTATIONS, BAND = 5, 80, 4
 #: Shingles hashed at once under all permutations; bounds a task's memory for long texts.
-CHUNK = 16_384
+CHUNK = 2_048
+#: Pairs of representatives compared in one task.
+BLOCK_PAIRS = 2_000
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.translate(LOWER)) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """Words between white space, A-Z in lower case: exactly what bytes' own methods do."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def shingles(words: list[str], size: int = SHINGLE) -> np.ndarray:
+def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """Distinct shingles of ``words`` as sorted 64-bit hashes; fewer words than ``size`` make one."""
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < size:
-        return np.array([xxhash.xxh3_64_intdigest(" ".join(words))], np.uint64)
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64)
     one = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = len(words) - size + 1
     out = np.zeros(n, np.uint64)
@@ -48,21 +48,21 @@ def shingles(words: list[str], size: int = SHINGLE) -> np.ndarray:
 
 def multipliers(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    draw = rng.integers(1, 1 << 63, size=(2, count), dtype=np.uint64)
-    return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
+    draw = rng.integers(0, 1 << 32, size=(2, count, 1), dtype=np.uint32)
+    return draw[0] | np.uint32(1), draw[1]
 
 
 def min_max(sets: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The minimum and the maximum of ``sets`` under every permutation x -> a x + b, of which the
-    upper 32 bits are compared: ``[min_0 .. min_p, max_0 .. max_p]``."""
+    """The minimum and the maximum of ``sets`` under every permutation x -> a x + b modulo 2**32 of their
+    upper halves: ``[min_0 .. min_p, max_0 .. max_p]``."""
+    values = (sets >> np.uint64(32)).astype(np.uint32)
     low = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
     high = np.zeros(len(a), np.uint32)
-    for at in range(0, len(sets), CHUNK):
-        part = sets[at:at + CHUNK]
-        for k in range(len(a)):
-            h = ((part * a[k] + b[k]) >> np.uint64(32)).astype(np.uint32)
-            low[k] = min(low[k], h.min())
-            high[k] = max(high[k], h.max())
+    for at in range(0, len(values), CHUNK):
+        h = values[at:at + CHUNK] * a
+        h += b
+        np.minimum(low, h.min(1), out=low)
+        np.maximum(high, h.max(1), out=high)
     return np.concatenate([low, high])
 
 
@@ -118,20 +118,74 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, permutations: int =
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full sets meet ``100 * intersection >= percent * union``."""
-    @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
-        return pd.Series(out)
-
-    left = sets.select(F.col("uid").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("uid").alias("b"), F.col("grams").alias("grams_b"))
-    return (pairs.join(left, "a").join(right, "b")
-            .filter(similar("grams_a", "grams_b")).select("a", "b"))
+    """The (a, b) of ``pairs`` (pivot, member, a, b) whose full sets meet
+    ``100 * intersection >= percent * union``.
+
+    Pairs are dealt to blocks by their member; a block gets each set it needs once, however many
+    members a pivot is compared with.
+    """
+    blocks = max(1, math.ceil(pairs.count() / BLOCK_PAIRS))
+    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("member"), F.lit(blocks)))
+    needed = dealt.select(F.col("block").alias("at"), F.explode(F.array("pivot", "member")).alias("set")).distinct() \
+        .join(sets, F.col("set") == F.col("uid")).select(F.col("at"), F.col("set"), "grams")
+
+    def compare(asked: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        known = {u: np.frombuffer(g, np.uint64) for u, g in zip(found["set"], found["grams"])}
+        hits = []
+        for pivot, part in asked.groupby("pivot", sort=False):
+            one = known[pivot]
+            for a, b, member in zip(part["a"], part["b"], part["member"]):
+                two = known[member]
+                at = np.minimum(np.searchsorted(one, two), len(one) - 1)
+                both = int((one[at] == two).sum())
+                if 100 * both >= percent * (len(one) + len(two) - both):
+                    hits.append((a, b))
+        return pd.DataFrame(hits, columns=["a", "b"])
+
+    return dealt.groupBy("block").cogroup(needed.groupBy("at")).applyInPandas(compare, "a long, b long")
+
+
+def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, member, a, b) of ``rows`` (uid, n, class) in different classes that can be similar.
+
+    Prefix filter (Xiao et al., PPJoin): with shingles in one order, rarest first, two similar sets
+    share a shingle among the first ``n - ceil(t n)`` + 1 of the larger and the first
+    ``n - ceil(2 t n / (1 + t))`` + 1 of the smaller one. Sets that were edited in more places than a
+    link allows begin with shingles of their own and meet nothing, so groups of copies that are
+    not alike enough are ruled out without looking at their pairs. No similar pair is lost.
+    """
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at:at + 256]
+                grams = [np.frombuffer(g, np.int64) for g in part["grams"]]
+                sizes = [len(g) for g in grams]
+                yield pd.DataFrame({"uid": np.repeat(part["uid"].to_numpy(), sizes), "n": np.repeat(sizes, sizes),
+                                    "class": np.repeat(part["class"].to_numpy(), sizes), "token": np.concatenate(grams)})
+
+    tokens = materialise(rows.select("uid", "class").join(sets, "uid").mapInPandas(
+        explode, "uid long, n long, class long, token long"), "minhash_tokens")
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("uid")
+    # shingles that no other set has come first and cannot be shared: they only take places
+    place = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1
+    ordered = tokens.join(common, "token").select("uid", "n", "class", "token", place.alias("place"))
+    probe = ordered.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+    probe = materialise(probe.withColumn("short", F.col("place") <= F.col("n")
+                                         - F.ceil(F.col("n") * (2 * percent) / (100 + percent))), "minhash_prefixes")
+    shared = probe.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"),
+                                        F.max("short").alias("met")).filter("low < high AND met").select("token")
+    probe = probe.join(shared, "token")
+    index = probe.filter("short").select(F.col("uid").alias("small"), F.col("n").alias("small_n"),
+                                         F.col("class").alias("small_class"), F.col("place").alias("small_place"), "token")
+    # position filter: from a pair's first shared shingle on, what is left must reach the overlap
+    left = F.least(F.col("n") - F.col("place"), F.col("small_n") - F.col("small_place"))
+    found = probe.join(index, "token").filter(
+        (F.col("class") != F.col("small_class")) & (F.col("small_n") * 100 >= F.col("n") * percent)
+        & (left * (100 + percent) >= (F.col("n") + F.col("small_n")) * percent)
+        & ((F.col("small_n") < F.col("n")) | ((F.col("small_n") == F.col("n")) & (F.col("small") < F.col("uid")))))
+    return found.select(F.col("small").alias("pivot"), F.col("uid").alias("member"), F.least("small", "uid").alias("a"),
+                        F.greatest("small", "uid").alias("b")).dropDuplicates(["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -148,10 +202,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     2. Rows with equal sets collapse to one representative by a map-side combined aggregate, so a
        hot group of copies costs one row from there on.
     3. Representatives that share a band are candidates. A band's bucket is not expanded into
-       pairs: in round r its open members are compared with 2**r pivots among them, unless both
-       are in one class already. A pivot is settled after its round, being compared with all
-       others, and a bucket is done once its open members lie in one class. Copies of one text
-       are thus settled by one pivot; nothing is capped, and no link between classes is lost.
+       pairs: its members are compared with one pivot, the member that shares bands with the most
+       others (in a group of edited copies that is the original, like all of them where they are
+       unlike one another), which joins most of them to one class. What still lies in different
+       classes of one bucket goes through an exact prefix filter, and the pairs it leaves are
+       compared. Nothing is capped, and no link between classes is lost.
     4. Only representatives in some bucket of two or more get their sets built for the comparison.
 
     Null or empty texts: 0 shingles, own class, kept. Null identifiers: a class is named by the
@@ -166,36 +221,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = rows.select("uid", "bands").join(reps.select("uid", "n"), "uid") \
         .select("uid", "n", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = materialise(banded.join(shared.select("bucket"), "bucket"), "minhash_buckets")
+    members = materialise(banded.join(shared, "bucket"), "minhash_buckets")
+    degrees = members.groupBy("uid").agg((-F.sum("members")).alias("order"))
+    members = materialise(members.drop("members").join(degrees, "uid"), "minhash_members")
     sets = materialise(_sets(docs, id_col, text_col, reps.join(members.select("uid").distinct(), "uid")),
                        "minhash_sets")
 
-    links = done = None
-    members = members.withColumn("class", F.col("uid"))
-    for turn in itertools.count():
-        part = F.pmod(F.xxhash64("uid", F.lit(turn)), F.lit(2 ** turn))
-        pivots = members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("uid", "n", "class")).alias("p")) \
-            .select("bucket", F.col("p.uid").alias("pivot"), F.col("p.n").alias("pivot_n"),
-                    F.col("p.class").alias("pivot_class"))
-        pairs = (members.join(pivots, "bucket").filter("class != pivot_class")
-                 .filter(F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent)
-                 .select(F.least("uid", "pivot").alias("a"), F.greatest("uid", "pivot").alias("b")).distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "minhash_pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        found = materialise(_confirmed(pairs, sets, percent), "minhash_links")
-        links = found if links is None else links.unionByName(found)
-        classes = materialise(connected_components(links, "a", "b"), "minhash_classes")
-        rest = (members.drop("class")
-                .join(pivots.select("bucket", F.col("pivot").alias("uid")), ["bucket", "uid"], "left_anti")
-                .join(classes.select(F.col("node").alias("uid"), F.col("component").alias("class")), "uid", "left")
-                .withColumn("class", F.coalesce("class", "uid")))
-        mixed = rest.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
-            .filter("low < high").select("bucket")
-        members = materialise(rest.join(mixed, "bucket"), "minhash_open")
-        if members.isEmpty():
-            break
+    # one pivot per bucket: the member that shares bands with the most others
+    pivots = members.groupBy("bucket").agg(F.min(F.struct("order", "uid", "n")).alias("p")) \
+        .select("bucket", F.col("p.uid").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    stars = (members.join(pivots, "bucket").filter("uid != pivot")
+             .filter(F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent)
+             .select("pivot", F.col("uid").alias("member"), F.least("uid", "pivot").alias("a"),
+                     F.greatest("uid", "pivot").alias("b")).dropDuplicates(["a", "b"]))
+    stars = materialise(stars, "minhash_pairs")
+    links = materialise(_confirmed(stars, sets, percent), "minhash_links")
+    classes = materialise(connected_components(links, "a", "b"), "minhash_classes")
+
+    # what still lies in different classes of one bucket
+    named = members.join(classes.select(F.col("node").alias("uid"), F.col("component").alias("class")), "uid", "left") \
+        .withColumn("class", F.coalesce("class", "uid"))
+    mixed = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")) \
+        .filter("low < high").select("bucket")
+    unsettled = materialise(named.join(mixed, "bucket").select("uid", "n", "class").distinct(), "minhash_open")
+    rest = _prefix_pairs(unsettled, sets, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = materialise(rest, "minhash_pairs")
+    more = materialise(_confirmed(rest, sets, percent), "minhash_links")
+    classes = materialise(connected_components(links.unionByName(more), "a", "b"), "minhash_classes")
 
     class_of = reps.join(classes, F.col("uid") == F.col("node"), "left") \
         .select("content", F.coalesce("component", "uid").alias("class"))
