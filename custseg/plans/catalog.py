@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..operators import rfm
 from ..session import materialise
+from ..sources import raw_text as RT
 from ..sources import tables as T
+from .cleaning import clean_rows
 
 # Parameters of the test-table queries (chosen once; the same in Spark and in SQL).
 EXCLUDED_PARTS = [7, 42, 111, 200, 333, 1109]
@@ -213,30 +215,98 @@ def q_line_normalise(spark, sf_dir):
                         F.size(fields).alias("n_fields"))
 
 
-@register("ragged_rows", f"""
-WITH l AS (
-  SELECT doc_id, unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no,
+SQL_LINES = f"""l AS (
+  SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 12, '0') AS file,
+         unnest(generate_series(0, len(string_split(text, chr(10))) - 1)) AS line_no,
          unnest(string_split(text, chr(10))) AS raw
   FROM documents),
-f AS (SELECT doc_id, line_no, len(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}')) AS n FROM l),
-h AS (SELECT doc_id, n AS n_header FROM f WHERE line_no = 0)
-SELECT f.doc_id, CAST(max(h.n_header) AS INTEGER) AS n_columns, count(*) AS n_lines,
-       count(*) FILTER (WHERE line_no > 0 AND n = h.n_header) AS kept,
-       count(*) FILTER (WHERE line_no > 0 AND n <> h.n_header) AS removed
-FROM f JOIN h USING (doc_id) GROUP BY f.doc_id""")
+f AS (SELECT file, line_no, {_sql_norm_line("raw")} AS line,
+             len(string_split({_sql_norm_line("raw")}, '{LINE_SEP_FOR_TEST}')) AS n FROM l),
+h AS (SELECT n AS n_header FROM f WHERE line_no = 0 ORDER BY file LIMIT 1)"""
+
+
+@register("ragged_rows", "WITH " + SQL_LINES + """
+SELECT file, any_value(n_header) AS n_columns, count(*) FILTER (WHERE n = n_header) AS kept,
+       count(*) FILTER (WHERE n <> n_header) AS removed
+FROM f, h WHERE line_no > 0 GROUP BY file""")
 def q_ragged_rows(spark, sf_dir):
-    """Per document (= one export file): header width, kept and quarantined data lines.
-    Computed inside each row with array functions: no explode, no shuffle."""
-    d = T.read_table(spark, sf_dir, "documents")
-    lines = F.split("text", "\n", -1)
-    width = lambda l: F.size(TX.split_fields(TX.normalise_line(l), LINE_SEP_FOR_TEST))
-    n_header = width(F.get(lines, 0))
-    data = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1)))
-    data = F.when(F.size(lines) > 1, data).otherwise(F.array().cast("array<string>"))
-    kept = F.size(F.filter(data, lambda l: width(l) == n_header))
-    return d.select("doc_id", n_header.alias("n_columns"), F.size(lines).cast("long").alias("n_lines"),
-                    kept.cast("long").alias("kept"),
-                    (F.size(data) - kept).cast("long").alias("removed"))
+    """Per document (= one export file): data lines kept and quarantined against the first file's header."""
+    export = RT.export_of_lines(T.document_lines(spark, sf_dir), sep=LINE_SEP_FOR_TEST)
+    width = export.header.select("n_fields").first()
+    both = export.rows.select("file", F.lit(1).alias("k")).unionByName(export.quarantine.select("file", F.lit(0).alias("k")))
+    return both.groupBy("file").agg(F.sum("k").alias("kept"), F.sum(1 - F.col("k")).alias("removed")) \
+        .withColumn("n_columns", F.lit(width["n_fields"] if width else 0).cast("long"))
+
+
+@register("header_rows", "WITH " + SQL_LINES + """
+SELECT file, line, n AS n_fields, file = (SELECT min(file) FROM f) AS is_first FROM f WHERE line_no = 0""")
+def q_header_rows(spark, sf_dir):
+    """Every file's header line, normalised, and which of them names the columns."""
+    lines = T.document_lines(spark, sf_dir)
+    first = RT.export_of_lines(lines, sep=LINE_SEP_FOR_TEST).header.select(F.col("file").alias("_first"))
+    heads = RT.split_lines(lines.where("is_file_header"), sep=LINE_SEP_FOR_TEST)
+    return heads.join(F.broadcast(first), F.col("file") == F.col("_first"), "left").select(
+        "file", TX.normalise_line("line").alias("line"), F.col("n_fields").cast("long").alias("n_fields"),
+        F.col("_first").isNotNull().alias("is_first"))
+
+
+def typed_invoice_rows(spark, sf_dir):
+    return RT.split_lines(T.invoice_lines(spark, sf_dir))
+
+
+SQL_INVOICES = """
+cu AS (SELECT o.*, c.c_name, c.c_mktsegment FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+inv AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, c_name, c_mktsegment, NULL AS item_id, true AS is_total,
+         CAST(NULL AS DOUBLE) AS amount, CAST(NULL AS DOUBLE) AS price,
+         CASE WHEN o_custkey % 2 = 1 THEN -o_totalprice ELSE o_totalprice END AS total
+  FROM cu
+  UNION ALL
+  SELECT o_orderkey, o_custkey, o_orderdate, c_name, c_mktsegment, CAST(l_partkey AS VARCHAR), NULL,
+         l_quantity, l_extendedprice, NULL
+  FROM cu JOIN lineitem ON l_orderkey = o_orderkey)"""
+
+
+@register("typed_rows", "WITH " + SQL_INVOICES + """
+SELECT strftime(o_orderdate, '%d.%m.%Y') AS date, CAST(o_orderkey AS VARCHAR) AS invoice_num,
+       CAST(o_custkey AS VARCHAR) || ' - ' || coalesce(c_name, '?') AS name, c_mktsegment AS manufacturer, item_id,
+       CASE WHEN is_total THEN '-SPLITTEN-' END AS is_total, round(amount, 2) AS amount, round(price, 2) AS price,
+       round(total, 2) AS total, 0.0 AS balance
+FROM inv""")
+def q_typed_rows(spark, sf_dir):
+    """The rendered export, split and typed again: text, missing strings and locale numbers."""
+    t = RT.typed_invoices(typed_invoice_rows(spark, sf_dir))
+    return t.select("date", "invoice_num", "name", "manufacturer", "item_id", "is_total",
+                    *[F.round(c, 2).alias(c) for c in ("amount", "price", "total", "balance")])
+
+
+@register("clean_invoices", "WITH " + SQL_INVOICES + """
+SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey AS VARCHAR) AS invoice_num,
+       CASE WHEN o_custkey % 5 <> 0 THEN substr(sha1('LP ' || CAST(o_custkey % 97 AS VARCHAR)), 1, 16) END AS license_plate,
+       substr(sha1('V' || CAST(o_orderkey AS VARCHAR)), 1, 20) AS vin, item_id, is_total,
+       round(-amount, 2) AS amount, round(abs(total), 2) AS total, CAST(o_custkey AS VARCHAR) AS customer_number
+FROM inv WHERE o_custkey <> 10""")
+def q_clean_invoices(spark, sf_dir):
+    """Dates, flags, hashed vehicles, signs, customer number, walk-in account dropped."""
+    c = clean.exclude_walk_in(clean_rows(typed_invoice_rows(spark, sf_dir)))
+    c = clean.customer_privacy(c)
+    return c.select("date", "invoice_num", "license_plate", "vin", "item_id", "is_total",
+                    F.round("amount", 2).alias("amount"), F.round("total", 2).alias("total"), "customer_number")
+
+
+@register("rfm_from_invoices", "WITH " + SQL_INVOICES + f""",
+bad AS (SELECT DISTINCT o_orderkey FROM inv WHERE item_id IN ({", ".join(f"'{p}'" for p in EXCLUDED_PARTS)})),
+vis AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderdate AS DATE) AS date, sum(abs(total)) AS total
+        FROM inv WHERE is_total AND o_custkey <> 10 AND o_orderkey NOT IN (SELECT o_orderkey FROM bad)
+          AND CAST(o_orderdate AS DATE) BETWEEN DATE '{WINDOW_FROM}' AND DATE '{WINDOW_TO}' GROUP BY 1, 2)
+SELECT customer_id, CAST(date_diff('day', max(date), (SELECT max(date) FROM vis)) AS INTEGER) AS recency,
+       count(*) AS frequency, round(sum(total), 6) AS monetary
+FROM vis GROUP BY 1 HAVING count(*) <> 1""")
+def q_rfm_from_invoices(spark, sf_dir):
+    """Cleaned rows -> RFM; item and total rows stand in one table, so excluded items remove invoices."""
+    c = clean.exclude_walk_in(clean_rows(typed_invoice_rows(spark, sf_dir)))
+    out = rfm.rfm_from_invoices(c, WINDOW_FROM, WINDOW_TO, [str(p) for p in EXCLUDED_PARTS], customer_col="customer_number")
+    return out.withColumn("monetary", F.round("monetary", 6))
 
 
 @register("parse_locale", """

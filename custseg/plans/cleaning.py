@@ -31,9 +31,7 @@ def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_
     """``grouping``: ``components`` (transitive groups, the stated intent) or ``ordered``
     (the source pipeline's order-dependent groups, where later groups take members)."""
     export = raw_text.read_raw_export(spark, data_dir, suffixes, encoding, strip)
-    typed = raw_text.typed_invoices(export.rows, strict_numbers)
-    df = clean.clean_amounts(clean.vehicle_privacy(clean.convert_types(typed)))
-    df = clean.split_customer_name(df)
+    df = clean_rows(export.rows, strict_numbers)
     customers = customer_ids(df, use_repaired_address, cutoff, grouping)
     kept = clean.exclude_walk_in(df)
     joined = kept.join(customers.select("customer_number", "customer_id"), "customer_number", "left")
@@ -45,6 +43,13 @@ def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_
     return CleanResult(out.select(*cols), export.quarantine, customers)
 
 
+def clean_rows(rows: DataFrame, strict_numbers: bool = True) -> DataFrame:
+    """Split export rows (ordinal, fields) -> typed rows with dates, flags, hashed vehicles, signs and
+    the customer number; nothing about other rows is needed, so nothing is shuffled."""
+    df = clean.convert_types(raw_text.typed_invoices(rows, strict_numbers))
+    return clean.split_customer_name(clean.clean_amounts(clean.vehicle_privacy(df)))
+
+
 def customer_ids(df: DataFrame, use_repaired_address: bool = False,
                  cutoff: int = C.SIMILARITY_CUTOFF, grouping: str = "components") -> DataFrame:
     """customer_number -> customer_id: the first row per number (file order), its match key,

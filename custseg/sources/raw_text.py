@@ -103,14 +103,20 @@ class RawExport:
 def read_raw_export(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_SUFFIXES),
                     encoding: str = C.RAW_ENCODING, strip: str = "both") -> RawExport:
     """Scan, drop every file's header (keeping the first file's), split, separate ragged rows."""
-    lines = split_lines(read_raw_lines(spark, data_dir, suffixes, encoding), strip)
+    return export_of_lines(read_raw_lines(spark, data_dir, suffixes, encoding), strip)
+
+
+def export_of_lines(lines: DataFrame, strip: str = "both", sep: str = C.FIELD_SEPARATOR) -> RawExport:
+    """The export that ``lines`` (file, ordinal, is_file_header, line) hold. The first file's header is
+    read once; its width is a literal of the filters, so rows and quarantine are one scan each."""
+    lines = split_lines(lines, strip, sep)
     headers = lines.where("is_file_header")
-    first_header = headers.orderBy("ordinal").limit(1)
-    n_header = first_header.select("n_fields").scalar()
+    first = headers.orderBy("ordinal").limit(1)
+    row = first.select("n_fields").first()
+    width = F.lit(row["n_fields"] if row else 0)
     data = lines.where(~F.col("is_file_header"))
-    return RawExport(header=first_header,
-                     rows=data.where(F.col("n_fields") == n_header),
-                     quarantine=data.where(F.col("n_fields") != n_header))
+    return RawExport(header=first, rows=data.where(F.col("n_fields") == width),
+                     quarantine=data.where(F.col("n_fields") != width))
 
 
 def ingest_counts(export: RawExport) -> dict:
