@@ -64,30 +64,29 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     return at, h[at]
 
 
-def suffix_array(data: np.ndarray) -> np.ndarray:
-    """The suffix array of ``data`` by Larsson and Sadakane's refinement: suffixes are sorted by their
-    first 8 bytes; groups of equal rank are then sorted by the rank ``h`` further on, ``h`` doubles,
-    and suffixes that are alone in their group are never touched again."""
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    key = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (n,), (1,)).byteswap()
+def suffix_array(rows: np.ndarray) -> np.ndarray:
+    """The suffix array of ``rows`` (a matrix of symbols; suffixes end with their row) by Larsson and
+    Sadakane's refinement: suffixes are sorted by their first symbol; groups of equal rank are then
+    sorted by the rank ``h`` further on, ``h`` doubles, and suffixes that are alone in their group
+    are never touched again. Equal suffixes stay in the order of their rows."""
+    width = rows.shape[1]
+    n = rows.size
+    key = rows.ravel()
     sa = np.argsort(key, kind="stable")
     first = np.ones(n, bool)
     first[1:] = key[sa[1:]] != key[sa[:-1]]
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n, np.int64)
     start = np.flatnonzero(first)
     rank[sa] = np.repeat(start, np.diff(np.append(start, n)))
-    rank[n] = -1
-    # a zero byte and the end of the data look alike in the key; the next ranks tell them apart
-    h = 1 if n and not data.all() else 8
-    while True:
+    h = 1
+    while h < width:
         slots = np.flatnonzero(~(first & np.append(first[1:], True)))
         if not len(slots):
-            return sa
+            break
         group = sa[slots]
         own = rank[group]
-        then = rank[np.minimum(group + h, n)]
-        order = np.lexsort((then, own))
+        then = np.where(group % width + h < width, rank[np.minimum(group + h, n - 1)], -1)
+        order = np.argsort(own * (n + 1) + then, kind="stable")
         group, own, then = group[order], own[order], then[order]
         sa[slots] = group
         fresh = np.ones(len(slots), bool)
@@ -96,62 +95,87 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         start = np.flatnonzero(fresh)
         rank[group] = np.repeat(slots[start], np.diff(np.append(start, len(slots))))
         h *= 2
+    return sa
 
 
-def common_prefixes(data: np.ndarray, sa: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Kasai's algorithm: for each position the bytes its suffix shares with its predecessor in ``sa``,
-    up to ``depth``. A position's value is at least its left neighbour's less one; the chains that begin
-    at ``starts`` advance together."""
-    n = len(data)
-    before = np.full(n, -1, np.int64)
+def common_prefixes(rows: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """Kasai's algorithm: for each suffix the symbols it shares with its predecessor in ``sa``. A
+    position's value is at least its left neighbour's less one; all rows advance together."""
+    count, width = rows.shape
+    flat = rows.ravel()
+    before = np.full(rows.size, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    shared = np.zeros(n, np.int64)
-    padded = np.concatenate([data, np.zeros(depth + 16, np.uint8)])
-    words = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (n + depth + 8,), (1,))
-    counts = np.diff(np.append(starts, n))
-    carry = np.zeros(len(starts), np.int64)
-    for t in range(int(counts.max(initial=0))):
-        live = np.flatnonzero(counts > t)
-        at = starts[live] + t
+    shared = np.zeros(rows.size, np.int64)
+    carry = np.zeros(count, np.int64)
+    base = np.arange(count) * width
+    for t in range(width):
+        at = base + t
         other = before[at]
-        k = np.maximum(carry[live] - 1, 0)
-        k[other < 0] = 0
-        going = np.flatnonzero((other >= 0) & (k < depth))
+        most = np.where(other >= 0, width - np.maximum(t, other % width), 0)
+        k = np.minimum(np.maximum(carry - 1, 0), most)
+        going = np.flatnonzero(k < most)
         while len(going):
-            x = words[at[going] + k[going]] ^ words[other[going] + k[going]]
-            low = x & (~x + np.uint64(1))
-            same = np.where(x == 0, 8, np.log2(np.maximum(low, np.uint64(1)).astype(float)).astype(np.int64) // 8)
-            k[going] += same
-            going = going[(same == 8) & (k[going] < depth)]
-        k = np.minimum(np.minimum(k, depth), n - np.maximum(at, other))
+            same = flat[at[going] + k[going]] == flat[other[going] + k[going]]
+            going = going[same]
+            k[going] += 1
+            going = going[k[going] < most[going]]
         shared[at] = k
-        carry[live] = k
+        carry = k
     return shared
 
 
-def repeated_windows(slices: list[bytes], where: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """Per slice the window starts (relative to it) whose ``length`` bytes occur at another place.
-    ``where`` names each slice's place; one place seen in two slices is no repeat."""
-    sizes = np.array([len(s) for s in slices], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(slices), np.uint8)
-    none = [np.empty(0, np.int64) for _ in slices]
-    if not len(data):
-        return none
-    sa = suffix_array(data)
-    run = np.cumsum(common_prefixes(data, sa, starts, length)[sa] < length)
-    within = np.arange(len(data)) - np.repeat(starts, sizes)
-    window = within + length <= np.repeat(sizes, sizes)
-    kept = window[sa]
-    sa, run = sa[kept], run[kept]
-    if not len(sa):
-        return none
-    heads = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-    place = (np.repeat(where, sizes) + within)[sa]
-    several = np.minimum.reduceat(place, heads) != np.maximum.reduceat(place, heads)
-    hit = np.zeros(len(data), bool)
-    hit[sa] = np.repeat(several, np.diff(np.append(heads, len(sa))))
-    return [np.flatnonzero(hit[s:s + n]) for s, n in zip(starts, sizes)]
+def aligned_order(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``parts`` (cut or zero-padded to ``width`` bytes) and the bytes each shares with the one
+    before it in that order: from the suffix array of their 8-byte words, in which the parts are the
+    suffixes at their first word, and its common prefixes."""
+    words = -(-width // 8)
+    packed = np.zeros((len(parts), words * 8), np.uint8)
+    for k, part in enumerate(parts):
+        packed[k, :len(part)] = np.frombuffer(part, np.uint8)
+    raw = packed.view(">u8")
+    codes = np.unique(raw, return_inverse=True)[1].reshape(raw.shape).astype(np.int64)
+    sa = suffix_array(codes)
+    shared = common_prefixes(codes, sa)[sa]
+    heads = np.flatnonzero(sa % words == 0)
+    order = sa[heads] // words
+    # between two neighbouring parts the array's smallest common prefix counts
+    lows = np.minimum.reduceat(shared[:heads[-1] + 1], np.append(0, heads[:-1] + 1))
+    whole = np.where(np.arange(len(order)) > 0, lows, 0)
+    lcp = whole * 8
+    some = np.flatnonzero((np.arange(len(order)) > 0) & (whole < words))
+    a, b, w = order[some], order[some - 1], whole[some]
+    differs = packed.reshape(len(parts), words, 8)[a, w] != packed.reshape(len(parts), words, 8)[b, w]
+    lcp[some] += differs.argmax(1)
+    return order, lcp
+
+
+def repeated_offsets(slices: list[bytes], before: np.ndarray, low: np.ndarray, high: np.ndarray,
+                     length: int = LENGTH) -> list[np.ndarray]:
+    """Per slice the offsets ``o`` (from ``low`` to ``high``) for which the ``length`` bytes that start ``o``
+    bytes before its anchor, at ``before``, occur in another slice too.
+
+    Equal windows have their anchor at the same offset, so a window is a stretch of ``o`` bytes left of
+    the anchor and one of ``length - o`` bytes from it on. Both sides are put in order by suffix
+    arrays; stretches of one length are equal within runs whose common prefixes reach that length.
+    """
+    count = len(slices)
+    right_order, right_lcp = aligned_order([s[b:] for s, b in zip(slices, before)], length)
+    left_order, left_lcp = aligned_order([s[:b][::-1] for s, b in zip(slices, before)], length - GRAM)
+    behind = np.array([len(s) for s in slices]) - before
+    hits = np.zeros((count, length - GRAM + 1), bool)
+    right, left = np.empty(count, np.int64), np.empty(count, np.int64)
+    for o in range(int(low.min()), int(high.max()) + 1):
+        rows = np.flatnonzero((low <= o) & (o <= high) & (before >= o) & (behind >= length - o))
+        if len(rows) < 2:
+            continue
+        right[right_order] = np.cumsum(right_lcp < length - o)
+        left[left_order] = np.cumsum(left_lcp < o)
+        key = right[rows] * (count + 1) + left[rows]
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        hits[rows[order[1:][same]], o] = True
+        hits[rows[order[:-1][same]], o] = True
+    return [np.flatnonzero(h) for h in hits]
 
 
 def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -195,8 +219,7 @@ def _slices(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> D
     return joined.select("id", "hash", F.col("w.pos").alias("pos"), F.col("w.gram").alias("gram"),
                          F.col("w.context").alias("context"), start.alias("start"),
                          F.substring("data", (start + 1).cast("int"),
-                                     (F.col("w.pos") + LENGTH - start).cast("int")).alias("bytes")) \
-        .dropDuplicates(["gram", "context"])
+                                     (F.col("w.pos") + LENGTH - start).cast("int")).alias("bytes"))
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,8 +231,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     2. Places whose whole reach (368 bytes before, 400 after the anchor's start) is equal collapse
        by a map-side combined aggregate; more than one place settles every window in it.
     3. Different reaches of one anchor are cut from their documents and dealt to shards of about
-       ``SHARD_BYTES``; a shard's suffix array and common prefixes show the windows that occur at
-       two places.
+       ``SHARD_BYTES``; a shard's suffix arrays (of the 8-byte words to the right and to the left of
+       the anchors) and common prefixes show the windows that occur at two places.
     4. Anchors with more than ``GROUP_SLICES`` different reaches do not fit a shard. Their window
        offsets are searched by splitting them in four: the part of the reach that all
        windows of a class share becomes the key, equal reaches of the class collapse again, and what
@@ -272,20 +295,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _array_repeats(work: DataFrame) -> DataFrame:
-    """``gram, context, low, high``: runs of anchor offsets whose windows the suffix array of their
-    shard shows at two places."""
+    """``gram, context, low, high``: runs of anchor offsets whose windows the suffix arrays of their
+    shard show at two places."""
     total = work.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD_BYTES))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.reset_index(drop=True)
-        document = rows.groupby(["id", "hash"], dropna=False).ngroup().to_numpy(np.int64)
-        windows = repeated_windows(rows["bytes"].tolist(), (document << 34) + rows["start"].to_numpy(np.int64))
-        before = (rows["pos"] - rows["start"]).to_numpy()
+        rows = rows.drop_duplicates(["gram", "context", "low"]).reset_index(drop=True)
+        before = (rows["pos"] - rows["start"]).to_numpy(np.int64)
+        found = repeated_offsets(rows["bytes"].tolist(), before, rows["low"].to_numpy(), rows["high"].to_numpy())
         at, low, high = [], [], []
-        for k, starts in enumerate(windows):
-            offsets = before[k] - starts
-            offsets = np.sort(offsets[(offsets >= 0) & (offsets <= LENGTH - GRAM)])
+        for k, offsets in enumerate(found):
             if len(offsets):
                 for part in np.split(offsets, np.flatnonzero(np.diff(offsets) > 1) + 1):
                     at.append(k)
@@ -295,7 +315,7 @@ def _array_repeats(work: DataFrame) -> DataFrame:
         return pd.DataFrame({"gram": picked["gram"].array, "context": picked["context"].array,
                              "low": low, "high": high})
 
-    return (work.select("id", "hash", "pos", "gram", "context", "start", "bytes",
+    return (work.select("pos", "gram", "context", "start", "bytes", "low", "high",
                         F.pmod(F.xxhash64("key", "low"), F.lit(shards)).alias("shard"))
             .groupBy("shard").applyInPandas(run, "gram long, context long, low int, high int"))
 

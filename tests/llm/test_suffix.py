@@ -12,18 +12,27 @@ from tests.llm.helpers import documents, sentence
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.binary(min_size=1, max_size=120) | st.text(alphabet="ab\x00", min_size=1, max_size=200).map(str.encode),
-       st.lists(st.integers(0, 199), max_size=4))
-def test_suffix_array_and_common_prefixes(data, cuts):
-    array = np.frombuffer(data, np.uint8)
-    sa = suffix.suffix_array(array)
-    assert list(sa) == sorted(range(len(data)), key=lambda i: data[i:])
-    starts = np.array(sorted({0, *[c for c in cuts if c < len(data)]}))
-    shared = suffix.common_prefixes(array, sa, starts, 40)
-    for k in range(1, len(data)):
-        x, y = data[sa[k]:], data[sa[k - 1]:]
-        n = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
-        assert shared[sa[k]] == min(n, 40)
+@given(st.integers(1, 6), st.lists(st.integers(0, 2), min_size=1, max_size=60))
+def test_suffix_array_and_common_prefixes(width, symbols):
+    rows = np.array((symbols * width)[:len(symbols) // width * width or width], np.int64).reshape(-1, width)
+    sa = suffix.suffix_array(rows)
+    text = {i: tuple(rows.ravel()[i:i // width * width + width]) for i in range(rows.size)}
+    assert list(sa) == sorted(text, key=lambda i: (text[i], i))
+    shared = suffix.common_prefixes(rows, sa)
+    for a, b in zip(sa[1:], sa):
+        x, y = text[a], text[b]
+        assert shared[a] == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab\x00", max_size=30).map(str.encode), min_size=1, max_size=12))
+def test_aligned_order(parts):
+    order, lcp = suffix.aligned_order(parts, 30)
+    padded = [p.ljust(32, b"\0") for p in parts]
+    assert [padded[i] for i in order] == sorted(padded)
+    for k in range(1, len(order)):
+        x, y = padded[order[k]], padded[order[k - 1]]
+        assert lcp[k] == next((i for i in range(32) if x[i] != y[i]), 32)
 
 
 def brute(rows):
