@@ -73,11 +73,9 @@ RFM_FEATURES = ["recency", "frequency", "monetary"]
 # Training defaults.
 # ---------------------------------------------------------------------------
 N_QUANTILES = 50
-QUANTILE_SEED = 42
 BOUNDS_THRESHOLD = 1e-7
 IQR_FACTOR = 1.5
 KMEANS_K = 4
-KMEANS_SEED = 42
 KMEANS_MAX_ITER = 300
 KMEANS_TOL = 1e-4
 KMEANS_SWEEP = list(range(1, 15))
@@ -93,7 +91,6 @@ KNN_WEIGHTS = "distance"
 KNN_MAX_POINTS = 200_000
 
 # Segment tiers (declared by the source project, not used by its pipeline).
-RFM_LOOKBACK_YEARS_FOR_TIERS = 3
 RFM_TIERS_PER_FEATURE = {"recency": 4, "frequency": 4, "monetary": 4}
 RFM_SCORE_SEGMENT_GT = {"low": 0, "medium": 3, "high": 6, "top": 8}
 

@@ -46,27 +46,8 @@ def _horner_sql(coefs, r: str) -> str:
     return acc
 
 
-def norm_ppf(p: Column) -> Column:
-    """Inverse of the standard normal CDF (AS241, ~1e-16 relative error).
-    p <= 0 -> -inf, p >= 1 -> +inf, null -> null."""
-    q = p - F.lit(0.5)
-    r1 = F.lit(0.180625) - q * q
-    central = q * _horner(AS241_A, r1) / _horner(AS241_B, r1)
-    tail_p = F.when(q < 0, p).otherwise(F.lit(1.0) - p)
-    r = F.sqrt(-F.log(tail_p))
-    near = _horner(AS241_C, r - F.lit(1.6)) / _horner(AS241_D, r - F.lit(1.6))
-    far = _horner(AS241_E, r - F.lit(5.0)) / _horner(AS241_F, r - F.lit(5.0))
-    tail = F.when(r <= 5.0, near).otherwise(far)
-    tail = F.when(q < 0, -tail).otherwise(tail)
-    return (F.when(p.isNull(), F.lit(None).cast("double"))
-            .when(p <= 0, F.lit(float("-inf")))
-            .when(p >= 1, F.lit(float("inf")))
-            .when(F.abs(q) <= 0.425, central)
-            .otherwise(tail))
-
-
 def ppf_sql(p: str) -> str:
-    """SQL text of :func:`norm_ppf` for the oracle (``p`` is an SQL expression)."""
+    """SQL text of the inverse of the standard normal CDF (AS241) for the oracle; ``p`` is an SQL expression."""
     q = f"({p} - 0.5)"
     r1 = f"(0.180625 - {q} * {q})"
     central = f"({q} * {_horner_sql(AS241_A, r1)} / {_horner_sql(AS241_B, r1)})"
@@ -81,7 +62,8 @@ def ppf_sql(p: str) -> str:
 
 
 def ppf_stages(df, keep: list[str], p_cols: list[str], out_cols: list[str]):
-    """norm_ppf of several columns in two wide projections -> keep + out_cols."""
+    """Inverse of the standard normal CDF (AS241, ~1e-16 relative error) of several columns in two wide
+    projections -> keep + out_cols. p <= 0 -> -inf, p >= 1 -> +inf, null -> null."""
     s1 = []
     for pc in p_cols:
         p = F.col(pc)
@@ -105,30 +87,8 @@ def ppf_stages(df, keep: list[str], p_cols: list[str], out_cols: list[str]):
     return df.select(*keep, *s2)
 
 
-def interp(x: Column, xp: list[float], fp: list[float]) -> Column:
-    """numpy.interp(x, xp, fp) for ascending ``xp`` (ties allowed) as a Column.
-
-    j = (number of xp <= x) - 1 is the rightmost knot not above x; values left of the first
-    knot take fp[0], at or right of the last knot fp[-1]; a value equal to a knot takes that
-    knot's fp; otherwise linear between knots j and j+1.
-    """
-    m = len(xp)
-    xs = F.array(*[F.lit(float(v)) for v in xp])
-    fs = F.array(*[F.lit(float(v)) for v in fp])
-    c = F.size(F.filter(xs, lambda v: v <= x))
-    xj, fj = F.element_at(xs, F.greatest(c, F.lit(1))), F.element_at(fs, F.greatest(c, F.lit(1)))
-    xk = F.element_at(xs, F.least(c + 1, F.lit(m)))
-    fk = F.element_at(fs, F.least(c + 1, F.lit(m)))
-    slope = (fk - fj) / (xk - xj)
-    return (F.when(x.isNull(), F.lit(None).cast("double"))
-            .when(c == 0, F.lit(float(fp[0])))
-            .when(c >= m, F.lit(float(fp[-1])))
-            .when(xj == x, fj)
-            .otherwise(slope * (x - xj) + fj))
-
-
 def interp_sql(x: str, xs: str, fs: str, m: int) -> str:
-    """SQL text of :func:`interp`; ``xs`` and ``fs`` are SQL list expressions of length m."""
+    """SQL text of numpy.interp; ``xs`` and ``fs`` are SQL list expressions of length m."""
     c = f"len(list_filter({xs}, lambda v: v <= {x}))"
     xj, fj = f"({xs})[greatest({c}, 1)]", f"({fs})[greatest({c}, 1)]"
     xk, fk = f"({xs})[least({c} + 1, {m})]", f"({fs})[least({c} + 1, {m})]"
