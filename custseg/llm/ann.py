@@ -38,20 +38,20 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def _pack(limit: float, scale: float):
     """Vectors as bytes for building and walking the graph: extended by one component that gives all of
     them the norm ``limit`` (so the nearest by angle is the one with the largest inner product),
-    and rounded to 8 bits. Final scores never use them."""
+    and rounded to 16 bits. Final scores never use them."""
     @F.pandas_udf("binary")
     def pack(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
             return pd.Series([], dtype=object)
         x = np.array(vectors.tolist(), np.float64)
         extra = np.sqrt(np.maximum(limit - (x * x).sum(1), 0.0))
-        rows = np.rint(np.column_stack([x, extra]) * scale).clip(-127, 127).astype(np.int8)
+        rows = np.rint(np.column_stack([x, extra]) * scale).clip(-32767, 32767).astype(np.int16)
         return pd.Series([r.tobytes() for r in rows])
     return pack
 
 
 def _matrix(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.int8).reshape(len(packed), -1).astype(np.float32)
+    return np.frombuffer(b"".join(packed), np.int16).reshape(len(packed), -1).astype(np.float32) / 256
 
 
 def _best(edges: DataFrame, by: str, other: str, keep: int) -> DataFrame:
@@ -162,8 +162,9 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
         open_ = materialise(open_, "ann_open")
         if open_.isEmpty():
             return near.select("q", F.col("c").alias("node"))
-        reached = (open_.join(edges, F.col("c") == F.col("v")).select("q", F.col("w").alias("c")).distinct()
-                   .join(near.select("q", "c"), ["q", "c"], "left_anti"))
+        reached = open_.join(edges, F.col("c") == F.col("v")).select("q", F.col("w").alias("c"), F.lit(0).alias("seen")) \
+            .unionByName(near.select("q", "c", F.lit(1).alias("seen"))) \
+            .groupBy("q", "c").agg(F.max("seen").alias("seen")).filter("seen = 0").drop("seen")
         done = open_.select("q", "c", F.lit(1).alias("done"))
         kept = near.join(done, ["q", "c"], "left").select("q", "c", "s", F.coalesce("done", "old").alias("old"))
         near = materialise(_best(kept.unionByName(scored(reached).withColumn("old", F.lit(0))), "q", "c", beam), "ann_beam")
@@ -194,7 +195,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     sizes = heads.agg(F.max(norm).alias("limit"), F.min(norm).alias("least"), F.max(peak).alias("peak")).first()
     limit = sizes["limit"] or 1.0
     widest = max(sizes["peak"] or 1.0, math.sqrt(max(limit - (sizes["least"] or 0.0), 0.0)))
-    pack = _pack(limit, 127.0 / widest)
+    pack = _pack(limit, 32767.0 / widest)
     nodes = materialise(heads.select("node", pack("vec").alias("packed")), "ann_nodes")
     edges = neighbour_graph(nodes, **options)
 
