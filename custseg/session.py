@@ -51,12 +51,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Scratch tables of each application that release_scratch() may delete.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder below the shared checkpoint folder and read
-    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters. Folders
+    with ``keep`` outlive ``release_scratch``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not keep:
+        _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the tables that ``materialise`` has written without ``keep``. Call it where nothing
+    lazy reads them any more: between jobs whose results have been written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
