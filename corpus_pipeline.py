@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents through the stages of ``STAGES``, each written and read again."""
+"""The corpus pipeline: documents through the stages of ``STAGES``, each written and read again.
+
+A stage starts when the result of the one before has been written, so it first deletes the scratch
+tables that one has left in the shared folder.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from custseg.llm import catalog, exact, minhash, mixing, packing, toxicity
-from custseg.session import materialise
+from custseg.session import materialise, release_scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,21 +22,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id."""
+    release_scratch(spark)
     return exact.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    release_scratch(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents, repeated or left out so that the sources meet their target weights."""
+    release_scratch(spark)
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens, with their token ids."""
+    release_scratch(spark)
     return packing.pack(docs, catalog.tokenizer_path(), keep_ids=True)
 
 
@@ -55,7 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     as each operator states."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "_"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -21,7 +21,7 @@ def test_stages(spark):
     columns = docs.columns
     kept = {r.doc_id: r for r in docs.collect()}
     for (name, stage) in corpus_pipeline.STAGES:
-        out = materialise(stage(spark, docs, SF), "test")
+        out = materialise(stage(spark, docs, SF), "test", keep=True)
         rows = out.collect()
         if name != "packing":
             assert out.columns == columns
