@@ -20,8 +20,10 @@ LENGTH, GRAM = 400, 32
 GROUP_SLICES = 1_024
 #: Bytes per suffix-array shard on average.
 SHARD_BYTES = 1 << 20
-#: Parts into which a class of window offsets is split.
+#: Parts into which a class of window offsets is split, and the first classes.
 SPLIT = 4
+CLASSES = [(low, min(LENGTH - GRAM, low + -(-(LENGTH - GRAM + 1) // SPLIT) - 1))
+           for low in range(0, LENGTH - GRAM + 1, -(-(LENGTH - GRAM + 1) // SPLIT))]
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -179,8 +181,14 @@ def repeated_offsets(slices: list[bytes], before: np.ndarray, low: np.ndarray, h
 
 
 def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, hash, pos, size, gram, context``: each anchor of each whole text, with a hash of the
-    bytes within reach of a window that holds it."""
+    """``id, hash, pos, size, gram, context, core0 ..``: each anchor of each whole text, with a hash of the
+    bytes within reach of a window that holds it, and per class of window offsets a short hash of the
+    bytes that all windows of the class share (null if none lies in the text)."""
+    def core(data: bytes, p: int, low: int, high: int) -> int | None:
+        if p < low or p - high + LENGTH > len(data):
+            return None
+        return xxhash.xxh32_intdigest(data[p - low:p - high + LENGTH]) - (1 << 31)
+
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
@@ -193,7 +201,9 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                for p in at.tolist()]
                     parts.append(pd.DataFrame({"id": key, "hash": hashed, "pos": at, "size": len(data),
                                                "gram": h.view(np.int64),
-                                               "context": np.array(context, np.uint64).view(np.int64)}))
+                                               "context": np.array(context, np.uint64).view(np.int64),
+                                               **{f"core{j}": pd.array([core(data, p, *c) for p in at.tolist()], "Int32")
+                                                  for j, c in enumerate(CLASSES)}}))
                 if len(parts) >= 500:
                     yield pd.concat(parts)
                     parts = []
@@ -202,7 +212,8 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(find, f"id {kind}, hash long, pos long, size long, gram long, context long")
+    return rows.mapInPandas(find, f"id {kind}, hash long, pos long, size long, gram long, context long, "
+                           + ", ".join(f"core{j} int" for j in range(len(CLASSES))))
 
 
 def _slices(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -230,7 +241,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
        repeats are sought among places with one anchor only, about one in 185 bytes.
     2. Places whose whole reach (368 bytes before, 400 after the anchor's start) is equal collapse
        by a map-side combined aggregate; more than one place settles every window in it.
-    3. Different reaches of one anchor are cut from their documents and dealt to shards of about
+    3. Different reaches of one anchor that share the bytes common to a class of windows (a filter by
+       short hashes, which only drops what cannot match) are cut from their documents and dealt to shards of about
        ``SHARD_BYTES``; a shard's suffix arrays (of the 8-byte words to the right and to the left of
        the anchors) and common prefixes show the windows that occur at two places.
     4. Anchors with more than ``GROUP_SLICES`` different reaches do not fit a shard. Their window
@@ -241,10 +253,18 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = materialise(anchor_rows(docs, id_col, text_col), "suffix_anchors")
     places = found.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"),
-                                                  F.min(F.struct("id", "hash", "pos")).alias("one"))
+                                                  F.min(F.struct("id", "hash", "pos")).alias("one"),
+                                                  *[F.max(f"core{j}").alias(f"core{j}") for j in range(len(CLASSES))])
     places = materialise(places, "suffix_places")
     several = places.groupBy("gram").agg(F.count(F.lit(1)).alias("slices")).filter("slices > 1").select("gram")
-    open_places = places.join(several, "gram").select("one.*", "gram", "context")
+    # a place whose windows share no class's common bytes with another place of the anchor is alone
+    classes = F.explode(F.array(*[F.struct(F.lit(j).alias("class"), F.col(f"core{j}").alias("core"))
+                                  for j in range(len(CLASSES))])).alias("k")
+    cores = places.join(several, "gram").select("gram", "context", classes).select("gram", "context", "k.*") \
+        .filter(F.col("core").isNotNull())
+    met = cores.groupBy("gram", "class", "core").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
+    met = cores.join(met.drop("places"), ["gram", "class", "core"], "left_semi").select("gram", "context").distinct()
+    open_places = places.join(met, ["gram", "context"]).select("one.*", "gram", "context")
     slices = materialise(_slices(docs, id_col, text_col, open_places), "suffix_slices")
 
     reach = LENGTH - GRAM
