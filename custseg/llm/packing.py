@@ -19,9 +19,9 @@ WINDOW = 2048
 #: A queue is served once its deficit reaches this many tokens, so no window is cut to crumbs.
 QUANTUM = 64
 #: Tokens per packing task on average.
-SHARD_TOKENS = 1 << 23
+SHARD_TOKENS = 1 << 22
 #: Words an encoder remembers before it starts afresh, and bytes of text it encodes at a time.
-CACHE_WORDS, SLICE_BYTES = 500_000, 4 << 20
+CACHE_WORDS, SLICE_BYTES = 200_000, 2 << 20
 # Fixed value: the word pattern of the tokenizer file.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words that need the tokenizer itself: control characters, characters beyond the Latin blocks (which
