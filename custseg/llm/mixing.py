@@ -106,8 +106,8 @@ def splitting_tree(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
             named_struct('node', node * 2 + 1, 'q', zip_with(q, left, (x, d) ->
                 named_struct('source_no', x.source_no, 'quota', x.quota - d))))""")
         nodes = nodes.select(F.explode(halves).alias("n")).select("n.node", "n.q")
-        if level % 6 == 5:
-            nodes = nodes.repartition("node")
+        # a plan holds one level: the draws are large expressions, the nodes few small rows
+        nodes = materialise(nodes.repartition("node") if level >= 6 else nodes, "mix_tree")
     return nodes.select(F.col("node").alias("shard"), F.explode("q").alias("x")) \
         .select("shard", "x.source_no", "x.quota").filter("quota > 0")
 
