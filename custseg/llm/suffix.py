@@ -17,7 +17,7 @@ from custseg.session import materialise
 #: Length of a repeated string, and of the grams whose minima anchor it.
 LENGTH, GRAM = 400, 32
 #: Slices a suffix-array group may hold; larger ones are split by longer keys first.
-GROUP_SLICES = 1_024
+GROUP_SLICES = 8_192
 #: Bytes per suffix-array shard on average.
 SHARD_BYTES = 1 << 20
 #: Parts into which a class of window offsets is split, and the first classes.
