@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from custseg.session import materialise
 
@@ -17,8 +18,9 @@ from custseg.session import materialise
 NEIGHBOURS, JOINED, BLOCK, SETTLED = 64, 60, 512, 0.04
 #: Search: nodes a query keeps, and nodes it expands per round.
 BEAM, EXPAND = 96, 24
-#: Entry points of queries that are no nodes themselves.
-ENTRIES = 32
+#: Ratio of the norms in a band of nodes, nodes drawn from a band to enter it by, and those of them
+#: that a query starts at.
+BAND, SAMPLE, ENTRIES = 1.25, 512, 32
 
 
 def inner_product(a: Column, b: Column) -> Column:
@@ -35,23 +37,29 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             .filter(~F.coalesce(odd, F.lit(True))).filter(F.exists("vec", lambda x: x != 0)))
 
 
-def _pack(limit: float, scale: float):
-    """Vectors as bytes for building and walking the graph: extended by one component that gives all of
-    them the norm ``limit`` (so the nearest by angle is the one with the largest inner product),
-    and rounded to 16 bits. Final scores never use them."""
-    @F.pandas_udf("binary")
-    def pack(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        x = np.array(vectors.tolist(), np.float64)
-        extra = np.sqrt(np.maximum(limit - (x * x).sum(1), 0.0))
-        rows = np.rint(np.column_stack([x, extra]) * scale).clip(-32767, 32767).astype(np.int16)
-        return pd.Series([r.tobytes() for r in rows])
-    return pack
+def norm_of(vec: Column) -> Column:
+    """Euclidean norm, free of overflow in the squares."""
+    peak = F.array_max(F.transform(vec, lambda x: F.abs(x.cast("double"))))
+    return peak * F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + (x / peak) * (x / peak)))
+
+
+@F.pandas_udf(BinaryType())
+def _pack(vectors: pd.Series) -> pd.Series:
+    """Directions as bytes for building and walking the graph: a 32-bit factor and 16-bit components, whose
+    product is the unit vector. Every vector has its own factor, so no other one takes its bits.
+    Final scores never use them."""
+    if not len(vectors):
+        return pd.Series([], dtype=object)
+    x = np.array(vectors.tolist(), np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    factor = (1 / np.sqrt((x * x).sum(1)) / 32767).astype(np.float32)
+    rows = np.rint(x * 32767).astype(np.int16)
+    return pd.Series([f.tobytes() + r.tobytes() for f, r in zip(factor, rows)])
 
 
 def _matrix(packed) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.int16).reshape(len(packed), -1).astype(np.float32) / 256
+    raw = np.frombuffer(b"".join(packed), np.int16).reshape(len(packed), -1)
+    return raw[:, 2:].astype(np.float32) * np.ascontiguousarray(raw[:, :2]).view(np.float32)
 
 
 def _best(edges: DataFrame, by: str, other: str, keep: int) -> DataFrame:
@@ -61,8 +69,8 @@ def _best(edges: DataFrame, by: str, other: str, keep: int) -> DataFrame:
     return once.withColumn("place", place).filter(F.col("place") <= keep).drop("place")
 
 
-def _block_graph(nodes: DataFrame, count: int, k: int, block: int, seed: int) -> DataFrame:
-    """The best neighbours within random blocks of about ``block`` nodes."""
+def _block_graph(nodes: DataFrame, bands: DataFrame, k: int, block: int, seed: int) -> DataFrame:
+    """The best neighbours within random blocks of about ``block`` nodes of a band."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         x, ids = _matrix(rows["packed"].tolist()), rows["node"].to_numpy()
         s = x @ x.T
@@ -72,23 +80,24 @@ def _block_graph(nodes: DataFrame, count: int, k: int, block: int, seed: int) ->
         return pd.DataFrame({"v": np.repeat(ids, n), "w": ids[top.ravel()],
                              "s": np.take_along_axis(s, top, 1).ravel()})
 
-    blocks = max(1, round(count / block))
-    dealt = nodes.withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(blocks)))
-    return dealt.groupBy("block").applyInPandas(join, "v long, w long, s float")
+    blocks = bands.select("band", F.greatest(F.lit(1), F.round(F.col("n") / block)).cast("long").alias("blocks"))
+    dealt = nodes.select("node", "packed", "band").join(F.broadcast(blocks), "band") \
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")))
+    return dealt.groupBy("band", "block").applyInPandas(join, "v long, w long, s float")
 
 
-def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, joined: int = JOINED, block: int = BLOCK,
+def neighbour_graph(nodes: DataFrame, bands: DataFrame, k: int = NEIGHBOURS, joined: int = JOINED, block: int = BLOCK,
                     settled: float = SETTLED, seed: int = 5) -> DataFrame:
-    """NN-descent over ``nodes`` (node, packed): edges ``v, w, s``, the ``k`` best found per node.
+    """NN-descent by angle over ``nodes`` (node, packed, band) within each of ``bands`` (band, n): edges
+    ``v, w, s``, the ``k`` best found per node.
 
     Each round joins every neighbourhood: ``joined`` members drawn by hash from a node's neighbours
     and the nodes it is a neighbour of, compared with one another; what beats a member's worst
     neighbour is a candidate edge. The draw bounds a group even at hubs. Rounds end when fewer
     than ``settled`` of all edges are new.
     """
-    count = nodes.count()
     # two draws of blocks: the descent only reaches what the first graph connects
-    first = _block_graph(nodes, count, k, block, seed).unionByName(_block_graph(nodes, count, k, block, seed + 1))
+    first = _block_graph(nodes, bands, k, block, seed).unionByName(_block_graph(nodes, bands, k, block, seed + 1))
     edges = materialise(_best(first.withColumn("old", F.lit(0)), "v", "w", k), "ann_edges")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,22 +137,57 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS, joined: int = JOINED,
             return edges.select("v", "w", "s")
 
 
-def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM, expand: int = EXPAND,
-           entries: int = ENTRIES) -> DataFrame:
-    """Greedy search of the graph: ``queries`` (q, packed, node or null) -> (q, node) of the ``beam``
-    best nodes found.
+def enter(asked: DataFrame, nodes: DataFrame, bands: list[Row], top: int, sample: int = SAMPLE,
+          entries: int = ENTRIES) -> DataFrame:
+    """The bands a query of ``asked`` (a, packed, node) has to search and where it enters them:
+    ``a, band, starts``.
+
+    About ``sample`` nodes of each band, drawn by hash, are compared with every query; the best ``entries`` of
+    a band are where its search starts. A band is left out only if its largest norm is below the
+    score of ``top`` other nodes of the samples (both for a query of norm 1), since no inner
+    product exceeds the norm; the margin covers the rounding of the packed vectors.
+    """
+    share = F.broadcast(nodes.sparkSession.createDataFrame([(r["band"], sample / r["n"]) for r in bands], "band long, p double"))
+    drawn = nodes.join(share, "band").filter(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 40)) < F.col("p") * (1 << 40))
+    known = drawn.select("band", "node", "packed", "norm").orderBy("band", "node").toPandas()
+    largest = {r["band"]: r["largest"] for r in bands}
+    names, norms = known["node"].to_numpy(), known["norm"].to_numpy()
+    packed, of_band = known["packed"].tolist(), known["band"].to_numpy()
+
+    def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        there = _matrix(packed) if packed else None
+        for batch in batches:
+            out = []
+            for at in range(0, len(batch), 1024):
+                part = batch.iloc[at:at + 1024]
+                least = np.full(len(part), -np.inf)
+                near = None
+                if packed:
+                    near = (_matrix(part["packed"].tolist()) @ there.T).astype(np.float64)
+                    sure = (near - 1e-3) * norms
+                    sure[part["node"].to_numpy()[:, None] == names] = -np.inf
+                    if len(names) >= top:
+                        least = -np.partition(-sure, top - 1, axis=1)[:, top - 1]
+                for band, size in largest.items():
+                    here = np.flatnonzero(of_band == band)
+                    best = np.argsort(-near[:, here] * norms[here], axis=1, kind="stable")[:, :entries] if len(here) else None
+                    for row in np.flatnonzero(size * (1 + 1e-6) >= least):
+                        out.append((part["a"].iat[row], band, names[here[best[row]]] if len(here) else []))
+            yield pd.DataFrame(out, columns=["a", "band", "starts"])
+
+    return asked.select("a", "packed", "node").mapInPandas(starts, "a long, band long, starts array<long>")
+
+
+def search(queries: DataFrame, first: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = BEAM,
+           expand: int = EXPAND) -> DataFrame:
+    """Greedy search of the graph: ``queries`` (q, packed), starting at the nodes ``first`` (q, c) of one
+    band -> (q, node) of the ``beam`` nodes found with the largest inner products.
 
-    A query that is a node starts at its own neighbours, others at ``entries`` nodes drawn by hash.
     Each round every query expands its ``expand`` best nodes not yet expanded, scores their neighbours
     and keeps the ``beam`` best; it ends when its ``expand`` best are all expanded. Frontiers, not
     vectors, are what a round ships besides one packed vector per scored node.
     """
-    starts = nodes.orderBy(F.xxhash64("node"), "node").limit(entries).select(F.col("node").alias("c"))
-    own = queries.filter(F.col("node").isNotNull())
-    first = (own.select("q", F.col("node").alias("c"))
-             .unionByName(own.join(edges, F.col("node") == F.col("v")).select("q", F.col("w").alias("c")))
-             .unionByName(queries.filter(F.col("node").isNull()).select("q").join(F.broadcast(starts))))
-    vectors = nodes.select(F.col("node").alias("c"), F.col("packed").alias("there"))
+    vectors = nodes.select(F.col("node").alias("c"), F.col("packed").alias("there"), "weight")
     here = queries.select("q", F.col("packed").alias("here"))
 
     @F.pandas_udf("float")
@@ -153,7 +197,7 @@ def search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, beam: int = B
         return pd.Series(np.einsum("ij,ij->i", _matrix(left.tolist()), _matrix(right.tolist())))
 
     def scored(pairs: DataFrame) -> DataFrame:
-        return pairs.join(vectors, "c").join(here, "q").select("q", "c", similar("here", "there").alias("s"))
+        return pairs.join(vectors, "c").join(here, "q").select("q", "c", (similar("here", "there") * F.col("weight")).alias("s"))
 
     near = materialise(_best(scored(first).withColumn("old", F.lit(0)), "q", "c", beam), "ann_beam")
     while True:
@@ -180,6 +224,9 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     double inner products of the original vectors; ties go to the smaller identifier. With fewer
     candidates than ``top`` all that are found are returned.
 
+    Nodes are dealt to bands of nearly one norm, each with a graph by angle. A query searches every band that
+    can hold one of its nearest, so a vector of any norm is reached through nodes like it.
+
     Vectors null, zero or holding null or non-finite components, and rows with a null identifier,
     take no part; repeated identifiers are rows of their own. Vectors must have one length. An
     empty table gives no rows.
@@ -189,24 +236,32 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     members = rows.withColumn("place", place).filter(F.col("place") <= top + 1).drop("place")
     node_of = F.min("vec_id").over(Window.partitionBy("vec"))
     members = materialise(members.withColumn("node", node_of), "ann_members")
-    heads = members.groupBy("node").agg(F.first("vec").alias("vec"))
-    norm = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    peak = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
-    sizes = heads.agg(F.max(norm).alias("limit"), F.min(norm).alias("least"), F.max(peak).alias("peak")).first()
-    limit = sizes["limit"] or 1.0
-    widest = max(sizes["peak"] or 1.0, math.sqrt(max(limit - (sizes["least"] or 0.0), 0.0)))
-    pack = _pack(limit, 32767.0 / widest)
-    nodes = materialise(heads.select("node", pack("vec").alias("packed")), "ann_nodes")
-    edges = neighbour_graph(nodes, **options)
+    heads = members.groupBy("node").agg(F.first("vec").alias("vec")).withColumn("norm", norm_of(F.col("vec")))
+    limit = heads.agg(F.max("norm")).first()[0] or 1.0
+    band = F.floor(F.log(F.lit(limit) / F.col("norm")) / math.log(BAND)).alias("band")
+    nodes = materialise(heads.select("node", _pack("vec").alias("packed"), "norm", band), "ann_nodes")
+    # few rows: the bands double in norm every three or four
+    known = nodes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("largest")).orderBy("band").collect()
+    bands = nodes.sparkSession.createDataFrame([tuple(r) for r in known], "band long, n long, largest double")
+    edges = neighbour_graph(nodes, bands, **options)
 
     asked = rows.filter(F.col("vec_id") % every == 0)
     heads_of = members.groupBy("vec").agg(F.min("node").alias("node"))
-    asked = materialise(asked.join(heads_of, "vec").select(F.monotonically_increasing_id().alias("q"), "vec_id", "vec", "node",
-                                                          pack("vec").alias("packed")), "ann_queries")
-    found = search(asked.select("q", "packed", "node"), nodes, edges)
-    exact = (found.join(asked.select("q", F.col("vec_id").alias("query_id"), F.col("vec").alias("asked")), "q")
+    asked = materialise(asked.join(heads_of, "vec").select(F.monotonically_increasing_id().alias("a"), "vec_id", "vec", "node",
+                                                          _pack("vec").alias("packed")), "ann_queries")
+    # one search per query and band; in the query's own band it starts at its neighbours as well
+    tours = materialise(enter(asked, nodes, known, top).withColumn("q", F.monotonically_increasing_id()), "ann_tours")
+    own = asked.join(nodes.select("node", "band"), "node").join(tours.select("a", "q", "band"), ["a", "band"]).select("q", "node")
+    first = (own.select("q", F.col("node").alias("c"))
+             .unionByName(own.join(edges, F.col("node") == F.col("v")).select("q", F.col("w").alias("c")))
+             .unionByName(tours.select("q", F.explode("starts").alias("c"))))
+    weighed = nodes.join(F.broadcast(bands.select("band", "largest")), "band") \
+        .select("node", "packed", (F.col("norm") / F.col("largest")).cast("float").alias("weight"))
+    found = search(tours.join(asked.select("a", "packed"), "a").select("q", "packed"), first, weighed, edges)
+    exact = (found.join(tours.select("q", "a"), "q")
+             .join(asked.select("a", F.col("vec_id").alias("query_id"), F.col("vec").alias("asked")), "a")
              .join(members, "node").filter("query_id != vec_id")
-             .select("q", "query_id", "vec_id", inner_product(F.col("asked"), F.col("vec")).alias("score")))
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
+             .select("a", "query_id", "vec_id", inner_product(F.col("asked"), F.col("vec")).alias("score")))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "vec_id"))
     return exact.withColumn("rank", rank).filter(F.col("rank") <= top) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

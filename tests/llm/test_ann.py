@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 
 from custseg.llm import ann
 
@@ -67,3 +68,26 @@ def test_fewer_candidates_and_empty_table(spark):
         [(0, 1, 2), (0, 2, 1)]
     assert ann.nearest(table(spark, [[1, 0]])).count() == 0
     assert ann.nearest(table(spark, [])).count() == 0
+
+
+def spread_recall(spark, n, seed):
+    """Recall on unclustered 64-d vectors of spread norms with one huge outlier."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 64))
+    x *= np.exp(rng.normal(scale=0.5, size=n))[:, None] / np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= 1000 / np.linalg.norm(x[7])
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}), "vec_id long, embedding array<float>")
+    found = {}
+    for r in ann.nearest(frame).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    x = x.astype(np.float32).astype(float)
+    hits = 0
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & found[q])
+    return hits / n
+
+
+def test_recall_with_spread_norms_and_an_outlier(spark):
+    assert spread_recall(spark, 10000, 5) >= 0.95
