@@ -6,6 +6,7 @@ construction; everything with one row per customer stays in Spark.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,6 +106,7 @@ def lloyd(df: DataFrame, features: list[str], starts: dict[int, list[list[float]
     """Lloyd's iterations from each set of ``starts`` (by k), all sets in one job per round: every task
     sums its rows per nearest centre, only those sums are shuffled. A set ends when its centres move
     by no more than ``tol`` times the mean variance (squared); an empty cluster keeps its centre.
+    Sets that ``max_iter`` rounds do not end are named in a warning.
     -> (centres, sum of squared errors) by k. Independent of partitioning but for float rounding."""
     stats = df.agg(*[F.var_pop(f).alias(f) for f in features]).first()
     limit = tol * float(np.mean([v or 0.0 for v in stats]))
@@ -139,6 +141,8 @@ def lloyd(df: DataFrame, features: list[str], starts: dict[int, list[list[float]
             centres[k] = c
             if shift <= limit:
                 open_.discard(k)
+    if open_:
+        warnings.warn(f"K-Means did not converge in {max_iter} rounds for k = {sorted(open_)}", stacklevel=2)
     sse = dict.fromkeys(centres, 0.0)
     for r in round_(centres) if centres else []:
         sse[r["k"]] += r["sse"]

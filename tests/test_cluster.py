@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from custseg.operators import cluster as CU
 
@@ -118,3 +119,38 @@ def test_empty_and_constant_rows(spark):
     same = spark.createDataFrame([(i, 1.0) for i in range(5)], "id long, a double")
     assert {r.cluster for r in CU.kmeans_fit(same, ["a"], k=2)[1].collect()} == {0}
     assert CU.silhouette_squared(CU.kmeans_fit(same, ["a"], k=2)[1], ["a"]).first()[0] is None
+
+
+def _np_lloyd(x, k, max_iter=300, tol=1e-4):
+    chosen = []
+    while len(chosen) < k:
+        c = np.array(chosen or [np.round(x.mean(0), 9)])
+        d = ((x[:, None] - c[None]) ** 2).sum(-1).min(1) * (-1 if chosen else 1)
+        chosen.append(x[np.lexsort((*x.T[::-1], d))[0]])
+    c = np.array(chosen)
+    for _ in range(max_iter):
+        lab = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+        new = np.array([x[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(k)])
+        shift, c = ((new - c) ** 2).sum(), new
+        if shift <= tol * x.var(0).mean():
+            break
+    d = ((x[:, None] - c[None]) ** 2).sum(-1)
+    return d.argmin(1), d.min(1).sum()
+
+
+def test_kmeans_queries_run_to_the_production_tolerance(spark):
+    from custseg.plans import catalog
+    from tests.conftest import SF01
+    rows = catalog.rfm_scaled(spark, SF01).select("customer_id", *catalog.FEATS).toPandas()
+    x = rows[catalog.FEATS].to_numpy(float)
+    sse = {r.k: r.sse for r in catalog.queries()["kmeans_sweep"](spark, SF01).collect()}
+    for k in range(1, 15):
+        assert abs(sse[k] - _np_lloyd(x, k)[1]) < 1e-3, k
+    lab = {r.customer_id: r.cluster for r in catalog.queries()["kmeans_fit"](spark, SF01).collect()}
+    assert [lab[i] for i in rows["customer_id"]] == list(_np_lloyd(x, 4)[0])
+
+
+def test_unconverged_kmeans_warns(spark):
+    df = spark.createDataFrame(_blobs(), "id long, a double, b double, c double")
+    with pytest.warns(UserWarning, match="did not converge in 1 rounds"):
+        CU.kmeans_fit(df, ["a", "b", "c"], k=3, max_iter=1, tol=0.0)
