@@ -184,7 +184,7 @@ def search(queries: DataFrame, first: DataFrame, nodes: DataFrame, edges: DataFr
     band -> (q, node) of the ``beam`` nodes found with the largest inner products.
 
     Each round every query expands its ``expand`` best nodes not yet expanded, scores their neighbours
-    and keeps the ``beam`` best; it ends when its ``expand`` best are all expanded. Frontiers, not
+    and keeps the ``beam`` best; it ends when its whole beam is expanded. Frontiers, not
     vectors, are what a round ships besides one packed vector per scored node.
     """
     vectors = nodes.select(F.col("node").alias("c"), F.col("packed").alias("there"), "weight")
@@ -202,7 +202,7 @@ def search(queries: DataFrame, first: DataFrame, nodes: DataFrame, edges: DataFr
     near = materialise(_best(scored(first).withColumn("old", F.lit(0)), "q", "c", beam), "ann_beam")
     while True:
         rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "c"))
-        open_ = near.withColumn("rank", rank).filter((F.col("rank") <= expand) & (F.col("old") == 0)).select("q", "c")
+        open_ = near.filter("old = 0").withColumn("rank", rank).filter(F.col("rank") <= expand).select("q", "c")
         open_ = materialise(open_, "ann_open")
         if open_.isEmpty():
             return near.select("q", F.col("c").alias("node"))

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from custseg.llm import ann
 
@@ -91,3 +92,17 @@ def spread_recall(spark, n, seed):
 
 def test_recall_with_spread_norms_and_an_outlier(spark):
     assert spread_recall(spark, 10000, 5) >= 0.95
+
+
+def test_search_expands_the_whole_beam(spark):
+    # the best node hangs on the worst of the beam, the other nodes lead nowhere
+    size = 30
+    angle = np.r_[np.linspace(0.5, 1.0, size), 0.1]
+    nodes = spark.createDataFrame(pd.DataFrame({"node": range(size + 1), "vec": np.column_stack([np.cos(angle), np.sin(angle)]).tolist()}),
+                                  "node long, vec array<double>") \
+        .select("node", ann._pack("vec").alias("packed"), F.lit(1.0).cast("float").alias("weight"))
+    edges = spark.createDataFrame([(size - 1, size, 0.0)], "v long, w long, s float")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "q long, vec array<double>").select("q", ann._pack("vec").alias("packed"))
+    first = spark.range(size).select(F.lit(1).cast("long").alias("q"), F.col("id").alias("c"))
+    found = ann.search(queries, first, nodes, edges, beam=size, expand=4).collect()
+    assert size in {r.node for r in found}
