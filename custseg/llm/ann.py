@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -233,10 +234,15 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     """
     rows = usable(vectors, id_col, vec_col)
     place = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
-    members = rows.withColumn("place", place).filter(F.col("place") <= top + 1).drop("place")
-    node_of = F.min("vec_id").over(Window.partitionBy("vec"))
-    members = materialise(members.withColumn("node", node_of), "ann_members")
-    heads = members.groupBy("node").agg(F.first("vec").alias("vec")).withColumn("norm", norm_of(F.col("vec")))
+    copy = F.row_number().over(Window.partitionBy("vec", "vec_id").orderBy("place"))
+    written = materialise(rows.withColumn("place", place).filter(F.col("place") <= top + 1).withColumn("copy", copy),
+                          "ann_members")
+    for naming in itertools.count():  # a node is named by the hash of its vector; the next one if two vectors share it
+        node_of = F.xxhash64("vec", F.lit(naming))
+        members = written.withColumn("node", node_of)
+        if members.filter("place = 1").groupBy("node").count().filter("count > 1").isEmpty():
+            break
+    heads = members.filter("place = 1").select("node", "vec").withColumn("norm", norm_of(F.col("vec")))
     limit = heads.agg(F.max("norm")).first()[0] or 1.0
     band = F.floor(F.log(F.lit(limit) / F.col("norm")) / math.log(BAND)).alias("band")
     nodes = materialise(heads.select("node", _pack("vec").alias("packed"), "norm", band), "ann_nodes")
@@ -246,9 +252,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     edges = neighbour_graph(nodes, bands, **options)
 
     asked = rows.filter(F.col("vec_id") % every == 0)
-    heads_of = members.groupBy("vec").agg(F.min("node").alias("node"))
-    asked = materialise(asked.join(heads_of, "vec").select(F.monotonically_increasing_id().alias("a"), "vec_id", "vec", "node",
-                                                          _pack("vec").alias("packed")), "ann_queries")
+    asked = materialise(asked.select(F.monotonically_increasing_id().alias("a"), "vec_id", "vec", node_of.alias("node"),
+                                     _pack("vec").alias("packed")), "ann_queries")
     # one search per query and band; in the query's own band it starts at its neighbours as well
     tours = materialise(enter(asked, nodes, known, top).withColumn("q", F.monotonically_increasing_id()), "ann_tours")
     own = asked.join(nodes.select("node", "band"), "node").join(tours.select("a", "q", "band"), ["a", "band"]).select("q", "node")
@@ -259,8 +264,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
         .select("node", "packed", (F.col("norm") / F.col("largest")).cast("float").alias("weight"))
     found = search(tours.join(asked.select("a", "packed"), "a").select("q", "packed"), first, weighed, edges)
     exact = (found.join(tours.select("q", "a"), "q")
-             .join(asked.select("a", F.col("vec_id").alias("query_id"), F.col("vec").alias("asked")), "a")
-             .join(members, "node").filter("query_id != vec_id")
+             .join(asked.select("a", F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"), F.col("node").alias("own")), "a")
+             .join(members, "node").filter("NOT (vec_id = query_id AND node = own AND copy = 1)")
              .select("a", "query_id", "vec_id", inner_product(F.col("asked"), F.col("vec")).alias("score")))
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "vec_id"))
     return exact.withColumn("rank", rank).filter(F.col("rank") <= top) \

@@ -106,3 +106,14 @@ def test_search_expands_the_whole_beam(spark):
     first = spark.range(size).select(F.lit(1).cast("long").alias("q"), F.col("id").alias("c"))
     found = ann.search(queries, first, nodes, edges, beam=size, expand=4).collect()
     assert size in {r.node for r in found}
+
+
+def test_repeated_identifiers_are_rows_of_their_own(spark):
+    vectors = [[4, 0], [0, 3], [3, 1], [4, 0], [4, 0]]
+    got = {}
+    for r in ann.nearest(table(spark, vectors, [20, 20, 1, 20, 2])).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == {20}
+    large = [(1, 12.0), (2, 16.0), (20, 0.0), (20, 16.0)]  # of [4, 0], which stands there twice
+    small = [(1, 3.0), (2, 0.0), (20, 0.0), (20, 0.0)]     # of [0, 3]
+    assert sorted(got[20]) == sorted(large * 2 + small)
