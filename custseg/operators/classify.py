@@ -1,9 +1,10 @@
 """Nearest-neighbour classification: deterministic splits, exact KNN, cross-validation,
 evaluation tables.
 
-A model's labelled rows are bounded by one documented parameter, broadcast once as a matrix, and
-every row to classify is compared with all of them in an Arrow-batched column function, in place.
-Distance ties break by the training id.
+Up to ``max_points`` labelled rows are broadcast once as a matrix, and every row to classify is
+compared with all of them in an Arrow-batched column function, in place. More labelled rows are met by
+the exact join of ``knn_join``; both ways give the same neighbours. Distance ties break by the
+training id.
 
 Vote (weights = "distance"): each neighbour votes 1/d for its class; if any of the k
 neighbours is at distance 0, only those vote (weight 1 each). The class with the largest
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from .knn_join import knn_join
 
 
 # ---------------------------------------------------------------------------
@@ -59,8 +61,8 @@ class Points:
 def labelled_points(train: DataFrame, features: list[str] | str, train_id: str, label_col: str,
                     fold_col: str | None = None, max_points: int = C.KNN_MAX_POINTS) -> Points:
     """At most ``max_points`` labelled rows (smallest split key first, then id), with the number of
-    all labelled rows in ``n_labelled``. This is the one bound of the classifier: it limits the
-    points a task holds; what is classified is not bounded."""
+    all labelled rows in ``n_labelled``. The bound limits the points a task holds. Only the scoring of
+    a stream by a larger model uses the points so chosen; tables are joined with all of them."""
     cols = [features] if isinstance(features, str) else list(features)
     rows = train.select(F.col(train_id).alias("_id"), F.col(label_col).cast("int").alias("_label"),
                         (F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("_fold"), *cols) \
@@ -106,11 +108,19 @@ def _votes(x: np.ndarray, points: Points, ks: list[int], folds: np.ndarray | Non
     """The class each ``k`` of ``ks`` votes for, -1 without neighbours: one running sum of weights
     per class over the sorted neighbours serves every k."""
     dist, at = _nearest(x, points, min(max(ks), len(points.x)), folds)
+    return tally(dist, points.labels[at], ks)
+
+
+def tally(dist: np.ndarray, labels: np.ndarray, ks: list[int]) -> np.ndarray:
+    """The class each ``k`` of ``ks`` votes for, given each row's neighbours in order; missing ones are
+    infinitely far."""
     found = np.isfinite(dist)
     zero = dist[:, :1] == 0
     weight = np.where(zero, dist == 0, np.where(found, 1.0 / np.where(dist > 0, dist, 1.0), 0.0))
-    classes = np.unique(points.labels)
-    total = np.cumsum(weight[:, :, None] * (points.labels[at][:, :, None] == classes), axis=1)
+    classes = np.unique(labels[found])
+    if not len(classes):
+        return np.full((len(dist), len(ks)), -1)
+    total = np.cumsum(weight[:, :, None] * (labels[:, :, None] == classes), axis=1)
     picks = [classes[total[:, min(k, total.shape[1]) - 1].argmax(1)] for k in ks]
     return np.where(found[:, :1], np.column_stack(picks), -1)
 
@@ -146,22 +156,48 @@ def votes(points: Points, features: list, ks: list[int], fold_col: str | None =
     return vote(*columns, *([F.col(fold_col)] if fold_col else []))
 
 
+def neighbour_votes(neighbours: str, ks: list[int]) -> Column:
+    """An array column: the class of each row by every k of ``ks`` from a column of ``knn_join`` (null without
+    neighbours)."""
+    most = max(ks)
+
+    @F.pandas_udf("array<int>")
+    def vote(distances: pd.Series, labels: pd.Series) -> pd.Series:
+        dist, label = np.full((len(distances), most), np.inf), np.zeros((len(distances), most), np.int64)
+        for i, (d, c) in enumerate(zip(distances, labels)):
+            dist[i, :len(d[:most])], label[i, :len(c[:most])] = d[:most], c[:most]
+        return pd.Series([[None if c < 0 else c for c in row] if row[0] >= 0 else None
+                          for row in tally(dist, label, ks).tolist()], dtype=object)
+
+    return vote(F.transform(neighbours, lambda n: n["distance"]), F.transform(neighbours, lambda n: n["label"]))
+
+
+def _voted(queries: DataFrame, train: DataFrame, features, ks: list[int], train_id: str, label_col: str,
+           fold_col: str | None, out_col: str, max_points: int) -> DataFrame:
+    """``queries`` with the array of the classes by every k: by broadcast where the labelled rows are at most
+    ``max_points``, by the exact join beyond."""
+    cols = [features] if isinstance(features, str) else list(features)
+    if train.dropna(subset=[label_col, *cols]).count() <= max_points:
+        points = labelled_points(train, features, train_id, label_col, fold_col, max_points)
+        return queries.withColumn(out_col, votes(points, cols, ks, fold_col))
+    near = knn_join(queries, train, features, max(ks), train_id, label_col, fold_col, out_col="_near")
+    return near.withColumn(out_col, neighbour_votes("_near", ks)).drop("_near")
+
+
 def knn_predict(queries: DataFrame, train: DataFrame, features, k: int, train_id: str, label_col: str,
                 out_col: str = "prediction", max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
-    """``queries`` with their class by a distance-weighted vote of the k nearest labelled rows."""
-    points = labelled_points(train, features, train_id, label_col, max_points=max_points)
-    cols = [features] if isinstance(features, str) else list(features)
-    return queries.withColumn(out_col, votes(points, cols, [k])[0])
+    """``queries`` with their class by a distance-weighted vote of the k nearest of all labelled rows."""
+    return _voted(queries, train, features, [k], train_id, label_col, None, out_col, max_points) \
+        .withColumn(out_col, F.col(out_col)[0])
 
 
 def knn_cv_scores(train: DataFrame, features, id_col: str, label_col: str, fold_col: str = "fold",
                   ks=C.KNN_K_RANGE, max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
     """(k, accuracy): mean over folds of the fold accuracy, each fold's rows classified by
     the rows of the other folds. One top-max(k) search per row serves every k."""
-    points = labelled_points(train, features, id_col, label_col, fold_col, max_points)
-    cols = [features] if isinstance(features, str) else list(features)
-    preds = train.select(F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"),
-                         votes(points, cols, list(ks), fold_col).alias("_p")).where(F.col("_p").isNotNull())
+    voted = _voted(train, train, features, list(ks), id_col, label_col, fold_col, "_p", max_points)
+    preds = voted.select(F.col(label_col).cast("int").alias("_y"), F.col(fold_col).alias("_f"), "_p") \
+        .where(F.col("_p").isNotNull())
     kk = F.array(*[F.lit(k) for k in ks])
     per = preds.select("_f", "_y", F.explode(F.arrays_zip(kk.alias("k"), F.col("_p").alias("p"))).alias("col"))
     per = per.select("_f", F.col("col.k").alias("k"),

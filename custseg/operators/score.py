@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..sources.model_store import KnnModel
 from . import classify as CL
+from .knn_join import knn_join
 from .prepare import scaled
 
 
-def score(df: DataFrame, model: KnnModel, out_col: str = "segment") -> DataFrame:
+def score(df: DataFrame, model: KnnModel, out_col: str = "segment", max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
     """``df`` (a table or a stream) with ``out_col``: the raw features are scaled with the stored mean and
-    scale inside the expression and the nearest stored points vote. All columns of ``df`` stay as they
-    are; rows need no id. A row with a null feature gets a null segment."""
-    points = CL.labelled_points(model.points, model.features, model.id_col, model.label_col)
+    scale and the nearest stored points vote. All columns of ``df`` stay as they are; rows need no id. A
+    row with a null feature gets a null segment.
+
+    Up to ``max_points`` stored points are broadcast and vote inside a column expression. A table is joined
+    with more points exactly; a stream, which has no such join, is scored by ``max_points`` of them.
+    """
     features = [scaled(f, model.scaler) for f in model.features]
-    return df.withColumn(out_col, CL.votes(points, features, [model.k])[0])
+    if df.isStreaming or model.points.count() <= max_points:
+        points = CL.labelled_points(model.points, model.features, model.id_col, model.label_col, max_points=max_points)
+        return df.withColumn(out_col, CL.votes(points, features, [model.k])[0])
+    ready = df.withColumn("_scaled", F.array(*features))
+    points = model.points.withColumn("_scaled", F.array(*[F.col(f).cast("double") for f in model.features]))
+    near = knn_join(ready, points, "_scaled", model.k, model.id_col, model.label_col, out_col="_near")
+    return near.withColumn(out_col, CL.neighbour_votes("_near", [model.k])[0]).drop("_near", "_scaled")

@@ -544,6 +544,8 @@ def q_standard_scale(spark, sf_dir):
 from ..operators import classify as CL  # noqa: E402
 from ..operators import cluster as CU  # noqa: E402
 from ..operators import summaries as SU  # noqa: E402
+from ..operators.knn_join import knn_join  # noqa: E402
+from ..operators.silhouette import silhouette as euclidean_silhouette  # noqa: E402
 
 K_FIXED = 4
 
@@ -583,14 +585,9 @@ def q_lloyd_step(spark, sf_dir):
     return c.select("cluster", *[F.round(f, 6).alias(f) for f in FEATS])
 
 
-# Rounds unrolled in the SQL only. The queries run to the production tolerance, which some k reach later,
-# so there the SQL differs; tests/test_cluster.py compares the queries with a numpy Lloyd.
-KMEANS_ROUNDS = 25
-
-
 def _sql_kmeans() -> str:
-    """Lloyd's iteration for every k of the sweep at once, unrolled: farthest-first centres, then
-    KMEANS_ROUNDS rounds, which is short of convergence for some k."""
+    """Lloyd's iteration for every k of the sweep at once: farthest-first centres, then a recursion over
+    rounds that carries the centres of the k whose last move was above the tolerance."""
     far = " + ".join(f"(s.{f} - c.{f}) * (s.{f} - c.{f})" for f in FEATS)
     cols = ", ".join(FEATS)
     order = ", ".join(FEATS)
@@ -608,13 +605,21 @@ def _sql_kmeans() -> str:
     near = (f"SELECT c.k, s.customer_id, {', '.join(f'any_value(s.{f}) AS {f}' for f in FEATS)}, "
             f"arg_min(c.cluster, ({far}, c.cluster)) AS cluster, min({far}) AS d "
             "FROM scaled s, {c} c GROUP BY c.k, s.customer_id")
-    for r in range(KMEANS_ROUNDS):
-        out.append(f"m{r} AS (SELECT k, cluster, {', '.join(f'avg({f}) AS {f}' for f in FEATS)} FROM ("
-                   + near.format(c=f"c{r}") + ") GROUP BY k, cluster)")
-        out.append(f"c{r + 1} AS MATERIALIZED (SELECT c.k, c.cluster, "
-                   f"{', '.join(f'coalesce(m.{f}, c.{f}) AS {f}' for f in FEATS)} "
-                   f"FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k AND c.cluster = m.cluster)")
-    out.append(f"km AS MATERIALIZED ({near.format(c=f'c{KMEANS_ROUNDS}')})")
+    move = " + ".join(f"(coalesce(m.{f}, c.{f}) - c.{f}) * (coalesce(m.{f}, c.{f}) - c.{f})" for f in FEATS)
+    open_ = f"c.round < {C.KMEANS_MAX_ITER} AND c.moved > (SELECT still FROM tolerance)"
+    out.append(f"tolerance AS MATERIALIZED (SELECT {C.KMEANS_TOL!r} * ({' + '.join(f'var_pop({f})' for f in FEATS)})"
+               f" / {len(FEATS)} AS still FROM scaled)")
+    out.append(f"""rounds AS (SELECT 0 AS round, k, cluster, {cols}, CAST('inf' AS DOUBLE) AS moved FROM c0
+        UNION ALL
+        SELECT c.round + 1, c.k, c.cluster, {', '.join(f'coalesce(m.{f}, c.{f})' for f in FEATS)},
+               sum({move}) OVER (PARTITION BY c.k)
+        FROM rounds c LEFT JOIN (
+            SELECT k, cluster, {', '.join(f'avg({f}) AS {f}' for f in FEATS)}
+            FROM ({near.format(c='rounds').replace(' GROUP BY', f' WHERE {open_} GROUP BY')}) GROUP BY k, cluster) m
+        ON c.k = m.k AND c.cluster = m.cluster WHERE {open_})""")
+    out.append(f"settled AS MATERIALIZED (SELECT k, cluster, {cols} FROM rounds "
+               "QUALIFY round = max(round) OVER (PARTITION BY k))")
+    out.append(f"km AS MATERIALIZED ({near.format(c='settled')})")
     return ", ".join(out)
 
 
@@ -634,14 +639,14 @@ sil AS (SELECT k, avg(CASE WHEN own_n <= 1 OR greatest(a, b) <= 0 THEN 0.0 ELSE
           AS silhouette FROM ab WHERE b IS NOT NULL GROUP BY k)"""
 
 
-@register("kmeans_fit", "WITH " + SQL_KMEANS + f"""
+@register("kmeans_fit", "WITH RECURSIVE " + SQL_KMEANS + f"""
 SELECT customer_id, CAST(cluster AS INTEGER) AS cluster FROM km WHERE k = {C.KMEANS_K}""")
 def q_kmeans_fit(spark, sf_dir):
     _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS)
     return lab.select("customer_id", "cluster")
 
 
-@register("kmeans_sweep", "WITH " + SQL_KMEANS + ", lk AS (SELECT * FROM km), " + SQL_SILHOUETTE + """
+@register("kmeans_sweep", "WITH RECURSIVE " + SQL_KMEANS + ", lk AS (SELECT * FROM km), " + SQL_SILHOUETTE + """
 SELECT CAST(t.k AS INTEGER) AS k, round(sum(greatest(t.d, 0.0)), 4) AS sse,
        round(any_value(sil.silhouette), 6) AS silhouette_sq
 FROM km t LEFT JOIN sil ON t.k = sil.k GROUP BY t.k""")
@@ -675,6 +680,24 @@ def q_silhouette(spark, sf_dir):
         F.round("silhouette_sq", 9).alias("silhouette_sq"))
 
 
+SILHOUETTE_TOLERANCE = 1e-5
+
+
+@register("silhouette_euclidean", "WITH " + SQL_ASSIGNED + f""",
+sizes AS (SELECT cluster, count(*) AS n FROM lab GROUP BY cluster),
+sums AS (SELECT a.customer_id, a.cluster AS own, b.cluster AS c, sum(sqrt({_dist_ab})) AS total
+         FROM lab a, lab b GROUP BY ALL),
+ab AS (SELECT customer_id, max(CASE WHEN own = c THEN n END) AS own_n,
+              max(CASE WHEN own = c THEN total / nullif(n - 1, 0) END) AS a,
+              min(CASE WHEN own <> c THEN total / n END) AS b
+       FROM sums JOIN sizes ON c = cluster GROUP BY customer_id)
+SELECT round(avg(CASE WHEN own_n = 1 OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette
+FROM ab""")
+def q_silhouette_euclidean(spark, sf_dir):
+    return euclidean_silhouette(labelled_fixed(spark, sf_dir), FEATS, tolerance=SILHOUETTE_TOLERANCE) \
+        .select(F.round("silhouette", 4).alias("silhouette"))
+
+
 _SQL_MED = SQL_ASSIGNED + """,
 med AS (SELECT cluster, median(recency) AS r, median(frequency) AS f, median(monetary) AS m
         FROM lab GROUP BY cluster)"""
@@ -753,6 +776,21 @@ def q_knn_predict(spark, sf_dir):
     return p.select("customer_id", "cluster", "prediction")
 
 
+@register("knn_join", "WITH " + SQL_SPLIT_LAB + f""",
+nn AS (SELECT te.customer_id, tr.customer_id AS neighbour_id, tr.cluster AS label, {_sq_sql('te', 'tr', FEATS)} AS d2,
+              row_number() OVER (PARTITION BY te.customer_id ORDER BY {_sq_sql('te', 'tr', FEATS)}, tr.customer_id) AS rn
+       FROM te, tr)
+SELECT customer_id, CAST(rn AS INTEGER) AS "rank", neighbour_id, CAST(label AS INTEGER) AS label,
+       round(sqrt(d2), 9) AS distance
+FROM nn WHERE rn <= {C.KNN_K_RANGE[-1]}""")
+def q_knn_join(spark, sf_dir):
+    train, test = rfm_split(spark, sf_dir)
+    near = knn_join(test.select("customer_id", *FEATS), train, FEATS, C.KNN_K_RANGE[-1], "customer_id", "cluster")
+    return near.select("customer_id", F.posexplode("neighbours").alias("at", "n")).select(
+        "customer_id", (F.col("at") + 1).alias("rank"), F.col("n.id").alias("neighbour_id"), F.col("n.label").alias("label"),
+        F.round("n.distance", 9).alias("distance"))
+
+
 SQL_CV = SQL_SPLIT_LAB + f""",
 nn AS (SELECT a.customer_id AS qid, b.customer_id AS nid, b.cluster AS nlab, {_sq_sql('a', 'b', FEATS)} AS d2,
               row_number() OVER (PARTITION BY a.customer_id ORDER BY {_sq_sql('a', 'b', FEATS)}, b.customer_id) AS rn

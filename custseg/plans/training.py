@@ -50,7 +50,7 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
           outlier_mode: str = "last", order_mode: str = "monetary", sweep=C.KMEANS_SWEEP,
           id_col: str = "customer_id", max_points: int = C.KNN_MAX_POINTS) -> TrainResult:
     """Every intermediate table is written once to the shared folder and read back by what follows.
-    The classifier learns from at most ``max_points`` labelled rows; the run reports how many."""
+    The classifier learns from all labelled rows; up to ``max_points`` are broadcast, more are joined."""
     feats = list(features)
     rfm = materialise(rfm, "train_rfm")
     kept = materialise(prepare.remove_outliers(rfm, feats, mode=outlier_mode), "train_kept")
@@ -72,8 +72,6 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     metrics["knn_best_k"] = int(best["best_k"])
     points = train_rows.select(F.col(id_col).alias("id"), *feats, "cluster")
     metrics["knn_labelled_rows"] = points.count()
-    metrics["knn_points"] = min(metrics["knn_labelled_rows"], max_points)
-    points = points.orderBy(CL.split_key("id", C.KNN_SEED), "id").limit(max_points)
     pred = materialise(CL.knn_predict(test_rows, points, feats, int(best["best_k"]), "id", "cluster",
                                       max_points=max_points), "train_predictions")
     confusion = CL.confusion_matrix(pred, "cluster", "prediction")
