@@ -38,7 +38,7 @@ FROM t
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("uid", "text_hash")
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("uid", "text_hash", "first")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP13_SQL = r"""
 WITH t AS (
     SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
-           regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words FROM documents),
+           regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words FROM documents),
 known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
 f AS (
     SELECT t.part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,

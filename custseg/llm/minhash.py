@@ -190,8 +190,8 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                     seed: int = 1) -> DataFrame:
-    """Classes of near duplicates: ``uid, doc_id, text_hash, n_shingles, component_id, kept`` per
-    input row.
+    """Classes of near duplicates: ``uid, doc_id, text_hash, n_shingles, component_id, kept, first``
+    per input row.
 
     Two rows are linked if ``100 * intersection >= percent * union`` of their sets of distinct
     5-word shingles (ASCII lower case; fewer words make one shingle; no words, no links);
@@ -210,8 +210,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     4. Only representatives in some bucket of two or more get their sets built for the comparison.
 
     Null or empty texts: 0 shingles, own class, kept. Null identifiers: a class is named by the
-    smallest non-null one (null if it has none); of a class the first row with that identifier is
-    kept, so repeated rows leave exactly one. An empty table gives no rows.
+    smallest non-null one (null if it has none); ``kept`` are the rows with that identifier, repeated ones
+    included, and ``first`` is exactly one of them. An empty table gives no rows.
     """
     rows = materialise(signatures(docs, id_col, text_col, seed=seed), "minhash_rows")
     reps = materialise(
@@ -257,15 +257,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("f")) \
         .select("class", F.col("f.doc_id").alias("component_id"), F.col("f.uid").alias("first_uid"))
     return member.join(first, "class").select(
-        "uid", "doc_id", "text_hash", "n_shingles", "component_id", (F.col("uid") == F.col("first_uid")).alias("kept"))
+        "uid", "doc_id", "text_hash", "n_shingles", "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        (F.col("uid") == F.col("first_uid")).alias("first"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75
                          ) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged. Rows equal in
+    """The ``first`` row of each group of ``near_duplicates``, all columns unchanged. Rows equal in
     identifier and text are one document here and stay or go together."""
     marked = near_duplicates(docs, id_col, text_col, percent)
     gone = marked.groupBy(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")) \
-        .agg(F.max("kept").alias("__kept")).filter("NOT __kept")
+        .agg(F.max("first").alias("__first")).filter("NOT __first")
     same = docs[id_col].eqNullSafe(F.col("__gone_id")) & (F.xxhash64(docs[text_col]) == F.col("__gone_hash"))
     return docs.join(gone, same, "left_anti")

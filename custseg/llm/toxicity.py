@@ -32,8 +32,10 @@ LEAST_LOG_ODDS, LEAST_Z = 2.5, 2.9
 SEED_WEIGHT = 2.0
 #: Leading letters that are learned as terms of their own, so that inflected forms are met.
 STEMS = (5, 6, 7)
-TOKEN = re.compile(r"\w+|[.!?;:\n|]+")
-WORD, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP = b"wITYNR."
+TOKEN = re.compile(r"\w+|[.!?;:\n|]+|,")
+WORD, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP, COLON, COMMA = b"wITYNR.:,"
+#: A verb of speech and the colon that opens what is reported: one clause. Other colons end a clause.
+OPENS_SPEECH = re.compile(rb"(R[^.:]*):")
 CACHE_WORDS = 400_000
 
 
@@ -50,15 +52,16 @@ class Transducer:
 
 
 def negation(scope: int = 3) -> Transducer:
-    """Insults and threats within ``scope`` words after a negation become ``i`` and ``t``."""
+    """Insults and threats within ``scope`` words after a negation become ``i`` and ``t``; a comma ends the
+    scope."""
     arcs = {0: {NEGATION: (scope, NEGATION)}}
     for k in range(1, scope + 1):
-        arcs[k] = {NEGATION: (scope, NEGATION), INSULT: (k - 1, ord("i")), THREAT: (k - 1, ord("t"))}
+        arcs[k] = {NEGATION: (scope, NEGATION), INSULT: (k - 1, ord("i")), THREAT: (k - 1, ord("t")), COMMA: (0, COMMA)}
     return Transducer(arcs, {k: k - 1 for k in range(1, scope + 1)})
 
 
 def reported() -> Transducer:
-    """Insults and threats after a verb of speech become ``q``."""
+    """Insults and threats after a verb of speech become ``q``, also after its colon and quotation marks."""
     return Transducer({0: {REPORT: (1, REPORT)}, 1: {INSULT: (1, ord("q")), THREAT: (1, ord("q"))}})
 
 
@@ -72,7 +75,7 @@ def directed() -> Transducer:
         3: {TARGET: (1, ord("V"))}})
 
 
-ALPHABET = bytes((WORD, INSULT, THREAT, TARGET, NEGATION, REPORT)) + b"itq"
+ALPHABET = bytes((WORD, INSULT, THREAT, TARGET, NEGATION, REPORT, COMMA)) + b"itq"
 #: What the composed grammar can match in a clause.
 MATCHES = b"IDTVitq"
 
@@ -119,7 +122,7 @@ class Lexicon(dict):
         if len(self) > CACHE_WORDS:
             self.clear()
         if not (word[0].isalnum() or word[0] == "_"):
-            symbol = STOP
+            symbol = COMMA if word == "," else COLON if word == ":" else STOP
         else:
             symbol = self.fixed.get(word) or (INSULT if self.weight(word) > 0 else WORD)
         self[word] = symbol
@@ -133,10 +136,11 @@ def features(text: str | None, lexicon: Lexicon, grammar: dict) -> list[float]:
     clauses, best, distinct, n = 0, 0.0, set(), 0
     if text:
         words = TOKEN.findall(text.lower())
-        n = len(words)
         symbols = bytes(map(lexicon.__getitem__, words))
+        n = len(words) - symbols.count(COMMA)
         if INSULT in symbols or THREAT in symbols:
             at = 0
+            symbols = OPENS_SPEECH.sub(rb"\1w", symbols).replace(b":", b".")
             for clause in symbols.split(bytes((STOP,))):
                 if INSULT in clause or THREAT in clause:
                     state, score = (0, 0, 0), 0.0

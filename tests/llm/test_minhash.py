@@ -70,7 +70,9 @@ def test_chains_copies_and_odd_rows(spark):
     classes = defaultdict(int)
     for r in got:
         if r.n_shingles:
-            classes[r.component_id] += r.kept
+            classes[r.component_id] += r.first
+        assert r.kept == (r.doc_id == r.component_id)
+        assert r.kept or not r.first
     assert set(classes.values()) == {1}
 
 

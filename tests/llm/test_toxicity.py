@@ -23,6 +23,21 @@ def test_grammar_reads_clauses():
     assert got["i"] and not got["I"]
     assert matches("we will kill you")["V"] and not matches("we will kill time. you know")["V"]
     assert not any(matches("you said no. never mind").values())
+    assert matches("you are not, idiot, my friend")["D"] and matches("you are not an idiot")["i"]
+
+
+@pytest.mark.parametrize("text", [
+    "he said: you idiot", 'he said: "you are an idiot"', 'She wrote:  “you stupid loser”', "il a dit: tu es un imbecile",
+    "sie sagte: du dummkopf", "dijo: tú, estúpido", "he said, quietly: you moron"])
+def test_reported_speech_goes_on_after_a_colon(text):
+    got = matches(text)
+    assert got["q"] and not got["D"] and not got["I"]
+
+
+def test_other_colons_end_a_clause():
+    assert matches("note: you are an idiot")["D"]
+    got = matches("he said hello. you: idiot")
+    assert got["I"] and not got["q"] and not got["D"]
     assert matches("you xyzzying one", {"xyzzy*": 3.0})["D"]
 
 
@@ -32,7 +47,7 @@ def test_composition_equals_running_the_parts_in_turn():
     table = toxicity.compose(*parts)
     for _ in range(200):
         state, states = (0, 0, 0), [0, 0, 0]
-        for symbol in rng.choice(list(b"wITYNR"), 12):
+        for symbol in rng.choice(list(b"wITYNR,"), 12):
             state, out = table[state][int(symbol)]
             passed = int(symbol)
             for k, p in enumerate(parts):
