@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,27 +53,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-#: Scratch tables of each application that release_scratch() may delete.
-_SCRATCH: dict[str, list[str]] = {}
+#: Scratch tables by application and scope, and the scopes that are open now.
+_SCRATCH: dict[tuple[str, str], list[str]] = {}
+_OPEN: list[str] = []
 
 
-def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+@contextmanager
+def scratch_scope(name: str) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside belong to the scope ``name`` (of the innermost one) and live
+    until ``release_scratch(spark, name)``; tables written outside every scope are never deleted here."""
+    _OPEN.append(name)
+    try:
+        yield
+    finally:
+        _OPEN.pop()
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder below the shared checkpoint folder and read
-    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters. Folders
-    with ``keep`` outlive ``release_scratch``."""
+    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not keep:
-        _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _OPEN:
+        _SCRATCH.setdefault((spark.sparkContext.applicationId, _OPEN[-1]), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the tables that ``materialise`` has written without ``keep``. Call it where nothing
-    lazy reads them any more: between jobs whose results have been written."""
+def release_scratch(spark: SparkSession, scope: str) -> None:
+    """Delete the tables that ``materialise`` has written in ``scope``. Call it where nothing lazy
+    reads them any more: between jobs whose results have been written."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+    for path in _SCRATCH.pop((spark.sparkContext.applicationId, scope), []):
         folder = jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(conf).delete(folder, True)
 
