@@ -87,14 +87,11 @@ KNN_FOLDS = 4
 KNN_K_RANGE = list(range(1, 49, 2))
 KNN_WEIGHTS = "distance"
 
-# Labelled rows a nearest-neighbour model holds at most (own parameter; bounds its broadcast).
+# Labelled rows that are broadcast at most (own parameter; more are joined).
 KNN_MAX_POINTS = 200_000
+# Certified error of the Euclidean silhouette (own parameter).
+SILHOUETTE_TOLERANCE = 0.01
 
 # Segment tiers (declared by the source project, not used by its pipeline).
 RFM_TIERS_PER_FEATURE = {"recency": 4, "frequency": 4, "monetary": 4}
 RFM_SCORE_SEGMENT_GT = {"low": 0, "medium": 3, "high": 6, "top": 8}
-
-# ---------------------------------------------------------------------------
-# Scoring rows of the smoke test.
-# ---------------------------------------------------------------------------
-SMOKE_SCORING_ROWS = [(10, 15, 5500), (160, 2, 450), (749, 4, 7000)]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.quantiles import exact_quantiles
 from ..session import materialise
+from .silhouette import silhouette
 
 
 def sq_distance(features: list[str], centre: list[float]):
@@ -101,6 +102,110 @@ def farthest_first_centres(df: DataFrame, features: list[str], k: int) -> list[l
     return chosen
 
 
+#: Passes of the parallel seeding, rows drawn per pass as a multiple of k, seed of its priorities.
+SEED_PASSES, SEED_OVERSAMPLING, SEED = 4, 2, 42
+
+
+def _uniform(h: np.ndarray, turn: int) -> np.ndarray:
+    """A number in (0, 1) from a row's 64-bit hash and the pass (splitmix64)."""
+    z = h.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15 * (turn + 1) % (1 << 64))
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53) + 2.0 ** -54
+
+
+def _recluster(x: np.ndarray, w: np.ndarray, ks: list[int]) -> dict[int, list[list[float]]]:
+    """For each k centres of the few weighted rows ``x``: greedily the row that lowers the weighted squared
+    error most (ties to the earlier row), then Lloyd's rounds over the weighted rows."""
+    apart = _squared(x, x)
+    chosen: list[int] = []
+    left = np.full(len(x), np.inf)
+    for _ in range(min(max(ks), len(x))):
+        cost = (np.minimum(left[None], apart) * w[None]).sum(1)
+        cost[chosen] = np.inf
+        chosen.append(int(cost.argmin()))
+        left = np.minimum(left, apart[chosen[-1]])
+    out = {}
+    for k in ks:
+        c = x[chosen[:k]].copy()
+        for _ in range(100):
+            at = _squared(x, c).argmin(1)
+            size = np.bincount(at, w, len(c))
+            new = np.column_stack([np.bincount(at, w * x[:, j], len(c)) for j in range(x.shape[1])])
+            new = np.where(size[:, None] > 0, new / np.maximum(size, 1e-300)[:, None], c)
+            if (new == c).all():
+                break
+            c = new
+        out[k] = [*c.tolist(), *[c[0].tolist()] * (k - len(c))]
+    return out
+
+
+def parallel_centres(df: DataFrame, features: list[str], ks: list[int], passes: int = SEED_PASSES,
+                     oversampling: int = SEED_OVERSAMPLING, seed: int = SEED) -> dict[int, list[list[float]]]:
+    """Initial centres for every k by k-means|| (Bahmani et al. 2012): a first row, then ``passes`` times
+    ``oversampling`` x k rows drawn with weights squared distance to those drawn before, then a weighted
+    reclustering of the few drawn rows, one pass for all k.
+
+    A pass draws without replacement by priorities -ln(u) / (count x squared distance), u hashed from the
+    values (Efraimidis and Spirakis): the smallest ones of every task, then of all. Equal rows are one row
+    with a count. So the centres depend on the values alone, not on order or partitions; with fewer
+    distinct rows than k the first centre fills up. Whole rows only; an empty table gives no centres.
+    """
+    x = [F.col(f).cast("double") for f in features]
+    names = [f"x{j}" for j in range(len(features))]
+    places = df.select(*[(v + 0.0).alias(n) for v, n in zip(x, names)]).dropna().groupBy(*names) \
+        .agg(F.count(F.lit(1)).cast("double").alias("w"))
+    places = materialise(places.withColumn("h", F.xxhash64(F.lit(seed), *names)), "seed_places")
+    schema = "key double, " + ", ".join(f"{n} double" for n in names)
+
+    def draw(centres: np.ndarray, turn: int, n: int) -> list:
+        def smallest(batches):
+            top = np.empty((0, len(names) + 1))
+            for batch in batches:
+                rows = batch[names].to_numpy(np.float64)
+                weight = batch["w"].to_numpy()
+                if len(centres):
+                    weight = weight * _squared(rows, centres).min(1)
+                real = weight > 0
+                key = -np.log(_uniform(batch["h"].to_numpy()[real], turn)) / weight[real]
+                top = np.vstack([top, np.column_stack([key, rows[real]])])
+                top = top[np.lexsort((*top.T[:0:-1], top[:, 0]))][:n]
+            yield pd.DataFrame(top, columns=["key", *names])
+
+        found = places.mapInPandas(smallest, schema).orderBy("key", *names).limit(n).collect()
+        return [[r[c] for c in names] for r in found]
+
+    drawn = draw(np.empty((0, len(names))), 0, 1)
+    if not drawn:
+        return {}
+    for turn in range(1, passes + 1):
+        drawn += draw(np.array(drawn), turn, oversampling * max(ks))
+    centres = np.array(drawn)
+
+    def count(batches):
+        total = np.zeros(len(centres))
+        for batch in batches:
+            at = _squared(batch[names].to_numpy(np.float64), centres).argmin(1)
+            total += np.bincount(at, batch["w"].to_numpy(), len(centres))
+        yield pd.DataFrame({"i": np.arange(len(total)), "w": total})
+
+    weight = np.zeros(len(centres))
+    for r in places.mapInPandas(count, "i int, w double").groupBy("i").agg(F.sum("w").alias("w")).collect():
+        weight[r["i"]] = r["w"]
+    return _recluster(centres, weight, list(ks))
+
+
+def initial_centres(df: DataFrame, features: list[str], ks: list[int], init: str) -> dict[int, list[list[float]]]:
+    """Centres for every k: ``"parallel"`` (a fixed number of passes) or ``"farthest"`` (one pass per centre);
+    empty without rows."""
+    if init == "parallel":
+        return parallel_centres(df, features, ks)
+    if init != "farthest":
+        raise ValueError("init must be 'parallel' or 'farthest'")
+    start = farthest_first_centres(df, features, max(ks))
+    return {k: start[:k] for k in ks} if start else {}
+
+
 def lloyd(df: DataFrame, features: list[str], starts: dict[int, list[list[float]]], max_iter: int, tol: float
           ) -> tuple[dict[int, list[list[float]]], dict[int, float]]:
     """Lloyd's iterations from each set of ``starts`` (by k), all sets in one job per round: every task
@@ -156,27 +261,33 @@ class KMeansModel:
 
 
 def kmeans_fit(df: DataFrame, features: list[str], k: int = C.KMEANS_K, max_iter: int = C.KMEANS_MAX_ITER,
-               tol: float = C.KMEANS_TOL, out_col: str = "cluster") -> tuple[KMeansModel, DataFrame]:
-    """K-Means from farthest-first centres -> (model, labelled df). Deterministic; labels compare with
-    a seeded single-machine fit by quality, not row by row. An empty table gets null labels."""
-    start = farthest_first_centres(df, features, k)
+               tol: float = C.KMEANS_TOL, out_col: str = "cluster", init: str = "parallel"
+               ) -> tuple[KMeansModel, DataFrame]:
+    """K-Means from deterministic ``initial_centres`` -> (model, labelled df). Labels compare with a seeded
+    single-machine fit by quality, not row by row. An empty table gets null labels."""
+    start = initial_centres(df, features, [k], init)
     if not start:
         return KMeansModel([], 0.0), df.withColumn(out_col, F.lit(None).cast("int"))
-    centres, sse = lloyd(df, features, {k: start}, max_iter, tol)
+    centres, sse = lloyd(df, features, start, max_iter, tol)
     return KMeansModel(centres[k], sse[k]), assign_clusters(df, features, centres[k], out_col)
 
 
 def kmeans_sweep(df: DataFrame, features: list[str], ks=C.KMEANS_SWEEP, max_iter: int = C.KMEANS_MAX_ITER,
-                 tol: float = C.KMEANS_TOL) -> DataFrame:
-    """(k, sse, silhouette_sq) for each k, all fits side by side over one written table."""
+                 tol: float = C.KMEANS_TOL, init: str = "parallel", tolerance: float | None = None) -> DataFrame:
+    """(k, sse, silhouette_sq) for each k, all fits side by side over one written table. With a ``tolerance``
+    the Euclidean silhouette of every k > 1, certified to it, is the column ``silhouette``."""
     base = materialise(df.select(*[F.col(f).cast("double").alias(f) for f in features]), "kmeans_rows")
-    schema = "k int, sse double, silhouette_sq double"
-    start = farthest_first_centres(base, features, max(ks))
+    schema = "k int, sse double, silhouette_sq double" + (", silhouette double" if tolerance else "")
+    start = initial_centres(base, features, list(ks), init)
     if not start:
         return df.sparkSession.createDataFrame([], schema)
-    centres, sse = lloyd(base, features, {k: start[:k] for k in ks}, max_iter, tol)
+    centres, sse = lloyd(base, features, start, max_iter, tol)
     quality = _silhouettes(base, features, centres)
-    return df.sparkSession.createDataFrame([(k, sse[k], quality.get(k)) for k in ks], schema)
+    rows = [(k, sse[k], quality.get(k)) for k in ks]
+    if tolerance:
+        rows = [(*row, silhouette(assign_clusters(base, features, centres[row[0]]), features, tolerance=tolerance).first()[0]
+                 if row[0] > 1 else None) for row in rows]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _silhouettes(df: DataFrame, features: list[str], centres: dict[int, list[list[float]]]) -> dict[int, float]:

@@ -642,7 +642,7 @@ sil AS (SELECT k, avg(CASE WHEN own_n <= 1 OR greatest(a, b) <= 0 THEN 0.0 ELSE
 @register("kmeans_fit", "WITH RECURSIVE " + SQL_KMEANS + f"""
 SELECT customer_id, CAST(cluster AS INTEGER) AS cluster FROM km WHERE k = {C.KMEANS_K}""")
 def q_kmeans_fit(spark, sf_dir):
-    _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS)
+    _, lab = CU.kmeans_fit(rfm_scaled(spark, sf_dir), FEATS, init="farthest")
     return lab.select("customer_id", "cluster")
 
 
@@ -651,6 +651,13 @@ SELECT CAST(t.k AS INTEGER) AS k, round(sum(greatest(t.d, 0.0)), 4) AS sse,
        round(any_value(sil.silhouette), 6) AS silhouette_sq
 FROM km t LEFT JOIN sil ON t.k = sil.k GROUP BY t.k""")
 def q_kmeans_sweep(spark, sf_dir):
+    s = CU.kmeans_sweep(rfm_scaled(spark, sf_dir), FEATS, init="farthest")
+    return s.select("k", F.round("sse", 4).alias("sse"), F.round("silhouette_sq", 6).alias("silhouette_sq"))
+
+
+@register("kmeans_parallel")
+def q_kmeans_parallel(spark, sf_dir):
+    """Sweep from k-means|| seeds; tests/test_cluster.py compares it with a numpy version of both."""
     s = CU.kmeans_sweep(rfm_scaled(spark, sf_dir), FEATS)
     return s.select("k", F.round("sse", 4).alias("sse"), F.round("silhouette_sq", 6).alias("silhouette_sq"))
 

@@ -17,6 +17,7 @@ from ..operators import classify as CL
 from ..operators import cluster as CU
 from ..operators import prepare
 from ..operators import summaries as SU
+from ..operators.silhouette import silhouette
 from ..session import materialise
 from ..sources.model_store import KnnModel, save_model
 from ..sources.tables import write_parquet
@@ -48,18 +49,22 @@ def box_tables(stage: str, df: DataFrame, features: list[str]) -> DataFrame:
 
 def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
           outlier_mode: str = "last", order_mode: str = "monetary", sweep=C.KMEANS_SWEEP,
-          id_col: str = "customer_id", max_points: int = C.KNN_MAX_POINTS) -> TrainResult:
+          id_col: str = "customer_id", max_points: int = C.KNN_MAX_POINTS,
+          tolerance: float = C.SILHOUETTE_TOLERANCE) -> TrainResult:
     """Every intermediate table is written once to the shared folder and read back by what follows.
-    The classifier learns from all labelled rows; up to ``max_points`` are broadcast, more are joined."""
+    The classifier learns from all labelled rows; up to ``max_points`` are broadcast, more are joined.
+    Euclidean silhouettes are certified to ``tolerance``."""
     feats = list(features)
     rfm = materialise(rfm, "train_rfm")
     kept = materialise(prepare.remove_outliers(rfm, feats, mode=outlier_mode), "train_kept")
     scaled, scaler = prepare.scale_data(kept, feats)
     scaled = materialise(scaled, "train_scaled")
-    sse = CU.kmeans_sweep(scaled, feats, sweep) if sweep else None
+    sse = CU.kmeans_sweep(scaled, feats, sweep, tolerance=tolerance) if sweep else None
     kmodel, clustered = CU.kmeans_fit(scaled, feats, k=k)
     metrics = {"inertia": kmodel.sse}
     metrics["davies_bouldin"] = CU.davies_bouldin(clustered, feats).first()[0]
+    certified = silhouette(clustered, feats, tolerance=tolerance).first()
+    metrics["silhouette"], metrics["silhouette_error"] = certified["silhouette"], certified["error"]
     metrics["silhouette_sq"] = CU.silhouette_squared(clustered, feats).first()[0]
     metrics["rows_initial"], metrics["rows_kept"] = rfm.count(), kept.count()
     metrics["outliers_removed"] = metrics["rows_initial"] - metrics["rows_kept"]
@@ -80,7 +85,7 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     centres = CU.model_centres(rfm.sparkSession, kmodel, feats)
     stages = box_tables("initial", rfm, feats).unionByName(box_tables("kept", kept, feats)) \
         .unionByName(box_tables("scaled", scaled, feats))
-    params = {"n_clusters": k, "init": "farthest-first", "algorithm": "lloyd", "max_iter": C.KMEANS_MAX_ITER,
+    params = {"n_clusters": k, "init": "k-means||", "algorithm": "lloyd", "max_iter": C.KMEANS_MAX_ITER,
               "tol": C.KMEANS_TOL, "outlier_mode": outlier_mode, "order_mode": order_mode,
               "knn_weights": C.KNN_WEIGHTS, "knn_folds": C.KNN_FOLDS, "knn_max_points": max_points}
     return TrainResult(labelled, ordered, sse, scores, confusion, report, model, centres, stages, metrics, params)
@@ -104,7 +109,7 @@ def run_metrics(result: TrainResult, run_id: str) -> DataFrame:
 
     nothing = F.lit(None).cast("int")
     if result.sse is not None:
-        for name in ("sse", "silhouette_sq"):
+        for name in ("sse", "silhouette_sq", "silhouette"):
             out = out.unionByName(more(result.sse, "curve", F.lit(name), F.col("k"), F.col(name)))
     out = out.unionByName(more(result.knn_scores, "curve", F.lit("knn_accuracy"), F.col("k"), F.col("accuracy")))
     out = out.unionByName(more(result.confusion, "confusion", F.concat_ws(":", "label", "prediction"), nothing, F.col("n")))
@@ -117,10 +122,16 @@ def run_metrics(result: TrainResult, run_id: str) -> DataFrame:
     return out
 
 
+def write_run_rows(rows: DataFrame, path: str) -> None:
+    """Put the ``run_metrics`` rows into the table at ``path``, partitioned by run: the rows of the same runs
+    are replaced, all others stay, so writing a run again, after a failure or not, leaves its rows once."""
+    rows.coalesce(1).write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def write_run(result: TrainResult, path: str, run_id: str) -> None:
     """The sinks of a run below ``path``: ``labelled``, ``centres`` and ``model``, replaced, and the table
-    ``runs``, to which the run's rows are appended."""
+    ``runs``, in which the rows of this ``run_id`` are replaced."""
     write_parquet(result.labelled, f"{path}/labelled")
     write_parquet(result.centres, f"{path}/centres")
     save_model(result.model, f"{path}/model")
-    write_parquet(run_metrics(result, run_id), f"{path}/runs", mode="append")
+    write_run_rows(run_metrics(result, run_id), f"{path}/runs")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from custseg.operators import cluster as CU
 
@@ -112,6 +113,61 @@ def test_kmeans_does_not_depend_on_partitions(spark):
     assert abs(sweep[2].silhouette_sq - _np_silhouette(x, lab)) < 1e-9
 
 
+def test_parallel_seeds_do_not_depend_on_order_or_partitions(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.gauss(0, 1) + 6 * (i % 5), rnd.gauss(0, 1), rnd.gauss(0, 3)) for i in range(3000)]
+    rows += [(5_000 + i, 4.0, 4.0, 4.0) for i in range(1500)] + [(9_000, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    seeds = [CU.parallel_centres(df.orderBy(F.rand(p)).repartition(p), ["a", "b", "c"], [1, 3, 5, 14]) for p in (1, 4, 7)]
+    assert seeds[0] == seeds[1] == seeds[2]
+    assert {k: len(c) for k, c in seeds[0].items()} == {1: 1, 3: 3, 5: 5, 14: 14}
+
+
+def test_parallel_seeding_draws_by_priority(spark):
+    """The drawn rows are those with the smallest -ln(u) / (count x squared distance), by brute force."""
+    rnd = random.Random(12)
+    places = [(round(rnd.random(), 3), round(rnd.random() * 4, 3)) for _ in range(300)]
+    df = spark.createDataFrame([p for p in places for _ in range(1 + int(p[0] * 5))], "a double, b double")
+    table = {}
+    for r in df.groupBy("a", "b").count().select("a", "b", "count", F.xxhash64(F.lit(CU.SEED), "a", "b").alias("h")).collect():
+        table[r.a, r.b] = (r["count"], r.h)
+    x = np.array(list(table))
+    w, h = (np.array(v) for v in zip(*table.values()))
+
+    def draw(centres, turn, n):
+        d2 = ((x[:, None] - np.array(centres)[None]) ** 2).sum(2).min(1) if centres else np.ones(len(x))
+        with np.errstate(divide="ignore"):
+            key = -np.log(CU._uniform(h, turn)) / (w * d2)
+        return [x[i].tolist() for i in np.lexsort((x[:, 1], x[:, 0], key))[:n]]
+
+    drawn = draw([], 0, 1)
+    for turn in range(1, 5):
+        drawn += draw(drawn, turn, 2 * 6)
+    near = ((x[:, None] - np.array(drawn)[None]) ** 2).sum(2).argmin(1)
+    want = CU._recluster(np.array(drawn), np.bincount(near, w, len(drawn)), [2, 6])
+    assert CU.parallel_centres(df, ["a", "b"], [2, 6]) == want
+
+
+def test_parallel_seeds_end_no_worse_than_farthest_first(spark):
+    from custseg.plans import catalog
+    from tests.conftest import SF01
+    scaled = catalog.rfm_scaled(spark, SF01)
+    sse = {i: {r.k: r.sse for r in CU.kmeans_sweep(scaled, catalog.FEATS, init=i).collect()} for i in ("parallel", "farthest")}
+    assert sum(sse["parallel"].values()) <= 1.01 * sum(sse["farthest"].values())
+    rows = scaled.select(*catalog.FEATS).toPandas().to_numpy(float)
+    starts = CU.parallel_centres(scaled, catalog.FEATS, list(range(1, 15)))
+    for k, c in starts.items():
+        assert abs(sse["parallel"][k] - _np_lloyd(rows, k, start=np.array(c))[1]) < 1e-3, k
+
+
+def test_fewer_rows_than_centres(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (3.0, 4.0)], "a double, b double")
+    assert CU.parallel_centres(df, ["a", "b"], [3])[3] in ([[1.0, 2.0], [3.0, 4.0], [1.0, 2.0]], [[3.0, 4.0], [1.0, 2.0], [3.0, 4.0]])
+    assert CU.parallel_centres(df.limit(0), ["a", "b"], [3]) == {}
+    with pytest.raises(ValueError, match="init"):
+        CU.kmeans_fit(df, ["a", "b"], 2, init="random")
+
+
 def test_empty_and_constant_rows(spark):
     empty = spark.createDataFrame([], "id long, a double")
     assert CU.kmeans_fit(empty, ["a"], k=2)[1].count() == 0
@@ -121,8 +177,8 @@ def test_empty_and_constant_rows(spark):
     assert CU.silhouette_squared(CU.kmeans_fit(same, ["a"], k=2)[1], ["a"]).first()[0] is None
 
 
-def _np_lloyd(x, k, max_iter=300, tol=1e-4):
-    chosen = []
+def _np_lloyd(x, k, max_iter=300, tol=1e-4, start=()):
+    chosen = list(start)
     while len(chosen) < k:
         c = np.array(chosen or [np.round(x.mean(0), 9)])
         d = ((x[:, None] - c[None]) ** 2).sum(-1).min(1) * (-1 if chosen else 1)

@@ -12,6 +12,9 @@ from custseg.sources.model_store import load_model
 from custseg.streaming import score_stream
 
 
+SMOKE_SCORING_ROWS = [(10, 15, 5500), (160, 2, 450), (749, 4, 7000)]
+
+
 def test_train_save_score_stream(spark):
     rfm = catalog.rfm_orders(spark, "/root/testdata/sf0.01")
     res = training.train(rfm, sweep=[1, 2, 3])
@@ -28,16 +31,17 @@ def test_train_save_score_stream(spark):
         "kind = 'report' AND name = 'accuracy:support'").first().value
     assert res.metrics["rows_initial"] - res.metrics["rows_kept"] == res.metrics["outliers_removed"]
     sinks = tempfile.mkdtemp(prefix="custseg-run-")
-    for run in ("a", "b"):
-        training.write_run(res, sinks, run)
-    assert spark.read.parquet(f"{sinks}/runs").select("run_id").distinct().count() == 2
+    assert abs(res.metrics["silhouette"]) <= 1 and 0 <= res.metrics["silhouette_error"] <= C.SILHOUETTE_TOLERANCE
+    assert [r.silhouette is None for r in res.sse.orderBy("k").collect()] == [True, False, False]
+    training.write_run(res, sinks, "a")
+    assert sorted(spark.read.parquet(f"{sinks}/runs").columns) == sorted(metrics.columns)
     assert spark.read.parquet(f"{sinks}/labelled").count() == res.metrics["rows_kept"]
 
     path = f"{sinks}/model"
     model = load_model(spark, path)
     assert model.k == res.model.k and model.features == C.RFM_FEATURES
 
-    rows = [(i, float(r), float(f), float(m)) for i, (r, f, m) in enumerate(C.SMOKE_SCORING_ROWS)]
+    rows = [(i, float(r), float(f), float(m)) for i, (r, f, m) in enumerate(SMOKE_SCORING_ROWS)]
     raw = spark.createDataFrame(rows, "id long, recency double, frequency double, monetary double")
     batch = {r.id: r.segment for r in score(raw, model).collect()}
     assert set(batch) == {0, 1, 2} and all(v in {0, 1, 2, 3} for v in batch.values())
@@ -57,3 +61,12 @@ def test_train_save_score_stream(spark):
                                  (None, None, 1.0, 1.0)], raw.schema)
     got = [(r.id, r.recency, r.segment) for r in score(odd, model).collect()]
     assert got == [(7, 10.0, batch[0]), (7, 749.0, batch[2]), (None, 10.0, batch[0]), (None, None, None)]
+
+
+def test_a_run_that_is_written_again_replaces_its_rows(spark, tmpdir_path):
+    rows = lambda run, n: spark.createDataFrame(
+        [(run, "metric", f"m{i}", None, float(i), None) for i in range(n)], training.RUN_SCHEMA)
+    for run, n in (("a", 3), ("b", 4), ("a", 3), ("a", 2)):
+        training.write_run_rows(rows(run, n), tmpdir_path + "/runs")
+    back = spark.read.parquet(tmpdir_path + "/runs")
+    assert {r.run_id: r["count"] for r in back.groupBy("run_id").count().collect()} == {"a": 2, "b": 4}
