@@ -128,3 +128,9 @@ def customer_privacy(df: DataFrame, hash_customer_number: bool = False) -> DataF
     if hash_customer_number:
         out = out.withColumn("customer_number", H.customer_hash("customer_number"))
     return out
+
+
+def attach_customer_id(invoices: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every invoice row with the ``customer_id`` of its ``customer_number`` (unique in ``customers``); null where
+    the number is unknown or null."""
+    return invoices.join(customers.select("customer_number", "customer_id"), "customer_number", "left")

@@ -4,16 +4,18 @@ Similarity is the Indel ratio ``100 * 2 * LCS / (|a| + |b|)``; two keys match wh
 ratio is at least ``cutoff`` (90). Instead of comparing all n(n-1)/2 pairs, the join
 
 1. collapses identical keys (they match trivially; a hot key costs one row);
-2. describes each key by its bigrams numbered per occurrence ("ab#1", "ab#2", ...);
-3. keeps per key only a *prefix* of its tokens in one global order (rarest first). Two
-   matching keys share at least ``need`` tokens (q-gram count filter), so they share at
-   least one token among their first ``len - need`` tokens (prefix filter): an equi-join
-   on prefix tokens finds every matching pair;
+2. from a cutoff of 84 on, finds candidates by segment signatures (see ``segments``), whose number per
+   key does not grow with the keys;
+3. below, describes each key by its characters numbered per occurrence ("a#1", "a#2", ...) and keeps per
+   key only a *prefix* of its tokens in one global order (rarest first). Two matching keys share at
+   least ``need`` tokens (count filter), so they share at least one token among their first
+   ``len - need`` + 1 tokens (prefix filter): an equi-join on prefix tokens finds every matching pair.
+   ``method="prefix"`` does the same with bigrams for cutoffs from 84 on;
 4. filters candidates by length, then by ``levenshtein <= allowed indel`` (a JVM built-in,
    banded by the threshold; Levenshtein distance never exceeds Indel distance);
 5. computes the exact LCS for survivors in an Arrow-batched UDF.
 
-Steps 1-4 are joins and aggregates that Spark partitions and shuffles; skewed tokens are
+Such low cutoffs say little about two keys, so their candidates are many. Steps 1-4 are joins and aggregates that Spark partitions and shuffles; skewed tokens are
 split by AQE's skew join. Nothing is capped or sampled.
 """
 
@@ -26,6 +28,7 @@ from .. import constants as C
 from ..functions.hashing import customer_hash
 from ..functions.similarity import lcs
 from ..session import cut_lineage
+from .segments import LEAST_CUTOFF, LONGEST, segment_candidates
 
 
 def _allowed_indel(total_len, cutoff: int):
@@ -55,6 +58,13 @@ def _prefix_length(length, cutoff: int):
     return (L - need).cast("int")
 
 
+def _unigram_prefix_length(length, cutoff: int):
+    """The same for single characters: a match shares at least as many characters as its longest common
+    subsequence has, ceil(cutoff (L + M) / 200), fewest at the shortest partner M = ceil(cutoff L / (200 - cutoff))."""
+    shortest = F.ceil(cutoff * length / (200 - cutoff))
+    return (length - F.ceil(cutoff * (length + shortest) / 200) + 1).cast("int")
+
+
 def distinct_keys(df: DataFrame, key_col: str) -> DataFrame:
     """Distinct non-null keys with a stable id -> (kid, key, len), checkpointed so the id
     is fixed for both sides of the self-join."""
@@ -79,23 +89,40 @@ def with_character_counts(keys: DataFrame) -> DataFrame:
     return out.withColumn(f"n{CHARACTER_CLASSES - 1}", F.col("len") - known)
 
 
-def prefix_tokens(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
-    """(kid, len, bg, occ, rk) for the prefix tokens of every key of length >= 2; ``rk`` is
-    the token's 1-based position in the key's globally ordered token list."""
-    grams = (keys.where(F.col("len") >= 2)
-             .select("kid", "len", F.explode(F.sequence(F.lit(1), F.col("len") - 1)).alias("pos"), "key")
-             .select("kid", "len", F.substring("key", F.col("pos"), 2).alias("bg")))
+def prefix_tokens(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF, q: int = 2) -> DataFrame:
+    """(kid, len, bg, occ, rk) for the prefix tokens (of ``q`` characters, 1 or 2) of every key of length >= q;
+    ``rk`` is the token's 1-based position in the key's globally ordered token list."""
+    grams = (keys.where(F.col("len") >= q)
+             .select("kid", "len", F.explode(F.sequence(F.lit(1), F.col("len") - (q - 1))).alias("pos"), "key")
+             .select("kid", "len", F.substring(F.col("key"), F.col("pos"), F.lit(q)).alias("bg")))
     counted = grams.groupBy("kid", "len", "bg").agg(F.count(F.lit(1)).alias("n"))
     tokens = counted.select("kid", "len", "bg", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("occ"))
     freq = tokens.groupBy("bg", "occ").agg(F.count(F.lit(1)).alias("freq"))
     ranked = tokens.join(freq, ["bg", "occ"])
     w = Window.partitionBy("kid").orderBy("freq", "bg", "occ")
     return (ranked.withColumn("rk", F.row_number().over(w))
-            .where(F.col("rk") <= _prefix_length(F.col("len"), cutoff))
+            .where(F.col("rk") <= (_prefix_length if q == 2 else _unigram_prefix_length)(F.col("len"), cutoff))
             .select("kid", "len", "bg", "occ", "rk"))
 
 
-def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
+def segment_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataFrame:
+    """(ka, la, kb, lb), ka < kb: the candidates that pass the length and count filters, by segments where the
+    shorter key has at most ``LONGEST`` characters and by prefixes where both are longer."""
+    found = segment_candidates(keys, cutoff).select(F.least("ks", "kl").alias("ka"), F.greatest("ks", "kl").alias("kb")).distinct()
+    counts = F.array(*[F.col(f"n{k}") for k in range(CHARACTER_CLASSES)])
+    known = cut_lineage(with_character_counts(keys).select("kid", "len", counts.alias("counts")))
+    a = known.select(F.col("kid").alias("ka"), F.col("len").alias("la"), F.col("counts").alias("ca"))
+    b = known.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), F.col("counts").alias("cb"))
+    # one column a key: Spark's inference of constraints doubles with every renamed column of a condition
+    apart = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    allowed = _allowed_indel(F.col("la") + F.col("lb"), cutoff)
+    return (found.join(a, "ka").join(b, "kb")
+            .where((F.abs(F.col("la") - F.col("lb")) <= allowed) & (apart <= allowed))
+            .select("ka", "la", "kb", "lb")
+            .unionByName(candidate_pairs(keys.where(F.col("len") > LONGEST), cutoff)))
+
+
+def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF, q: int = 2) -> DataFrame:
     """Pairs (ka < kb) sharing a prefix token and passing the length and position filters.
 
     Position filter (PPJoin, Xiao et al. 2008): tokens are in one global order, so shared
@@ -108,16 +135,19 @@ def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataF
     whose counts per class differ by more than the allowed indel distance in sum cannot match.
     """
     counts = [f"n{k}" for k in range(CHARACTER_CLASSES)]
-    p = prefix_tokens(keys, cutoff).join(with_character_counts(keys).select("kid", *counts), "kid")
+    p = prefix_tokens(keys, cutoff, q).join(with_character_counts(keys).select("kid", *counts), "kid")
     p = cut_lineage(p)      # both sides of the join read it
     a = p.select(F.col("kid").alias("ka"), F.col("len").alias("la"), F.col("rk").alias("ra"), "bg", "occ",
                  *[F.col(c).alias(f"a_{c}") for c in counts])
     b = p.select(F.col("kid").alias("kb"), F.col("len").alias("lb"), F.col("rk").alias("rb"), "bg", "occ",
                  *[F.col(c).alias(f"b_{c}") for c in counts])
-    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in counts[1:]), F.abs(F.col("a_n0") - F.col("b_n0")))
     lo, hi = F.least("la", "lb"), F.greatest("la", "lb")
-    need = hi - 1 - 2 * _allowed_indel(F.col("la") + F.col("lb"), cutoff)
-    bound = F.least(F.col("la") - F.col("ra"), F.col("lb") - F.col("rb"))
+    apart = sum((F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) for c in counts[1:]), F.abs(F.col("a_n0") - F.col("b_n0")))
+    if q == 2:
+        need = hi - 1 - 2 * _allowed_indel(F.col("la") + F.col("lb"), cutoff)
+    else:
+        need = F.ceil(cutoff * (F.col("la") + F.col("lb")) / 200)
+    bound = F.least(F.col("la") - F.col("ra"), F.col("lb") - F.col("rb")) + (2 - q)
     return (a.join(b, ["bg", "occ"])
             .where((F.col("ka") < F.col("kb")) & (cutoff * hi <= (200 - cutoff) * lo) & (bound >= need)
                    & (apart <= _allowed_indel(F.col("la") + F.col("lb"), cutoff)))
@@ -125,15 +155,18 @@ def candidate_pairs(keys: DataFrame, cutoff: int = C.SIMILARITY_CUTOFF) -> DataF
 
 
 def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMILARITY_CUTOFF,
-                      keys: DataFrame | None = None) -> DataFrame:
-    """All pairs of distinct keys with ratio >= cutoff -> (key_a, key_b, lcs, score),
+                      keys: DataFrame | None = None, method: str = "segments") -> DataFrame:
+    """All pairs of distinct keys with ratio >= cutoff (1 to 100) -> (key_a, key_b, lcs, score),
     key_a < key_b. Identical keys are not listed (their ratio is 100 by definition)."""
-    if cutoff < 84:
-        # below 84 some short keys need no shared bigram to match, so the prefix filter
-        # would not be lossless for them (checked exhaustively for lengths 2..600)
-        raise ValueError("the lossless bigram prefix filter requires cutoff >= 84")
+    if not 1 <= cutoff <= 100:
+        raise ValueError("the cutoff must be 1 to 100")
     keys = keys if keys is not None else distinct_keys(df, key_col)
-    cand = candidate_pairs(keys, cutoff)
+    if cutoff < LEAST_CUTOFF:
+        # below 84 some short keys need no shared bigram to match (checked exhaustively for
+        # lengths 2..600), but every match shares a character
+        cand = candidate_pairs(keys, cutoff, q=1)
+    else:
+        cand = segment_pairs(keys, cutoff) if method == "segments" else candidate_pairs(keys, cutoff)
     ka = keys.select(F.col("kid").alias("ka"), F.col("key").alias("key_a"))
     kb = keys.select(F.col("kid").alias("kb"), F.col("key").alias("key_b"))
     total = F.col("la") + F.col("lb")

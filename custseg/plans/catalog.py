@@ -250,8 +250,23 @@ def q_header_rows(spark, sf_dir):
         F.col("_first").isNotNull().alias("is_first"))
 
 
+@register("ingest_counts", "WITH " + SQL_LINES + """
+SELECT any_value(n_header) AS columns, count(*) FILTER (WHERE line_no > 0) + 1 AS "rows",
+       count(*) FILTER (WHERE line_no > 0 AND n = n_header) AS kept,
+       count(*) FILTER (WHERE line_no > 0 AND n <> n_header) AS removed
+FROM f, h""")
+def q_ingest_counts(spark, sf_dir):
+    """Counts of an ingest, by the job that writes its quarantine."""
+    export = RT.export_of_lines(T.document_lines(spark, sf_dir), sep=LINE_SEP_FOR_TEST)
+    materialise(export.quarantine, "quarantine")
+    counts = RT.ingest_counts(export)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+
+
 def typed_invoice_rows(spark, sf_dir):
-    return RT.split_lines(T.invoice_lines(spark, sf_dir))
+    """The rendered export, split, as a written table: the operators read fields, not the expressions that
+    render them. Rows are spread before they are rendered, as the tables are few files."""
+    return materialise(RT.split_lines(T.invoice_lines(spark, sf_dir)).select("ordinal", "fields"), "invoice_fields")
 
 
 SQL_INVOICES = """
@@ -305,6 +320,8 @@ FROM vis GROUP BY 1 HAVING count(*) <> 1""")
 def q_rfm_from_invoices(spark, sf_dir):
     """Cleaned rows -> RFM; item and total rows stand in one table, so excluded items remove invoices."""
     c = clean.exclude_walk_in(clean_rows(typed_invoice_rows(spark, sf_dir)))
+    # items and totals are both taken from it
+    c = materialise(c.select("customer_number", "invoice_num", "date", "total", "is_total", "item_id"), "clean_rows")
     out = rfm.rfm_from_invoices(c, WINDOW_FROM, WINDOW_TO, [str(p) for p in EXCLUDED_PARTS], customer_col="customer_number")
     return out.withColumn("monetary", F.round("monetary", 6))
 
@@ -451,6 +468,13 @@ def q_fuzzy_pairs(spark, sf_dir):
     return resolve.similar_key_pairs(T.read_table(spark, sf_dir, "pages"), "url")
 
 
+@register("fuzzy_pairs_75", "WITH " + SQL_FUZZY_URL.replace("90 * greatest", "75 * greatest").replace("110 * least", "125 * least")
+          .replace("levenshtein(a.k, b.k) * 10 <=", "levenshtein(a.k, b.k) * 4 <=").replace(">= 90 *", ">= 75 *") + "\nSELECT * FROM m")
+def q_fuzzy_pairs_75(spark, sf_dir):
+    """A cutoff below those that share a bigram for sure."""
+    return resolve.similar_key_pairs(T.read_table(spark, sf_dir, "pages"), "url", cutoff=75)
+
+
 @register("fuzzy_components", "WITH RECURSIVE " + SQL_FUZZY_URL + """,
 e AS (SELECT key_a AS s, key_b AS d FROM m UNION SELECT key_b, key_a FROM m),
 reach(s, d) AS (SELECT k, k FROM u UNION SELECT r.s, e.d FROM reach r JOIN e ON r.d = e.s),
@@ -544,6 +568,9 @@ def q_standard_scale(spark, sf_dir):
 from ..operators import classify as CL  # noqa: E402
 from ..operators import cluster as CU  # noqa: E402
 from ..operators import summaries as SU  # noqa: E402
+from ..operators.score import score  # noqa: E402
+from ..sources.model_store import KnnModel  # noqa: E402
+from ..operators.exact_split import exact_split  # noqa: E402
 from ..operators.knn_join import knn_join  # noqa: E402
 from ..operators.silhouette import silhouette as euclidean_silhouette  # noqa: E402
 
@@ -747,6 +774,19 @@ def q_hash_split(spark, sf_dir):
     return CL.hash_split(c, "c_custkey")
 
 
+@register("exact_split", f"""
+WITH k AS (SELECT c_custkey, {_sql_split('c_custkey')} AS a, {_sql_split('c_custkey').replace(':512', ':513')} AS b FROM customer),
+t AS (SELECT *, row_number() OVER (ORDER BY a, c_custkey) <= ceil(0.3 * (SELECT count(*) FROM k)) AS is_test FROM k),
+r AS (SELECT *, CASE WHEN NOT is_test THEN row_number() OVER (PARTITION BY is_test ORDER BY b, c_custkey) - 1 END AS place,
+             count(*) OVER (PARTITION BY is_test) AS n FROM t)
+SELECT c_custkey, is_test,
+       CAST(CASE WHEN place < (n % 4) * (n // 4 + 1) THEN place // (n // 4 + 1)
+                 ELSE n % 4 + (place - (n % 4) * (n // 4 + 1)) // (n // 4) END AS INTEGER) AS fold
+FROM r""")
+def q_exact_split(spark, sf_dir):
+    return exact_split(T.read_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+
+
 SQL_SPLIT_LAB = SQL_ASSIGNED + f""",
 sl AS (SELECT lab.*, {_sql_split('customer_id')} AS sk FROM lab),
 tr AS (SELECT *, CAST((sk // 1000) % 4 AS INTEGER) AS fold FROM sl WHERE sk % 1000 >= 300),
@@ -764,11 +804,32 @@ win AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY
         WHERE r = 1)"""
 
 
+_sq_z = " + ".join(f"(te.z_{f} - tr.{f}) * (te.z_{f} - tr.{f})" for f in FEATS)
+
+
 def rfm_split(spark, sf_dir):
     lab = CL.hash_split(labelled_fixed(spark, sf_dir), "customer_id")
     return lab.where(~F.col("is_test")), lab.where(F.col("is_test"))
 
 
+@register("attach_customer_id", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_number, sha256(c_name) AS customer_id
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+def q_attach_customer_id(spark, sf_dir):
+    """Ids of the customer table on every invoice."""
+    invoices = T.read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer_number"))
+    customers = T.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("customer_number"),
+                                                               H.customer_hash("c_name").alias("customer_id"))
+    return clean.attach_customer_id(invoices, customers).select("o_orderkey", "customer_number", "customer_id")
+
+
+@register("labels_on_features", "WITH " + SQL_ASSIGNED + """
+SELECT rfm.*, lab.cluster FROM rfm LEFT JOIN lab USING (customer_id)""")
+def q_labels_on_features(spark, sf_dir):
+    """Labels of the scaled rows back on the raw features."""
+    return rfm_orders(spark, sf_dir).join(labelled_fixed(spark, sf_dir).select("customer_id", "cluster"), "customer_id", "left")
+
+
 @register("knn_predict", "WITH " + SQL_SPLIT_LAB + f""",
 nn AS (SELECT te.customer_id AS qid, tr.customer_id AS nid, tr.cluster AS nlab,
               {_sq_sql('te', 'tr', FEATS)} AS d2,
@@ -815,6 +876,24 @@ def rfm_cv(spark, sf_dir):
     return CL.knn_cv_scores(train, FEATS, "customer_id", "cluster")
 
 
+@register("score_rows", "WITH " + SQL_SPLIT_LAB + f""",
+raw AS (SELECT customer_id, recency, frequency, monetary, {", ".join(
+    f"(CAST({f} AS DOUBLE) - m_{f}) / s_{f} AS z_{f}" for f in FEATS)} FROM rfm, sp),
+nn AS (SELECT te.customer_id AS qid, tr.cluster AS nlab, {_sq_z} AS d2,
+              row_number() OVER (PARTITION BY te.customer_id ORDER BY {_sq_z}, tr.customer_id) AS rn
+       FROM raw te, tr),
+top AS (SELECT qid, nlab, sqrt(d2) AS d FROM nn WHERE rn <= {KNN_K_FIXED}),""" + _sql_vote("top", "qid") + """
+SELECT raw.customer_id, raw.recency, raw.frequency, raw.monetary, CAST(win.nlab AS INTEGER) AS segment
+FROM raw LEFT JOIN win ON raw.customer_id = win.qid""")
+def q_score_rows(spark, sf_dir):
+    """Raw features of every customer through the stored scaler and the labelled points."""
+    raw = rfm_orders(spark, sf_dir)
+    _, scaler = prepare.scale_data(raw, FEATS)
+    train, _ = rfm_split(spark, sf_dir)
+    points = train.select(F.col("customer_id").alias("id"), *FEATS, "cluster")
+    return score(raw, KnnModel(scaler, points, FEATS, KNN_K_FIXED))
+
+
 @register("knn_cv", "WITH " + SQL_CV + "\nSELECT * FROM cv")
 def q_knn_cv(spark, sf_dir):
     return rfm_cv(spark, sf_dir).select(F.col("k").cast("int").alias("k"),

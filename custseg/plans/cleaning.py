@@ -21,6 +21,7 @@ class CleanResult:
     invoices: DataFrame
     quarantine: DataFrame
     customers: DataFrame      # customer_number -> customer_id (+ match key)
+    export: raw_text.RawExport    # its ingest_counts are known when the invoices are written
 
 
 def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_SUFFIXES),
@@ -34,13 +35,13 @@ def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_
     df = clean_rows(export.rows, strict_numbers)
     customers = customer_ids(df, use_repaired_address, cutoff, grouping)
     kept = clean.exclude_walk_in(df)
-    joined = kept.join(customers.select("customer_number", "customer_id"), "customer_number", "left")
+    joined = clean.attach_customer_id(kept, customers)
     with_walk_in = clean.walk_in_union(joined, df, mode=walk_in)
     out = clean.customer_privacy(with_walk_in, hash_customer_number)
     cols = ["date", "invoice_num", "license_plate", "mileage", "vin", "manufacturer", "type",
             "first_registration", "item_id", "item_description", "is_total", "amount", "price",
             "total", "customer_number", "customer_id"]
-    return CleanResult(out.select(*cols), export.quarantine, customers)
+    return CleanResult(out.select(*cols), export.quarantine, customers, export)
 
 
 def clean_rows(rows: DataFrame, strict_numbers: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -55,8 +55,11 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     The classifier learns from all labelled rows; up to ``max_points`` are broadcast, more are joined.
     Euclidean silhouettes are certified to ``tolerance``."""
     feats = list(features)
-    rfm = materialise(rfm, "train_rfm")
-    kept = materialise(prepare.remove_outliers(rfm, feats, mode=outlier_mode), "train_kept")
+    # counted by the jobs that write the two tables
+    seen, left = Observation(), Observation()
+    rfm = materialise(rfm.observe(seen, F.count(F.lit(1)).alias("rows")), "train_rfm")
+    kept = materialise(prepare.remove_outliers(rfm, feats, mode=outlier_mode).observe(left, F.count(F.lit(1)).alias("rows")),
+                       "train_kept")
     scaled, scaler = prepare.scale_data(kept, feats)
     scaled = materialise(scaled, "train_scaled")
     sse = CU.kmeans_sweep(scaled, feats, sweep, tolerance=tolerance) if sweep else None
@@ -66,7 +69,7 @@ def train(rfm: DataFrame, features=tuple(C.RFM_FEATURES), k: int = C.KMEANS_K,
     certified = silhouette(clustered, feats, tolerance=tolerance).first()
     metrics["silhouette"], metrics["silhouette_error"] = certified["silhouette"], certified["error"]
     metrics["silhouette_sq"] = CU.silhouette_squared(clustered, feats).first()[0]
-    metrics["rows_initial"], metrics["rows_kept"] = rfm.count(), kept.count()
+    metrics["rows_initial"], metrics["rows_kept"] = seen.get["rows"], left.get["rows"]
     metrics["outliers_removed"] = metrics["rows_initial"] - metrics["rows_kept"]
     ordered = materialise(CU.order_clusters(clustered, C.CLUSTER_FEATURE_SORT, mode=order_mode), "train_ordered")
     labelled = kept.join(ordered.select(id_col, "cluster"), id_col, "left")

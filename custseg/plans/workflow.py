@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .. import constants as C
-from ..sources import tables
+from ..sources import raw_text, tables
 from .cleaning import clean_exports
 from .features import rfm_job
 from .training import TrainResult, train, write_run
@@ -19,7 +19,9 @@ def run_all(spark: SparkSession, raw_dir: str, out_dir: str, run_id: str, date_f
     cleaned = clean_exports(spark, raw_dir, **(clean_options or {}))
     tables.write_parquet(cleaned.invoices, f"{out_dir}/invoices")
     tables.write_parquet(cleaned.quarantine.drop("ordinal"), f"{out_dir}/quarantine")
+    counts = raw_text.ingest_counts(cleaned.export)
     rfm_job(spark, f"{out_dir}/invoices", f"{out_dir}/features", date_from, date_to, excluded_ids)
     result = train(tables.read_parquet(spark, f"{out_dir}/features"), **(train_options or {}))
+    result.metrics.update({f"ingest_{name}": n for name, n in counts.items()})
     write_run(result, out_dir, run_id)
     return result

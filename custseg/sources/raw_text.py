@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -98,6 +98,8 @@ class RawExport:
     header: DataFrame       # the first file's header line (one row)
     rows: DataFrame         # data lines with the header's field count
     quarantine: DataFrame   # data lines with another field count
+    seen: Observation       # data lines and kept ones, counted by whatever first runs over rows or quarantine
+    width: int              # the header's field count
 
 
 def read_raw_export(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_SUFFIXES),
@@ -114,19 +116,19 @@ def export_of_lines(lines: DataFrame, strip: str = "both", sep: str = C.FIELD_SE
     first = headers.orderBy("ordinal").limit(1)
     row = first.select("n_fields").first()
     width = F.lit(row["n_fields"] if row else 0)
-    data = lines.where(~F.col("is_file_header"))
+    seen = Observation()
+    data = lines.where(~F.col("is_file_header")).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("n_fields") == width, 1)).alias("kept"))
     return RawExport(header=first, rows=data.where(F.col("n_fields") == width),
-                     quarantine=data.where(F.col("n_fields") != width))
+                     quarantine=data.where(F.col("n_fields") != width), seen=seen, width=row["n_fields"] if row else 0)
 
 
 def ingest_counts(export: RawExport) -> dict:
-    """Header width, data rows kept and removed (one aggregate over the data lines)."""
-    kept = export.rows.select(F.lit(1).alias("k"), F.lit(0).alias("r"))
-    removed = export.quarantine.select(F.lit(0).alias("k"), F.lit(1).alias("r"))
-    row = kept.unionByName(removed).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("k"),
-                                        F.coalesce(F.sum("r"), F.lit(0)).alias("r")).first()
-    n_cols = export.header.select("n_fields").first()[0]
-    return {"columns": n_cols, "rows": row["k"] + row["r"] + 1, "kept": row["k"], "removed": row["r"]}
+    """Header width, lines (with the first header), data lines kept and removed: counted by the job that has
+    written or read the rows or the quarantine, without a scan of their own. Call it after such a job;
+    before the first one it waits for it."""
+    seen = export.seen.get
+    return {"columns": export.width, "rows": seen["rows"] + 1, "kept": seen["kept"], "removed": seen["rows"] - seen["kept"]}
 
 
 def typed_invoices(rows: DataFrame, strict_numbers: bool = True) -> DataFrame:

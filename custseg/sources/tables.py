@@ -74,7 +74,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[v.alias(k) for k, v in common.items()], F.col("l_partkey").cast("string").alias("item_id"),
         money(F.col("l_quantity")).alias("amount"), money(F.col("l_extendedprice")).alias("price"),
         F.col("l_linenumber").alias("line"))
-    rows = totals.unionByName(items, allowMissingColumns=True)
+    rows = totals.unionByName(items, allowMissingColumns=True).repartition("invoice_num", "line")
     have = set(rows.columns)
     cells = [F.coalesce(F.col(c), F.lit("")) if c in have else F.lit("0" if c == "balance" else "") for c in C.RAW_COLUMNS]
     return rows.select(F.lit("orders").alias("file"), F.struct("invoice_num", "line").alias("ordinal"),

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from custseg.functions.similarity import indel_ratio, lcs_length
-from custseg.operators import resolve
+from custseg.operators import resolve, segments
 
 
 def _lcs_dp(a, b):
@@ -143,10 +143,58 @@ def test_fuzzy_pairs_other_cutoffs(spark, cutoff):
     assert got == _brute(keys, cutoff)
 
 
-def test_low_cutoff_rejected(spark):
+@pytest.mark.parametrize("cutoff", [60, 70, 83])
+def test_fuzzy_pairs_low_cutoffs(spark, cutoff):
+    keys = _keys(23, 150) + ["a", "b", "ab", "ba", "ä", ""]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = {(r.key_a, r.key_b) for r in resolve.similar_key_pairs(df, "key", cutoff=cutoff).collect()}
+    assert got == _brute([k for k in keys if k], cutoff)
+
+
+@pytest.mark.parametrize("method,cutoff,hot", [("prefix", 90, 1), ("segments", 90, 0), ("segments", 90, 3), ("segments", 84, 32),
+                                               ("segments", 97, 2)])
+def test_both_candidate_methods_equal_brute_force(spark, monkeypatch, method, cutoff, hot):
+    """Keys of all lengths, under and over the longest cut one, some with a common beginning."""
+    monkeypatch.setattr(segments.segment_candidates, "__defaults__", (hot,))
+    rnd = random.Random(cutoff + hot)
+    keys = _keys(29, 150)
+    for n in (40, 60, 64, 66, 78, 90):
+        base = "http://www." * (n % 4) + "".join(rnd.choice("abcdefgh") for _ in range(n))
+        for _ in range(8):
+            t = list(base)
+            for _ in range(rnd.randint(1, 9)):
+                t[rnd.randrange(len(t))] = rnd.choice(["", "x", "ab"])
+            keys.append("".join(t))
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = {(r.key_a, r.key_b) for r in resolve.similar_key_pairs(df, "key", cutoff=cutoff, method=method).collect()}
+    assert got == _brute(keys, cutoff)
+
+
+def test_segments_fit_into_every_length():
+    for cutoff in range(segments.LEAST_CUTOFF, 101):
+        for m in range(1, segments.LONGEST + 1):
+            sizes = [size for _, size in segments.cuts(m, cutoff)]
+            assert not sizes or (min(sizes) >= 1 and sum(sizes) == m)
+            assert len(sizes) == (segments.edits(m, m * (200 - cutoff) // cutoff, cutoff) + 2 if sizes else 0)
+
+
+def test_candidates_per_key_stay_flat(spark):
+    """Random names: ten times the keys, about as many candidates a key."""
+    def per_key(n):
+        rnd = random.Random(n)
+        word = lambda: "".join(rnd.choice("abcdefghijklmnoprstuvwz") for _ in range(rnd.randint(4, 9)))
+        words = [word() for _ in range(n // 2)]
+        rows = [(f"{rnd.choice(words)} {rnd.choice(words)} {rnd.choice(['gmbh', 'kg', 'und sohn'])}",) for _ in range(n)]
+        keys = resolve.distinct_keys(spark.createDataFrame(rows, "key string"), "key")
+        return segments.segment_candidates(keys, 90).count() / n
+    few, many = per_key(300), per_key(3_000)
+    assert many < 3 * max(few, 0.5)
+
+
+def test_odd_cutoffs_rejected(spark):
     df = spark.createDataFrame([("ab",)], "key string")
     with pytest.raises(ValueError):
-        resolve.similar_key_pairs(df, "key", cutoff=80)
+        resolve.similar_key_pairs(df, "key", cutoff=0)
 
 
 def test_a_long_shuffled_chain_is_one_component(spark):
