@@ -4,13 +4,12 @@ Similarity is the Indel ratio ``100 * 2 * LCS / (|a| + |b|)``; two keys match wh
 ratio is at least ``cutoff`` (90). Instead of comparing all n(n-1)/2 pairs, the join
 
 1. collapses identical keys (they match trivially; a hot key costs one row);
-2. from a cutoff of 84 on, finds candidates by segment signatures (see ``segments``), whose number per
-   key does not grow with the keys;
-3. below, describes each key by its characters numbered per occurrence ("a#1", "a#2", ...) and keeps per
-   key only a *prefix* of its tokens in one global order (rarest first). Two matching keys share at
-   least ``need`` tokens (count filter), so they share at least one token among their first
-   ``len - need`` + 1 tokens (prefix filter): an equi-join on prefix tokens finds every matching pair.
-   ``method="prefix"`` does the same with bigrams for cutoffs from 84 on;
+2. from a cutoff of 86 on, finds candidates by segment signatures (see ``segments``), whose number per
+   key hardly grows with the keys;
+3. below, describes each key by its bigrams numbered per occurrence ("ab#1", "ab#2", ...), below 84 by its
+   characters, and keeps per key only a *prefix* of these tokens in one global order (rarest first). Two
+   matching keys share at least ``need`` tokens (count filter), so they share at least one token among
+   their first ``len - need`` ones (prefix filter): an equi-join on prefix tokens finds every match;
 4. filters candidates by length, then by ``levenshtein <= allowed indel`` (a JVM built-in,
    banded by the threshold; Levenshtein distance never exceeds Indel distance);
 5. computes the exact LCS for survivors in an Arrow-batched UDF.
@@ -74,6 +73,8 @@ def distinct_keys(df: DataFrame, key_col: str) -> DataFrame:
     return cut_lineage(keys.repartition("kid"))
 
 
+#: Least cutoff at which every match shares a bigram.
+BIGRAM_CUTOFF = 84
 #: Classes of characters whose counts bound the distance of two keys.
 CHARACTER_CLASSES = 16
 
@@ -161,12 +162,14 @@ def similar_key_pairs(df: DataFrame, key_col: str = "key", cutoff: int = C.SIMIL
     if not 1 <= cutoff <= 100:
         raise ValueError("the cutoff must be 1 to 100")
     keys = keys if keys is not None else distinct_keys(df, key_col)
-    if cutoff < LEAST_CUTOFF:
-        # below 84 some short keys need no shared bigram to match (checked exhaustively for
+    if cutoff < BIGRAM_CUTOFF:
+        # below it some short keys need no shared bigram to match (checked exhaustively for
         # lengths 2..600), but every match shares a character
         cand = candidate_pairs(keys, cutoff, q=1)
+    elif cutoff < LEAST_CUTOFF or method == "prefix":
+        cand = candidate_pairs(keys, cutoff)
     else:
-        cand = segment_pairs(keys, cutoff) if method == "segments" else candidate_pairs(keys, cutoff)
+        cand = segment_pairs(keys, cutoff)
     ka = keys.select(F.col("kid").alias("ka"), F.col("key").alias("key_a"))
     kb = keys.select(F.col("kid").alias("kb"), F.col("key").alias("key_b"))
     total = F.col("la") + F.col("lb")

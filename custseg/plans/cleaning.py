@@ -21,7 +21,7 @@ class CleanResult:
     invoices: DataFrame
     quarantine: DataFrame
     customers: DataFrame      # customer_number -> customer_id (+ match key)
-    export: raw_text.RawExport    # its ingest_counts are known when the invoices are written
+    export: raw_text.RawExport    # its ingest_counts are known when the quarantine is written
 
 
 def clean_exports(spark: SparkSession, data_dir: str, suffixes=tuple(C.RAW_FILE_SUFFIXES),

@@ -98,7 +98,7 @@ class RawExport:
     header: DataFrame       # the first file's header line (one row)
     rows: DataFrame         # data lines with the header's field count
     quarantine: DataFrame   # data lines with another field count
-    seen: Observation       # data lines and kept ones, counted by whatever first runs over rows or quarantine
+    seen: Observation       # data lines and kept ones, counted by the first job over the quarantine
     width: int              # the header's field count
 
 
@@ -117,16 +117,16 @@ def export_of_lines(lines: DataFrame, strip: str = "both", sep: str = C.FIELD_SE
     row = first.select("n_fields").first()
     width = F.lit(row["n_fields"] if row else 0)
     seen = Observation()
-    data = lines.where(~F.col("is_file_header")).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("n_fields") == width, 1)).alias("kept"))
+    data = lines.where(~F.col("is_file_header"))
+    # only there: what reads the rows may sort or join them, and Spark counts what such plans run twice twice
+    counted = data.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("n_fields") == width, 1)).alias("kept"))
     return RawExport(header=first, rows=data.where(F.col("n_fields") == width),
-                     quarantine=data.where(F.col("n_fields") != width), seen=seen, width=row["n_fields"] if row else 0)
+                     quarantine=counted.where(F.col("n_fields") != width), seen=seen, width=row["n_fields"] if row else 0)
 
 
 def ingest_counts(export: RawExport) -> dict:
     """Header width, lines (with the first header), data lines kept and removed: counted by the job that has
-    written or read the rows or the quarantine, without a scan of their own. Call it after such a job;
-    before the first one it waits for it."""
+    written the quarantine, without a scan of their own. Call it after that job; before it waits for it."""
     seen = export.seen.get
     return {"columns": export.width, "rows": seen["rows"] + 1, "kept": seen["kept"], "removed": seen["rows"] - seen["kept"]}
 
