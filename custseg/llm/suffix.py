@@ -184,36 +184,48 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, hash, pos, size, gram, context, core0 ..``: each anchor of each whole text, with a hash of the
     bytes within reach of a window that holds it, and per class of window offsets a short hash of the
     bytes that all windows of the class share (null if none lies in the text)."""
-    def core(data: bytes, p: int, low: int, high: int) -> int | None:
-        if p < low or p - high + LENGTH > len(data):
-            return None
-        return xxhash.xxh32_intdigest(data[p - low:p - high + LENGTH]) - (1 << 31)
+    reach = LENGTH - GRAM
+
+    def frame(parts: list[tuple]) -> pd.DataFrame:
+        counts = [len(part[3]) for part in parts]
+        column = lambda k: np.concatenate([part[k] for part in parts])
+        each = pd.Series([part[0] for part in parts]).repeat(counts).reset_index(drop=True)
+        out = {"id": each, "hash": np.repeat([part[1] for part in parts], counts), "pos": column(3),
+               "size": np.repeat([part[2] for part in parts], counts).astype(np.int32), "gram": column(4), "context": column(5)}
+        for j in range(len(CLASSES)):
+            out[f"core{j}"] = pd.arrays.IntegerArray(column(6 + 2 * j), column(7 + 2 * j))
+        return pd.DataFrame(out)
+
+    def cores(data: bytes, at: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        missing = (at < low) | (at - high + LENGTH > len(data))
+        values = np.zeros(len(at), np.int16)
+        values[~missing] = [(xxhash.xxh32_intdigest(data[p - low:p - high + LENGTH]) & 0xFFFF) - (1 << 15)
+                            for p in at[~missing].tolist()]
+        return values, missing
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
+            parts, held = [], 0
             for key, hashed, text in zip(batch["id"], batch["hash"], batch["text"]):
                 data = text.encode("utf-8", "surrogatepass") if text else b""
                 at, h = anchors(data)
                 if len(at):
-                    reach = LENGTH - GRAM
                     context = [xxhash.xxh3_64_intdigest(data[max(0, p - reach):p + LENGTH], seed=min(p, reach))
                                for p in at.tolist()]
-                    parts.append(pd.DataFrame({"id": key, "hash": hashed, "pos": at, "size": len(data),
-                                               "gram": h.view(np.int64),
-                                               "context": np.array(context, np.uint64).view(np.int64),
-                                               **{f"core{j}": pd.array([core(data, p, *c) for p in at.tolist()], "Int32")
-                                                  for j, c in enumerate(CLASSES)}}))
-                if len(parts) >= 500:
-                    yield pd.concat(parts)
-                    parts = []
+                    parts.append((key, hashed, len(data), at.astype(np.int32), h.view(np.int64),
+                                  np.array(context, np.uint64).view(np.int64),
+                                  *[x for c in CLASSES for x in cores(data, at, *c)]))
+                    held += len(at)
+                if held >= 100_000:
+                    yield frame(parts)
+                    parts, held = [], 0
             if parts:
-                yield pd.concat(parts)
+                yield frame(parts)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(find, f"id {kind}, hash long, pos long, size long, gram long, context long, "
-                           + ", ".join(f"core{j} int" for j in range(len(CLASSES))))
+    return rows.mapInPandas(find, f"id {kind}, hash long, pos int, size int, gram long, context long, "
+                           + ", ".join(f"core{j} short" for j in range(len(CLASSES))))
 
 
 def _slices(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
