@@ -1,5 +1,6 @@
 """Every stage of the pipeline against a brute-force version on the smallest tables."""
 
+import random
 import re
 
 import numpy as np
@@ -7,6 +8,7 @@ import numpy as np
 import corpus_pipeline
 from custseg.llm import catalog
 from custseg.session import materialise
+from tests.llm.helpers import documents, sentence
 from tests.llm.test_minhash import brute as near
 from tests.llm.test_mixing import targets
 
@@ -21,7 +23,7 @@ def test_stages(spark):
     columns = docs.columns
     kept = {r.doc_id: r for r in docs.collect()}
     for (name, stage) in corpus_pipeline.STAGES:
-        out = materialise(stage(spark, docs, SF), "test", keep=True)
+        out = materialise(stage(spark, docs, SF), "test")
         rows = out.collect()
         if name != "packing":
             assert out.columns == columns
@@ -63,6 +65,32 @@ def test_stages(spark):
         docs = out
 
 
-def test_run(spark):
+def test_run_leaves_other_queries_their_tables(spark):
+    lazy = catalog.op3_exact_dedup(spark, SF)
     assert corpus_pipeline.run(spark, SF).count() > 0
+    assert lazy.count() == 200
     assert corpus_pipeline.oracle_sql() == {}
+
+
+def test_odd_tables(spark, tmpdir_path):
+    """Null identifiers, texts and sources, repeated rows, clashing names; then no documents at all."""
+    rng = random.Random(2)
+    rows = [(i, sentence(rng, 40), rng.choice(["a", "b", None])) for i in range(40)]
+    rows += [(None, None, None), (None, sentence(rng, 30), "a"), (50, "", "b"), (51, " \t\n", "b"), (3, rows[3][1], "a"),
+             (3, rows[3][1], "a"), (60, rows[5][1], None), (61, "long word " * 5_000, "a")]
+    docs = documents(spark, rows, clash=True)
+    spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int") \
+        .write.parquet(tmpdir_path + "/labels.parquet")
+    docs.write.parquet(tmpdir_path + "/documents.parquet")
+    mixed = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        mixed = materialise(stage(spark, mixed, tmpdir_path), "test")
+        assert mixed.columns == docs.columns
+        ids = [r.doc_id for r in mixed.select("doc_id").collect()]
+        if name in ("exact dedup", "near dedup"):
+            assert ids.count(3) <= 1 and not {5, 60} <= set(ids)
+    assert corpus_pipeline.run(spark, tmpdir_path).count() > 0
+    empty = tmpdir_path + "/empty"
+    docs.limit(0).write.parquet(empty + "/documents.parquet")
+    spark.read.parquet(tmpdir_path + "/labels.parquet").write.parquet(empty + "/labels.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
