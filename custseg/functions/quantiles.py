@@ -1,7 +1,10 @@
-"""Exact quantiles of whole columns, per group, without gathering a column in one task."""
+"""Quantiles of whole columns: exact ones, per group, without gathering a column in one task, and, where
+asked for, those of a mergeable sketch with a bounded rank error."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +52,25 @@ def exact_quantiles(df: DataFrame, cols: list[str], levels: list[float], by: str
     return out.withColumnRenamed("by", by) if by else out.drop("by")
 
 
-def quantile_lists(df: DataFrame, cols: list[str], levels: list[float]) -> dict[str, tuple[int, list[float]]]:
+def sketch_quantiles(df: DataFrame, cols: list[str], levels: list[float], error: float
+                     ) -> dict[str, tuple[int, list[float]]]:
+    """Per column the number of non-null values and, for each level, a value of the column whose rank is
+    within ``error`` times that number of the level's. One pass for all columns: every task keeps one
+    Greenwald-Khanna summary a column, whose size hangs on ``error`` and not on the rows, and the
+    summaries are merged. A column without values is absent."""
+    if not 0 < error < 1:
+        raise ValueError("the rank error must lie between 0 and 1")
+    points = F.array(*[F.lit(float(p)) for p in levels])
+    x = [F.col(c).cast("double") for c in cols]
+    row = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x)],
+                 *[F.percentile_approx(v, points, F.lit(math.ceil(1 / error))).alias(f"q{i}") for i, v in enumerate(x)]).first()
+    return {c: (row[f"n{i}"], [float(v) for v in row[f"q{i}"]]) for i, c in enumerate(cols) if row[f"n{i}"]}
+
+
+def quantile_lists(df: DataFrame, cols: list[str], levels: list[float], approx: float | None = None
+                   ) -> dict[str, tuple[int, list[float]]]:
     """Per column the number of values and its quantiles, as the few numbers they are; a column
-    without values is absent."""
+    without values is absent. Exact unless ``approx`` names a rank error for ``sketch_quantiles``."""
+    if approx is not None:
+        return sketch_quantiles(df, cols, levels, approx)
     return {r["feature"]: (r["n"], list(r["q"])) for r in exact_quantiles(df, cols, levels).collect()}

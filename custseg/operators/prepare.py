@@ -31,11 +31,13 @@ class QuantileModel:
     quantiles: dict[str, list[float]]
 
 
-def fit_quantile_transform(df: DataFrame, features: list[str], n_quantiles: int = C.N_QUANTILES) -> QuantileModel:
-    """Quantiles at min(n_quantiles, n) evenly spaced levels; a feature without values maps to itself."""
+def fit_quantile_transform(df: DataFrame, features: list[str], n_quantiles: int = C.N_QUANTILES,
+                           approx: float | None = None) -> QuantileModel:
+    """Quantiles at min(n_quantiles, n) evenly spaced levels; a feature without values maps to itself. Exact
+    unless ``approx`` names the rank error of a one-pass sketch."""
     n = df.count()
     levels = quantile_levels(n_quantiles, n)
-    found = quantile_lists(df, features, levels)
+    found = quantile_lists(df, features, levels, approx)
     return QuantileModel(levels, {f: list(np.maximum.accumulate(found[f][1])) if f in found else [0.0] * len(levels)
                                   for f in features})
 
@@ -106,8 +108,9 @@ def clip_bounds() -> tuple[float, float]:
     return nd.inv_cdf(C.BOUNDS_THRESHOLD - eps), nd.inv_cdf(1 - (C.BOUNDS_THRESHOLD - eps))
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], factor: float = C.IQR_FACTOR) -> dict[str, tuple[float, float]]:
-    qs = quantile_lists(df, cols, [0.25, 0.75])
+def iqr_bounds(df: DataFrame, cols: list[str], factor: float = C.IQR_FACTOR, approx: float | None = None
+               ) -> dict[str, tuple[float, float]]:
+    qs = quantile_lists(df, cols, [0.25, 0.75], approx)
     out = {}
     for c in cols:
         q1, q3 = qs[c][1] if c in qs else (float("-inf"), float("inf"))
@@ -135,19 +138,20 @@ def outlier_condition(bounds: dict[str, tuple[float, float]], cols: list[str], m
 
 
 def remove_outliers(df: DataFrame, features: list[str] = C.RFM_FEATURES, mode: str = "last",
-                    n_quantiles: int = C.N_QUANTILES, factor: float = C.IQR_FACTOR) -> DataFrame:
+                    n_quantiles: int = C.N_QUANTILES, factor: float = C.IQR_FACTOR, approx: float | None = None) -> DataFrame:
     """Quantile-transform the features, flag IQR outliers there, drop those rows; the
     original feature values are kept.
 
     The transform is monotone (non-decreasing), so "score below the lower IQR bound" holds
     exactly for the data values below the smallest value whose score reaches the bound.
     Those two thresholds per feature come from one more aggregate; the final filter then
-    compares raw values only (cheap, and a plain predicate for the optimizer).
+    compares raw values only (cheap, and a plain predicate for the optimizer). ``approx`` is the rank
+    error of sketched quantiles; without it they are exact.
     """
     df = materialise(df, "outlier_rows")          # several passes follow: compute the features once
-    model = fit_quantile_transform(df, features, n_quantiles)
+    model = fit_quantile_transform(df, features, n_quantiles, approx)
     t = quantile_transform(df, features, model, suffix="__q")
-    zb = iqr_bounds(t, [f + "__q" for f in features], factor)
+    zb = iqr_bounds(t, [f + "__q" for f in features], factor, approx)
     aggs = []
     for f in features:
         lo, hi = zb[f + "__q"]

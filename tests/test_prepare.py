@@ -6,6 +6,7 @@ from statistics import NormalDist
 import numpy as np
 import pytest
 
+from custseg.functions import quantiles
 from custseg.operators import prepare
 
 
@@ -127,3 +128,33 @@ def test_empty_and_constant_inputs(spark):
     assert summaries.density(same, "recency").count() == 0
     assert summaries.box_stats(same, "recency").first().median == 1.0
     assert [r["count"] for r in summaries.histogram(same, "recency").collect()] == [4]
+
+
+@pytest.mark.parametrize("error", [0.05, 0.005])
+def test_sketched_quantiles_keep_their_rank_error(spark, error):
+    """Skewed, tied and sorted data, over several partitions: ranks stay within the error."""
+    rng = np.random.default_rng(8)
+    n = 20_000
+    skewed, tied = rng.pareto(0.7, n), np.minimum(rng.geometric(0.4, n), 6).astype(float)
+    rows = [(float(a), float(b), float(i), None) for i, (a, b) in enumerate(zip(skewed, tied))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(9)
+    levels = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = quantiles.sketch_quantiles(df, ["a", "b", "c", "d"], levels, error)
+    assert set(got) == {"a", "b", "c"}
+    for name, x in (("a", skewed), ("b", tied), ("c", np.arange(n, dtype=float))):
+        assert got[name][0] == n
+        for level, v in zip(levels, got[name][1]):
+            low, high = (x < v).mean(), (x <= v).mean()
+            assert low - error - 1 / n <= level <= high + error + 1 / n
+    with pytest.raises(ValueError):
+        quantiles.sketch_quantiles(df, ["a"], levels, 0.0)
+
+
+def test_sketch_is_an_option_and_never_the_default(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.normal(size=4_000))], "id long, a double")
+    exact, sketched = prepare.fit_quantile_transform(df, ["a"]), prepare.fit_quantile_transform(df, ["a"], approx=0.01)
+    assert np.allclose(exact.quantiles["a"], np.quantile([r.a for r in df.collect()], exact.references))
+    assert exact.quantiles["a"] != sketched.quantiles["a"]
+    kept = {r.id for r in prepare.remove_outliers(df, ["a"]).collect()} ^ {r.id for r in prepare.remove_outliers(df, ["a"], approx=0.001).collect()}
+    assert len(kept) < 0.01 * 4_000
