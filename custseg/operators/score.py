@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -21,10 +21,16 @@ def score(df: DataFrame, model: KnnModel, out_col: str = "segment", max_points:
     with more points exactly; a stream, which has no such join, is scored by ``max_points`` of them.
     """
     features = [scaled(f, model.scaler) for f in model.features]
-    if df.isStreaming or model.points.count() <= max_points:
-        points = CL.labelled_points(model.points, model.features, model.id_col, model.label_col, max_points=max_points)
-        return df.withColumn(out_col, CL.votes(points, features, [model.k])[0])
-    ready = df.withColumn("_scaled", F.array(*features))
-    points = model.points.withColumn("_scaled", F.array(*[F.col(f).cast("double") for f in model.features]))
-    near = knn_join(ready, points, "_scaled", model.k, model.id_col, model.label_col, out_col="_near")
-    return near.withColumn(out_col, CL.neighbour_votes("_near", [model.k])[0]).drop("_near", "_scaled")
+    return vote(df, features, model.points, model.features, model.k, model.id_col, model.label_col, out_col, max_points)
+
+
+def vote(df: DataFrame, columns: list[Column], points: DataFrame, features: list[str], k: int, id_col: str, label_col: str,
+         out_col: str, max_points: int = C.KNN_MAX_POINTS) -> DataFrame:
+    """``df`` with the class that the k nearest ``points`` to the values of ``columns`` vote for; see ``score``."""
+    if df.isStreaming or points.count() <= max_points:
+        known = CL.labelled_points(points, features, id_col, label_col, max_points=max_points)
+        return df.withColumn(out_col, CL.votes(known, columns, [k])[0])
+    ready = df.withColumn("_x", F.array(*columns))
+    points = points.withColumn("_x", F.array(*[F.col(f).cast("double") for f in features]))
+    near = knn_join(ready, points, "_x", k, id_col, label_col, out_col="_near")
+    return near.withColumn(out_col, CL.neighbour_votes("_near", [k])[0]).drop("_near", "_x")
