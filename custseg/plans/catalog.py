@@ -468,6 +468,11 @@ def q_fuzzy_pairs(spark, sf_dir):
     return resolve.similar_key_pairs(T.read_table(spark, sf_dir, "pages"), "url")
 
 
+@register("fuzzy_pairs_segments", "WITH " + SQL_FUZZY_URL + "\nSELECT * FROM m")
+def q_fuzzy_pairs_segments(spark, sf_dir):
+    return resolve.similar_key_pairs(T.read_table(spark, sf_dir, "pages"), "url", method="segments")
+
+
 @register("fuzzy_pairs_75", "WITH " + SQL_FUZZY_URL.replace("90 * greatest", "75 * greatest").replace("110 * least", "125 * least")
           .replace("levenshtein(a.k, b.k) * 10 <=", "levenshtein(a.k, b.k) * 4 <=").replace(">= 90 *", ">= 75 *") + "\nSELECT * FROM m")
 def q_fuzzy_pairs_75(spark, sf_dir):

@@ -55,7 +55,7 @@ def main():
         out["segments_per_key"] = round(S.segment_candidates(keys, 90).count() / m, 2)
         out["segment_seconds"] = round(time.time() - t0, 1)
         t0 = time.time()
-        found = R.similar_key_pairs(sub, "key", keys=keys)
+        found = R.similar_key_pairs(sub, "key", keys=keys, method="segments")
         pairs = materialise(found.select("key_a", "key_b"), "pairs")
         out["matches"], out["join_seconds"] = pairs.count(), round(time.time() - t0, 1)
         if m <= 25_000:
