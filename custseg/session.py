@@ -69,12 +69,13 @@ def scratch_scope(name: str) -> Iterator[None]:
         _OPEN.pop()
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder below the shared checkpoint folder and read
-    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters."""
+    it back. Unlike ``checkpoint()`` later readers still prune columns and push filters. ``compression`` names
+    a codec other than the session's."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     if _OPEN:
         _SCRATCH.setdefault((spark.sparkContext.applicationId, _OPEN[-1]), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
