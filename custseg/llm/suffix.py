@@ -9,8 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from custseg.session import materialise
 
@@ -228,21 +230,48 @@ def anchor_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                            + ", ".join(f"core{j} short" for j in range(len(CLASSES))))
 
 
+@F.pandas_udf(T.BinaryType())
+def packed_bytes(texts: pd.Series) -> pd.Series:
+    """UTF-8 bytes of texts (null: empty), compressed: whole texts go through two exchanges."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return texts.map(lambda t: pack(t.encode("utf-8", "surrogatepass") if t else b""))
+
+
+def _packed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, hash, data``: identifier, text hash and compressed bytes of each row."""
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"),
+                       packed_bytes(F.col(text_col)).alias("data"))
+
+
 def _slices(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """The bytes in reach of each anchor of ``wanted`` (id, hash, pos, gram, context), cut from
     its document: adds ``start`` (in the document) and ``bytes``."""
-    lists = wanted.groupBy("id", "hash").agg(F.collect_list(F.struct("pos", "gram", "context")).alias("want")) \
-        .select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "want")
+    lists = wanted.groupBy("id", "hash").agg(*[F.collect_list(c).alias(c) for c in ("pos", "gram", "context")]) \
+        .select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "pos", "gram", "context")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
-    joined = texts.join(lists, same).select("id", "hash", F.encode("text", "UTF-8").alias("data"),
-                                            F.explode("want").alias("w"))
+    joined = _packed_texts(docs, id_col, text_col).join(lists, same).select("id", "hash", "data", "pos", "gram", "context")
     reach = LENGTH - GRAM
-    start = F.greatest(F.lit(0), F.col("w.pos") - reach)
-    return joined.select("id", "hash", F.col("w.pos").alias("pos"), F.col("w.gram").alias("gram"),
-                         F.col("w.context").alias("context"), start.alias("start"),
-                         F.substring("data", (start + 1).cast("int"),
-                                     (F.col("w.pos") + LENGTH - start).cast("int")).alias("bytes"))
+
+    def cut(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                want = part.column("pos")
+                row = pc.list_parent_indices(want)
+                pos = want.flatten().to_numpy()
+                start = np.maximum(0, pos - reach).astype(np.int32)
+                data = [unpack(z.as_py()) for z in part.column("data")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(row), part.column("hash").take(row), pa.array(pos),
+                     part.column("gram").flatten(), part.column("context").flatten(), pa.array(start),
+                     pa.array([data[r][a:p + LENGTH] for r, a, p in zip(row.to_pylist(), start.tolist(), pos.tolist())], pa.binary())],
+                    names=["id", "hash", "pos", "gram", "context", "start", "bytes"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return joined.mapInArrow(cut, f"id {kind}, hash long, pos int, gram long, context long, start int, bytes binary")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,11 +292,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
        is still too large is split further, down to single windows. So a passage that a third of
        all documents share never meets in one task.
     """
-    found = materialise(anchor_rows(docs, id_col, text_col), "suffix_anchors")
+    found = materialise(anchor_rows(docs, id_col, text_col), "suffix_anchors", "zstd")
     places = found.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"),
                                                   F.min(F.struct("id", "hash", "pos")).alias("one"),
                                                   *[F.max(f"core{j}").alias(f"core{j}") for j in range(len(CLASSES))])
-    places = materialise(places, "suffix_places")
+    places = materialise(places, "suffix_places", "zstd")
     several = places.groupBy("gram").agg(F.count(F.lit(1)).alias("slices")).filter("slices > 1").select("gram")
     # a place whose windows share no class's common bytes with another place of the anchor is alone
     classes = F.explode(F.array(*[F.struct(F.lit(j).alias("class"), F.col(f"core{j}").alias("core"))
@@ -277,7 +306,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     met = cores.groupBy("gram", "class", "core").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
     met = cores.join(met.drop("places"), ["gram", "class", "core"], "left_semi").select("gram", "context").distinct()
     open_places = places.join(met, ["gram", "context"]).select("one.*", "gram", "context")
-    slices = materialise(_slices(docs, id_col, text_col, open_places), "suffix_slices")
+    slices = materialise(_slices(docs, id_col, text_col, open_places), "suffix_slices", "zstd")
 
     reach = LENGTH - GRAM
     settled = [places.filter("n > 1").select("gram", "context", F.lit(0).alias("low"), F.lit(reach).alias("high"))]
@@ -376,10 +405,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return [tuple(x) for x in out]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for key, text, spans in zip(batch["id"], batch["text"], batch["spans"]):
-                data = text.encode("utf-8", "surrogatepass") if text else b""
+            for key, packed, spans in zip(batch["id"], batch["data"], batch["spans"]):
+                data = unpack(packed)
                 merged = merge(spans)
                 kept, at = [], 0
                 for a, b in merged:
@@ -392,9 +422,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept"] * keep_text
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
+    texts = _packed_texts(docs, id_col, text_col)
     lists = lists.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), "spans")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
-    return texts.join(lists, same, "left").select("id", "text", "spans").mapInPandas(
+    return texts.join(lists, same, "left").select("id", "data", "spans").mapInPandas(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
              "spans array<struct<start: long, stop: long>>" + (", kept binary" if keep_text else ""))
