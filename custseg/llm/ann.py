@@ -16,7 +16,10 @@ from custseg.session import materialise
 
 #: Neighbours kept per node, members of a neighbourhood that are joined in a round, rows of the
 #: random blocks that give the first graph, and the share of new edges at which the descent ends.
-NEIGHBOURS, JOINED, BLOCK, SETTLED = 64, 60, 512, 0.04
+#: A block is one matrix product, far cheaper than a round, so large blocks save rounds.
+NEIGHBOURS, JOINED, BLOCK, SETTLED = 64, 60, 8192, 0.04
+#: Rows of a block that are compared with all of it at a time.
+SLICE = 512
 #: Search: nodes a query keeps, and nodes it expands per round.
 BEAM, EXPAND = 96, 24
 #: Ratio of the norms in a band of nodes, nodes drawn from a band to enter it by, and those of them
@@ -74,12 +77,14 @@ def _block_graph(nodes: DataFrame, bands: DataFrame, k: int, block: int, seed: i
     """The best neighbours within random blocks of about ``block`` nodes of a band."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         x, ids = _matrix(rows["packed"].tolist()), rows["node"].to_numpy()
-        s = x @ x.T
-        np.fill_diagonal(s, -np.inf)
         n = min(k, len(ids) - 1)
-        top = np.argpartition(-s, n - 1, axis=1)[:, :n] if n else np.empty((len(ids), 0), int)
-        return pd.DataFrame({"v": np.repeat(ids, n), "w": ids[top.ravel()],
-                             "s": np.take_along_axis(s, top, 1).ravel()})
+        near, scores = np.empty((len(ids), n), np.int64), np.empty((len(ids), n), np.float32)
+        for at in range(0, len(ids) if n else 0, SLICE):
+            s = x[at:at + SLICE] @ x.T
+            np.fill_diagonal(s[:, at:], -np.inf)
+            top = np.argpartition(s, s.shape[1] - n, axis=1)[:, -n:]
+            near[at:at + SLICE], scores[at:at + SLICE] = ids[top], np.take_along_axis(s, top, 1)
+        return pd.DataFrame({"v": np.repeat(ids, n), "w": near.ravel(), "s": scores.ravel()})
 
     blocks = bands.select("band", F.greatest(F.lit(1), F.round(F.col("n") / block)).cast("long").alias("blocks"))
     dealt = nodes.select("node", "packed", "band").join(F.broadcast(blocks), "band") \

@@ -117,3 +117,22 @@ def test_repeated_identifiers_are_rows_of_their_own(spark):
     large = [(1, 12.0), (2, 16.0), (20, 0.0), (20, 16.0)]  # of [4, 0], which stands there twice
     small = [(1, 3.0), (2, 0.0), (20, 0.0), (20, 0.0)]     # of [0, 3]
     assert sorted(got[20]) == sorted(large * 2 + small)
+
+
+def test_first_graph_of_a_few_thousand_vectors_is_exact(spark):
+    """Blocks are large matrix products: up to one block of nodes the descent starts from the true neighbours."""
+    x = np.random.default_rng(8).normal(size=(1300, 12))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<double>")
+    nodes = rows.select("node", ann._pack("vec").alias("packed"), F.lit(0).cast("long").alias("band"))
+    bands = spark.createDataFrame([(0, 1300)], "band long, n long")
+    got = {}
+    for r in ann._block_graph(nodes, bands, 10, ann.BLOCK, 5).collect():
+        got.setdefault(r.v, {})[r.w] = r.s
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = unit @ unit.T
+    np.fill_diagonal(s, -np.inf)
+    best = -np.sort(-s, axis=1)[:, :10]
+    assert len(got) == 1300
+    for v, near in got.items():
+        assert v not in near and len(near) == 10
+        assert np.allclose(sorted(near.values(), reverse=True), best[v], atol=1e-3)
