@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .knn_join import knn_join
+from .knn_join import WIDE, _wide_nearest, knn_join
 
 
 # ---------------------------------------------------------------------------
@@ -85,6 +85,11 @@ def _matrix(columns: list[pd.Series]) -> np.ndarray:
 def _nearest(x: np.ndarray, points: Points, k: int, folds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distances and positions of the ``k`` nearest points of each row, by (distance, id); distances are
     summed dimension by dimension, in the order SQL uses. Points of the row's own fold are infinitely far."""
+    if x.shape[1] >= WIDE:
+        own = None if folds is None else folds[:, None] == points.folds[None, :]
+        found = _wide_nearest(x, points.x, k, apart=own)
+        if found is not None:
+            return np.sqrt(found[1]), found[0]
     d2 = np.zeros((len(x), len(points.x)))
     for j in range(x.shape[1]):
         d = x[:, j:j + 1] - points.x[:, j][None, :]

@@ -34,6 +34,10 @@ MAX_BLOCKS = 65_536
 #: Queries of one visit row, and about how many meet a block in one group.
 PACK_QUERIES = 2048
 GROUP_QUERIES = 65_536
+#: Dimensions from which points count as wide: distances come from a matrix product first, and as balls hardly
+#: prune there, a block holds ``WIDE_BLOCKS`` times as many rows and cells are no smaller than blocks, so
+#: that a query is sent to few blocks.
+WIDE, WIDE_BLOCKS = 16, 4
 #: Cells of the bisector and ring tests whose radii are merged for a query's bound.
 NEAR_CELLS = 8
 #: Relative widening of the bounds against rounding.
@@ -67,6 +71,58 @@ def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _near_pairs(q: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray | None, apart: np.ndarray | None):
+    """(row, position, squared distance) of pairs that hold every row's ``k`` nearest of ``x``, by (row, position);
+    squared distances are those of ``_squared``. ``limit`` bounds a row's squared distance, ``apart`` marks pairs
+    that do not count. None where the products overflow.
+
+    A matrix product gives distances with an error below ``margin``: the k nearest are among those at most twice
+    that beyond the k-th of the product, and only they are summed dimension by dimension."""
+    middle = x.mean(0)
+    a, b = q - middle, x - middle
+    with np.errstate(over="ignore", invalid="ignore"):
+        a2, b2 = (a * a).sum(1), (b * b).sum(1)
+        margin = 8 * (x.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(a2) + np.sqrt(b2.max()) + 2 * np.abs(middle).max()) ** 2
+        about = a @ b.T
+        about *= -2
+        about += a2[:, None]
+        about += b2[None, :]
+        if not (np.isfinite(margin).all() and np.isfinite(about.sum())):
+            return None
+    if apart is not None:
+        about[apart] = np.inf
+    cut = np.partition(about, k - 1, axis=1)[:, k - 1] if k < about.shape[1] else np.full(len(q), np.finfo(float).max)
+    cut = np.minimum(cut, np.finfo(float).max)
+    if limit is not None:
+        cut = np.minimum(cut, limit)
+    row, at = np.nonzero(about <= (cut + 2 * margin)[:, None])
+    d2 = np.zeros(len(row))
+    for j in range(x.shape[1]):
+        d = q[row, j] - x[at, j]
+        d2 += d * d
+    if limit is not None:
+        keep = d2 <= limit[row]
+        row, at, d2 = row[keep], at[keep], d2[keep]
+    return row, at, d2
+
+
+def _wide_nearest(q: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray | None = None, apart: np.ndarray | None = None):
+    """Positions and squared distances of each row's ``k`` nearest of ``x``, by (distance, position); infinite where
+    there are fewer. None where the products overflow."""
+    k = min(k, len(x))
+    pairs = _near_pairs(q, x, k, limit, apart)
+    if pairs is None:
+        return None
+    row, at, d2 = pairs
+    order = np.lexsort((at, d2, row))
+    row, at, d2 = row[order], at[order], d2[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    best = place < k
+    near, far = np.zeros((len(q), k), np.int64), np.full((len(q), k), np.inf)
+    near[row[best], place[best]], far[row[best], place[best]] = at[best], d2[best]
+    return near, far
+
+
 def _pivot_distances(x: np.ndarray, pivots: np.ndarray, rows: int = 2048):
     """Distances to the pivots in slices of ``rows``."""
     for at in range(0, len(x), rows):
@@ -221,7 +277,11 @@ def index_points(points: DataFrame, features: list[str] | str, k: int, id_col: s
         return None, None
     wanted = max(1, min(max_pivots, math.isqrt(n)))
     drawn = rows.select("x", F.xxhash64("x", "id").alias("h")).orderBy("h", "x").limit(wanted).collect()
-    pivots = np.unique(np.array([r["x"] for r in drawn], np.float64), axis=0)
+    drawn = [r["x"] for r in drawn]
+    if len(drawn[0]) >= WIDE:
+        block_rows *= WIDE_BLOCKS
+        drawn = drawn[:max(1, n // block_rows)]
+    pivots = np.unique(np.array(drawn, np.float64), axis=0)
     width = F.size("x") == pivots.shape[1]
     rows = rows.withColumn("x", F.when(width, F.col("x")).otherwise(
         F.raise_error(F.lit(f"a vector does not have {pivots.shape[1]} components"))))
@@ -277,8 +337,13 @@ def _visit_rows(queries: DataFrame, bounds: Bounds, k: int) -> DataFrame:
 def _nearest_in_block(q: np.ndarray, bound: np.ndarray, folds: np.ndarray, x: np.ndarray, point_folds: np.ndarray, k: int):
     """Positions and squared distances of each query's k nearest points of a block within its bound, by
     (distance, position); infinite where there are fewer."""
-    d2 = _squared(q, x)
     wide = bound + SLACK * (1 + bound)
+    if x.shape[1] >= WIDE:
+        foreign = folds[:, None] == point_folds[None, :]
+        found = _wide_nearest(q, x, k, wide * wide, foreign if foreign.any() else None)
+        if found is not None:
+            return found
+    d2 = _squared(q, x)
     d2[(d2 > (wide * wide)[:, None]) | (folds[:, None] == point_folds[None, :])] = np.inf
     k = min(k, d2.shape[1])
     if k < d2.shape[1]:

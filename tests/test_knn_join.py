@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from custseg.operators import classify as CL
 from custseg.operators import score as SC
-from custseg.operators.knn_join import index_points, knn_join
+from custseg.operators.knn_join import SLACK, _nearest_in_block, _squared, index_points, knn_join
 from custseg.operators.prepare import ScalerModel
 from custseg.sources.model_store import KnnModel
 
@@ -104,3 +104,29 @@ def test_vote_and_cross_validation_equal_the_broadcast_way(spark):
     rows = test.select("id", "a", "b").unionByName(spark.createDataFrame([(None, 1.0, None)], "id long, a double, b double"))
     tell = lambda d: sorted(((r.id, r.segment) for r in d.collect()), key=str)
     assert tell(SC.score(rows, model)) == tell(SC.score(rows, model, max_points=10))
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1e200])
+def test_wide_points_give_the_neighbours_of_direct_sums(spark, offset):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 3, size=(400, 20)).astype(float) + rng.choice([0.0, 0.001], (400, 1)) + offset
+    q, folds, point_folds = x[::4].copy(), rng.integers(0, 3, 100), rng.integers(0, 3, 400)
+    d2 = _squared(q, x)
+    d2[folds[:, None] == point_folds[None, :]] = np.inf
+    at = np.argsort(d2, axis=1, kind="stable")[:, :7]
+    points = CL.Points(np.arange(400), np.zeros(400, int), point_folds, x, 400)
+    dist, found = CL._nearest(q, points, 7, folds)
+    assert np.array_equal(found, at) and np.array_equal(dist, np.sqrt(np.take_along_axis(d2, at, 1)))
+    near, far = _nearest_in_block(q, np.full(100, 5.0), folds, x, point_folds, 7)
+    d2[d2 > (5 + SLACK * 6) ** 2] = np.inf
+    want = np.sort(d2, axis=1)[:, :7]
+    assert np.array_equal(far, want)
+    assert np.array_equal(np.take_along_axis(d2, near, 1)[np.isfinite(far)], want[np.isfinite(far)])
+
+
+def test_wide_points_make_few_blocks(spark):
+    """Balls prune little in many dimensions, so a query that has to see all points visits few blocks."""
+    x = np.random.default_rng(5).normal(size=(2000, 24))
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>").repartition(3)
+    bounds, blocks = index_points(points, "x", 3, "id")
+    assert len(bounds.pivots) == 1 and blocks.agg(F.sum("n")).first()[0] == 2000
