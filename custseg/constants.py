@@ -44,6 +44,8 @@ PY_WHITESPACE_CLASS = (
     "\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A"
     "\\u2028\\u2029\\u202F\\u205F\\u3000"
 )
+# The same characters, one by one.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 DATE_FORMAT = "d.M.yyyy"            # day-first, one or two digit day and month
 TOTAL_MARKER = "-SPLITTEN-"          # value of is_total on invoice total rows

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 
-_WS = C.PY_WHITESPACE_CLASS
-
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,7 +18,7 @@ def _c(c: str | Column) -> Column:
 def py_strip(c: str | Column) -> Column:
     """Remove leading and trailing whitespace as Python's ``str.strip()`` does
     (Unicode spaces and control separators, not only blanks)."""
-    return F.regexp_replace(_c(c), f"^[{_WS}]+|[{_WS}]+$", "")
+    return F.btrim(_c(c), F.lit(C.PY_WHITESPACE))
 
 
 def py_strip_newline(c: str | Column) -> Column:
@@ -37,7 +35,9 @@ def normalise_line(c: str | Column, strip: str = "both") -> Column:
         col = py_strip_newline(col)
     elif strip != "none":
         raise ValueError(f"strip must be both|newline|none, not {strip!r}")
-    return F.translate(col, C.MIDDLE_DOT + C.CSV_SEPARATOR, "-/")
+    for old, new in ((C.MIDDLE_DOT, "-"), (C.CSV_SEPARATOR, "/")):      # most lines hold neither: a scan, no rewriting
+        col = F.replace(col, F.lit(old), F.lit(new))
+    return col
 
 
 def split_fields(c: str | Column, sep: str = C.FIELD_SEPARATOR) -> Column:

@@ -264,9 +264,11 @@ def q_ingest_counts(spark, sf_dir):
 
 
 def typed_invoice_rows(spark, sf_dir):
-    """The rendered export, split, as a written table: the operators read fields, not the expressions that
-    render them. Rows are spread before they are rendered, as the tables are few files."""
-    return materialise(RT.split_lines(T.invoice_lines(spark, sf_dir)).select("ordinal", "fields"), "invoice_fields")
+    """The rendered export, split. Rows are spread before they are rendered, as the tables are few files; the
+    operators read the fields in the same stage, so nothing is written in between. The number, never
+    negative, keeps filters on fields above the exchange; below it they would render and split every line twice."""
+    once = F.when(F.monotonically_increasing_id() >= 0, F.col("fields")).alias("fields")
+    return RT.split_lines(T.invoice_lines(spark, sf_dir)).select("ordinal", once)
 
 
 SQL_INVOICES = """

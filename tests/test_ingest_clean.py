@@ -133,3 +133,26 @@ def test_line_order_across_file_splits(spark, tmpdir_path):
         assert raw_text.ingest_counts(ex) == {"columns": 21, "rows": 3001, "kept": 3000, "removed": 0}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_invoice_lines_are_rendered_once(spark, tmp_path):
+    """No filter on the fields may go below the exchange, where it would render and split every line again, and
+    nothing is written between rendering and typing."""
+    import datetime
+
+    from custseg.plans import catalog
+
+    spark.createDataFrame([(1, "A", "X"), (10, "B", "Y")], "c_custkey long, c_name string, c_mktsegment string") \
+        .write.parquet(f"{tmp_path}/customer.parquet")
+    day = datetime.datetime(1996, 2, 3)
+    spark.createDataFrame([(7, 1, day, 1234.5), (8, 10, day, 5.0)],
+                          "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, 3, 1, 2.0, 10.25)],
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = catalog.queries()["clean_invoices"](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws") == 1 and "invoice_fields" not in plan
+    rows = {(r.invoice_num, r.item_id, r.is_total, r.amount, r.total, r.customer_number) for r in out.collect()}
+    assert rows == {("7", "3", None, -2.0, None, "1"), ("7", None, True, None, 1234.5, "1")}

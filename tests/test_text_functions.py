@@ -43,3 +43,11 @@ def test_day_first_dates(spark):
     df = spark.createDataFrame([("1.2.2020",), ("31.02.2020",), ("",), ("15.11.1999",)], "t string")
     got = [r.d for r in df.select(TX.parse_day_first_date("t").alias("d")).collect()]
     assert [str(d) if d else None for d in got] == ["2020-02-01", None, None, "1999-11-15"]
+
+
+def test_strip_removes_every_python_space_and_nothing_else(spark):
+    spaces = "".join(c for c in map(chr, range(0x11000)) if c.isspace())
+    texts = [spaces + "a" + spaces + "b" + spaces, "\u200ba\u180e", "a\n", "\n", "", "\t\tx", "x\r\n\n", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    got = {r.i: r.s for r in df.select("i", TX.py_strip("s").alias("s")).collect()}
+    assert got == {i: t if t is None else t.strip() for i, t in enumerate(texts)}
