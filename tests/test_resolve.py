@@ -203,3 +203,49 @@ def test_a_long_shuffled_chain_is_one_component(spark):
     edges = spark.createDataFrame(list(zip(order, order[1:])), "src long, dst long")
     got = resolve.connected_components(edges).collect()
     assert len(got) == 300 and {r.component for r in got} == {0}
+
+
+@pytest.mark.parametrize("method,cutoff,words", [("prefix", 90, 1), ("segments", 90, 1), ("prefix", 75, 1), ("prefix", 90, 2)])
+def test_crowded_keys_meet_in_blocks_not_by_signatures(spark, monkeypatch, method, cutoff, words):
+    """URLs of one grammar share their signatures: no candidate of theirs is joined, and nothing is lost between
+    them, keys that share little, and keys above 64 characters."""
+    joined = []
+    real = resolve.candidate_pairs
+    monkeypatch.setattr(resolve, "candidate_pairs", lambda keys, *args, **kw: joined.append(keys.count()) or real(keys, *args, **kw))
+    rnd = random.Random(cutoff + words)
+    word = "".join(rnd.choice("qjxkvzw") for _ in range(60 * (words - 1)))
+    urls = [f"https://{rnd.choice(['www.', 'm.', ''])}th{word}er.example.net/{rnd.choice(['en', 'de'])}/{rnd.randrange(9000)}" for _ in range(150)]
+    keys = urls + _keys(43, 30) + ["", "ä😀", "ä😀b", "https://"]
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    found = resolve.similar_key_pairs(df, "key", cutoff=cutoff, method=method).collect()
+    assert len(found) == len({(r.key_a, r.key_b) for r in found})
+    assert {(r.key_a, r.key_b, r.lcs) for r in found} == {(a, b, lcs_length(a, b)) for a, b in _brute([k for k in keys if k], cutoff)}
+    assert joined and max(joined) < 60
+
+
+def test_block_matches_equal_brute_force():
+    from custseg.operators.block_join import block_matches
+    rnd = random.Random(8)
+    for most, cutoff in ((20, 60), (150, 55), (300, 70)):
+        base = ["".join(rnd.choice("abä😀") for _ in range(rnd.randint(0, most))) for _ in range(40)]
+        near = ["".join(c for c in k if rnd.random() < 0.9) for k in base]
+        for a, b, same in ((sorted(base), near, False), (sorted(base + near), sorted(base + near), True)):
+            got = {(i, int(j), int(n)) for i, js, found in block_matches(a, b, cutoff, same) for j, n in zip(js, found)}
+            want = {(i, j, lcs_length(x, y)) for i, x in enumerate(a) for j, y in enumerate(b) if (j > i or not same)
+                    and lcs_length(x, y) and 200 * lcs_length(x, y) >= cutoff * (len(x) + len(y))}
+            assert got == want and len(want) > 30
+
+
+def test_links_between_crowded_keys_are_few(spark):
+    """300 keys that all match: their 44,850 pairs are never listed to group them."""
+    keys = [f"https://www.example.net/en/{n}/index.html" for n in range(1000, 1300)]
+    df = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    seen = []
+    real = resolve.connected_components
+    resolve.connected_components = lambda edges, *cols: seen.append(edges.count()) or real(edges, *cols)
+    try:
+        out = resolve.resolve_components(df, "id", "key", "id").collect()
+    finally:
+        resolve.connected_components = real
+    assert {r.group_key for r in out} == {keys[0]} and len(out) == 300
+    assert seen[0] < 300 * 10
