@@ -249,3 +249,23 @@ def test_links_between_crowded_keys_are_few(spark):
         resolve.connected_components = real
     assert {r.group_key for r in out} == {keys[0]} and len(out) == 300
     assert seen[0] < 300 * 10
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_ordered_mode_of_crowded_keys_equals_walk(spark, monkeypatch, several):
+    """URLs in a shuffled order: their links are not listed, apart from those of keys with several entries."""
+    rnd = random.Random(77)
+    urls = sorted({f"http://{rnd.choice(['www.', 'm.', ''])}ther.example.net/{rnd.randrange(900)}" for _ in range(150)})
+    rnd.shuffle(urls)
+    keys = urls + _keys(3, 24)[:20]
+    keys = keys + [rnd.choice(keys) for _ in range(20)] if several else list(dict.fromkeys(keys))
+    listed = []
+    real = resolve._min_ancestor
+    monkeypatch.setattr(resolve, "_min_ancestor", lambda nodes, edges, *more: listed.append(edges.count()) or real(nodes, edges, *more))
+    matches = _brute(keys)
+    expect = _walk_labels(keys, matches)
+    df = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
+    got = {r.id: r.group_key for r in resolve.resolve_ordered(df, "id", "key", "id", bucket=8).collect()}
+    assert all(got[i] == keys[expect[i]] for i in range(len(keys)))
+    assert len(got) == len(keys) and len(matches) > 1000
+    assert several or listed[0] < 100
