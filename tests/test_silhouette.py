@@ -109,3 +109,55 @@ def test_opened_work_grows_with_the_rows():
         d = np.sqrt(((block[:, None] - mean[None]) ** 2).sum(2)).min(0)
         met.append(float(groups.n[groups.error(d) > 0.01 * groups.n * d].sum()))
     assert met[1] < 3 * met[0]
+
+
+@pytest.mark.parametrize("width,order", [(1, 8), (2, 8), (3, 8), (4, 6), (6, 4)])
+def test_higher_orders_stay_within_their_certified_error(width, order):
+    assert S.order_for(width, 1e-5) == order and S.order_for(width, 0.01) == 2 and S.order_for(40, 1e-5) == 2
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        y = rng.normal(size=(30, width)) * rng.uniform(0.1, 2, width)
+        w = rng.integers(1, 9, 30).astype(float)
+        mean = (y * w[:, None]).sum(0) / w.sum()
+        coef, high, radius = S.moments(y, w, mean, order)
+        group = S.Groups(np.array([w.sum()]), mean[None], coef[None], np.array([high]), np.array([radius]), np.array([0]), order)
+        x = mean + rng.normal(size=(20, width)) * rng.uniform(1, 10)
+        d = np.sqrt(((x - mean) ** 2).sum(1))[:, None]
+        exact = (np.sqrt(((x[:, None] - y[None]) ** 2).sum(2)) * w).sum(1)
+        assert (np.abs(group.sums(x, d)[:, 0] - exact) <= np.array([group.error(r)[0] for r in d]) + 1e-9).all()
+
+
+def test_a_tight_tolerance_leaves_far_rows_closed():
+    """Rows a few radii away are summed from moments even at a relative error of 1e-6, at once or gathered."""
+    rng = np.random.default_rng(6)
+    x, y = rng.uniform(size=(300, 3)), rng.uniform(size=(1_500, 3)) + [2.5, 0, 0]
+    w, cluster = rng.integers(1, 5, 1_500).astype(float), rng.integers(0, 2, 1_500)
+    d = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2)) * w
+    exact = np.column_stack([d[:, cluster == c].sum(1) for c in range(2)])
+    blocks = S._leaves(x, np.arange(300), 64)
+    for pending, allowed in ((None, None), ([[] for _ in blocks], np.full((len(blocks), 2), 4e-6))):
+        sums, errors = np.zeros((300, 2)), np.zeros((300, 2))
+        S.add_chunk(x, blocks, y, w, cluster, 1e-6, sums, errors, 8, None, allowed, pending)
+        for block, far in zip(blocks, pending or []):
+            if far:
+                S.add_far(x, block, far, sums)
+        assert (np.abs(sums - exact) <= errors + 1e-9).all()
+        assert (errors > 0).all() and (errors <= 5e-6 * exact).all()
+
+
+def test_cuts_are_even_on_few_distinct_values():
+    """The widest dimension holds few values: a cut at the median of 0, 1, 1 would leave nothing on the right."""
+    rng = np.random.default_rng(7)
+    x = np.column_stack([rng.choice([0.0, 10.0, 20.0], 8_000, p=[0.3, 0.3, 0.4]), rng.uniform(size=8_000), rng.uniform(size=8_000)])
+    sizes = np.bincount(S.Cuts(x, 6).cell(x), minlength=64)
+    assert sizes.min() > 0 and sizes.max() < 4 * len(x) / 64
+
+
+def test_tight_tolerance_with_teams_and_discrete_features(spark):
+    rng = np.random.default_rng(8)
+    x, labels = clumps(rng, 2_500, 4)
+    x[:, 1] = np.round(x[:, 1])
+    df = spark.createDataFrame(rows(x, labels), SCHEMA).repartition(5)
+    got = silhouette(df, FEATURES, tolerance=1e-4, chunk_rows=16).first()
+    assert 0 < got.error <= 1e-4
+    assert abs(got.silhouette - brute(x, labels)) <= got.error + 1e-9
