@@ -77,3 +77,17 @@ def test_kept_bytes_and_empty_table(spark):
     got = {r.doc_id: bytes(r.kept) for r in suffix.remove_repeats(documents(spark, rows), keep_text=True).collect()}
     assert got == {1: b"q" * 20, 2: b"w" * 20}
     assert suffix.remove_repeats(documents(spark, [])).count() == 0
+
+
+def test_tables_that_grow_with_the_input_are_not_broadcast(spark):
+    """One plan at every size: the ranges are grouped in one exchange and meet the texts as they lie."""
+    rng = random.Random(11)
+    shared = sentence(rng, 150)
+    docs = documents(spark, [(n, sentence(rng, 100) + shared + sentence(rng, 30), "s") for n in range(40)] + [(None, shared, "s")] * 2)
+    got = suffix.remove_repeats(docs)
+    assert {r.n_removed >= suffix.LENGTH for r in got.collect()} == {True}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert "BroadcastHashJoin" not in plan
+    # found places, ranges (two sources), grouped ranges, texts
+    assert plan.count("Exchange hashpartitioning") <= 4
