@@ -15,9 +15,12 @@ from pyspark.sql.types import BinaryType
 from custseg.session import materialise
 
 #: Neighbours kept per node, members of a neighbourhood that are joined in a round, rows of the
-#: random blocks that give the first graph, and the share of new edges at which the descent ends.
+#: blocks that give the first graph, and the share of new edges at which the descent ends.
 #: A block is one matrix product, far cheaper than a round, so large blocks save rounds.
 NEIGHBOURS, JOINED, BLOCK, SETTLED = 64, 60, 8192, 0.04
+#: Trees that deal the nodes of a band with several blocks to them, sampled nodes per leaf that the trees
+#: are fitted on, and leaves of all bands together; larger bands have leaves of several blocks.
+TREES, PER_LEAF, LEAVES = 8, 64, 512
 #: Rows of a block that are compared with all of it at a time.
 SLICE = 512
 #: Search: nodes a query keeps, and nodes it expands per round.
@@ -44,7 +47,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 def norm_of(vec: Column) -> Column:
     """Euclidean norm, free of overflow in the squares."""
     peak = F.array_max(F.transform(vec, lambda x: F.abs(x.cast("double"))))
-    return peak * F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + (x / peak) * (x / peak)))
+    # the peak is bound once: inside the sum it would be sought again for every component
+    return F.transform(F.array(peak), lambda p: p * F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + (x / p) * (x / p))))[0]
 
 
 @F.pandas_udf(BinaryType())
@@ -73,8 +77,70 @@ def _best(edges: DataFrame, by: str, other: str, keep: int) -> DataFrame:
     return once.withColumn("place", place).filter(F.col("place") <= keep).drop("place")
 
 
-def _block_graph(nodes: DataFrame, bands: DataFrame, k: int, block: int, seed: int) -> DataFrame:
-    """The best neighbours within random blocks of about ``block`` nodes of a band."""
+def _fit_tree(x: np.ndarray, levels: int, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level the normals and offsets of its cells: a cell is halved at the median of its rows along the
+    difference of two of them."""
+    tree, cell = [], np.zeros(len(x), np.int64)
+    for level in range(levels):
+        normal, cut = np.zeros((1 << level, x.shape[1]), np.float32), np.zeros(1 << level, np.float32)
+        for k in range(1 << level):
+            own = x[cell == k]
+            if len(own) > 1:
+                a, b = rng.choice(len(own), 2, replace=False)
+                normal[k] = own[a] - own[b]
+                cut[k] = np.median(own @ normal[k])
+        tree.append((normal, cut))
+        cell = _leaf(x, tree[-1:], cell)
+    return tree
+
+
+def _leaf(x: np.ndarray, tree: list[tuple[np.ndarray, np.ndarray]], cell: np.ndarray) -> np.ndarray:
+    """The cells below ``cell`` that the rows of ``x`` come to."""
+    for normal, cut in tree:
+        cell = 2 * cell + (np.einsum("ij,ij->i", x, normal[cell]) > cut[cell])
+    return cell
+
+
+def _dealt(nodes: DataFrame, bands: DataFrame, block: int, trees: int, seed: int) -> DataFrame:
+    """``band, tree, leaf, part, node, packed``: every node once per tree of its band, in blocks of about
+    ``block`` nodes. The trees are fitted on a bounded sample and deal all nodes. A band of one block has one tree
+    without a cut; a leaf of several blocks is cut by hash."""
+    known = {r["band"]: r["n"] for r in bands.select("band", "n").collect()}
+    levels = {band: max(0, round(math.log2(n / block))) for band, n in known.items()}
+    over = max(0, math.ceil(math.log2(sum(1 << v for v in levels.values() if v) / LEAVES))) if any(levels.values()) else 0
+    cut = {band: v - over for band, v in levels.items() if v > over}
+    forest = {}
+    if cut:
+        share = F.broadcast(nodes.sparkSession.createDataFrame(
+            [(band, (PER_LEAF << v) / known[band]) for band, v in cut.items()], "band long, p double"))
+        drawn = nodes.join(share, "band").filter(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(1 << 40)) < F.col("p") * (1 << 40))
+        sample = drawn.select("band", "node", "packed").orderBy("band", "node").toPandas()
+        for band, own in sample.groupby("band"):
+            x, rng = _matrix(own["packed"].tolist()), np.random.default_rng(seed)
+            forest[band] = [_fit_tree(x, cut[band], rng) for _ in range(trees)]
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            band = batch["band"].to_numpy()
+            x = _matrix(batch["packed"].tolist()) if forest and len(batch) else None
+            for tree in range(trees if forest else 1):
+                leaf = np.zeros(len(batch), np.int64)
+                there = np.full(len(batch), tree == 0)
+                for b, grown in forest.items():
+                    at = np.flatnonzero(band == b)
+                    leaf[at], there[at] = _leaf(x[at], grown[tree], leaf[at]), True
+                yield batch.assign(tree=tree, leaf=leaf)[there]
+
+    places = nodes.select("band", "node", "packed").mapInPandas(deal, "band long, tree int, leaf long, node long, packed binary")
+    places = materialise(places, "ann_places")
+    # few rows: trees times leaves, and the bands
+    blocks = places.groupBy("band", "tree", "leaf").agg(F.greatest(F.lit(1), F.round(F.count(F.lit(1)) / block)).cast("long").alias("parts"))
+    return places.join(F.broadcast(blocks), ["band", "tree", "leaf"]) \
+        .withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed), "tree"), F.col("parts")))
+
+
+def _block_graph(nodes: DataFrame, bands: DataFrame, k: int, block: int, seed: int, trees: int = TREES) -> DataFrame:
+    """``v, w, s``: the best ``k`` neighbours of each node within its blocks."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         x, ids = _matrix(rows["packed"].tolist()), rows["node"].to_numpy()
         n = min(k, len(ids) - 1)
@@ -84,27 +150,41 @@ def _block_graph(nodes: DataFrame, bands: DataFrame, k: int, block: int, seed: i
             np.fill_diagonal(s[:, at:], -np.inf)
             top = np.argpartition(s, s.shape[1] - n, axis=1)[:, -n:]
             near[at:at + SLICE], scores[at:at + SLICE] = ids[top], np.take_along_axis(s, top, 1)
-        return pd.DataFrame({"v": np.repeat(ids, n), "w": near.ravel(), "s": scores.ravel()})
+        return pd.DataFrame({"v": ids, "w": list(near), "s": list(scores)})
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            vs, ws, ss = [], [], []
+            for v, w, s in zip(batch["v"], batch["w"], batch["s"]):
+                order = np.lexsort((w, -s))
+                once = np.sort(np.unique(w[order], return_index=True)[1])[:k]
+                vs.append(np.full(len(once), v))
+                ws.append(w[order[once]])
+                ss.append(s[order[once]])
+            if vs:
+                yield pd.DataFrame({"v": np.concatenate(vs), "w": np.concatenate(ws), "s": np.concatenate(ss)})
 
-    blocks = bands.select("band", F.greatest(F.lit(1), F.round(F.col("n") / block)).cast("long").alias("blocks"))
-    dealt = nodes.select("node", "packed", "band").join(F.broadcast(blocks), "band") \
-        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")))
-    return dealt.groupBy("band", "block").applyInPandas(join, "v long, w long, s float")
+    found = _dealt(nodes, bands, block, trees, seed).groupBy("band", "tree", "leaf", "part") \
+        .applyInPandas(join, "v long, w array<long>, s array<float>")
+    # a node has one short list per tree
+    lists = found.groupBy("v").agg(F.flatten(F.collect_list("w")).alias("w"), F.flatten(F.collect_list("s")).alias("s"))
+    return lists.mapInPandas(best, "v long, w long, s float")
 
 
 def neighbour_graph(nodes: DataFrame, bands: DataFrame, k: int = NEIGHBOURS, joined: int = JOINED, block: int = BLOCK,
-                    settled: float = SETTLED, seed: int = 5) -> DataFrame:
+                    settled: float = SETTLED, seed: int = 5, trees: int = TREES) -> DataFrame:
     """NN-descent by angle over ``nodes`` (node, packed, band) within each of ``bands`` (band, n): edges
     ``v, w, s``, the ``k`` best found per node.
 
-    Each round joins every neighbourhood: ``joined`` members drawn by hash from a node's neighbours
+    The descent starts from the best within blocks of nodes that lie near one another: ``trees`` of random cuts
+    deal the nodes to leaves, so most neighbours are found by matrix products and few rounds are left.
+    Each round joins every neighbourhood: ``joined`` different members drawn by hash from a node's neighbours
     and the nodes it is a neighbour of, compared with one another; what beats a member's worst
     neighbour is a candidate edge. The draw bounds a group even at hubs. Rounds end when fewer
     than ``settled`` of all edges are new.
     """
-    # two draws of blocks: the descent only reaches what the first graph connects
-    first = _block_graph(nodes, bands, k, block, seed).unionByName(_block_graph(nodes, bands, k, block, seed + 1))
-    edges = materialise(_best(first.withColumn("old", F.lit(0)), "v", "w", k), "ann_edges")
+    # several trees: the descent only reaches what the first graph connects
+    edges = materialise(_block_graph(nodes, bands, k, block, seed, trees), "ann_edges")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -126,7 +206,8 @@ def neighbour_graph(nodes: DataFrame, bands: DataFrame, k: int = NEIGHBOURS, joi
         draw = F.xxhash64("u", "m", F.lit(seed + 1 + round_no))
         pairs = edges.select(F.col("v").alias("u"), F.col("w").alias("m")) \
             .unionByName(edges.select(F.col("w").alias("u"), F.col("v").alias("m")))
-        drawn = (pairs.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(draw, "m")))
+        # a mutual neighbour is listed twice and takes one place
+        drawn = (pairs.withColumn("place", F.dense_rank().over(Window.partitionBy("u").orderBy(draw, "m")))
                  .filter(F.col("place") <= joined).select("u", "m").distinct())
         worst = edges.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("worst"))
         full = F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("-inf"))).cast("float")

@@ -136,3 +136,51 @@ def test_first_graph_of_a_few_thousand_vectors_is_exact(spark):
     for v, near in got.items():
         assert v not in near and len(near) == 10
         assert np.allclose(sorted(near.values(), reverse=True), best[v], atol=1e-3)
+
+
+def directions(spark, n, dims, seed):
+    """Nodes of one band with unclustered directions, their bands and exact cosines."""
+    x = np.random.default_rng(seed).normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, vec array<double>")
+    nodes = ann.materialise(rows.select("node", ann._pack("vec").alias("packed"), F.lit(0).cast("long").alias("band")), "test_nodes")
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    return nodes, spark.createDataFrame([(0, n)], "band long, n long"), s
+
+
+def test_first_graph_of_several_blocks_holds_most_neighbours(spark):
+    """Blocks hold nodes that lie near one another, each node is in one block per tree, whatever was sampled."""
+    nodes, bands, s = directions(spark, 3000, 12, 9)
+    dealt = ann._dealt(nodes, bands, 400, 8, 5).groupBy("node").count().collect()
+    assert len(dealt) == 3000 and {r["count"] for r in dealt} == {8}
+    found = {}
+    for r in ann._block_graph(nodes, bands, 10, 400, 5).collect():
+        found.setdefault(r.v, set()).add(r.w)
+    assert {len(v) for v in found.values()} == {10}
+    hits = sum(len(set(np.argsort(-s[v])[:10].tolist()) & near) for v, near in found.items())
+    assert hits / 30000 >= 0.85  # two draws of blocks by hash: 0.25
+
+
+def test_rounds_stay_few_when_blocks_are_many(spark, monkeypatch):
+    nodes, bands, s = directions(spark, 3000, 12, 10)
+    written = []
+    real = ann.materialise
+    monkeypatch.setattr(ann, "materialise", lambda df, name, *a: (written.append(name), real(df, name, *a))[1])
+    found = {}
+    for r in ann.neighbour_graph(nodes, bands, k=20, joined=20, block=400).collect():
+        found.setdefault(r.v, set()).add(r.w)
+    hits = sum(len(set(np.argsort(-s[v])[:10].tolist()) & near) for v, near in found.items())
+    assert hits / 30000 >= 0.95
+    assert written.count("ann_edges") - 1 <= 2
+
+
+def test_equal_directions_do_not_make_a_large_block(spark):
+    """A cut cannot part equal directions; their leaf is cut by hash."""
+    rows = spark.createDataFrame([(i, [1.0, 2.0, 2.0] if i % 4 else [float(i % 7), 1.0, float(i)]) for i in range(2000)],
+                                 "node long, vec array<double>")
+    nodes = rows.select("node", ann._pack("vec").alias("packed"), F.lit(0).cast("long").alias("band"))
+    bands = spark.createDataFrame([(0, 2000)], "band long, n long")
+    blocks = ann._dealt(nodes, bands, 100, 3, 5).groupBy("tree", "leaf", "part").count().collect()
+    assert sum(r["count"] for r in blocks) == 6000
+    assert max(r["count"] for r in blocks) <= 250
