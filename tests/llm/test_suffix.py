@@ -91,3 +91,26 @@ def test_tables_that_grow_with_the_input_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in plan
     # found places, ranges (two sources), grouped ranges, texts
     assert plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_slices_cross_one_exchange_at_every_size(spark, monkeypatch):
+    """What tells the groups that fit a shard is never shuffled with the slices' bytes."""
+    rng = random.Random(12)
+    shared = sentence(rng, 90)
+    rows = [(n, f"{sentence(rng, 60)} {shared} {sentence(rng, 60)}", "a") for n in range(30)]
+    plans = []
+    settle = suffix._array_repeats
+
+    def seen(work):
+        plans.append(work._jdf.queryExecution().executedPlan().toString())
+        return settle(work)
+
+    monkeypatch.setattr(suffix, "_array_repeats", seen)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as on a table of any size
+    try:
+        got = suffix.remove_repeats(documents(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(brute(rows))
+    assert plans and not any("Exchange hashpartitioning" in p for p in plans)
