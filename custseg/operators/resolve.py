@@ -379,16 +379,19 @@ def _min_ancestor(nodes: DataFrame, edges: DataFrame, more=None) -> DataFrame:
     """For a DAG whose edges go from smaller to larger ids: o(v) = smallest id with a path
     to v (v itself if none). Min-propagation along edges plus pointer jumping
     (o(v) <- o(o(v)), valid because o(v) reaches v), so chains converge in log rounds. ``more``
-    maps (node, o) to what o becomes along edges that are not listed in ``edges``."""
-    o = cut_lineage(nodes.select(F.col("r").alias("node"), F.col("r").alias("o")))
+    maps (node, o) to what o becomes along edges that are not listed in ``edges``.
+
+    Each round is written as a table: a checkpoint keeps the size that Spark estimates for its plan, and the join of
+    a round with itself squares it, so after 20 rounds the estimate alone is a number of megabytes on the driver."""
+    o = materialise(nodes.select(F.col("r").alias("node"), F.col("r").alias("o")), "ordered_owner")
     while True:
         via_edges = (edges.join(o.select(F.col("node").alias("src"), F.col("o").alias("so")), "src")
                      .groupBy(F.col("dst").alias("node")).agg(F.min("so").alias("o")))
         jump = (o.join(o.select(F.col("node").alias("o"), F.col("o").alias("oo")), "o")
                 .select("node", F.col("oo").alias("o")))
         found = o.unionByName(via_edges).unionByName(jump)
-        new = cut_lineage((found.unionByName(more(o)) if more else found)
-                          .groupBy("node").agg(F.min("o").alias("o")))
+        new = materialise((found.unionByName(more(o)) if more else found)
+                          .groupBy("node").agg(F.min("o").alias("o")), "ordered_owner")
         changed = (new.join(o.select("node", F.col("o").alias("old")), "node")
                    .where(F.col("o") < F.col("old")).limit(1).count() > 0)
         o = new

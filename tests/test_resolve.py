@@ -269,3 +269,11 @@ def test_ordered_mode_of_crowded_keys_equals_walk(spark, monkeypatch, several):
     assert all(got[i] == keys[expect[i]] for i in range(len(keys)))
     assert len(got) == len(keys) and len(matches) > 1000
     assert several or listed[0] < 100
+
+
+def test_estimated_sizes_stay_small_over_the_rounds_of_owners(spark):
+    """A chain of 200 nodes takes several rounds; none of them squares the size that Spark estimates for the next one."""
+    edges = spark.createDataFrame([(n, n + 1) for n in range(199)], "src long, dst long")
+    owners = resolve._min_ancestor(spark.range(200).toDF("r"), edges)
+    assert {(r.node, r.o) for r in owners.collect()} == {(n, 0) for n in range(200)}
+    assert owners._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2 ** 63
