@@ -277,3 +277,30 @@ def test_estimated_sizes_stay_small_over_the_rounds_of_owners(spark):
     owners = resolve._min_ancestor(spark.range(200).toDF("r"), edges)
     assert {(r.node, r.o) for r in owners.collect()} == {(n, 0) for n in range(200)}
     assert owners._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2 ** 63
+
+
+def test_matches_of_crowded_keys_leave_python_in_batches(spark, monkeypatch):
+    """300 keys that all match: their 44,850 pairs become rows beside the texts of their blocks, with the score that
+    Spark's round gives them."""
+    from pyspark.sql import functions as F
+    sent = []
+    frame = type(spark.range(0))
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *args: sent.append(real(self, *args)) or sent[-1])
+    keys = [f"https://www.example.net/ä/{n}/index.html" for n in range(1000, 1299)] + ["ä😀" * 3_000]
+    df = spark.createDataFrame([(k,) for k in [*keys, "ä😀" * 2_999]], "key string")
+    found = resolve.similar_key_pairs(df, "key", cutoff=75)
+    assert found.count() == 299 * 298 // 2 + 1
+    assert sent[-1].count() < 299 * 298 // 2 / 100
+    score = F.round(200.0 * F.col("lcs") / (F.length("key_a") + F.length("key_b")), 6)
+    assert found.where(F.col("score") != score).isEmpty()
+
+
+def test_scores_are_rounded_half_up_like_round(spark):
+    """Totals up to 1,200 characters, and one at which the seventh digit is a lone five."""
+    from pyspark.sql import functions as F
+    totals = spark.range(2, 1201).selectExpr("cast(id as int) as total", "cast(id div 2 as int) as most") \
+        .unionByName(spark.createDataFrame([(16384, 8192)], "total int, most int"))
+    found = totals.select("total", F.explode(F.sequence(F.lit(1), F.col("most"))).alias("lcs"))
+    assert found.count() > 300_000
+    assert found.where(resolve.score("lcs", "total") != F.round(200.0 * F.col("lcs") / F.col("total"), 6)).isEmpty()
